@@ -6,9 +6,12 @@ import tempfile
 import uuid
 
 import numpy as np
+import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
+from pyspark.sql.pandas.types import to_arrow_type
 
 #: A word is a run of characters other than ASCII white space; ``bytes.split()`` cuts UTF-8 in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -39,11 +42,52 @@ def n_words(text: Column | str) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")
 
 
-def with_column_free(df: DataFrame, *names: str) -> None:
-    """Refuses input whose columns clash with those an operator adds."""
-    clash = {c.lower() for c in df.columns} & {n.lower() for n in names}
-    if clash:
-        raise ValueError(f"input has columns that this operator adds: {sorted(clash)}")
+def tidy(df: DataFrame, needed: list[str], added: list[str] | tuple = ()) -> DataFrame:
+    """Input without clashing names, so that operators can rely on theirs.
+
+    Columns that an operator adds replace input columns of the same name, and of columns that share a name (letter case
+    aside) the one spelled as needed stays, else the first.
+    """
+    new, at = {c.lower() for c in added}, {}
+    for i, c in enumerate(df.columns):
+        if c in needed or c.lower() not in new:
+            known = at.get(c.lower())
+            if known is None or (c in needed and df.columns[known] not in needed):
+                at[c.lower()] = i
+    if len(at) == len(df.columns):
+        return df
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    return plain.select(*[F.col(f"_{i}").alias(df.columns[i]) for i in sorted(at.values())])
+
+
+def row_hash(df: DataFrame, seed: int = 0) -> Column:
+    """A hash of all columns."""
+    return F.xxhash64(F.lit(seed), *[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or k == "variant" else F.col(f"`{c}`") for c, k in df.dtypes])
+
+
+def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn) -> DataFrame:
+    """``keep`` as they are and the columns ``added`` (DDL), which ``fn`` makes of lists of the values in ``used``."""
+    new = T._parse_datatype_string(added)
+    schema = T.StructType([df.schema[c] for c in keep] + new.fields)
+    arrow = [to_arrow_type(f.dataType) for f in new.fields]
+
+    def run(batches):
+        for b in batches:
+            made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used))
+            columns = [b.column(b.schema.get_field_index(c)) for c in keep]
+            yield pa.RecordBatch.from_arrays(columns + [pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
+
+    return df.select(*dict.fromkeys([*keep, *used])).mapInArrow(run, schema)
+
+
+def filter_rows(df: DataFrame, used: list[str], fn) -> DataFrame:
+    """The rows for which ``fn``, given lists of the values in ``used``, says True."""
+
+    def run(batches):
+        for b in batches:
+            yield b.filter(pa.array(fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used)), pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)
 
 
 def mix64(x: np.ndarray) -> np.ndarray:

@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import n_words, with_column_free
+from .common import n_words, row_hash, tidy
 from .feistel import key_of, permute, unpermute
 
 
@@ -88,13 +88,12 @@ def mix_sources(
 
     Null and empty texts have size 0 and take nothing; a null source is a source of its own; long documents span
     blocks; repeated rows and ties are separate rows; an empty table gives an empty result; other columns pass through,
-    and input that has a column this adds is refused.
+    but input columns named like added ones are replaced.
     """
     added = ["size", "source_size", "target", "taken", "pieces"]
-    with_column_free(docs, *added, "_bucket", "_rid", "_pos", "_h", "_s", "_block", "_n", "_off")
+    docs = tidy(docs, [source, text], [*added, "_bucket", "_rid", "_pos", "_h", "_s", "_block", "_n", "_off", "_named"])
     spark = docs.sparkSession
-    columns = [F.to_json(F.struct(c)) if k.startswith("map") else F.col(f"`{c}`") for c, k in docs.dtypes]
-    rows = docs.withColumn("size", n_words(F.col(text))).withColumn("_h", F.xxhash64(*columns))
+    rows = docs.withColumn("size", n_words(F.col(text))).withColumn("_h", row_hash(docs))
 
     per_source = sorted(((r[0], r[1], r[2]) for r in rows.groupBy(source).agg(F.sum("size"), F.count(F.lit(1))).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     sizes = [r[1] for r in per_source]

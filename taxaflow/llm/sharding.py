@@ -7,7 +7,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import with_column_free
+from .common import row_hash, tidy
 from .feistel import key_of, permute
 
 
@@ -19,11 +19,10 @@ def number_rows(df: DataFrame, by: list[str], name: str = "row", rows_per_bucket
     those before them, so no task sees more than a bucket. Rows equal in every column share a bucket and take
     neighbouring numbers; nulls are ordinary values.
     """
-    with_column_free(df, name, "_h", "_b", "_n", "_off")
+    df = tidy(df, by, [name, "_h", "_b", "_n", "_off"])
     total = df.count()
     buckets = max(64, -(-total // rows_per_bucket))
-    columns = [F.to_json(F.struct(c)) if k.startswith("map") else F.col(c) for c, k in df.dtypes]
-    rows = df.withColumn("_h", F.xxhash64(*columns)).withColumn("_b", F.pmod("_h", F.lit(buckets)).cast("int"))
+    rows = df.withColumn("_h", row_hash(df)).withColumn("_b", F.pmod("_h", F.lit(buckets)).cast("int"))
     sizes = rows.groupBy("_b").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_b").rowsBetween(Window.unboundedPreceding, -1)
     offsets = sizes.select("_b", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_off"))
@@ -41,8 +40,7 @@ def shard_rows(df: DataFrame, n_shards: int, by: list[str], seed: int = 0) -> Da
     and ties need no care: they only set a row's number. An empty table gives an empty result; other columns pass
     through; input that has a ``shard`` or ``slot`` column is refused.
     """
-    with_column_free(df, "shard", "slot")
-    rows, total = number_rows(df, by, "_row")
+    rows, total = number_rows(tidy(df, by, ["shard", "slot", "_p"]), by, "_row")
     key = key_of(seed, n_shards)
 
     @F.pandas_udf("long")
