@@ -86,13 +86,18 @@ _SHAPES = WordHashes()
 
 
 def features(text: str | None) -> np.ndarray:
-    """Hashed features of a whole text, two for each word: the word, and its shape (classes of bytes, runs once)."""
+    """Hashed features of a whole text, two for each word: the word (or that it repeats the one before), and its shape.
+
+    A shape is the word's bytes as classes, runs once.
+    """
     raw = text.encode("utf-8", "surrogatepass") if text else b""
     shape = np.frombuffer(raw.translate(_SHAPE), np.uint8)
     shape = shape[np.append(True, shape[1:] != shape[:-1])].tobytes() if len(shape) else b""
     words, shapes = word_hashes(text), shape.split()
     shapes = np.fromiter(map(_SHAPES.__getitem__, shapes), np.uint64, len(shapes))
-    return np.concatenate([words % np.uint64(DIMS), mix64(shapes) % np.uint64(DIMS)]).astype(np.int64)
+    at = words % np.uint64(DIMS)
+    at[1:][words[1:] == words[:-1]] = 0
+    return np.concatenate([at, mix64(shapes) % np.uint64(DIMS)]).astype(np.int64)
 
 
 def counted(at: np.ndarray) -> tuple[np.ndarray, np.ndarray]:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_model, quality_rules, sharding
+from . import mixing, quality_model, quality_rules, sharding, topk
 from .common import table
 
 
@@ -23,6 +23,10 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
+
+
 def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
@@ -35,6 +39,14 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(docs, labels)
 
 
-QUERIES = {"op1_mix": op1_mix, "op2_shard": op2_shard, "op7_quality": op7_quality, "op8_rules": op8_rules}
+QUERIES = {
+    "op1_mix": op1_mix,
+    "op2_shard": op2_shard,
+    "op6_topk": op6_topk,
+    "op7_quality": op7_quality,
+    "op8_rules": op8_rules,
+}
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "op6_topk": topk.sql(),
+}
