@@ -166,7 +166,7 @@ def fit_scorer(
 
     share = min(1.0, sample_rows / int(counts["count"].sum()))
     hashed = F.xxhash64(F.lit(seed), text)
-    picked = docs.where(hashed <= int(-(2**63) + share * (2**64 - 1024))).select(text, hashed.alias("_h")).dropDuplicates(["_h"])
+    picked = docs.where(hashed <= int(share * 2**52) * 2**12 - 2**63 - 1).select(text, hashed.alias("_h")).dropDuplicates(["_h"])
     picked = map_columns(picked, [], [text], "code long, at binary, x binary", sample).limit(2 * sample_rows).toPandas().sort_values(["code", "at", "x"])
     rows = [(np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for a, x in zip(picked["at"], picked["x"])]
     scorer = Scorer(fit_linear(rows, weak.posterior(picked["code"].to_numpy(np.int64))))
