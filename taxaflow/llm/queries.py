@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality_model, quality_rules, sharding, topk
+from . import html_extract, mixing, quality_model, quality_rules, quotes, sharding, topk, url_filter
 from .common import table
 
 
@@ -23,6 +23,19 @@ def op2_shard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return out.select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
+def op3_extract(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = html_extract.extract_pages(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", "text", "n_chars")
+
+
+#: (host, path, verdict)
+RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org", "/en/1", "block"), ("com", "/fr/", "allow"), ("com", "/de/", "block")]
+
+
+def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -39,14 +52,23 @@ def op8_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules.judge_documents(docs, labels)
 
 
+def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quotes.reply_order(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
+    "op3_extract": op3_extract,
+    "op4_urls": op4_urls,
     "op6_topk": op6_topk,
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
+    "op9_quotes": op9_quotes,
 }
 
 ORACLES: dict[str, str] = {
+    "op4_urls": url_filter.sql(RULES),
     "op6_topk": topk.sql(),
+    "op9_quotes": quotes.sql(),
 }
