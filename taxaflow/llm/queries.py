@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, mixing, quality_model, quality_rules, quotes, sharding, topk, url_filter
+from . import html_extract, jaccard_forest, mixing, quality_model, quality_rules, quotes, sharding, topk, url_filter
 from .common import table
 
 
@@ -56,6 +56,11 @@ def op9_quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quotes.reply_order(table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text"))
 
 
+def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return jaccard_forest.near_copies(docs).select("doc_id", "copy_id", "class_id", "n_links")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
@@ -65,6 +70,7 @@ QUERIES = {
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
     "op9_quotes": op9_quotes,
+    "op10_jaccard": op10_jaccard,
 }
 
 ORACLES: dict[str, str] = {
