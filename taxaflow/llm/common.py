@@ -75,7 +75,7 @@ def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn)
         for b in batches:
             made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used))
             columns = [b.column(b.schema.get_field_index(c)) for c in keep]
-            yield pa.RecordBatch.from_arrays(columns + [pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
+            yield pa.RecordBatch.from_arrays(columns + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
 
     return df.select(*dict.fromkeys([*keep, *used])).mapInArrow(run, schema)
 

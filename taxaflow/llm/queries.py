@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+from pathlib import Path
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, jaccard_forest, mixing, quality_model, quality_rules, quotes, sharding, topk, url_filter
+from . import html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, topk, url_filter
 from .common import table
 
 
@@ -36,6 +38,22 @@ def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
 
 
+#: The public SentencePiece model that the queries use; the operator takes any model's content.
+PIECE_MODEL = "/opt/tokenizers/piece_bpe_32k.model"
+
+
+def piece_model(path: str = PIECE_MODEL) -> bytes:
+    return Path(path).read_bytes()
+
+
+def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
+    model = piece_model()
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    both = piece_scan.decode(piece_scan.encode(docs, model), model, text="decoded")
+    same = F.col("decoded").eqNullSafe(F.translate("text", "\u2581", " "))
+    return both.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
+
+
 def op6_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return topk.top_k(table(spark, sf_dir, "embeddings").select("vec_id", "embedding"))
 
@@ -66,6 +84,7 @@ QUERIES = {
     "op2_shard": op2_shard,
     "op3_extract": op3_extract,
     "op4_urls": op4_urls,
+    "op5_pieces": op5_pieces,
     "op6_topk": op6_topk,
     "op7_quality": op7_quality,
     "op8_rules": op8_rules,
