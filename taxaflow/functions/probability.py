@@ -6,6 +6,7 @@ import math
 
 import pandas as pd
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _beta_fraction(a: float, b: float, x: float) -> float:
@@ -40,13 +41,13 @@ def two_sided_t(t: float | None, df: float | None) -> float | None:
     return 0.0 if math.isinf(t) else incomplete_beta(df / 2, 0.5, df / (df + t * t))
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def t_pvalue(t: pd.Series, df: pd.Series) -> pd.Series:
     """Two-sided p of a t statistic; null where either is missing or no freedom is left."""
     return pd.Series([two_sided_t(None if pd.isna(a) else float(a), None if pd.isna(b) else float(b)) for a, b in zip(t, df)], dtype="float64")
 
 
-@F.pandas_udf("double")
+@F.pandas_udf(T.DoubleType())
 def norm_pvalue(z: pd.Series) -> pd.Series:
     """Two-sided p of a standard normal statistic."""
     return pd.Series([None if pd.isna(a) else math.erfc(abs(float(a)) / math.sqrt(2)) for a in z], dtype="float64")

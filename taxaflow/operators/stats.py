@@ -110,7 +110,7 @@ def correlate_with_change(means: DataFrame, treatment: str, group: str, set_a: s
     both = abundance.join(change, [TU, group]).where(F.col("change").isNotNull())
     rho = spearman(both, TU, "abundance", "change")
     vectors = both.groupBy(TU).agg(F.sort_array(F.collect_list(F.struct(group, "abundance", "change"))).alias("v"))
-    vectors = vectors.select(TU, *[F.transform("v", lambda x, c=c: x[c]).alias(n) for c, n in ((group, "groups"), ("abundance", "abundances"), ("change", "changes"))])
+    vectors = vectors.select(TU, *[F.col(f"v.{c}").alias(n) for c, n in ((group, "groups"), ("abundance", "abundances"), ("change", "changes"))])
     out = rho.withColumn("p", t_pvalue(t_statistic(F.col("rho"), F.col("n")), F.col("n") - 2))
     return adjust_bh(out, "p", "p_adj").join(vectors, TU)
 

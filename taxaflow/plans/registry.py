@@ -2,5 +2,7 @@
 
 from __future__ import annotations
 
-QUERIES: dict = {}
-ORACLES: dict[str, str] = {}
+from taxaflow.plans import searches, sequencing, tables
+
+QUERIES: dict = {**tables.Q, **searches.Q, **sequencing.Q}
+ORACLES: dict[str, str] = {**tables.O, **searches.O, **sequencing.O}
