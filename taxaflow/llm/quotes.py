@@ -9,7 +9,7 @@ from .common import tidy
 
 #: Quote marks at the start of a line, and the line that introduces a quote (in a few languages).
 MARKS = r"^[ \t]*((?:>[ \t]*)+)"
-QUOTED = r"(?s)(^|.*\n)[ \t]*>.*"
+QUOTED = r"(^|\n)[ \t]*>"
 INTRO = r"(?m)^(?:On|Am|Le|El)[ \t][^\n]*(?:wrote|schrieb[^\n]*|a écrit|escribió)[ \t]*:[ \t]*\r?\n(?:[ \t]*\r?\n)?(?=[ \t]*>)"
 
 
