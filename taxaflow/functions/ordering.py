@@ -2,15 +2,16 @@
 
 from __future__ import annotations
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.staging import materialize
+
 
 def _sorted(df: DataFrame, order: list[Column]) -> DataFrame:
-    """Range-partitioned and sorted; kept, so that every reader sees the same partitions."""
+    """Range-partitioned and sorted; written, so that every reader sees the same partitions."""
     part = df.orderBy(*order).withColumn("_part", F.spark_partition_id()).withColumn("_at", F.monotonically_increasing_id())
-    return part.persist(StorageLevel.MEMORY_AND_DISK)
+    return materialize(part, "sorted")
 
 
 def _number(part: DataFrame, name: str) -> DataFrame:

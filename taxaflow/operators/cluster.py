@@ -5,10 +5,11 @@ from __future__ import annotations
 import math
 
 import pandas as pd
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.functions.ordering import row_number
+from taxaflow.functions.staging import materialize
 from taxaflow.operators.derep import label
 
 
@@ -70,9 +71,8 @@ def greedy(found: DataFrame, rule, block: int = 512, prefix: str = "Otu") -> Dat
     the new centroids among them, at most a block, are then held against all that is undecided, in parallel. Rounds end
     when nothing is undecided: one for each ``block`` centroids or less.
     """
-    # Kept, not recomputed: rounds depend on the numbering.
-    left = label(found.select("seq", "size"), "u").select("seq", "size", "ord").persist(StorageLevel.MEMORY_AND_DISK)
-    parts, n_centroids = [], 0
+    left = materialize(label(found.select("seq", "size"), "u").select("seq", "size", "ord"), "undecided")
+    parts = []
     schema = "seq string, size long, ord long, centroid_ord long"
     while True:
         head = left.orderBy("ord").limit(block).collect()
@@ -89,9 +89,8 @@ def greedy(found: DataFrame, rule, block: int = 512, prefix: str = "Otu") -> Dat
                 to = [o if o in own else assign_first(rule, [(s, n)], centroids)[0] for s, n, o in zip(b["seq"], b["size"], b["ord"])]
                 yield pd.DataFrame({"seq": b["seq"], "size": b["size"], "ord": b["ord"], "centroid_ord": pd.array(to, dtype="Int64")})
 
-        decided = left.mapInPandas(assign, schema).persist(StorageLevel.MEMORY_AND_DISK)
+        decided = materialize(left.mapInPandas(assign, schema), "decided")
         parts.append(decided.where("centroid_ord is not null"))
-        n_centroids += len(centroids)
         left = decided.where("centroid_ord is null").select("seq", "size", "ord")
     if not parts:
         return found.select("seq", "size").where("false").selectExpr("seq", "size", "0L as ord", "seq as centroid", "0L as centroid_ord", "'' as tu_id")
@@ -99,8 +98,6 @@ def greedy(found: DataFrame, rule, block: int = 512, prefix: str = "Otu") -> Dat
     for p in parts[1:]:
         every = every.unionByName(p)
     centres = every.where("ord = centroid_ord").select("centroid_ord", F.col("seq").alias("centroid"))
-    from taxaflow.functions.ordering import row_number
-
     named = row_number(centres, [F.col("centroid_ord").asc()], "_n").withColumn("tu_id", F.concat(F.lit(prefix), F.col("_n").cast("string"))).drop("_n")
     return every.join(named, "centroid_ord").select("seq", "size", "ord", "centroid", "centroid_ord", "tu_id")
 

@@ -32,7 +32,7 @@ def map_sequences(found: DataFrame, units: DataFrame, identity: float = 0.97, mo
     pairs = windows.join(split, ["_a", "_w", "_part"]).select("seq", "tu_id", "unit", "ord").distinct()
     longest = F.greatest(F.length("seq"), F.length("unit"))
     scored = pairs.withColumn("identity", 1 - F.levenshtein("seq", "unit") / longest).where(F.col("identity") >= identity - 1e-12)
-    best = scored.groupBy("seq").agg(F.max_by(F.struct("tu_id", "identity"), F.struct("identity", -F.col("ord"))).alias("b")).select("seq", "b.*")
+    best = scored.groupBy("seq").agg(F.min_by(F.struct("tu_id", "identity"), F.struct((-F.col("identity")).alias("i"), "ord")).alias("b")).select("seq", "b.*")
     return exact.unionByName(best)
 
 

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.staging import materialize
+
 
 #: The eight ranks of a lineage, their prefixes, and the name of what has none.
 RANKS = ["domain", "kingdom", "phylum", "class", "order", "family", "genus", "species"]
@@ -23,7 +25,7 @@ def ancestors(nodes: DataFrame, rounds: int = 64) -> DataFrame:
         nodes.where("parent is not null and parent <> taxid").select("taxid", F.col("parent").alias("ancestor"), F.lit(1).alias("depth")))
     length, last = 1, -1
     for _ in range(rounds):
-        paths = paths.persist()
+        paths = materialize(paths, "ancestors")
         n = paths.count()
         if n == last:
             break
