@@ -65,6 +65,13 @@ def row_hash(df: DataFrame, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or k == "variant" else F.col(f"`{c}`") for c, k in df.dtypes])
 
 
+def sliced(batches, rows: int = 256):
+    """Arrow batches in parts, so that the Python values made of them stay few."""
+    for b in batches:
+        for at in range(0, b.num_rows, rows):
+            yield b.slice(at, rows)
+
+
 def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn) -> DataFrame:
     """``keep`` as they are and the columns ``added`` (DDL), which ``fn`` makes of lists of the values in ``used``."""
     new = T._parse_datatype_string(added)
@@ -72,7 +79,7 @@ def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn)
     arrow = [to_arrow_type(f.dataType) for f in new.fields]
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used))
             columns = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
@@ -84,7 +91,7 @@ def filter_rows(df: DataFrame, used: list[str], fn) -> DataFrame:
     """The rows for which ``fn``, given lists of the values in ``used``, says True."""
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches):
             yield b.filter(pa.array(fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)

@@ -69,6 +69,7 @@ class Pieces:
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.longest = max(map(len, self.id), default=1)
         self.low = min((self.scores[i] for i in self.id.values()), default=0.0) - 10.0  # a character without piece
+        self.tails = {p[i:] for p in self.id for i in range(len(p))}
         self.pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
         inner = {c for p in self.id if len(p) > 1 for c in p}
         #: Segments between which no piece reaches: runs of blanks with what follows, and characters of no longer piece.
@@ -99,7 +100,7 @@ class Pieces:
         key = (a, b)
         found = self._links.get(key)
         if found is None:
-            if len(self._links) >= 1_000_000:
+            if len(self._links) >= 250_000:
                 self._links.clear()
             found = self._links[key] = self.merge(a + b) == ([a, b] if a else [b])
         return found
@@ -122,20 +123,24 @@ class Pieces:
 
         ``before`` is the piece that ends at ``start``. Ties go to the longer last piece.
         """
-        get, linked, longest = self.id.get, self.linked, self.longest
+        pieces, get, linked, longest = self.id, self.id.get, self.linked, self.longest
         best: list = [None] * (stop - start + 1)
         best[0] = (0.0, before)
         if self.kind == BPE:  # at most one last piece is valid at each place
+            tails, links = self.tails, self._links
             for i in range(1, len(best)):
-                end = start + i
-                for size in range(min(i, longest), 0, -1):
-                    last = best[i - size]
-                    if last is None:
-                        continue
-                    piece = text[end - size : end]
-                    if (size == 1 or get(piece) is not None) and linked(last[1], piece):
-                        best[i] = (0.0, piece)
-                        break
+                end, found, size = start + i, [], 1
+                while size <= i and (piece := text[end - size : end]) in tails:
+                    if size == 1 or piece in pieces:
+                        found.append(piece)
+                    size += 1
+                for piece in reversed(found) if found else (text[end - 1 : end],):
+                    last = best[i - len(piece)]
+                    if last is not None:
+                        ok = links.get((last[1], piece))
+                        if ok or (ok is None and linked(last[1], piece)):
+                            best[i] = (0.0, piece)
+                            break
             return best
         for i in range(1, len(best)):
             end, top = start + i, None
