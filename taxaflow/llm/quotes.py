@@ -129,7 +129,7 @@ SELECT m.conv_id, m.turn, m.role,
     '\\n(?:[ \\t\\r]*\\n){{2,}}', chr(10) || chr(10), 'g'), '^[ \\t\\r\\n]+|[ \\t\\r\\n]+$', '', 'g') ELSE m.text END AS text,
   CASE WHEN m.conv_id IS NOT NULL AND m.turn IS NOT NULL
        THEN row_number() OVER (PARTITION BY m.conv_id ORDER BY m.turn, md5(m.text)) - 1 END AS position,
-  CASE WHEN m.conv_id IS NOT NULL THEN coalesce(t.best.source, max(m.turn) OVER (PARTITION BY m.conv_id ORDER BY m.turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) END AS reply_to,
+  CASE WHEN m.conv_id IS NOT NULL AND m.turn IS NOT NULL THEN coalesce(t.best.source, max(m.turn) OVER (PARTITION BY m.conv_id ORDER BY m.turn RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)) END AS reply_to,
   t.best.source IS NOT NULL AS linked, CAST(coalesce(d.quote_depth, 0) AS INT) AS quote_depth,
   CAST(coalesce(d.n_quoted, 0) AS BIGINT) AS n_quoted, CAST(coalesce(t.n, 0) AS BIGINT) AS n_linked
 FROM m LEFT JOIN t USING (rid) LEFT JOIN d USING (rid)"""
