@@ -2,9 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 import numpy as np
 import pyarrow as pa
 import xxhash
@@ -13,6 +10,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.pandas.types import to_arrow_type
 
+from taxaflow.functions.staging import materialize, shared_dir
+
+__all__ = ["WORD", "WordHashes", "filter_rows", "map_columns", "materialize", "mix64", "n_words", "row_hash", "shared_dir", "shingle_hashes", "sliced", "table", "tidy", "word_hashes"]
+
 #: A word is a run of characters other than ASCII white space; ``bytes.split()`` cuts UTF-8 in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -21,22 +22,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder all executors share. It is set here only where the cluster names none (tests, local runs)."""
-    found = spark.conf.get("spark.checkpoint.dir", None)
-    if not found:
-        found = f"file://{tempfile.mkdtemp(prefix='taxaflow-')}"
-        spark.conf.set("spark.checkpoint.dir", found)
-    return found
-
-
-def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Cuts lineage: the rows are written as a table in the shared folder and read back."""
-    path = f"{shared_dir(df.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
 def n_words(text: Column | str) -> Column:
     text = F.col(text) if isinstance(text, str) else text
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

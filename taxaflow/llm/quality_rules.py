@@ -125,30 +125,32 @@ class Rules:
         return self.forest.score(stats[FEATURES].to_numpy(float)) > self.threshold
 
 
-def calibrate(scored: DataFrame, score: str, good: str, loss: float, bins: int = 10_000) -> float:
-    """The lowest threshold above which at most ``loss`` of the good rows score; counts cover all labelled rows.
+def calibrate(scored: DataFrame, score: str, good: str, loss: float, bins: int = 10_000, dearness: float = 20.0) -> float:
+    """The threshold above which rows are rejected, from the counts of all labelled rows.
 
-    The driver gets two counts for each of ``bins`` equal steps of the score. Without good or bad rows: infinity.
+    Of the thresholds above which at most ``loss`` of the good rows score, the one with the best share of bad rows above
+    it, less ``dearness`` times the share of good ones (the middle, where several do). The driver gets two counts for
+    each of ``bins`` equal steps of the score. Without good or bad rows: infinity.
     """
     bin_ = F.least(F.lit(bins - 1), F.floor(F.col(score) * bins)).cast("int")
     counts = scored.groupBy(bin_.alias("bin")).agg(F.count_if(F.col(good)).alias("good"), F.count_if(~F.col(good)).alias("bad")).collect()
-    goods, bads = sum(r["good"] for r in counts), sum(r["bad"] for r in counts)
-    if not goods or not bads:
+    goods, bads = np.zeros(bins), np.zeros(bins)
+    for r in counts:
+        goods[r["bin"]], bads[r["bin"]] = r["good"], r["bad"]
+    if not goods.sum() or not bads.sum():
         return math.inf
-    above, threshold = 0, 1.0
-    for r in sorted(counts, key=lambda r: -r["bin"]):
-        above += r["good"]
-        if above > loss * goods:
-            break
-        threshold = r["bin"] / bins
-    return threshold
+    lost = np.append(np.cumsum(goods[::-1])[::-1], 0) / goods.sum()  # by the threshold's bin: shares at it or above
+    caught = np.append(np.cumsum(bads[::-1])[::-1], 0) / bads.sum()
+    worth = np.where(lost <= loss, caught - dearness * lost, -np.inf)
+    best = np.flatnonzero(worth >= worth.max() - 1e-12)
+    return float(best[len(best) // 2]) / bins
 
 
 def fit_rules(
     stats: DataFrame, labels: DataFrame, *, key: str = "doc_id", quality: str = "quality", sample_rows: int = 20_000,
-    trees: int = 200, tree_sample: int = 512, odd_share: float = 0.01, good_loss: float = 0.004, seed: int = 8,
+    trees: int = 300, tree_sample: int = 1024, odd_share: float = 0.006, good_loss: float = 0.006, seed: int = 8,
 ) -> Rules:
-    """Fits the forest on at most ``sample_rows`` labelled rows and its threshold on all of them.
+    """Fits the forest on at most ``sample_rows`` labelled rows and its threshold on all of them (see ``calibrate``).
 
     Trees see ``tree_sample`` rows of which ``odd_share`` are labelled bad, so that what is bad stays rare among them
     and is isolated early. A key with several labels counts as bad if one of them says so; null keys and labels are
