@@ -57,14 +57,15 @@ def sliced(batches, rows: int = 256):
             yield b.slice(at, rows)
 
 
-def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn) -> DataFrame:
-    """``keep`` as they are and the columns ``added`` (DDL), which ``fn`` makes of lists of the values in ``used``."""
+def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn, rows: int = 256) -> DataFrame:
+    """``keep`` as they are and the columns ``added`` (DDL), which ``fn`` makes of lists of the values in ``used``,
+    ``rows`` rows at a time."""
     new = T._parse_datatype_string(added)
     schema = T.StructType([df.schema[c] for c in keep] + new.fields)
     arrow = [to_arrow_type(f.dataType) for f in new.fields]
 
     def run(batches):
-        for b in sliced(batches):
+        for b in sliced(batches, rows):
             made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used))
             columns = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)

@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import map_columns, materialize, tidy
-from .pieces import Pieces, load
+from .pieces import UNIGRAM, Pieces, load
 
 
 class Chunk:
@@ -64,7 +64,7 @@ class Chunk:
             elif (head := model.forward(self.text, start, cut, before)[-1]) is not None:
                 if cut not in tails:
                     last = self.cuts[-1]
-                    middle = sum(map(model.cost, model.segment.findall(self.text[cut:last])))
+                    middle = sum(map(model.cost, model.segment.findall(self.text[cut:last]))) if model.kind == UNIGRAM else 0.0
                     best = model.forward(self.text, last, self.b, "")
                     tails[cut] = middle + np.array([self.leave(best, last, s) for s in self.out])
                 out[i] = head[0] + tails[cut]
@@ -82,7 +82,8 @@ class Chunk:
             best = model.forward(self.text, start, cut, before)
             out += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
             last = max(c for c in self.cuts if c <= end)
-            out += chain.from_iterable(map(model.path, model.segment.findall(self.text[cut:last])))
+            segments = model.segment.findall(self.text[cut:last])
+            out += chain.from_iterable(map(model.learn(set(segments)).__getitem__, segments))
             start, before = last, ""
         best = model.forward(self.text, start, end, before)
         out += chain.from_iterable(map(model.ids, model.back(best, end - start)))
@@ -119,11 +120,11 @@ def route(matrices: list[np.ndarray]) -> list[int]:
     return out
 
 
-def encode_text(model: Pieces, text: str | None) -> list[int] | None:
-    """A text as one chunk: every segment that no piece crosses has its own best path."""
-    if text is None:
-        return None
-    return list(chain.from_iterable(map(model.path, model.segment.findall(model.escaped(text)))))
+def encode_texts(model: Pieces, texts: list) -> list:
+    """Texts as one chunk each: every segment that no piece crosses has its own best path. Null gives null."""
+    cut = [None if t is None else model.segment.findall(model.escaped(t)) for t in texts]
+    known = model.learn(set(chain.from_iterable(c for c in cut if c)))
+    return [None if c is None else np.fromiter(chain.from_iterable(map(known.__getitem__, c)), np.int32) for c in cut]
 
 
 def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids", chunk_chars: int = 32_768) -> DataFrame:
@@ -141,11 +142,9 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids
     longest, columns = load(model).longest, docs.columns
 
     def direct(texts):
-        m = load(model)
-        got = [encode_text(m, t) for t in texts]
-        return [lists(got)]
+        return [lists(encode_texts(load(model), texts))]
 
-    small = map_columns(docs.where(F.coalesce(F.length(text), F.lit(0)) <= chunk_chars), columns, [text], f"`{ids}` array<int>", direct)
+    small = map_columns(docs.where(F.coalesce(F.length(text), F.lit(0)) <= chunk_chars), columns, [text], f"`{ids}` array<int>", direct, rows=1024)
     giant = docs.where(F.length(text) > chunk_chars).withColumn("_fp", F.md5(text))
 
     def cut(texts):
@@ -192,7 +191,7 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids
 def lists(rows: list) -> pa.Array:
     """Lists of integers, some of them null, as one Arrow array."""
     sizes = np.fromiter((len(r) if r is not None else 0 for r in rows), np.int64, len(rows))
-    values = np.fromiter(chain.from_iterable(r for r in rows if r is not None), np.int32, int(sizes.sum()))
+    values = np.concatenate([np.zeros(0, np.int32), *(np.array(r, np.int32) for r in rows if r is not None)])
     null = pa.array([r is None for r in rows], pa.bool_())
     return pa.ListArray.from_arrays(pa.array(np.append(0, sizes.cumsum()).astype(np.int32)), pa.array(values), mask=null)
 

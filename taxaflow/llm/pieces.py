@@ -69,13 +69,21 @@ class Pieces:
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.longest = max(map(len, self.id), default=1)
         self.low = min((self.scores[i] for i in self.id.values()), default=0.0) - 10.0  # a character without piece
-        self.tails = {p[i:] for p in self.id for i in range(len(p))}
+        #: Ends of pieces, and whether they are pieces themselves.
+        self.tails = {p[i:]: p[i:] in self.id for p in self.id for i in range(len(p))}
         self.pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
-        inner = {c for p in self.id if len(p) > 1 for c in p}
-        #: Segments between which no piece reaches: runs of blanks with what follows, and characters of no longer piece.
-        together = "[" + "".join(map(re.escape, sorted(inner - {SPACE}))) + "]+" if inner - {SPACE} else r"(?!)"
-        cut = any(SPACE in p.lstrip(SPACE) for p in self.id)
-        self.segment = re.compile(f"(?:{SPACE}|{together})+|[\\s\\S]" if cut else f"{SPACE}*{together}|{SPACE}+|[\\s\\S]")
+        inner = {c for p in self.id if len(p) > 1 for c in p} - {SPACE}
+        #: Signs that no piece has right after a letter or digit: no piece reaches from a word into them.
+        signs = {c for c in inner if not c.isalnum() and not any(c == y and x.isalnum() for x, y in self.pairs)}
+        words = inner - signs
+        signs -= {y for x, y in self.pairs if x in words}
+        words = inner - signs
+        some = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]" if chars else r"(?!)"
+        #: Segments between which no piece reaches: blanks with a word or with signs and what follows them, runs of
+        #: blanks, and characters of no longer piece.
+        self.segment = re.compile(f"{SPACE}*{some(words)}+|{SPACE}*{some(signs)}+{some(words)}*|{SPACE}+|[\\s\\S]")
+        if any(SPACE in p.lstrip(SPACE) for p in self.id):
+            self.segment = re.compile(f"(?:{SPACE}|{some(inner)})+|[\\s\\S]")
         self._links: dict[tuple[str, str], bool] = {}
         self._paths: dict[str, tuple[int, ...]] = {}
 
@@ -123,15 +131,15 @@ class Pieces:
 
         ``before`` is the piece that ends at ``start``. Ties go to the longer last piece.
         """
-        pieces, get, linked, longest = self.id, self.id.get, self.linked, self.longest
+        get, linked, longest = self.id.get, self.linked, self.longest
         best: list = [None] * (stop - start + 1)
         best[0] = (0.0, before)
         if self.kind == BPE:  # at most one last piece is valid at each place
             tails, links = self.tails, self._links
             for i in range(1, len(best)):
                 end, found, size = start + i, [], 1
-                while size <= i and (piece := text[end - size : end]) in tails:
-                    if size == 1 or piece in pieces:
+                while size <= i and (whole := tails.get(piece := text[end - size : end])) is not None:
+                    if size == 1 or whole:
                         found.append(piece)
                     size += 1
                 for piece in reversed(found) if found else (text[end - 1 : end],):
@@ -163,18 +171,57 @@ class Pieces:
             i -= len(best[i][1])
         return out[::-1]
 
-    def path(self, segment: str) -> tuple[int, ...]:
-        """Ids of a segment that no piece crosses at either end; kept for the life of a worker."""
-        found = self._paths.get(segment)
-        if found is None:
-            if len(segment) > 512:
-                best = self.forward(segment, 0, len(segment), "")
-                return tuple(x for p in self.back(best, len(segment)) for x in self.ids(p))
-            if len(self._paths) >= 300_000:
-                self._paths.clear()
-            best = self.forward(segment, 0, len(segment), "")
-            found = self._paths[segment] = tuple(x for p in self.back(best, len(segment)) for x in self.ids(p))
-        return found
+    def learn(self, segments: set[str]) -> dict[str, tuple[int, ...]]:
+        """Ids by segment for (at least) these segments, none of which a piece crosses at either end.
+
+        They are kept for the life of a worker, up to a bound. New ones go in sorted order, and each takes over the
+        places that it shares with the one before.
+        """
+        known = self._paths
+        new = {x for x in segments if x not in known}
+        if len(known) + len(new) > 300_000:
+            known.clear()
+            new = segments
+        if self.kind != BPE:
+            for x in new:
+                known[x] = tuple(i for p in self.back(self.forward(x, 0, len(x), ""), len(x)) for i in self.ids(p))
+            return known
+        tail, links, linked, get, ids = self.tails.get, self._links, self.linked, self.id.get, self.ids
+        last, before = [""], ""  # the valid last piece at each place
+        for text in sorted(new):
+            same = 0
+            for x, y in zip(before, text):
+                if x != y:
+                    break
+                same += 1
+            del last[same + 1 :]
+            for end in range(same + 1, len(text) + 1):
+                at, piece = end - 1, text[end - 1 : end]
+                found = [piece]
+                if tail(piece) is not None:
+                    while at:
+                        at -= 1
+                        piece = text[at:end]
+                        whole = tail(piece)
+                        if whole:
+                            found.append(piece)
+                        elif whole is None:
+                            break
+                for piece in reversed(found):
+                    ok = links.get(key := (last[end - len(piece)], piece))
+                    if ok or (ok is None and linked(*key)):
+                        last.append(piece)
+                        break
+            out, end = [], len(text)
+            while end:
+                piece = last[end]
+                out.append(piece)
+                end -= len(piece)
+            before = text
+            out.reverse()
+            found = tuple(map(get, out))
+            known[text] = found if None not in found else tuple(i for p in out for i in ids(p))
+        return known
 
     def cost(self, segment: str) -> float:
         return self.forward(segment, 0, len(segment), "")[-1][0] if self.kind == UNIGRAM else 0.0

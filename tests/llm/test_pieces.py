@@ -17,9 +17,14 @@ def texts(n, size):
     return ["".join(rng.choice(BITS) for _ in range(rng.randint(0, size))) for _ in range(n)] + ["", " ", "x" * 700, "".join(rng.choice("abcdeiou") for _ in range(900))]
 
 
+def encode_text(model, text):
+    return piece_scan.encode_texts(model, [text])[0].tolist()
+
+
 def test_bpe_equals_the_library():
-    for t in texts(500, 30):
-        assert piece_scan.encode_text(MODEL, t) == LIBRARY.encode(t)
+    every = texts(500, 30)
+    assert [x.tolist() for x in piece_scan.encode_texts(MODEL, every)] == LIBRARY.encode(every)
+    assert piece_scan.encode_texts(MODEL, [None])[0] is None
 
 
 def by_chunks(model, text, size):
@@ -66,7 +71,7 @@ def test_unigram_equals_the_library():
     for n in range(200):
         t = "".join(rng.choice("abcdefgh ") for _ in range(rng.randint(1, 120)))
         best = sum(model.scores[i] for i in library.encode(t))  # paths may differ where two are equally good
-        for got in (piece_scan.encode_text(model, t), by_chunks(model, t, 13)):
+        for got in (encode_text(model, t), by_chunks(model, t, 13)):
             assert library.decode(got) == t and abs(sum(model.scores[i] for i in got) - best) < 1e-3
 
 
