@@ -28,12 +28,14 @@ def rounded(df, *columns, digits=9):
     return df
 
 
+
+
 REL = "rel AS (SELECT f.*, n / sum(n) OVER (PARTITION BY sample_id) AS rel FROM feature_long f)"
 
 
-@query("relative_frequency", sql("SELECT tu_id, sample_id, n, round(n / sum(n) OVER (PARTITION BY sample_id), 9) AS rel FROM feature_long", "feature_long"))
+@query("relative_frequency", sql(REL + " SELECT * FROM rel", "feature_long"))
 def relative_frequency(s, d):
-    return rounded(table.normalize(A.feature_long(s, d)), "rel")
+    return table.normalize(A.feature_long(s, d))
 
 
 #: The event types of the test tables.
@@ -55,14 +57,14 @@ for level in (1, 2, 3):
     Q[f"collapse_level_{level}"] = lambda s, d, level=level: table.collapse(A.feature_long(s, d), A.tu_taxonomy(s, d), level)
 
 
-@query("collapse_relative", sql(REL + " SELECT array_to_string(lineage[1:2], ';') AS taxon, sample_id, round(sum(rel), 9) AS rel FROM rel JOIN tu_taxonomy USING (tu_id) GROUP BY 1, 2", "feature_long", "tu_taxonomy"))
+@query("collapse_relative", sql(REL + " SELECT array_to_string(lineage[1:2], ';') AS taxon, sample_id, round(sum(rel), 12) AS rel FROM rel JOIN tu_taxonomy USING (tu_id) GROUP BY 1, 2", "feature_long", "tu_taxonomy"))
 def collapse_relative(s, d):
-    return rounded(table.collapse(table.normalize(A.feature_long(s, d)).drop("n"), A.tu_taxonomy(s, d), 2, "rel"), "rel")
+    return rounded(table.collapse(table.normalize(A.feature_long(s, d)).drop("n"), A.tu_taxonomy(s, d), 2, "rel"), "rel", digits=12)
 
 
-@query("avg_abundance_dense", sql(REL + " SELECT tu_id, round(sum(rel) / (SELECT count(DISTINCT sample_id) FROM rel), 9) AS avg_abun FROM rel GROUP BY tu_id", "feature_long"))
+@query("avg_abundance_dense", sql(REL + " SELECT tu_id, round(sum(rel) / (SELECT count(DISTINCT sample_id) FROM rel), 12) AS avg_abun FROM rel GROUP BY tu_id", "feature_long"))
 def avg_abundance_dense(s, d):
-    return rounded(table.average_abundance(table.normalize(A.feature_long(s, d))), "avg_abun")
+    return rounded(table.average_abundance(table.normalize(A.feature_long(s, d))), "avg_abun", digits=12)
 
 
 COMPOSED = REL + """,
@@ -142,7 +144,7 @@ def divide_by_list(s, d):
     return rounded(table.divide_by_list(A.feature_long(s, d), divisors), "n")
 
 
-@query("max_possible_depth", sql("SELECT min(t) AS max_depth FROM (SELECT CAST(sum(CAST(trunc(n * 0.7) AS BIGINT)) AS BIGINT) AS t FROM feature_long GROUP BY sample_id)", "feature_long"))
+@query("max_possible_depth", sql("SELECT min(t) AS max_depth FROM (SELECT CAST(sum(CAST(trunc(n * CAST(0.7 AS DOUBLE)) AS BIGINT)) AS BIGINT) AS t FROM feature_long GROUP BY sample_id)", "feature_long"))
 def max_possible_depth(s, d):
     return table.max_depth(A.feature_long(s, d).withColumn("n", F.col("n") * F.lit(0.7)))
 
@@ -221,7 +223,7 @@ def bh_fdr(s, d):
 
 
 FACTS = REL + """,
-facts AS (SELECT tu_id, round(sum(rel) / (SELECT count(DISTINCT sample_id) FROM rel), 9) AS avg_abun, any_value('>' || tu_id || '#' || p_name) AS Sequence, any_value(taxonomy) AS taxonomy
+facts AS (SELECT tu_id, round(sum(rel) / (SELECT count(DISTINCT sample_id) FROM rel), 12) AS avg_abun, any_value('>' || tu_id || '#' || p_name) AS Sequence, any_value(taxonomy) AS taxonomy
           FROM rel JOIN tu_taxonomy USING (tu_id) JOIN part ON CAST(p_partkey AS VARCHAR) = tu_id GROUP BY tu_id)"""
 
 
@@ -233,14 +235,14 @@ def unit_facts(s, d):
 
 @query("mini_summary", sql(FACTS + " SELECT tu_id, Sequence, taxonomy, 100.0::DOUBLE AS per_ID, 99.0::DOUBLE AS per_qcov, avg_abun FROM facts", "feature_long", "tu_taxonomy"))
 def mini_summary(s, d):
-    return rounded(unit_facts(s, d), "avg_abun")
+    return rounded(unit_facts(s, d), "avg_abun", digits=12)
 
 
 @query("detailed_table", sql(FACTS + """, mixed AS (SELECT CAST(p_partkey AS VARCHAR) AS tu_id FROM part WHERE p_size < 5),
-cells AS (SELECT 'nd' AS tu_id, sample_id, CAST(sum(n) AS DOUBLE) AS value FROM feature_long GROUP BY sample_id UNION ALL SELECT tu_id, sample_id, round(rel, 9) FROM rel)
+cells AS (SELECT 'nd' AS tu_id, sample_id, CAST(sum(n) AS DOUBLE) AS value FROM feature_long GROUP BY sample_id UNION ALL SELECT tu_id, sample_id, rel FROM rel)
 SELECT tu_id, sample_id, value, Sequence, taxonomy, avg_abun, CASE WHEN tu_id IN (SELECT tu_id FROM mixed) THEN 'yes' WHEN Sequence IS NOT NULL THEN 'no' END AS mixed FROM cells LEFT JOIN facts USING (tu_id)""", "feature_long", "tu_taxonomy"))
 def detailed_table(s, d):
     mixed = A.read(s, d, "part").where("p_size < 5").select(F.concat(F.col("p_partkey").cast("string"), F.lit("_12")).alias("qseqid"))
     facts = report.flag_mixed(unit_facts(s, d), mixed).select("tu_id", "Sequence", "taxonomy", "avg_abun", "mixed")
     ft = A.feature_long(s, d)
-    return rounded(report.detailed_long(table.normalize(ft), ft, facts), "value", "avg_abun")
+    return rounded(report.detailed_long(table.normalize(ft), ft, facts), "avg_abun", digits=12)
