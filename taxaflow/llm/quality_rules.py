@@ -158,7 +158,10 @@ def fit_rules(
     """
     marks = labels.where(F.col(key).isNotNull() & F.col(quality).isNotNull()).groupBy(key).agg((F.min(quality) > 0).alias("_good"))
     known = stats.where(~base_failed(F.col("n_words"), F.col("n_repeat_words"))).select(key, *FEATURES).join(marks, key)
-    picked = known.withColumn("_h", F.xxhash64(F.lit(seed), key)).orderBy("_h", key).limit(sample_rows).toPandas()
+    known = materialize(known, "labelled-statistics")
+    share = min(1.0, 2 * sample_rows / max(known.count(), 1))  # so that few more rows than wanted are sorted and sent
+    hashed = known.withColumn("_h", F.xxhash64(F.lit(seed), key)).where(F.col("_h") <= int(share * 2**52) * 2**12 - 2**63 - 1)
+    picked = hashed.orderBy("_h", key).limit(sample_rows).toPandas()
     good, bad = (picked.loc[picked["_good"] == v, FEATURES].to_numpy(float) for v in (True, False))
     if not len(good) or not len(bad):
         return Rules(Forest(), math.inf)
