@@ -12,7 +12,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from taxaflow.functions.staging import materialize, shared_dir
 
-__all__ = ["WORD", "WordHashes", "filter_rows", "map_columns", "materialize", "mix64", "n_words", "row_hash", "shared_dir", "shingle_hashes", "sliced", "table", "tidy", "word_hashes"]
+__all__ = ["WORD", "WordHashes", "filter_rows", "map_columns", "materialize", "mix64", "n_words", "python_values", "row_hash", "shared_dir", "shingle_hashes", "sliced", "table", "tidy", "word_hashes"]
 
 #: A word is a run of characters other than ASCII white space; ``bytes.split()`` cuts UTF-8 in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -50,6 +50,14 @@ def row_hash(df: DataFrame, seed: int = 0) -> Column:
     return F.xxhash64(F.lit(seed), *[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or k == "variant" else F.col(f"`{c}`") for c, k in df.dtypes])
 
 
+def python_values(column: pa.Array) -> list:
+    """The values of a column; lists of integers as NumPy arrays, which take far less than Python's."""
+    if not (pa.types.is_list(column.type) and pa.types.is_integer(column.type.value_type)) or column.values.null_count:
+        return column.to_pylist()
+    at, values = column.offsets.to_numpy(), column.values.to_numpy()
+    return [values[a:b] if ok else None for a, b, ok in zip(at, at[1:], column.is_valid().to_pylist())]
+
+
 def sliced(batches, rows: int = 256):
     """Arrow batches in parts, so that the Python values made of them stay few."""
     for b in batches:
@@ -66,7 +74,7 @@ def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn,
 
     def run(batches):
         for b in sliced(batches, rows):
-            made = fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used))
+            made = fn(*(python_values(b.column(b.schema.get_field_index(c))) for c in used))
             columns = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
 

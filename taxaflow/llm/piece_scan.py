@@ -83,7 +83,7 @@ class Chunk:
             out += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
             last = max(c for c in self.cuts if c <= end)
             segments = model.segment.findall(self.text[cut:last])
-            out += chain.from_iterable(map(model.learn(set(segments)).__getitem__, segments))
+            out += np.frombuffer(b"".join(map(model.learn(set(segments)).__getitem__, segments)), np.int32).tolist()
             start, before = last, ""
         best = model.forward(self.text, start, end, before)
         out += chain.from_iterable(map(model.ids, model.back(best, end - start)))
@@ -124,7 +124,7 @@ def encode_texts(model: Pieces, texts: list) -> list:
     """Texts as one chunk each: every segment that no piece crosses has its own best path. Null gives null."""
     cut = [None if t is None else model.segment.findall(model.escaped(t)) for t in texts]
     known = model.learn(set(chain.from_iterable(c for c in cut if c)))
-    return [None if c is None else np.fromiter(chain.from_iterable(map(known.__getitem__, c)), np.int32) for c in cut]
+    return [None if c is None else np.frombuffer(b"".join(map(known.__getitem__, c)), np.int32) for c in cut]
 
 
 def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids", chunk_chars: int = 32_768) -> DataFrame:
@@ -205,10 +205,10 @@ def decode(docs: DataFrame, model: bytes, *, ids: str = "ids", text: str = "text
 
     def spell(rows):
         m = load(model)
-        surface = m.surfaces()
+        surface = m.surfaces
         out = []
         for r in rows:
-            t = None if r is None else b"".join(map(surface.__getitem__, r)).decode("utf-8", "replace")
+            t = None if r is None else b"".join(map(surface.__getitem__, r.tolist())).decode("utf-8", "replace")
             out.append(t[1:] if t and m.prefix and t[0] == " " else t)
         return [out]
 

@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import re
 import struct
-from functools import lru_cache
+from array import array
+from functools import cached_property, lru_cache
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
@@ -85,7 +86,7 @@ class Pieces:
         if any(SPACE in p.lstrip(SPACE) for p in self.id):
             self.segment = re.compile(f"(?:{SPACE}|{some(inner)})+|[\\s\\S]")
         self._links: dict[tuple[str, str], bool] = {}
-        self._paths: dict[str, tuple[int, ...]] = {}
+        self._paths: dict[str, bytes] = {}
 
     def merge(self, text: str) -> list[str]:
         """What merging by score makes of a short text: the best neighbours first, ties from the left."""
@@ -171,8 +172,8 @@ class Pieces:
             i -= len(best[i][1])
         return out[::-1]
 
-    def learn(self, segments: set[str]) -> dict[str, tuple[int, ...]]:
-        """Ids by segment for (at least) these segments, none of which a piece crosses at either end.
+    def learn(self, segments: set[str]) -> dict[str, bytes]:
+        """Ids (int32 as bytes) by segment for at least these segments, none of which a piece crosses at either end.
 
         They are kept for the life of a worker, up to a bound. New ones go in sorted order, and each takes over the
         places that it shares with the one before.
@@ -184,7 +185,7 @@ class Pieces:
             new = segments
         if self.kind != BPE:
             for x in new:
-                known[x] = tuple(i for p in self.back(self.forward(x, 0, len(x), ""), len(x)) for i in self.ids(p))
+                known[x] = array("i", [i for p in self.back(self.forward(x, 0, len(x), ""), len(x)) for i in self.ids(p)]).tobytes()
             return known
         tail, links, linked, get, ids = self.tails.get, self._links, self.linked, self.id.get, self.ids
         last, before = [""], ""  # the valid last piece at each place
@@ -219,8 +220,8 @@ class Pieces:
                 end -= len(piece)
             before = text
             out.reverse()
-            found = tuple(map(get, out))
-            known[text] = found if None not in found else tuple(i for p in out for i in ids(p))
+            found = list(map(get, out))
+            known[text] = array("i", found if None not in found else [i for p in out for i in ids(p)]).tobytes()
         return known
 
     def cost(self, segment: str) -> float:
@@ -229,6 +230,7 @@ class Pieces:
     def escaped(self, text: str) -> str:
         return (SPACE if self.prefix and text else "") + text.replace(" ", SPACE)
 
+    @cached_property
     def surfaces(self) -> list[bytes]:
         """What each id decodes to."""
         out = []
