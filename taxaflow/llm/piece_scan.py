@@ -24,10 +24,16 @@ class Chunk:
     def __init__(self, model: Pieces, left: str, body: str, right: str):
         self.model, self.a, self.b = model, len(left), len(left) + len(body)
         self.text = left + body + right
-        free = [i == 0 or i == len(self.text) or self.text[i - 1 : i + 1] not in model.pairs for i in range(self.a, self.b + 1)]
-        self.cuts = [self.a + i for i, f in enumerate(free) if f]  # places that no piece crosses
-        self.into = [("", 0)] if free[0] else self.states(self.a)
-        self.out = [("", 0)] if free[-1] else self.states(self.b)
+        self.into = [("", 0)] if self.free(self.a) else self.states(self.a)
+        self.out = [("", 0)] if self.free(self.b) else self.states(self.b)
+
+    def free(self, i: int) -> bool:
+        """Whether no piece crosses place i."""
+        return i == 0 or i == len(self.text) or self.text[i - 1 : i + 1] not in self.model.pairs
+
+    def last_cut(self, end: int) -> int:
+        """The last place in the chunk, up to ``end``, that no piece crosses (there is one)."""
+        return next(i for i in range(end, self.a - 1, -1) if self.free(i))
 
     def states(self, cut: int) -> list[tuple[str, int]]:
         found = []
@@ -47,7 +53,7 @@ class Chunk:
         return best[at][0] + (self.model.weight(piece) if piece else 0.0)
 
     def cut_in(self, state: tuple[str, int]) -> int | None:
-        return next((c for c in self.cuts if c >= self.a + state[1]), None)
+        return next((i for i in range(self.a + state[1], self.b + 1) if self.free(i)), None)
 
     def matrix(self) -> np.ndarray:
         """The transfer matrix: the best weight from each state at the start to each one at the end."""
@@ -63,7 +69,7 @@ class Chunk:
                 out[i, [s == (before, start - self.b) for s in self.out]] = 0.0
             elif (head := model.forward(self.text, start, cut, before)[-1]) is not None:
                 if cut not in tails:
-                    last = self.cuts[-1]
+                    last = self.last_cut(self.b)
                     middle = sum(map(model.cost, model.segment.findall(self.text[cut:last]))) if model.kind == UNIGRAM else 0.0
                     best = model.forward(self.text, last, self.b, "")
                     tails[cut] = middle + np.array([self.leave(best, last, s) for s in self.out])
@@ -81,7 +87,7 @@ class Chunk:
         if cut is not None and cut <= end:
             best = model.forward(self.text, start, cut, before)
             out += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
-            last = max(c for c in self.cuts if c <= end)
+            last = self.last_cut(end)
             segments = model.segment.findall(self.text[cut:last])
             out += np.frombuffer(b"".join(map(model.learn(set(segments)).__getitem__, segments)), np.int32).tolist()
             start, before = last, ""
