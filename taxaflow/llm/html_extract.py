@@ -29,6 +29,8 @@ BLOCKS = {
 HEADINGS = {"h1", "h2", "h3", "h4", "h5", "h6"}
 CONTAINERS = {"article", "body", "center", "div", "main", "section", "td"}
 WEIGHT = {"article": 1.5, "main": 1.3, "body": 0.8}
+#: Characters from which a container beside the best one counts as a part of the article; headings always do.
+PART = 10
 #: Words in class, id or role that mark what isn't the article.
 MARKED = {
     "ad", "ads", "adv", "advert", "advertisement", "adverts", "advertising", "alert", "announcement", "aside", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
@@ -171,8 +173,10 @@ class Page:
                 self.mark[e] = ""
 
     def container(self) -> tuple[str, float]:
-        """The path and score of the best container: text outside links goes to it in full and to those above by halves."""
+        """The path and score of the page's container: text outside links goes to the nearest container in full and to
+        those above by halves, and from the best one it is climbed to where the whole article is."""
         score: dict[int, float] = {}
+        own: dict[int, float] = {}  # by nearest container, what it holds itself
         for e, text, linked in self.blocks:
             up, chain = e, []
             while up > 0 and not self.mark[up]:
@@ -182,15 +186,51 @@ class Page:
             if up > 0:
                 continue
             part = float(len(text) - linked)
+            at = chain[0] if chain else 0
+            if 2 * linked <= len(text):
+                own[at] = own.get(at, 0.0) + (PART if self.tag[e] in HEADINGS else part)
             for c in chain or [0]:
                 score[c] = score.get(c, 0.0) + part * WEIGHT.get(self.tag[c], 1.0)
                 part /= 2
         best = max(score, key=lambda c: (score[c], -c), default=-1)
-        return (self.path[best], score[best]) if best >= 0 and score[best] > 0 else ("", 0.0)
+        if best < 0 or score[best] <= 0:
+            return "", 0.0
+        top = self._whole(best, own)
+        return self.path[top], score.get(top, score[best])
+
+    def _above(self, e: int) -> list[int]:
+        """The element and those round it, outermost first."""
+        chain = [e]
+        while chain[-1] > 0:
+            chain.append(self.parent[chain[-1]])
+        return chain[::-1]
+
+    def _whole(self, best: int, own: dict[int, float]) -> int:
+        """The lowest container round all parts of the article that the best container belongs to.
+
+        Parts are the outermost article and main elements if the best container is in one, else all containers that hold
+        unmarked text outside links; those with less than ``PART`` characters and no heading only if they stand round it.
+        """
+        parts = {c: self._above(c) for c, n in own.items() if n >= PART}
+        parts[best] = self._above(best)
+        if any(self.tag[e] in ("article", "main") for e in parts[best]):
+            ends = ([i for i, e in enumerate(p) if self.tag[e] in ("article", "main")] for p in parts.values())
+            chains = [p[: i[0] + 1] for p, i in zip(parts.values(), ends) if i]
+        else:
+            chains = [*parts.values(), *(p for c in own if c in parts[best] for p in [self._above(c)])]
+        shared = chains[0]
+        for p in chains[1:]:
+            n = next((i for i, (a, b) in enumerate(zip(shared, p)) if a != b), min(len(shared), len(p)))
+            shared = shared[:n]
+        return next((e for e in reversed(shared) if self.tag[e] in CONTAINERS), 0)
 
     def text(self, path: str) -> str | None:
         """Text of the blocks under elements of that path, without marked parts; null if the page has none."""
         inside: dict[int, bool | None] = {0: path == ""}
+        titled = any(self.tag[e] == "h1" and not any(self.mark[x] for x in self._above(e)) for e, _, _ in self.blocks)
+
+        def owned(e: int) -> bool:  # a header straight in the body is the site's if the page has another title
+            return not titled or self.tag[self.parent[e]] not in ("", "html", "body")
 
         def found(e: int) -> bool | None:  # None: in a marked part of the container
             if e not in inside:
@@ -198,7 +238,7 @@ class Page:
                     inside[e] = True
                 else:
                     up = found(self.parent[e])
-                    heading = self.tag[e] in HEADINGS and self.mark[self.parent[e]] == "header" and not self.mark[e]
+                    heading = self.tag[e] in HEADINGS and self.mark[self.parent[e]] == "header" and not self.mark[e] and owned(self.parent[e])
                     inside[e] = None if up and self.mark[e] else True if up is None and heading and found(self.parent[self.parent[e]]) else up
             return inside[e]
 

@@ -16,7 +16,22 @@ CASES = [
 ]
 
 
-@pytest.mark.parametrize("html,want", CASES)
+BODY = " ".join(["the article's own words"] * 90)
+WHOLE = [
+    (f"<article><h1>{'t' * 60}</h1><p>{'l' * 150}</p><div class=entry><p>{BODY}</p></div></article>", f"{'t' * 60}\n\n{'l' * 150}\n\n{BODY}"),
+    (f"<main><h1>Title</h1><article><p>{BODY}</p></article></main><p>not in it</p>", f"Title\n\n{BODY}"),
+    (f"<body><h1>Title</h1><p>Lead.</p><div class=entry><p>{BODY}</p></div></body>", f"Title\n\nLead.\n\n{BODY}"),
+    (
+        f"<body><header><h1>Site</h1></header><div class=top><h1>Title</h1></div><div class=intro><p>Lead of it.</p></div><div class=entry><p>{BODY}</p></div>"
+        f"<section class=more><p>And the rest.</p></section><div class=sidebar><p>{BODY}</p></div><div class=tags><a href=x>some tag or other</a></div><nav>n</nav></body>",
+        f"Title\n\nLead of it.\n\n{BODY}\n\nAnd the rest.\n\nsome tag or other",
+    ),
+    (f"<body><article class=a><p>The first part.</p></article><article class=b><p>{BODY}</p></article></body>", f"The first part.\n\n{BODY}"),
+    (f"<div class=wrap><div class=post><p>{BODY}</p></div></div><div class=links><a href=x>some other page</a></div>", BODY),
+]
+
+
+@pytest.mark.parametrize("html,want", CASES + WHOLE)
 def test_extract(html, want):
     assert html_extract.extract(html, None) == want
 
