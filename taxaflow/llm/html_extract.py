@@ -18,11 +18,11 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
-#: Their text is never part of an article.
-NEVER = {"head", "select", "button", "svg", "math", "object", "canvas", "audio", "video", "option", "datalist", "dialog"}
+#: Form controls, and what browsers don't show: their text is never part of an article. A dialog is shown if it is open.
+NEVER = {"head", "select", "option", "datalist", "canvas", "audio", "video", "annotation", "annotation-xml", "desc", "metadata"}
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "menu"}
 BLOCKS = {
-    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
+    "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
     "form", "h1", "h2", "h3", "h4", "h5", "h6", "head", "header", "hgroup", "hr", "html", "li", "main", "menu", "nav", "ol", "p", "pre", "section", "summary",
     "table", "tbody", "td", "tfoot", "th", "thead", "tr", "ul",
 }
@@ -31,6 +31,11 @@ CONTAINERS = {"article", "body", "center", "div", "main", "section", "td"}
 WEIGHT = {"article": 1.5, "main": 1.3, "body": 0.8}
 #: Characters from which a container beside the best one counts as a part of the article; headings always do.
 PART = 10
+#: Block containers, which words in class, id or role can mark; text, headings, cells and inline elements they can't.
+MARKABLE = {
+    "address", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figure", "footer", "form", "header", "hgroup", "li", "menu", "nav", "ol",
+    "section", "table", "ul",
+}
 #: Words in class, id or role that mark what isn't the article.
 MARKED = {
     "ad", "ads", "adv", "advert", "advertisement", "adverts", "advertising", "alert", "announcement", "aside", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
@@ -55,7 +60,7 @@ class Page:
     def __init__(self, html: str):
         self.tag, self.path, self.parent, self.mark = [""], [""], [-1], [""]
         self.blocks: list[tuple[int, str, int]] = []
-        self._stack, self._text, self._linked, self._links = [0], [], 0, 0
+        self._stack, self._text, self._linked, self._links, self._hidden = [0], [], 0, 0, 0
         at, lower = 0, None
         while (m := TOKEN.search(html, at)) is not None:
             if m.start() > at:
@@ -86,6 +91,8 @@ class Page:
         self._flush()
 
     def _add(self, raw: str) -> None:
+        if self._hidden:
+            return
         self._text.append(raw)
         if self._links:
             self._linked += len(raw)
@@ -94,7 +101,7 @@ class Page:
         if self._text:
             text = " ".join(unescape("".join(self._text)).split())
             if text:
-                at = next(e for e in reversed(self._stack) if self.tag[e] in BLOCKS or self.mark[e] or e == 0)
+                at = next(e for e in reversed(self._stack) if self.tag[e] in BLOCKS or e == 0)
                 self.blocks.append((at, text, min(self._linked, len(text))))
             self._text, self._linked = [], 0
 
@@ -113,18 +120,18 @@ class Page:
             self._end(HEADINGS, BLOCKS - HEADINGS)
         if tag in CLOSES:
             self._end(*CLOSES[tag])
-        names, mark = "", "never" if tag in NEVER else tag if tag in BOILERPLATE else ""
+        names, mark = "", "never" if tag in NEVER or tag == "dialog" else tag if tag in BOILERPLATE else ""
         if rest.strip(" \t\r\n/"):
             found = {}
             for a in ATTRIBUTE.finditer(rest):
                 found.setdefault(a[1].lower(), a[2] or a[3] or a[4] or "")
             names = found.get("class", "")
+            if tag == "dialog" and "open" in found:
+                mark = ""
             if not mark and ("hidden" in found or re.search(r"display\s*:\s*none", found.get("style", ""))):
                 mark = "never"
-            if not mark and tag not in ("html", "body", "article", "main"):
+            if not mark and tag in MARKABLE:
                 mark = marked(f"{names} {found.get('id', '')} {found.get('role', '')}")
-        if mark:
-            self._flush()
         up = self._stack[-1]
         names = ".".join(sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()}))
         self._stack.append(len(self.tag))
@@ -134,6 +141,8 @@ class Page:
         self.mark.append(mark)
         if tag == "a":
             self._links += 1
+        if mark == "never":
+            self._hidden += 1
         if rest.endswith("/") and tag not in BLOCKS:
             self._close(tag)
 
@@ -156,9 +165,10 @@ class Page:
 
     def _pop(self, i: int) -> None:
         gone = self._stack[i:]
-        if any(self.tag[e] in BLOCKS or self.mark[e] for e in gone):
+        if any(self.tag[e] in BLOCKS for e in gone):
             self._flush()
         self._links -= sum(self.tag[e] == "a" for e in gone)
+        self._hidden -= sum(self.mark[e] == "never" for e in gone)
         del self._stack[i:]
 
     def settle(self) -> None:
@@ -238,8 +248,11 @@ class Page:
                     inside[e] = True
                 else:
                     up = found(self.parent[e])
-                    heading = self.tag[e] in HEADINGS and self.mark[self.parent[e]] == "header" and not self.mark[e] and owned(self.parent[e])
-                    inside[e] = None if up and self.mark[e] else True if up is None and heading and found(self.parent[self.parent[e]]) else up
+                    inside[e] = None if up and self.mark[e] else up
+                    if up is None and self.tag[e] in HEADINGS and not self.mark[e]:
+                        h = next(x for x in reversed(self._above(e)) if self.mark[x])
+                        if self.mark[h] == "header" and owned(h) and found(self.parent[h]):
+                            inside[e] = True
             return inside[e]
 
         if path not in self.path:

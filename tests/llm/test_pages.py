@@ -31,7 +31,22 @@ WHOLE = [
 ]
 
 
-@pytest.mark.parametrize("html,want", CASES + WHOLE)
+CONTENT = [
+    ("<article><p>Let <math><mi>x</mi></math> be</p><p>any</p></article>", "Let x be\n\nany"),
+    ("<article><p>a <math><semantics><mi>y</mi><annotation encoding=tex>\\y</annotation></semantics></math> b</p></article>", "a y b"),
+    ("<article><p>a <button>key</button> and <object>a figure</object></p><dialog open>said</dialog></article>", "a key and a figure\n\nsaid"),
+    ("<article><dialog><p>not open</p></dialog><p>text <select><option>o</select>of it</p></article>", "text of it"),
+    ("<article><svg><title>t</title><text>drawn</text></svg><p>text</p></article>", "drawn\n\ntext"),
+    ("<article><h2 class='section-header'>Part</h2><p class='search-result'>found</p></article>", "Part\n\nfound"),
+    ("<article><p>at <span class='share-price'>12</span> today, <a id=comment href=x>they</a> said</p></article>", "at 12 today, they said"),
+    ("<article><table><tr><td class='form-label'>1<th class=header>2</table></article>", "1\n\n2"),
+    ("<article><p>one <span hidden>no</span> two <i style='display: none'>no</i>three</p></article>", "one two three"),
+    ("<article><header><div><h1 class=header>Head</h1><p>by line</p></div><nav><h2>menu</h2></nav></header><p>text, and more of it</p></article>", "Head\n\ntext, and more of it"),
+    ("<article><div class=share><p>no</p></div><ul class=social><li>no</ul><li class=comment><p>no</p></li><p>text</p></article>", "text"),
+]
+
+
+@pytest.mark.parametrize("html,want", CASES + WHOLE + CONTENT)
 def test_extract(html, want):
     assert html_extract.extract(html, None) == want
 
