@@ -31,6 +31,8 @@ CONTAINERS = {"article", "body", "center", "div", "main", "section", "td"}
 WEIGHT = {"article": 1.5, "main": 1.3, "body": 0.8}
 #: Characters from which a container beside the best one counts as a part of the article; headings always do.
 PART = 10
+#: The host's other pages can speak against text of a page only if this share of it is under a winning path.
+AT_LEAST = 0.1
 #: Block containers, which words in class, id or role can mark; text, headings, cells and inline elements they can't.
 MARKABLE = {
     "address", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figure", "footer", "form", "header", "hgroup", "li", "menu", "nav", "ol",
@@ -208,6 +210,43 @@ class Page:
         top = self._whole(best, own)
         return self.path[top], score.get(top, score[best])
 
+    def holders(self, path: str) -> dict[str, bool]:
+        """Paths of the nearest containers of unmarked text outside links, and whether they stand under ``path``."""
+        found = self._finder(path)
+        out: dict[str, bool] = {}
+        for e, n in self._free():
+            q = self.path[self._holder(e)]
+            out[q] = out.get(q, False) or found(e) is True
+        return out
+
+    def _holder(self, e: int) -> int:
+        while e > 0 and self.tag[e] not in CONTAINERS:
+            e = self.parent[e]
+        return e
+
+    def _free(self) -> list[tuple[int, int]]:
+        """Elements of blocks that aren't in marked parts, and the characters of each outside links."""
+        return [(e, len(t) - linked) for e, t, linked in self.blocks if len(t) > linked and not any(self.mark[x] for x in self._above(e))]
+
+    def choose(self, paths: list[str], outside: list[str]) -> str | None:
+        """The text of this page, given its host's winning paths and the holders that the host's pages leave outside."""
+        own = self.container()[0]
+        mine = self._finder(own)
+        free = [(e, n, self.path[self._holder(e)] in outside) for e, n in self._free() if mine(e)]
+        total, sure = sum(n for _, n, _ in free), sum(n for _, n, out in free if not out)
+        best, covers = None, (0, 0)
+        for path in paths:
+            if path in self.path:
+                found = self._finder(path)
+                got = sum(n for e, n, out in free if not out and found(e)), sum(n for e, n, _ in free if found(e))
+                if got[0] > covers[0]:
+                    best, covers = path, got
+        if best is not None and covers[1] >= AT_LEAST * total:
+            if covers[0] >= sure:
+                return self.text(best)
+            return self.text(own, outside)
+        return self.text(own)
+
     def _above(self, e: int) -> list[int]:
         """The element and those round it, outermost first."""
         chain = [e]
@@ -234,15 +273,15 @@ class Page:
             shared = shared[:n]
         return next((e for e in reversed(shared) if self.tag[e] in CONTAINERS), 0)
 
-    def text(self, path: str) -> str | None:
-        """Text of the blocks under elements of that path, without marked parts; null if the page has none."""
+    def _finder(self, path: str):
+        """A function that says whether an element is under one of that path: None if in a marked part of it."""
         inside: dict[int, bool | None] = {0: path == ""}
         titled = any(self.tag[e] == "h1" and not any(self.mark[x] for x in self._above(e)) for e, _, _ in self.blocks)
 
         def owned(e: int) -> bool:  # a header straight in the body is the site's if the page has another title
             return not titled or self.tag[self.parent[e]] not in ("", "html", "body")
 
-        def found(e: int) -> bool | None:  # None: in a marked part of the container
+        def found(e: int) -> bool | None:
             if e not in inside:
                 if self.path[e] == path:
                     inside[e] = True
@@ -255,9 +294,15 @@ class Page:
                             inside[e] = True
             return inside[e]
 
+        return found
+
+    def text(self, path: str, outside: list[str] | tuple = ()) -> str | None:
+        """Text of the blocks under elements of that path, without marked parts and what those holders hold; null if the
+        page has none."""
         if path not in self.path:
             return None
-        return "\n\n".join(t for e, t, _ in self.blocks if found(e))
+        found = self._finder(path)
+        return "\n\n".join(t for e, t, _ in self.blocks if found(e) and not (outside and self.path[self._holder(e)] in outside))
 
 
 def marked(names: str) -> str:
@@ -278,27 +323,39 @@ def vote(html: str | None) -> tuple[str, float]:
     return parse(html).container()
 
 
-def extract(html: str | None, paths: list[str] | None) -> str:
-    """The text under the first of the host's winning paths that the page has text under, else under its own container."""
+def votes(html: str | None) -> list[tuple[str, float, int, int, int]]:
+    """(path, score, vote, held, inside): the page's vote, and its holders of text with 1 if they are in its container."""
+    page = parse(html)
+    path, score = page.container()
+    if score <= 0:
+        return []
+    return [(path, score, 1, 0, 0), *((q, 0.0, 0, 1, int(ok)) for q, ok in page.holders(path).items())]
+
+
+def extract(html: str | None, paths: list[str] | None, outside: list[str] | None = None) -> str:
+    """The text under that one of the host's winning paths that covers most of the page's own container, if it covers all
+    of it but what stands in containers ``outside`` the host's articles; else what is in its own container but not in
+    those. If no winning path covers a tenth of it, they aren't heard and all of its own container is taken."""
     page = parse(html)
-    for path in paths or []:
-        if text := page.text(path):
-            return text
-    return page.text(page.container()[0]) or ""
+    return (page.choose(paths or [], outside or []) if paths else page.text(page.container()[0])) or ""
 
 
 def host_paths(pages: DataFrame, *, host: str, html: str, least: float = 0.1) -> DataFrame:
-    """(host, paths): each host's winning container paths, best first.
+    """(host, paths, outside): each host's winning container paths, best first, and paths whose text isn't the article's.
 
-    Every page votes once, for the generalised path (tags and classes, numbers as #) of its best container. Paths with
-    at least ``least`` of the votes of the host's first one win (ties: the higher score, then the path).
+    Every page votes once, for the generalised path (tags and classes, numbers as #) of its container. Paths with
+    at least ``least`` of the votes of the host's first one win (ties: the higher score, then the path). Outside are the
+    nearest containers of text that stand in the voted container on some, but less than half, of the pages with them.
     """
-    votes = map_columns(pages, [host], [html], "path string, score double", lambda h: zip(*map(vote, h)) if h else [[], []])
-    votes = votes.where("score > 0").groupBy(host, "path").agg(F.count(F.lit(1)).alias("n"), F.sum(F.round("score", 3)).alias("score"))
-    most = Window.partitionBy(host)
-    won = votes.withColumn("most", F.max("n").over(most)).where(F.col("n") >= least * F.col("most"))
-    ranked = F.sort_array(F.collect_list(F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path")))
-    return won.groupBy(host).agg(ranked.alias("r")).select(host, F.transform("r", lambda x: x.path).alias("paths"))
+    cast = "votes array<struct<path:string,score:double,vote:int,held:int,inside:int>>"
+    said = map_columns(pages, [host], [html], cast, lambda h: [[[dict(zip(("path", "score", "vote", "held", "inside"), v)) for v in votes(x)] for x in h]])
+    said = said.select(host, F.inline("votes"))
+    sums = [F.sum("vote").alias("n"), F.sum(F.round("score", 3)).alias("score"), F.sum("held").alias("held"), F.sum("inside").alias("inside")]
+    said = said.groupBy(host, "path").agg(*sums).withColumn("most", F.max("n").over(Window.partitionBy(host)))
+    won = F.when((F.col("n") > 0) & (F.col("n") >= least * F.col("most")), F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path"))
+    out = F.when((F.col("inside") > 0) & (F.col("held") > 2 * F.col("inside")), F.col("path"))
+    hosts = said.groupBy(host).agg(F.sort_array(F.collect_list(won)).alias("r"), F.sort_array(F.collect_list(out)).alias("outside"))
+    return hosts.select(host, F.transform("r", lambda x: x.path).alias("paths"), "outside")
 
 
 def extract_pages(pages: DataFrame, *, url: str = "url", html: str = "html", least: float = 0.1) -> DataFrame:
@@ -312,13 +369,13 @@ def extract_pages(pages: DataFrame, *, url: str = "url", html: str = "html", lea
     empty text, broken html is closed as browsers would, long pages are read whole. Repeated rows are pages of their
     own; an empty table gives an empty result; other columns stay, ones named text or n_chars are replaced.
     """
-    pages = tidy(pages, [url, html], ["text", "n_chars", "_host", "_paths"])
+    pages = tidy(pages, [url, html], ["text", "n_chars", "_host", "_paths", "_outside"])
     pages = pages.withColumn("_host", F.coalesce(F.lower(F.regexp_extract(url, r"://([^/?#]*)", 1)), F.lit("")))
-    paths = materialize(host_paths(pages, host="_host", html=html, least=least), "host-paths").withColumnRenamed("paths", "_paths")
+    paths = materialize(host_paths(pages, host="_host", html=html, least=least), "host-paths").withColumnsRenamed({"paths": "_paths", "outside": "_outside"})
     both = pages.join(paths, "_host", "left")
 
-    def texts(htmls, paths):
-        got = [extract(h, p) for h, p in zip(htmls, paths)]
+    def texts(htmls, paths, outside):
+        got = [extract(*x) for x in zip(htmls, paths, outside)]
         return got, list(map(len, got))
 
-    return map_columns(both, pages.drop("_host").columns, [html, "_paths"], "text string, n_chars long", texts)
+    return map_columns(both, pages.drop("_host").columns, [html, "_paths", "_outside"], "text string, n_chars long", texts)

@@ -64,6 +64,26 @@ def test_hosts_agree_on_paths(spark):
     assert html_extract.extract_pages(pages.withColumnRenamed("page_id", "TEXT")).columns == ["url", "html", "text", "n_chars"]
 
 
+def test_pages_of_rare_templates_keep_their_article(spark):
+    usual = f"<body><div class='post'><p>{BODY}</p></div><div class='box'><p>small</p></div></body>"
+    rare = f"<body><div class='post'><p>{{post}}</p></div><div class='story'><h1>Story</h1><p>{BODY}</p></div></body>"
+    bare = f"<body><div class='post'><p>One line of it.</p></div><h1>Bare</h1><p>{BODY}</p><div class='box'><p>{{box}}</p></div></body>"
+    rows = [(i, "http://a.org/x", usual) for i in range(40)] + [(40, "http://a.org/y", rare.format(post="One line of it."))]
+    rows += [(41, "http://a.org/z", bare.format(box="Twelve words.")), (42, "http://a.org/w", rare.format(post=BODY[:900]))]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in html_extract.extract_pages(pages).collect()}
+    assert got[0] == got[39] == BODY
+    assert got[40] == f"One line of it.\n\nStory\n\n{BODY}"
+    assert got[41].startswith(f"One line of it.\n\nBare\n\n{BODY}")
+    assert got[42] == f"{BODY[:900]}\n\nStory\n\n{BODY}"
+
+
+def test_the_path_that_covers_most_wins():
+    page = f"<body><div class=a><p>One line.</p></div><div class=b><p>{BODY}</p></div></body>"
+    assert html_extract.extract(page, ["/body/div.a", "/body/div.b"]) == BODY
+    assert html_extract.extract(page, ["/body/div.a"]) == BODY
+
+
 URLS = [
     (1, "http://a.example.org/en/1x?q", '<a href="http://b.net/x">'), (2, "https://EXAMPLE.org/es/", '<a href=//c.net>'), (3, "http://d.com/de/3#x", "<a href='http://e.net/'>"),
     (4, "http://b.net/z", '<a href="https://C.net/?q">'), (5, "https://c.net", None), (6, "http://e.net/q", '<a href="http://d.com/1">'), (7, None, "x"), (8, "nohost", ""),
