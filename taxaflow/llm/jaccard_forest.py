@@ -1,4 +1,4 @@
-"""N-gram Jaccard join by a MinHash LSH forest with exact verification."""
+"""N-gram Jaccard join by MinHash bands of fixed depth with exact verification."""
 
 from __future__ import annotations
 
@@ -142,9 +142,9 @@ def near_copies(
     more; class_id is the least key among all that links connect, copy_id the least key with the same text, and n_links
     the number of other documents linked to this one (copies included).
 
-    Equal texts form one copy class, and only classes go on. Each has a label in each of ``trees`` sorted tries; prefixes
-    of labels are shortened from ``longest`` until pairs at the threshold agree on one with chance ``recall``. The
-    members of a trie node are compared in units of at most two blocks of about ``block`` members, so that no task
+    Equal texts form one copy class, and only classes go on. Each has a label in each of ``trees`` bands of equal depth:
+    the greatest up to ``longest`` hashes at which pairs at the threshold agree on a band with chance ``recall``, computed
+    before any data is read. The members of a band with one label (a node) are compared in units of at most two blocks of about ``block`` members, so that no task
     gathers a large node and no node is cut off. A pair is verified, exactly, in the first tree that brings it together
     only: units first drop members without such pairs, then texts are joined to what is left. Units return counts of
     links and a spanning forest, never pairs.
