@@ -35,7 +35,7 @@ RULES = [("org", "/", "allow"), ("example.org", "/es/", "block"), ("example.org"
 
 
 def op4_urls(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES)
+    return url_filter.judge_urls(table(spark, sf_dir, "pages").select("page_id", "url", "html"), RULES, rounds=None)
 
 
 #: The public SentencePiece model that the queries use; the operator takes any model's content.

@@ -32,13 +32,15 @@ def host_edges(pages: DataFrame, html: str = "html") -> DataFrame:
     return links.groupBy("src", "dst").agg(F.count(F.lit(1)).alias("n"))
 
 
-def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int = 20) -> DataFrame:
+def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds: int | None = 20, tolerance: float = 1e-9) -> DataFrame:
     """(host, trust, distrust): personalised PageRank from seeds (host, trust, distrust).
 
     Trust follows links, distrust goes back along them; a host passes ``damping`` of what it gets on, in proportion to
     link counts, and keeps the rest. Mass that reaches a host without links ends there: sending it back to the seeds
     would scale all scores of a kind alike. Each round passes on only what the last one brought, up to ``rounds`` (what
-    is left then is under damping^rounds of the seeds). Rounds are written to the shared folder.
+    is left then is under damping^rounds of the seeds). With null ``rounds`` they end when a round reaches no host of
+    its kind for the first time and what it brought is at most ``tolerance`` of the seeds. Rounds are written to the
+    shared folder.
     """
     both = edges.select(F.lit("trust").alias("kind"), F.col("src").alias("host"), F.col("dst").alias("to"), "n").unionByName(
         edges.select(F.lit("distrust").alias("kind"), F.col("dst").alias("host"), F.col("src").alias("to"), "n"))
@@ -48,12 +50,28 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
     parts, now = [], materialize(now, "seeds")
     any_edges = not both.isEmpty()
     parts.append(now)
-    for _ in range(rounds if any_edges else 0):
+    seen = now.select("host", "kind")
+    least = tolerance * (now.agg(F.sum("mass")).first()[0] or 0.0) if rounds is None and any_edges else 0.0
+    at = 0
+    while any_edges and (rounds is None or at < rounds):
+        at += 1
         now = now.join(both, ["kind", "host"]).groupBy(F.col("to").alias("host"), "kind").agg((damping * F.sum(F.col("mass") * F.col("share"))).alias("mass"))
         now = materialize(now.select("host", "kind", "mass"), "host-mass")
         if now.isEmpty():
             break
         parts.append(now)
+        if rounds is None:
+            new = now.join(seen, ["host", "kind"], "left_anti").select("host", "kind")
+            if new.isEmpty():
+                if now.agg(F.sum("mass")).first()[0] <= least:
+                    break
+            else:
+                seen = materialize(seen.unionByName(new), "hosts-seen")
+            if len(parts) > 16:  # keeps the plan short
+                every = parts[0]
+                for p in parts[1:]:
+                    every = every.unionByName(p)
+                parts = [materialize(every.groupBy("host", "kind").agg(F.sum("mass").alias("mass")), "host-sums")]
     every = parts[0]
     for p in parts[1:]:
         every = every.unionByName(p)
@@ -63,7 +81,7 @@ def propagate(edges: DataFrame, seeds: DataFrame, damping: float = 0.85, rounds:
 
 def judge_urls(
     pages: DataFrame, rules: list[tuple[str, str, str]], *, key: str = "page_id", url: str = "url", html: str = "html",
-    damping: float = 0.85, rounds: int = 20, block_share: float = 0.75,
+    damping: float = 0.85, rounds: int | None = 20, block_share: float = 0.75,
 ) -> DataFrame:
     """key, host, path, rule and verdict of every page, and its host's trust and distrust.
 
@@ -71,6 +89,7 @@ def judge_urls(
     with as much trust as it has allowed pages and as much distrust as it has blocked ones, and both are propagated over
     the links between hosts. Other pages are blocked if distrust is at least ``block_share`` of their host's trust and
     distrust together, else allowed; hosts that nothing reaches are allowed.
+    With null ``rounds`` propagation goes on until it has converged; ``sql`` stops after a number of rounds.
 
     ``rules`` are configuration, held in the plan. Null urls and ones without ``://`` have empty host and path, fit no
     rule and are allowed; null html has no links; repeated rows and null keys are judged like any other; an empty table

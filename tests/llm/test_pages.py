@@ -103,6 +103,15 @@ def test_urls_match_sql(spark, tmp_path):
     assert url_filter.judge_urls(pages.where("false"), queries.RULES).count() == 0
 
 
+def test_propagation_goes_on_to_the_end(spark):
+    chain = [(f"h{i}", f"h{i + 1}", 1) for i in range(24)]
+    edges = spark.createDataFrame([*chain, ("h24", "bad", 1), ("x", "y", 1), ("y", "x", 1)], "src string, dst string, n long")
+    seeds = spark.createDataFrame([("bad", 0, 1), ("x", 1, 0)], "host string, trust long, distrust long")
+    got = {r.host: r for r in url_filter.propagate(edges, seeds, 0.5, None, 1e-6).collect()}
+    assert all(abs(got[f"h{i}"].distrust / 0.5 ** (26 - i) - 1) < 1e-9 for i in range(25))
+    assert abs(got["x"].trust - 0.5 / 0.75) < 1e-6 and abs(got["y"].trust - 0.25 / 0.75) < 1e-6
+
+
 def test_propagation_is_personalised_pagerank(spark):
     import numpy as np
 
