@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,7 +13,7 @@ from pyspark.sql.pandas.types import to_arrow_type
 
 from taxaflow.functions.staging import materialize, shared_dir
 
-__all__ = ["WORD", "WordHashes", "filter_rows", "map_columns", "materialize", "mix64", "n_words", "python_values", "row_hash", "shared_dir", "shingle_hashes", "sliced", "table", "tidy", "word_hashes"]
+__all__ = ["WORD", "WordHashes", "filter_rows", "map_columns", "materialize", "mix64", "n_words", "python_values", "row_hash", "shared_dir", "shingle_hashes", "sliced", "small_batches", "table", "tidy", "word_hashes"]
 
 #: A word is a run of characters other than ASCII white space; ``bytes.split()`` cuts UTF-8 in the same places.
 WORD = r"[^\x20\x09-\x0D]+"
@@ -58,22 +59,44 @@ def python_values(column: pa.Array) -> list:
     return [values[a:b] if ok else None for a, b, ok in zip(at, at[1:], column.is_valid().to_pylist())]
 
 
-def sliced(batches, rows: int = 256):
-    """Arrow batches in parts, so that the Python values made of them stay few."""
+def small_batches(spark: SparkSession, rows: int = 1024, size: int = 4 << 20) -> None:
+    """Holds the session's Arrow batches to so many rows and bytes (by default they have 10,000 and 64 MB), which each
+    running task has several times over, in the JVM and in Python."""
+    for name, most in (("maxRecordsPerBatch", rows), ("maxBytesPerBatch", size)):
+        now = spark.conf.get(f"spark.sql.execution.arrow.{name}").rstrip("b")
+        if not now.isdigit() or not 0 < int(now) <= most:
+            spark.conf.set(f"spark.sql.execution.arrow.{name}", str(most))
+
+
+def sliced(batches, used: list[str], rows: int = 256, size: int = 1 << 20):
+    """Arrow batches in parts of at most so many rows and, beyond one row, bytes of the strings in ``used``, so that the
+    Python values made of them stay few."""
     for b in batches:
-        for at in range(0, b.num_rows, rows):
-            yield b.slice(at, rows)
+        held = np.zeros(b.num_rows, np.int64)
+        for c in used:
+            x = b.column(b.schema.get_field_index(c))
+            if pa.types.is_string(x.type) or pa.types.is_binary(x.type):
+                held += pc.fill_null(pc.binary_length(x), 0).to_numpy(zero_copy_only=False)
+            elif pa.types.is_list(x.type):
+                held += 8 * pc.fill_null(pc.list_value_length(x), 0).to_numpy(zero_copy_only=False)
+        upto, at = held.cumsum(), 0
+        while at < b.num_rows:
+            to = int(np.searchsorted(upto, (upto[at - 1] if at else 0) + size, "right"))
+            to = min(max(to, at + 1), at + rows, b.num_rows)
+            yield b.slice(at, to - at)
+            at = to
 
 
 def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn, rows: int = 256) -> DataFrame:
     """``keep`` as they are and the columns ``added`` (DDL), which ``fn`` makes of lists of the values in ``used``,
     ``rows`` rows at a time."""
+    small_batches(df.sparkSession)
     new = T._parse_datatype_string(added)
     schema = T.StructType([df.schema[c] for c in keep] + new.fields)
     arrow = [to_arrow_type(f.dataType) for f in new.fields]
 
     def run(batches):
-        for b in sliced(batches, rows):
+        for b in sliced(batches, used, rows):
             made = fn(*(python_values(b.column(b.schema.get_field_index(c))) for c in used))
             columns = [b.column(b.schema.get_field_index(c)) for c in keep]
             yield pa.RecordBatch.from_arrays(columns + [x if isinstance(x, pa.Array) else pa.array(x, t) for x, t in zip(made, arrow)], names=schema.names)
@@ -83,9 +106,10 @@ def map_columns(df: DataFrame, keep: list[str], used: list[str], added: str, fn,
 
 def filter_rows(df: DataFrame, used: list[str], fn) -> DataFrame:
     """The rows for which ``fn``, given lists of the values in ``used``, says True."""
+    small_batches(df.sparkSession)
 
     def run(batches):
-        for b in sliced(batches):
+        for b in sliced(batches, used):
             yield b.filter(pa.array(fn(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in used)), pa.bool_()))
 
     return df.mapInArrow(run, df.schema)
@@ -107,7 +131,7 @@ def mix64(x: np.ndarray) -> np.ndarray:
 class WordHashes(dict):
     """64-bit hashes of words, kept for the life of a worker and emptied when they grow past ``limit``."""
 
-    limit = 400_000
+    limit = 100_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.limit:

@@ -88,8 +88,7 @@ class Chunk:
             best = model.forward(self.text, start, cut, before)
             out += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
             last = self.last_cut(end)
-            segments = model.segment.findall(self.text[cut:last])
-            out += np.frombuffer(b"".join(map(model.learn(set(segments)).__getitem__, segments)), np.int32).tolist()
+            out += model.encoded([self.text[cut:last]])[0].tolist()
             start, before = last, ""
         best = model.forward(self.text, start, end, before)
         out += chain.from_iterable(map(model.ids, model.back(best, end - start)))
@@ -126,11 +125,10 @@ def route(matrices: list[np.ndarray]) -> list[int]:
     return out
 
 
-def encode_texts(model: Pieces, texts: list) -> list:
-    """Texts as one chunk each: every segment that no piece crosses has its own best path. Null gives null."""
-    cut = [None if t is None else model.segment.findall(model.escaped(t)) for t in texts]
-    known = model.learn(set(chain.from_iterable(c for c in cut if c)))
-    return [None if c is None else np.frombuffer(b"".join(map(known.__getitem__, c)), np.int32) for c in cut]
+def encode_texts(model: Pieces, texts: list) -> pa.Array:
+    """Ids of texts of one chunk each, whose one way from end to end needs no matrix to be settled. Null gives null."""
+    ids, sizes = model.encoded(["" if t is None else model.escaped(t) for t in texts])
+    return pa.ListArray.from_arrays(pa.array(np.append(0, sizes.cumsum()).astype(np.int32)), pa.array(ids), mask=pa.array([t is None for t in texts], pa.bool_()))
 
 
 def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids", chunk_chars: int = 32_768) -> DataFrame:
@@ -148,9 +146,9 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids
     longest, columns = load(model).longest, docs.columns
 
     def direct(texts):
-        return [lists(encode_texts(load(model), texts))]
+        return [encode_texts(load(model), texts)]
 
-    small = map_columns(docs.where(F.coalesce(F.length(text), F.lit(0)) <= chunk_chars), columns, [text], f"`{ids}` array<int>", direct, rows=1024)
+    small = map_columns(docs.where(F.coalesce(F.length(text), F.lit(0)) <= chunk_chars), columns, [text], f"`{ids}` array<int>", direct)
     giant = docs.where(F.length(text) > chunk_chars).withColumn("_fp", F.md5(text))
 
     def cut(texts):

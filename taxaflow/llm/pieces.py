@@ -4,12 +4,20 @@ from __future__ import annotations
 
 import re
 import struct
-from array import array
+from collections import defaultdict
 from functools import cached_property, lru_cache
+from itertools import count
+
+import numpy as np
+
+from .tables import IntTable, gathered
 
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
 UNIGRAM, BPE = 1, 2
 SPACE = "▁"
+#: Bits of a character's code point, and of a piece's number (an id, or a code point beyond the ids).
+CHAR, NUMBER = 21, 22
+START = (1 << NUMBER) - 1
 
 
 def fields(raw: bytes):
@@ -70,23 +78,31 @@ class Pieces:
         self.byte = {int(p[3:5], 16): i for i, p in enumerate(self.pieces) if self.kinds[i] == BYTE}
         self.longest = max(map(len, self.id), default=1)
         self.low = min((self.scores[i] for i in self.id.values()), default=0.0) - 10.0  # a character without piece
-        #: Ends of pieces, and whether they are pieces themselves.
-        self.tails = {p[i:]: p[i:] in self.id for p in self.id for i in range(len(p))}
-        self.pairs = {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+        self._links: dict[tuple[str, str], bool] = {}
+
+    @cached_property
+    def tails(self) -> dict[str, bool]:
+        """Ends of pieces, and whether they are pieces themselves."""
+        return {p[i:]: p[i:] in self.id for p in self.id for i in range(len(p))}
+
+    @cached_property
+    def pairs(self) -> set[str]:
+        """Characters that stand side by side in some piece."""
+        return {p[i : i + 2] for p in self.id for i in range(len(p) - 1)}
+
+    @cached_property
+    def segment(self) -> re.Pattern:
+        """Segments between which no piece reaches: blanks with a word or with signs and what follows them, runs of
+        blanks, and characters of no longer piece."""
+        some = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]" if chars else r"(?!)"
         inner = {c for p in self.id if len(p) > 1 for c in p} - {SPACE}
+        if any(SPACE in p.lstrip(SPACE) for p in self.id):
+            return re.compile(f"(?:{SPACE}|{some(inner)})+|[\\s\\S]")
         #: Signs that no piece has right after a letter or digit: no piece reaches from a word into them.
         signs = {c for c in inner if not c.isalnum() and not any(c == y and x.isalnum() for x, y in self.pairs)}
+        signs -= {y for x, y in self.pairs if x in inner - signs}
         words = inner - signs
-        signs -= {y for x, y in self.pairs if x in words}
-        words = inner - signs
-        some = lambda chars: "[" + "".join(map(re.escape, sorted(chars))) + "]" if chars else r"(?!)"
-        #: Segments between which no piece reaches: blanks with a word or with signs and what follows them, runs of
-        #: blanks, and characters of no longer piece.
-        self.segment = re.compile(f"{SPACE}*{some(words)}+|{SPACE}*{some(signs)}+{some(words)}*|{SPACE}+|[\\s\\S]")
-        if any(SPACE in p.lstrip(SPACE) for p in self.id):
-            self.segment = re.compile(f"(?:{SPACE}|{some(inner)})+|[\\s\\S]")
-        self._links: dict[tuple[str, str], bool] = {}
-        self._paths: dict[str, bytes] = {}
+        return re.compile(f"{SPACE}*{some(words)}+|{SPACE}*{some(signs)}+{some(words)}*|{SPACE}+|[\\s\\S]")
 
     def merge(self, text: str) -> list[str]:
         """What merging by score makes of a short text: the best neighbours first, ties from the left."""
@@ -109,7 +125,7 @@ class Pieces:
         key = (a, b)
         found = self._links.get(key)
         if found is None:
-            if len(self._links) >= 250_000:
+            if len(self._links) >= 50_000:
                 self._links.clear()
             found = self._links[key] = self.merge(a + b) == ([a, b] if a else [b])
         return found
@@ -172,57 +188,182 @@ class Pieces:
             i -= len(best[i][1])
         return out[::-1]
 
-    def learn(self, segments: set[str]) -> dict[str, bytes]:
-        """Ids (int32 as bytes) by segment for at least these segments, none of which a piece crosses at either end.
+    @cached_property
+    def trie(self) -> tuple[IntTable, np.ndarray]:
+        """Steps (node, character) to the next node, the root being 0, and the piece that each node is (-1: none)."""
+        nodes, ends, steps = {"": 0}, {0: -1}, []
+        for piece, number in self.id.items():
+            for i in range(1, len(piece) + 1):
+                if piece[:i] not in nodes:
+                    nodes[piece[:i]] = at = len(nodes)
+                    ends[at] = -1
+                    steps.append(nodes[piece[: i - 1]] << CHAR | ord(piece[i - 1]))
+            ends[nodes[piece]] = number
+        table = IntTable(len(steps))
+        table.add(np.array(steps, np.uint64), np.arange(1, len(nodes), dtype=np.int32))
+        return table, np.array([ends[i] for i in range(len(nodes))], np.int32)
+
+    @cached_property
+    def known_links(self) -> IntTable:
+        """``linked`` of pairs of numbers (see ``number``) met so far, up to a bound."""
+        return IntTable(500_000)
+
+    def spelled(self, number: int) -> str:
+        """The piece of a number: its id, or beyond these a character's code point; and none for the start."""
+        n = len(self.pieces)
+        return "" if number == START else self.pieces[number] if number < n else chr(number - n)
+
+    def number(self, piece: str) -> int | None:
+        """The number of a piece or character; None for other strings."""
+        got = self.id.get(piece)
+        return got if got is not None else len(self.pieces) + ord(piece) if len(piece) == 1 else None
+
+    @cached_property
+    def unions(self) -> IntTable:
+        """The piece that two neighbours make when they merge, by their numbers."""
+        found = {}
+        for piece, made in self.id.items():
+            for i in range(1, len(piece)):
+                a, b = self.number(piece[:i]), self.number(piece[i:])
+                if a is not None and b is not None:
+                    found[a << NUMBER | b] = made
+        table = IntTable(max(len(found), 1))
+        table.add(np.fromiter(found, np.uint64, len(found)), np.fromiter(found.values(), np.int32, len(found)))
+        return table
+
+    def merging(self, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The pieces that neighbours would make, and their scores (minus infinity: none)."""
+        made = self.unions.get(a.astype(np.uint64) << np.uint64(NUMBER) | b.astype(np.uint64))
+        made[(a < 0) | (b < 0)] = -1
+        return made, np.where(made >= 0, self._score[made], -np.inf)
+
+    @cached_property
+    def _score(self) -> np.ndarray:
+        return np.array(self.scores)
 
-        They are kept for the life of a worker, up to a bound. New ones go in sorted order, and each takes over the
-        places that it shares with the one before.
+    def stay(self, pairs: list[int]) -> np.ndarray:
+        """Whether merging by score leaves these pairs of numbers as they are, all merged side by side."""
+        strings = [self.spelled(x >> NUMBER) + self.spelled(x & START) for x in pairs]
+        size = np.fromiter(map(len, strings), np.int64, len(strings))
+        wide, n = int(size.max(initial=1)), len(pairs)
+        code = np.frombuffer("".join(strings).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        steps, piece = self.trie
+        node = steps.get(code)
+        one = np.where((node >= 0) & (piece[node] >= 0), piece[node], code.astype(np.int64) + len(self.pieces))
+        part = np.full((n, wide + 1), -1, np.int64)
+        part[:, :wide][np.arange(wide) < size[:, None]] = one
+        _, score = self.merging(part[:, :-1].ravel(), part[:, 1:].ravel())
+        score, rows, places = score.reshape(n, wide), np.arange(n), np.arange(wide + 1)
+        while True:
+            at = score[rows].argmax(1)  # of equal scores the first
+            more = score[rows, at] > -np.inf
+            rows, at = rows[more], at[more]
+            if not len(rows):
+                break
+            made, _ = self.merging(part[rows, at], part[rows, at + 1])
+            shift = np.minimum(places + (places > at[:, None]), wide)
+            part[rows] = np.take_along_axis(part[rows], shift, 1)
+            part[rows, at] = made
+            score[rows] = np.take_along_axis(score[rows], shift[:, :-1].clip(max=wide - 1), 1)
+            score[rows, wide - 1] = -np.inf
+            score[rows, at] = self.merging(made, part[rows, at + 1])[1]
+            left = at > 0
+            score[rows[left], at[left] - 1] = self.merging(part[rows[left], at[left] - 1], made[left])[1]
+        want = np.array([[y, -1, -1] if (y := x >> NUMBER) == START else [y, x & START, -1] for x in pairs], np.int64)
+        want[want[:, 0] == START, 0] = [x & START for x in pairs if x >> NUMBER == START]
+        part = np.pad(part, ((0, 0), (0, 2)), constant_values=-1)
+        return (part[:, :3] == want).all(1)
+
+    def links(self, key: np.ndarray) -> np.ndarray:
+        """Whether pairs of numbers may stand side by side; pairs not met before are merged, each once."""
+        found = self.known_links.get(key)
+        new = found < 0
+        if new.any():
+            pairs, where = np.unique(key[new], return_inverse=True)
+            ok = self.stay(pairs.tolist()).astype(np.int32)
+            self.known_links.add(pairs, ok)
+            found[new] = ok[where]
+        return found > 0
+
+    def numbers(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """The best paths of segments that no piece crosses at either end, as numbers of their pieces one segment after
+        the other, and how many each has.
+
+        All segments are walked at once: pieces come from the trie, and at each distance from the segments' starts the
+        one that may follow the last piece before it is the last one there.
         """
-        known = self._paths
-        new = {x for x in segments if x not in known}
-        if len(known) + len(new) > 300_000:
-            known.clear()
-            new = segments
-        if self.kind != BPE:
-            for x in new:
-                known[x] = array("i", [i for p in self.back(self.forward(x, 0, len(x), ""), len(x)) for i in self.ids(p)]).tobytes()
-            return known
-        tail, links, linked, get, ids = self.tails.get, self._links, self.linked, self.id.get, self.ids
-        last, before = [""], ""  # the valid last piece at each place
-        for text in sorted(new):
-            same = 0
-            for x, y in zip(before, text):
-                if x != y:
-                    break
-                same += 1
-            del last[same + 1 :]
-            for end in range(same + 1, len(text) + 1):
-                at, piece = end - 1, text[end - 1 : end]
-                found = [piece]
-                if tail(piece) is not None:
-                    while at:
-                        at -= 1
-                        piece = text[at:end]
-                        whole = tail(piece)
-                        if whole:
-                            found.append(piece)
-                        elif whole is None:
-                            break
-                for piece in reversed(found):
-                    ok = links.get(key := (last[end - len(piece)], piece))
-                    if ok or (ok is None and linked(*key)):
-                        last.append(piece)
-                        break
-            out, end = [], len(text)
-            while end:
-                piece = last[end]
-                out.append(piece)
-                end -= len(piece)
-            before = text
-            out.reverse()
-            found = list(map(get, out))
-            known[text] = array("i", found if None not in found else [i for p in out for i in ids(p)]).tobytes()
-        return known
+        size = np.fromiter(map(len, segments), np.int64, len(segments))
+        code = np.frombuffer("".join(segments).encode("utf-32-le", "surrogatepass"), np.uint32).astype(np.uint64)
+        steps, piece = self.trie
+        first = np.cumsum(size) - size
+        place = (np.arange(len(code)) - np.repeat(first, size)).astype(np.int32)  # in its segment
+        room = np.repeat(size, size).astype(np.int32) - place
+        node = steps.get(code)
+        single = np.where(node >= 0, piece[node], -1)
+        found = [(np.arange(len(code), dtype=np.int32), np.where(single >= 0, single, code.astype(np.int32) + len(self.pieces)), 1)]
+        at = np.flatnonzero((node >= 0) & (room > 1)).astype(np.int32)
+        node, long = node[at], 1
+        while len(at):
+            node = steps.get(node.astype(np.uint64) << np.uint64(CHAR) | code[at + long])
+            long += 1
+            at, node = at[node >= 0], node[node >= 0]
+            whole = piece[node] >= 0
+            found.append((at[whole], piece[node[whole]], long))
+            at, node = at[(open_ := room[at] > long)], node[open_]
+        begin, number, length = (np.concatenate(x) for x in zip(*((b, n.astype(np.int32), np.full(len(b), k, np.int8)) for b, n, k in found)))
+        ends = place[begin] + length
+        by = np.argsort(ends.astype(np.uint8), kind="stable")  # segments have 64 characters at most
+        begin, number, length = begin[by], number[by], length[by]
+        # Boundaries: one before each character and one after each segment's last.
+        cut = begin + np.repeat(np.arange(len(segments), dtype=np.int32), size)[begin]
+        bounds = np.searchsorted(ends[by], np.arange(1, int(size.max(initial=0)) + 2))
+        last, back = np.full(len(code) + len(segments), START, np.int32), np.zeros(len(code) + len(segments), np.int8)
+        for a, b in zip(bounds, bounds[1:]):
+            ok = self.links(last[cut[a:b]].astype(np.uint64) << np.uint64(NUMBER) | number[a:b].astype(np.uint64))
+            to = cut[a:b][ok] + length[a:b][ok]
+            last[to], back[to] = number[a:b][ok], length[a:b][ok]
+        place = first + np.arange(len(segments)) + size
+        start, who, parts = place - size, np.arange(len(segments)), []
+        many = np.zeros(len(segments), np.int64)
+        while len(who := who[place[who] > start[who]]):
+            parts.append((who, last[place[who]]))
+            many[who] += 1
+            place[who] -= back[place[who]]
+        out, after = np.zeros(int(many.sum()), np.int64), np.cumsum(many)
+        for k, (who, n) in enumerate(parts):
+            out[after[who] - 1 - k] = n
+        return out, many
+
+    def traced(self, segments: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of segments that no piece crosses at either end, one segment after the other, and how many each has."""
+        long = [i for i, s in enumerate(segments) if self.kind != BPE or len(s) > 64]
+        paths = {i: np.array([x for p in self.back(self.forward(segments[i], 0, len(segments[i]), ""), len(segments[i])) for x in self.ids(p)], np.int32) for i in long}
+        out, many = self.numbers([s for i, s in enumerate(segments) if i not in paths] if paths else segments)
+        if (odd := out >= len(self.pieces)).any():  # characters without piece: several ids each
+            values, where = np.unique(out, return_inverse=True)
+            each = [np.array(self.ids(self.spelled(v)), np.int32) for v in values.tolist()]
+            length = np.array([len(x) for x in each])
+            owner = np.repeat(np.arange(len(many)), many)
+            many = np.bincount(owner, length[where], len(many)).astype(np.int64)
+            out = gathered(np.concatenate(each), length, where)
+        if not paths:
+            return out.astype(np.int32), many
+        rest = iter(np.split(out, np.cumsum(many)[:-1]) if len(many) else [])
+        every = [paths[i] if i in paths else next(rest) for i in range(len(segments))]
+        return np.concatenate(every).astype(np.int32), np.array([len(x) for x in every])
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of texts that no piece crosses at either end, one text after the other, and how many each has."""
+        at: dict[str, int] = defaultdict(count().__next__)
+        order, many = [], []
+        for t in texts:
+            cut = self.segment.findall(t)
+            many.append(len(cut))
+            order.append(np.fromiter(map(at.__getitem__, cut), np.int64, len(cut)))
+        ids, length = self.traced(list(at))
+        where = np.concatenate([np.zeros(0, np.int64), *order])
+        sizes = np.add.reduceat(np.append(length[where], 0), np.minimum(np.cumsum(many) - many, len(where))) if len(many) else np.zeros(0, np.int64)
+        return gathered(ids, length, where), np.where(np.array(many, np.int64) > 0, sizes, 0)
 
     def cost(self, segment: str) -> float:
         return self.forward(segment, 0, len(segment), "")[-1][0] if self.kind == UNIGRAM else 0.0

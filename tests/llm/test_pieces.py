@@ -1,10 +1,12 @@
 import random
 import struct
 
+import numpy as np
 import pytest
 import sentencepiece
 
 from taxaflow.llm import piece_scan, pieces, queries
+from taxaflow.llm.tables import IntTable
 
 RAW = queries.piece_model()
 MODEL = pieces.load(RAW)
@@ -18,13 +20,34 @@ def texts(n, size):
 
 
 def encode_text(model, text):
-    return piece_scan.encode_texts(model, [text])[0].tolist()
+    return piece_scan.encode_texts(model, [text])[0].as_py()
 
 
 def test_bpe_equals_the_library():
     every = texts(500, 30)
-    assert [x.tolist() for x in piece_scan.encode_texts(MODEL, every)] == LIBRARY.encode(every)
-    assert piece_scan.encode_texts(MODEL, [None])[0] is None
+    assert piece_scan.encode_texts(MODEL, every).to_pylist() == LIBRARY.encode(every)
+    assert piece_scan.encode_texts(MODEL, [None, "a", None]).to_pylist() == [None, LIBRARY.encode("a"), None]
+    assert piece_scan.encode_texts(MODEL, []).to_pylist() == []
+
+
+def test_pairs_stay_as_merging_says():
+    rng = random.Random(3)
+    numbers = [rng.randrange(len(MODEL.pieces)) for _ in range(400)] + [MODEL.number(c) for c in "aé你😀\ue000"]
+    numbers = [n for n in numbers if n >= len(MODEL.pieces) or MODEL.spelled(n) in MODEL.id]
+    pairs = [a << pieces.NUMBER | rng.choice(numbers) for a in numbers + [pieces.START] * 50]
+    spelled = [(MODEL.spelled(x >> pieces.NUMBER), MODEL.spelled(x & pieces.START)) for x in pairs]
+    assert MODEL.stay(pairs).tolist() == [MODEL.merge(a + b) == ([a, b] if a else [b]) for a, b in spelled]
+
+
+def test_tables_of_integers():
+    table, rng = IntTable(300), random.Random(1)
+    keys = np.array(rng.sample(range(2**60), 300), np.uint64)
+    table.add(keys[:200], np.arange(200, dtype=np.int32))
+    assert table.get(keys).tolist() == [*range(200), *[-1] * 100]
+    table.add(keys[200:], np.arange(200, 300, dtype=np.int32))
+    assert table.get(keys).tolist() == [*range(300)]
+    table.add(np.array([7], np.uint64), np.array([5], np.int32))  # no room: emptied first
+    assert table.get(np.array([7, keys[0]], np.uint64)).tolist() == [5, -1]
 
 
 def by_chunks(model, text, size):
