@@ -47,8 +47,9 @@ def tidy(df: DataFrame, needed: list[str], added: list[str] | tuple = ()) -> Dat
 
 
 def row_hash(df: DataFrame, seed: int = 0) -> Column:
-    """A hash of all columns."""
-    return F.xxhash64(F.lit(seed), *[F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or k == "variant" else F.col(f"`{c}`") for c, k in df.dtypes])
+    """A hash of all columns and of which of them are null."""
+    values = [F.to_json(F.struct(F.col(f"`{c}`"))) if "map<" in k or k == "variant" else F.col(f"`{c}`") for c, k in df.dtypes]
+    return F.xxhash64(F.lit(seed), *[x for v in values for x in (v.isNull(), v)])
 
 
 def python_values(column: pa.Array) -> list:

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import re
+
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
-from .common import n_words, row_hash, tidy
+from .common import n_words, row_hash, sliced, small_batches, tidy
 from .feistel import key_of, permute, unpermute
 
 
@@ -50,23 +54,38 @@ def plan_source(index: int, size: int, target: float, block: int, seed: int) ->
     return plan
 
 
-def draw_shards(slots: list[int], per_shard: int, seed: int) -> list[tuple[int, int, int, int, int]]:
-    """(shard, source, first slot of the source, count, slots in the shard): multinomial counts for each output shard.
+def draw(slots: np.ndarray, n: int, rng: np.random.Generator) -> np.ndarray:
+    """How many of ``n`` slots each source gets: multinomial in proportion to what it owes, and never more than that."""
+    counts = np.zeros(len(slots), np.int64)
+    while (need := n - int(counts.sum())) > 0:
+        free = slots - counts
+        counts += np.minimum(rng.multinomial(need, free / free.sum()), free)
+    return counts
+
+
+def draw_shards(slots: list[int], per_shard: int, seed: int, start: int = 0, stop: int | None = None):
+    """(shard, source, first slot of the source, count, slots in the shard before it, slots in the shard) of the output
+    shards ``start`` to ``stop``: multinomial counts for each.
 
-    Each shard's counts are drawn in proportion to what each source still owes, and no source is drawn beyond that, so
-    the totals over all shards are exact.
+    Shards are the leaves of a binary tree of ranges. Each node's counts are split by a draw of its own, seeded by its
+    range, so that a task that knows the totals draws its range alone, and the totals over all shards are exact.
     """
-    owed, out, shard = np.array(slots, np.int64), [], 0
-    used = np.zeros(len(slots), np.int64)
-    while owed.sum():
-        rng, size = np.random.default_rng([seed, shard]), int(min(per_shard, owed.sum()))
-        counts = np.zeros(len(slots), np.int64)
-        while (need := size - int(counts.sum())) > 0:
-            free = owed - counts
-            counts += np.minimum(rng.multinomial(need, free / free.sum()), free)
-        out += [(shard, i, int(used[i]), int(c), size) for i, c in enumerate(counts) if c]
-        used, owed, shard = used + counts, owed - counts, shard + 1
-    return out
+    total = sum(slots)
+    last = -(-total // per_shard)
+    todo = [(0, last, np.array(slots, np.int64), np.zeros(len(slots), np.int64))] if total else []
+    while todo:
+        low, high, owed, used = todo.pop()
+        if high <= start or (stop is not None and low >= stop):
+            continue
+        if high - low > 1:
+            mid = (low + high) // 2
+            left = draw(owed, (mid - low) * per_shard, np.random.default_rng([seed, low, high]))
+            todo += [(mid, high, owed - left, used + left), (low, mid, left, used)]
+            continue
+        before, size = 0, int(owed.sum())
+        for i in np.flatnonzero(owed):
+            yield low, int(i), int(used[i]), int(owed[i]), before, size
+            before += int(owed[i])
 
 
 def mix_sources(
@@ -83,17 +102,17 @@ def mix_sources(
 
     Adds size, source_size (long), target (double), taken (long) and pieces, an array of (shard, slot, pass, start,
     words): ``words`` words from word ``start`` of the document stand in that slot. A source's taken words equal its
-    rounded target, and no word is taken more than ``most`` times. Only per-source totals reach the driver: one row for
-    each source, and counts of each shard and source.
+    rounded target, and no word is taken more than ``most`` times. Only totals reach the driver, one row for each source
+    (sources are few enough to be given weights: each task holds their plans); what the shards draw is drawn in tasks.
 
     Null and empty texts have size 0 and take nothing; a null source is a source of its own; long documents span
-    blocks; repeated rows and ties are separate rows; an empty table gives an empty result; other columns pass through,
+    blocks; repeated rows and ties are separate rows (ones equal in all columns stand in one bucket); an empty table gives an empty result; other columns pass through,
     but input columns named like added ones are replaced.
     """
     added = ["size", "source_size", "target", "taken", "pieces"]
-    docs = tidy(docs, [source, text], [*added, "_bucket", "_rid", "_pos", "_h", "_s", "_block", "_n", "_off", "_named"])
+    docs = tidy(docs, [source, text], [*added, "_bucket", "_rid", "_pos", "_h", "_h2", "_s", "_block", "_n", "_off", "_named"])
     spark = docs.sparkSession
-    rows = docs.withColumn("size", n_words(F.col(text))).withColumn("_h", row_hash(docs))
+    rows = docs.withColumn("size", n_words(F.col(text))).withColumn("_h", row_hash(docs)).withColumn("_h2", row_hash(docs, 1))
 
     per_source = sorted(((r[0], r[1], r[2]) for r in rows.groupBy(source).agg(F.sum("size"), F.count(F.lit(1))).collect()), key=lambda r: (r[0] is None, r[0] or ""))
     sizes = [r[1] for r in per_source]
@@ -107,7 +126,7 @@ def mix_sources(
         named = F.broadcast(named)
     rows = rows.join(named.withColumnRenamed(source, "_named"), F.col(source).eqNullSafe(F.col("_named"))).drop("_named")
     rows = rows.withColumn("_bucket", F.pmod("_h", F.lit(buckets)).cast("int"))
-    inside = Window.partitionBy("_s", "_bucket").orderBy("_h")
+    inside = Window.partitionBy("_s", "_bucket").orderBy("_h", "_h2")  # rows equal in both are equal, and as good as each other
     upto = inside.rowsBetween(Window.unboundedPreceding, -1)
     placed = rows.withColumn("_n", F.coalesce(F.sum("size").over(upto), F.lit(0))).withColumn("_rid", F.struct("_s", "_bucket", F.row_number().over(inside).alias("i")))
     shifts = rows.groupBy("_s", "_bucket").agg(F.sum("size").alias("_n"))
@@ -133,11 +152,16 @@ def mix_sources(
 
 def slot_table(spark, plans: list[dict], block_words: int, blocks_per_shard: int, seed: int) -> DataFrame:
     """One row for each slot of the mix: source ``_s``, ``_block``, words used of it ``_len``, pass, shard, slot."""
-    drawn, base, at = [], {}, -1
-    for shard, i, first, count, size in draw_shards([p["slots"] for p in plans], blocks_per_shard, seed):
-        drawn.append((shard, i, first, count, base.get(shard, 0), size))
-        base[shard] = base.get(shard, 0) + count
-    drawn = spark.createDataFrame(drawn, "shard int, _s int, first long, n long, base long, size long")
+    totals = [p["slots"] for p in plans]
+    shards = -(-sum(totals) // blocks_per_shard)
+
+    def drawn_range(batches):
+        for b in batches:
+            ids = b["id"].to_numpy(np.int64)
+            for part in np.split(ids, np.flatnonzero(np.diff(ids) != 1) + 1) if len(ids) else []:
+                yield pd.DataFrame(draw_shards(totals, blocks_per_shard, seed, int(part[0]), int(part[-1]) + 1), columns=["shard", "_s", "first", "n", "base", "size"])
+
+    drawn = spark.range(0, shards, 1, max(1, min(shards, 1000))).mapInPandas(drawn_range, "shard int, _s int, first long, n long, base long, size long")
     each = drawn.withColumn("i", F.explode(F.sequence(F.lit(0).cast("long"), F.col("n") - 1)))
     each = each.select("shard", "_s", (F.col("first") + F.col("i")).alias("j"), (F.col("base") + F.col("i")).alias("at"), "size")
 
@@ -164,37 +188,46 @@ def cut_texts(mixed: DataFrame, text: str = "text", n_chars: str | None = "n_cha
     """The mixed documents: a row for each document and pass that takes words of it, its text cut to the words taken.
 
     A pass that takes the whole document keeps the text as it is; otherwise the taken stretches of the text, from the
-    start of their first word to the end of their last, are joined by a line break.
-    """
-    import re
+    start of their first word to the end of their last, are joined by a line break. ``n_chars``, if there is such a
+    column, becomes the new text's length; all other columns, null or not, are copied as they are.
 
+    Documents of which nothing is taken (so null texts and ones without words) have no row; long texts are cut whole;
+    repeated rows are cut each by its own pieces; an empty table gives an empty result.
+    """
     schema = mixed.drop("size", "source_size", "target", "taken", "pieces").schema
     word = re.compile(r"[^\x20\x09-\x0D]+")
+    small_batches(mixed.sparkSession)
+
+    def passes(whole: str, size: int, pieces: list[dict]):
+        spans = None
+        for turn in sorted({p["pass"] for p in pieces}):
+            runs: list[list[int]] = []
+            for p in (p for p in pieces if p["pass"] == turn):  # ordered by start
+                if runs and runs[-1][1] == p["start"]:
+                    runs[-1][1] += p["words"]
+                else:
+                    runs.append([p["start"], p["start"] + p["words"]])
+            if runs == [[0, size]]:
+                yield whole
+            else:
+                spans = spans or [m.span() for m in word.finditer(whole)]
+                yield "\n".join(whole[spans[x][0] : spans[y - 1][1]] for x, y in runs)
 
     def cut(batches):
-        for b in batches:
-            rows = []
-            for row in b.to_dict("records"):
-                pieces, size, whole = row["pieces"], row["size"], row[text]
-                if pieces is None or not len(pieces):
-                    continue
-                spans = None
-                for turn in sorted({p["pass"] for p in pieces}):
-                    runs: list[list[int]] = []
-                    for p in (p for p in pieces if p["pass"] == turn):  # ordered by start
-                        if runs and runs[-1][1] == p["start"]:
-                            runs[-1][1] += p["words"]
-                        else:
-                            runs.append([p["start"], p["start"] + p["words"]])
-                    kept = whole
-                    if runs != [[0, size]]:
-                        spans = spans or [m.span() for m in word.finditer(whole)]
-                        kept = "\n".join(whole[spans[x][0] : spans[y - 1][1]] for x, y in runs)
-                    new = {c: row[c] for c in schema.names} | {text: kept}
-                    if n_chars in schema.names:
-                        new[n_chars] = len(kept)
-                    rows.append(new)
-            if rows:
-                yield pd.DataFrame(rows, columns=schema.names)
-
-    return mixed.drop("source_size", "target", "taken").mapInPandas(cut, schema)
+        for b in sliced(batches, [text]):
+            rows, texts = [], []
+            for i, x in enumerate(zip(*(b.column(b.schema.get_field_index(c)).to_pylist() for c in (text, "size", "pieces")))):
+                for kept in passes(*x) if x[2] else ():
+                    rows.append(i)
+                    texts.append(kept)
+            at, columns = pa.array(rows, pa.int64()), []
+            for f in schema:
+                if f.name == text:
+                    columns.append(pa.array(texts, pa.string()))
+                elif f.name == n_chars:
+                    columns.append(pa.array(list(map(len, texts)), pa.int64()).cast(to_arrow_type(f.dataType)))
+                else:
+                    columns.append(b.column(b.schema.get_field_index(f.name)).take(at))
+            yield pa.RecordBatch.from_arrays(columns, names=schema.names)
+
+    return mixed.drop("source_size", "target", "taken").mapInArrow(cut, schema)

@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from taxaflow.llm import feistel, mixing, queries, sharding
+from taxaflow.llm.common import row_hash
 from tests.llm.helpers import documents
 
 SF = "/root/testdata/sf0.001"
@@ -55,16 +56,16 @@ def test_targets_are_shared_out():
 
 
 def test_draws_are_exact():
-    drawn = mixing.draw_shards([700, 20, 0, 333], 64, 1)
-    total = Counter()
-    for _, i, first, n, _ in drawn:
-        assert first == total[i]
+    drawn = list(mixing.draw_shards([700, 20, 0, 333], 64, 1))
+    total, per = Counter(), Counter()
+    for shard, i, first, n, before, size in drawn:
+        assert first == total[i] and before == per[shard, size]
         total[i] += n
-    assert [total[i] for i in range(4)] == [700, 20, 0, 333]
-    per = Counter()
-    for shard, _, _, n, size in drawn:
         per[shard, size] += n
-    assert all(n == size for (_, size), n in per.items())
+    assert [total[i] for i in range(4)] == [700, 20, 0, 333]
+    assert all(n == size for (_, size), n in per.items()) and sorted(s for s, _ in per) == list(range(17))
+    assert [x for a, b in ((0, 5), (5, 6), (6, 17)) for x in mixing.draw_shards([700, 20, 0, 333], 64, 1, a, b)] == drawn
+    assert list(mixing.draw_shards([0, 0], 64, 1)) == list(mixing.draw_shards([], 64, 1)) == []
 
 
 def words(t):
@@ -107,3 +108,42 @@ def test_mix_of_nothing_and_clashing_names(spark):
     assert dict(mixing.mix_sources(docs).dtypes)["size"] == "bigint"
     assert mixing.mix_sources(docs.where("false")).count() == 0
     assert mixing.mix_sources(documents(spark, [None, ""])).agg(F.sum("taken")).first()[0] == 0
+
+
+def test_cut_texts_keep_other_columns(spark):
+    big = 2**60 + 1
+    rows = [(big, "a b c", "s", None, 5), (None, "d e", "s", [1, None], 3), (big + 2, None, None, None, None), (4, "", "s", [2], 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string, tags array<long>, n_chars int")
+    got = mixing.cut_texts(mixing.mix_sources(docs))
+    assert got.schema == docs.schema
+    assert {(r.doc_id, tuple(r.tags or ())) for r in got.collect()} <= {(big, ()), (None, (1, None))}
+    assert sum(len(words(r.text)) for r in got.collect()) == 8  # 150 % of five words
+    assert mixing.cut_texts(mixing.mix_sources(docs.where("false"))).count() == 0
+
+
+def test_rows_with_nulls_in_other_places_differ(spark):
+    rows = spark.createDataFrame([(1, "x", None), (1, None, "x"), (None, 1, "x")], "a string, b string, c string")
+    assert rows.select(row_hash(rows).alias("h")).distinct().count() == 3
+
+
+def test_op1_on_its_table(spark):
+    rows = queries.op1_mix(spark, SF).collect()
+    texts = {r.doc_id: (r.source, len(words(r.text))) for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    sizes = Counter()
+    for s, n in texts.values():
+        sizes[s] += n
+    names = sorted((s for s in sizes if s is not None), key=lambda x: x.encode("utf-32-be")) + [None] * (None in sizes)
+    left, unit, capped = 1.5 * sum(sizes.values()), 0.0, set()
+    weight = {s: (5, 2, 1)[i % 3] for i, s in enumerate(names)}
+    for _ in names:
+        unit = left / sum(weight[s] for s in names if s not in capped) if len(capped) < len(names) else 0
+        above = {s for s in names if s not in capped and weight[s] * unit > 2 * sizes[s]}
+        left, capped = left - sum(2 * sizes[s] for s in above), capped | above
+    for r in rows:
+        source, size = texts[r.doc_id]
+        want = 2 * sizes[source] if source in capped else weight[source] * unit
+        assert r["size"] == size and r.source_size == sizes[source] and abs(r.target - want) < 1e-6 * want and r.taken <= 2 * size
+    taken = Counter()
+    for r in rows:
+        taken[r.source] += r.taken
+    assert len(rows) == len(texts) and all(abs(taken[r.source] - r.target) <= 0.5 for r in rows)
