@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import math
 import pickle
+from fractions import Fraction
 
 import numpy as np
 import pandas as pd
@@ -12,6 +14,32 @@ from pyspark.sql import functions as F
 from .common import materialize, tidy
 
 LEAF = 64
+#: The largest and the least score that a long column holds (the least one stands for scores below it).
+MOST, LEAST = 2**63 - 1, -(2**63)
+
+
+def scaled(vectors, scale: float) -> np.ndarray:
+    """floor(scale * x) of each component, exact: the narrowest NumPy integers that hold them all, else Python's."""
+    x = np.array(vectors, float).reshape(len(vectors), -1)
+    with np.errstate(over="ignore"):
+        y = np.floor(scale * x)
+    top = np.abs(y).max(initial=0)
+    if top < 2**62:
+        return y.astype(np.int16 if top < 2**15 else np.int32 if top < 2**31 else np.int64)
+    whole = [[math.floor(Fraction(scale) * Fraction(c)) for c in row] for row in x.tolist()]
+    return np.array(whole, object).reshape(x.shape)
+
+
+def exact_type(x: np.ndarray, y: np.ndarray):
+    """A type in which inner products of rows of both are exact: floats (fast), longs or Python integers."""
+    top = int(abs(x).max(initial=0)) * int(abs(y).max(initial=0)) * x.shape[1] if x.size and y.size else 0
+    return float if top < 2**53 else np.int64 if top < 2**62 else object
+
+
+def floored(score: np.ndarray) -> np.ndarray:
+    """Floats that aren't above the scores."""
+    f = score.astype(float)
+    return np.where(np.abs(f) < 2**53, f, np.nextafter(f, -np.inf))
 
 
 class BallTree:
@@ -19,7 +47,8 @@ class BallTree:
 
     def __init__(self, ids: np.ndarray, x: np.ndarray):
         order, nodes, todo = np.arange(len(x)), [], [(0, len(x), -1, 0)]
-        f = x.astype(float)
+        flat = x.dtype == object  # no floats hold them: nodes without geometry, whose bounds are infinite
+        f = np.zeros(x.shape) if flat else x.astype(float)
         while todo:
             a, b, parent, side = todo.pop()
             rows = f[order[a:b]]
@@ -27,14 +56,15 @@ class BallTree:
             far = rows - centre
             dist = np.sqrt((far * far).sum(1))
             me = len(nodes)
-            nodes.append([centre, dist.max(), a, b, -1, -1])
+            nodes.append([centre, np.inf if flat else dist.max(), a, b, -1, -1])
             if parent >= 0:
                 nodes[parent][4 + side] = me
-            if b - a > LEAF and dist.max() > 0:
-                one = rows[dist.argmax()]
-                other = rows[((rows - one) ** 2).sum(1).argmax()]
-                by = np.argsort(rows @ (other - one), kind="stable")
-                order[a:b] = order[a:b][by]
+            if b - a > LEAF and (flat or dist.max() > 0):
+                if not flat:
+                    one = rows[dist.argmax()]
+                    other = rows[((rows - one) ** 2).sum(1).argmax()]
+                    by = np.argsort(rows @ (other - one), kind="stable")
+                    order[a:b] = order[a:b][by]
                 mid = (a + b) // 2
                 todo += [(a, mid, me, 0), (mid, b, me, 1)]
             else:
@@ -47,9 +77,11 @@ class BallTree:
 
     def upper(self, q: np.ndarray, norm: np.ndarray, query: np.ndarray, node: np.ndarray) -> np.ndarray:
         """No inner product of query and a vector in the node is above this."""
-        dot = np.einsum("ij,ij->i", q[query], self.centre[node])
-        bound = dot + norm[query] * self.radius[node]
-        return bound + 1e-9 * (np.abs(dot) + norm[query] * self.radius[node]) + 1e-6
+        with np.errstate(invalid="ignore", over="ignore"):
+            dot = np.einsum("ij,ij->i", q[query], self.centre[node])
+            away = norm[query] * self.radius[node]
+            bound = dot + away + 1e-9 * (norm[query] * np.sqrt((self.centre[node] ** 2).sum(1)) + away) + 1e-6
+        return np.where(np.isnan(bound), np.inf, bound)
 
     def search(self, qid: np.ndarray, q: np.ndarray, kth: np.ndarray, k: int, leaves: int | None = None):
         """(query index, ids, scores): each query's k best here that score at least ``kth``, ties to smaller ids.
@@ -57,11 +89,12 @@ class BallTree:
         Nodes whose bound is under the current kth score are dropped; leaves are read in order of their bounds, and the
         kth score rises meanwhile. ``leaves`` stops after so many leaves of a query (for a first bound).
         """
-        f, n = q.astype(float), len(q)
-        norm = np.sqrt((f * f).sum(1))
-        exact = float if np.abs(self.x).max(initial=0) * np.abs(q).max(initial=0) * float(q.shape[1]) < 2**53 else np.int64
+        exact, n = exact_type(self.x, q), len(q)
         x, y = self.x.astype(exact), q.astype(exact)
-        low = np.iinfo(np.int64).min
+        with np.errstate(over="ignore", invalid="ignore"):
+            f = np.array([[min(max(c, -(10**300)), 10**300) for c in row] for row in q.tolist()], float) if q.dtype == object else q.astype(float)
+            norm = np.where(np.isfinite(size := np.sqrt((f * f).sum(1))), size, np.inf)
+        low = LEAST
         best, best_ids = np.full((n, k), low), np.full((n, k), np.iinfo(np.int64).max)
         kth = kth.copy()
         query, node, ends = np.arange(n), np.zeros(n, np.int64), []
@@ -88,7 +121,15 @@ class BallTree:
             now = now[np.argsort(node[now], kind="stable")]
             for part in np.split(now, np.flatnonzero(np.diff(node[now])) + 1) if len(now) else []:
                 who, (a, b) = query[part], self.span[node[part[0]]]
-                score = (y[who] @ x[a:b].T).astype(np.int64)
+                score = y[who] @ x[a:b].T
+                if exact is object:
+                    if any(c > MOST for c in score.ravel() if c is not None):
+                        own = qid[who][:, None] == self.ids[a:b][None, :]
+                        if any(c > MOST for c in score[~own]):
+                            raise OverflowError("a score doesn't fit a long")
+                        score[own] = low
+                    score = np.maximum(score, LEAST + 1)
+                score = score.astype(np.int64)
                 own = qid[who][:, None] == self.ids[a:b][None, :]
                 score[own] = low
                 all_s = np.concatenate([best[who], score], 1)
@@ -96,16 +137,18 @@ class BallTree:
                 pick = np.lexsort((all_i, -all_s.astype(float) if exact is float else ~all_s), axis=1)[:, :k]
                 best[who] = np.take_along_axis(all_s, pick, 1)
                 best_ids[who] = np.take_along_axis(all_i, pick, 1)
-                kth[who] = np.maximum(kth[who], best[who, k - 1])
-        ok = (best > low) & (best >= kth[:, None])
+                kth[who] = np.maximum(kth[who], floored(best[who, k - 1]))
+        ok = (best > low) & (best.astype(float) >= kth[:, None])
         return np.nonzero(ok)[0], best_ids[ok], best[ok]
 
 
 def whole_vectors(df: DataFrame, key: str, vector: str, scale: float) -> DataFrame:
-    """(id, v): floor(scale * x) of vectors without nulls and non-finite components; rows without id or vector go."""
-    x = F.transform(F.col(vector), lambda c: F.floor(F.lit(scale) * c.cast("double")).cast("long"))
-    fine = F.forall(F.col(vector), lambda c: c.isNotNull() & ~F.isnan(c.cast("double")) & (F.abs(c.cast("double")) < 2.0**52 / scale))
-    return df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).where(F.coalesce(fine, F.lit(False))).select(F.col(key).cast("long").alias("id"), x.alias("v"))
+    """(id, v, wide): vectors as doubles, without nulls and non-finite components; rows without id or vector go. Wide ones
+    have a component of 2^31 or more when scaled; they get shards of their own, so that others keep narrow integers."""
+    v = F.col(vector).cast("array<double>")
+    fine = F.forall("v", lambda c: c.isNotNull() & ~F.isnan(c) & (F.abs(c) < float("inf")))
+    rows = df.where(F.col(key).isNotNull() & F.col(vector).isNotNull()).select(F.col(key).cast("long").alias("id"), v.alias("v"))
+    return rows.where(F.coalesce(fine, F.lit(False))).withColumn("wide", F.exists("v", lambda c: F.abs(c) >= 2.0**31 / scale))
 
 
 def top_k(
@@ -119,10 +162,11 @@ def top_k(
     ``block_rows``, and each pair of shard and block is a task of its own. A first round reads the most promising leaf
     of every shard; the kth best of what all shards found bounds each query's second round, the exact search.
 
-    Vectors that are null, hold nulls or non-finite components (or ones beyond 2^52 when scaled) take no part, nor do
-    rows without id; vectors are compared with those of their own length. Rows that repeat an id are candidates each,
-    and the least vector of an id is its query. Ties go to the smaller vec_id. Fewer than k candidates give fewer rows,
-    an empty table none; extra columns are ignored.
+    Vectors that are null or hold nulls or non-finite components take no part, nor do rows without id; vectors are
+    compared with those of their own length. All finite ones are scored exactly, in floats, longs or Python integers as
+    their size asks; a score among the best that no long holds is an error, never another number. Rows that repeat an id
+    are candidates each (for queries of other ids), and the least vector of an id is its query. Ties go to the smaller
+    vec_id. Fewer than k candidates give fewer rows, an empty table none; extra columns are ignored.
     """
     rows = materialize(whole_vectors(tidy(df, [key, vector]), key, vector, scale), "vectors").withColumn("dim", F.size("v"))
     n = rows.count()
@@ -130,19 +174,18 @@ def top_k(
     blocks = max(1, -(-n // (every * block_rows)))
 
     def plant(pdf: pd.DataFrame) -> pd.DataFrame:
-        x = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), -1)
-        tree = BallTree(pdf["id"].to_numpy(np.int64), x)
-        return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "shard": pdf["shard"].iloc[:1], "tree": [pickle.dumps(tree, 5)]})
+        tree = BallTree(pdf["id"].to_numpy(np.int64), scaled(pdf["v"].tolist(), scale))
+        return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "wide": pdf["wide"].iloc[:1], "shard": pdf["shard"].iloc[:1], "tree": [pickle.dumps(tree, 5)]})
 
     sharded = rows.withColumn("shard", F.pmod(F.xxhash64("id", "v"), F.lit(shards)).cast("int"))
-    trees = materialize(sharded.groupBy("dim", "shard").applyInPandas(plant, "dim int, shard int, tree binary"), "ball-trees")
+    trees = materialize(sharded.groupBy("dim", "wide", "shard").applyInPandas(plant, "dim int, wide boolean, shard int, tree binary"), "ball-trees")
     trees = trees.withColumn("block", F.explode(F.sequence(F.lit(0), F.lit(blocks - 1))))
-    queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min("v").alias("v")).withColumn("dim", F.size("v"))
+    queries = rows.where(F.col("id") % every == 0).groupBy("id").agg(F.min(F.struct("v", "wide")).alias("r")).select("id", "r.*").withColumn("dim", F.size("v"))
     queries = queries.withColumn("block", F.pmod(F.xxhash64("id"), F.lit(blocks)).cast("int"))
 
     def search(queries: DataFrame, leaves: int | None) -> DataFrame:
         def pack(pdf: pd.DataFrame) -> pd.DataFrame:
-            q = np.array(pdf["v"].tolist(), np.int64).reshape(len(pdf), -1)
+            q = scaled(pdf["v"].tolist(), scale)
             kth = pdf["kth"].to_numpy(float)
             return pd.DataFrame({"dim": pdf["dim"].iloc[:1], "block": pdf["block"].iloc[:1], "queries": [pickle.dumps((pdf["id"].to_numpy(np.int64), q, kth), 5)]})
 
@@ -153,18 +196,21 @@ def top_k(
                     who, ids, scores = pickle.loads(tree).search(qid, q, kth, k, leaves)
                     yield pd.DataFrame({"query_id": qid[who], "vec_id": ids, "score": scores})
 
-        packed = queries.groupBy("dim", "block").applyInPandas(pack, "dim int, block int, queries binary")
+        packed = queries.groupBy("dim", "wide", "block").applyInPandas(pack, "dim int, block int, queries binary")
         packed = packed.withColumn("shard", F.explode(F.sequence(F.lit(0), F.lit(shards - 1))))
         pairs = trees.join(packed, ["dim", "shard", "block"]).select("tree", "queries")
         return pairs.mapInPandas(run, "query_id long, vec_id long, score long")
 
     best = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     low = F.lit(float("-inf"))
+    score = F.col("score").cast("double")
+    lower = F.when(F.abs(score) < 2.0**53, score).otherwise(score - F.abs(score) * 2.0**-52)  # not above the score
     first = search(queries.withColumn("kth", low), 1).withColumn("rank", F.row_number().over(best)).where(F.col("rank") == k)
-    bounds = first.select(F.col("query_id").alias("id"), F.col("score").cast("double").alias("kth"))
+    bounds = first.select(F.col("query_id").alias("id"), lower.alias("kth"))
     bounded = materialize(queries.join(bounds, "id", "left").withColumn("kth", F.coalesce("kth", low)), "bounded-queries")
     found = search(bounded, None).withColumn("rank", F.row_number().over(best))
-    return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    fits = F.when(F.col("score") > LEAST + 1, F.col("score")).otherwise(F.raise_error(F.lit("a score doesn't fit a long")).cast("long"))
+    return found.where(F.col("rank") <= k).select("query_id", "rank", "vec_id", fits.alias("score"))
 
 
 def sql(k: int = 10, every: int = 100, scale: int = 1024) -> str:

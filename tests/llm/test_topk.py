@@ -42,3 +42,30 @@ def test_bounds_hold():
     for node, (a, b) in enumerate(tree.span):
         top = (q @ tree.x[a:b].T).max(1)
         assert (top <= tree.upper(q, norm, np.arange(20), np.full(20, node))).all()
+
+
+def test_large_components_are_scored_exactly(spark):
+    rng = np.random.default_rng(5)
+    rows = [(0, [1.0, 0.0]), (1, [5e12, 3.0]), (2, [2.0, 1e9]), (3, [-5e12, 1.0]), (100, [0.0, 1e-3]), (4, [8.5e12, -1e9]), (5, [1e300, 0.5])]
+    rows += [(200, [0.0, 7.0])] + [(10 + i, [float(x) for x in rng.normal(0, 10.0 ** rng.integers(0, 9), 2)]) for i in range(200) if (10 + i) % 100]
+    some = [r for r in rows if r[0] != 5]
+    df = spark.createDataFrame(some, "vec_id long, embedding array<double>")
+    got = topk.top_k(df, shard_rows=40)
+    assert sorted(map(tuple, got.select("query_id", "rank", "vec_id", "score").collect())) == plain(some)
+    assert (0, 1, 4, 1024 * 1024 * 85 * 10**11) in {tuple(r) for r in got.collect()}
+    with pytest.raises(Exception, match="fit a long"):  # 1e300 * 1 is above every long
+        topk.top_k(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()
+    with pytest.raises(Exception, match="fit a long"):  # below every long, and one of the ten best
+        topk.top_k(spark.createDataFrame([(0, [1.0]), (1, [-1e300])], "vec_id long, embedding array<double>")).collect()
+
+
+def test_scaling_is_exact():
+    assert topk.scaled([[1e300, -0.3], [0.0, 2.0**60]], 1024.0).tolist() == [[1024 * int(1e300), -308], [0, 2**70]]
+    assert topk.scaled([[0.5, -0.5]], 1024.0).dtype == np.int16 and topk.scaled([[2.0**20, 0.1]], 1024.0).dtype == np.int32
+
+
+def test_extra_columns_repeated_ids_and_nulls(spark):
+    rows = [(0, [1.0], 1), (0, [3.0], 2), (1, [2.0], 3), (None, [9.0], 4), (2, [], 5), (100, [], 6)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>, score int")
+    got = sorted(map(tuple, topk.top_k(df).collect()))
+    assert got == [(0, 1, 1, 1024 * 2048), (100, 1, 2, 0)]
