@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from hashlib import md5
 from html import unescape
 
 from pyspark.sql import DataFrame, Window
@@ -10,10 +11,13 @@ from pyspark.sql import functions as F
 
 from .common import map_columns, materialize, tidy
 
-TOKEN = re.compile(
-    r"<!--(?:>|->|.*?(?:-->|--!>|\Z))|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)"
-    r"|<(/?)([a-zA-Z][^\s/>]*)((?:[^>\"']|\"[^\"]*\"|'[^']*')*+)>"
-    r"|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
+NAME = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+#: What stands between a tag's name and its end: ``>`` in quotes doesn't end it.
+REST = re.compile(r"(?:[^>\"']|\"[^\"]*\"|'[^']*')*+>")
+SPECIAL = re.compile("[>\"']")
+COMMENT_END = re.compile("--!?>")
+#: Numeric references: zeros before the number, and numbers beyond all code points (Python refuses very long ones).
+ZEROS, BEYOND = re.compile(r"&#([xX]?)0+(?=[0-9a-fA-F])"), re.compile(r"&#(?:[1-9][0-9]{7,}|[xX][1-9a-fA-F][0-9a-fA-F]{6,});?")
 ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"'>]+)))?")
 
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
@@ -56,44 +60,100 @@ CLOSES = {
 NOT_IN_P = BLOCKS - {"td", "th", "tr", "tbody", "thead", "tfoot", "caption", "html", "body", "head"}
 
 
+#: Characters of a path from which it goes on from a digest of itself, so that deep elements don't have long ones.
+LONG_PATH = 400
+
+
+class TagEnds:
+    """Where tags end, in time that grows with the page only, whatever quotes are left open in it."""
+
+    def __init__(self, html: str):
+        self.html, self.last, self.known = html, html.rfind(">"), None
+
+    def __call__(self, at: int) -> int:
+        """The first ``>`` from ``at`` that isn't in quotes; the first one of all if quotes hide the rest (there is one)."""
+        if self.known is None:
+            found = REST.match(self.html, at)
+            if found:
+                return found.end() - 1
+            self._learn()
+        first = SPECIAL.search(self.html, at)
+        end = -1 if first is None else self.known[first.start()]
+        return end if end >= 0 else self.html.find(">", at)
+
+    def _learn(self) -> None:
+        """For each quote and ``>``: where a tag ends that has it outside of quotes (-1: nowhere)."""
+        places = [m.start() for m in SPECIAL.finditer(self.html)]
+        after = dict(zip(places, places[1:]))
+        closing, self.known = {"'": -1, '"': -1}, {}
+        for i in reversed(places):
+            c = self.html[i]
+            if c == ">":
+                self.known[i] = i
+            else:
+                end = closing[c]
+                self.known[i] = self.known[after[end]] if end >= 0 and end in after else -1
+                closing[c] = i
+
+
 class Page:
-    """Elements as lists (tag, path, parent, mark) and blocks (element, text, characters inside links), in page order."""
+    """Elements as lists (tag, path, parent, mark, nearest block and container), parents first, and blocks (element, text,
+    characters inside links) in page order. All work on a page is one pass over it or over its elements."""
 
     def __init__(self, html: str):
-        self.tag, self.path, self.parent, self.mark = [""], [""], [-1], [""]
+        self.tag, self.path, self.parent, self.mark, self.block, self.holder = [""], [""], [-1], [""], [0], [0]
         self.blocks: list[tuple[int, str, int]] = []
         self._stack, self._text, self._linked, self._links, self._hidden = [0], [], 0, 0, 0
-        at, lower = 0, None
-        while (m := TOKEN.search(html, at)) is not None:
-            if m.start() > at:
-                self._add(html[at : m.start()])
-            at = m.end()
-            tag = (m[2] or m[5] or "").lower()
-            if not tag:
-                if html.startswith("<![CDATA[", m.start()):
-                    self._add(html[m.start() + 9 : at - 3])
+        self._places: dict[str, list[int]] = {}  # of each open tag in the stack
+        ends, at, done, lower = TagEnds(html), 0, 0, None
+        while (lt := html.find("<", at)) >= 0:
+            after = html[lt + 1 : lt + 2]
+            if after in ("!", "?"):
+                self._add(html[done:lt])
+                at = done = self._skip(html, lt)
                 continue
-            if m[1] or m[4]:
-                self._close(tag)
+            m = NAME.match(html, lt) if lt < ends.last else None
+            if m is None:
+                at = lt + 1
                 continue
-            rest = m[3] if m[2] else m[6]
-            if tag in RAW:
+            self._add(html[done:lt])
+            tag, end = m[2].lower(), ends(m.end())
+            at = done = end + 1
+            if m[1]:
+                self._close(tag)
+            elif tag in RAW:
                 lower = html.lower() if lower is None else lower
                 if len(lower) != len(html):  # lower case may change lengths outside ASCII
-                    end = re.compile(rf"</{tag}", re.I).search(html, at)
-                    at = end.start() if end else len(html)
+                    found = re.compile(rf"</{re.escape(tag)}", re.I).search(html, at)
+                    at = found.start() if found else len(html)
                 else:
-                    end = lower.find(f"</{tag}", at)
-                    at = end if end >= 0 else len(html)
-                if (close := html.find(">", at)) >= 0 and at < len(html):
+                    found = lower.find(f"</{tag}", at)
+                    at = found if found >= 0 else len(html)
+                if at < len(html) and (close := html.find(">", at)) >= 0:
                     at = close + 1
-                continue
-            self._open(tag, rest)
-        self._add(html[at:])
+                done = at
+            else:
+                self._open(tag, html[m.end() : end])
+        self._add(html[done:])
         self._flush()
+        self.clear: list[bool] = []
+
+    def _skip(self, html: str, at: int) -> int:
+        """The end of a comment, declaration or CDATA section (whose content is text)."""
+        if html.startswith("<!--", at):
+            if html.startswith((">", "->"), at + 4):
+                return html.index(">", at) + 1
+            found = COMMENT_END.search(html, at + 4)
+            return found.end() if found else len(html)
+        if html.startswith("<![CDATA[", at):
+            end = html.find("]]>", at)
+            self._add(html[at + 9 : end if end >= 0 else len(html)])
+            return end + 3 if end >= 0 else len(html)
+        end = html.find(">", at)
+        return end + 1 if end >= 0 else len(html)
 
     def _add(self, raw: str) -> None:
-        if self._hidden:
+        if self._hidden or not raw:
             return
         self._text.append(raw)
         if self._links:
@@ -101,10 +161,9 @@ class Page:
 
     def _flush(self) -> None:
         if self._text:
-            text = " ".join(unescape("".join(self._text)).split())
+            text = " ".join(decoded("".join(self._text)).split())
             if text:
-                at = next(e for e in reversed(self._stack) if self.tag[e] in BLOCKS or e == 0)
-                self.blocks.append((at, text, min(self._linked, len(text))))
+                self.blocks.append((self.block[self._stack[-1]], text, min(self._linked, len(text))))
             self._text, self._linked = [], 0
 
     def _open(self, tag: str, rest: str) -> None:
@@ -136,11 +195,15 @@ class Page:
                 mark = marked(f"{names} {found.get('id', '')} {found.get('role', '')}")
         up = self._stack[-1]
         names = ".".join(sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()}))
-        self._stack.append(len(self.tag))
+        path, e = f"{self.path[up]}/{tag}{'.' + names if names else ''}", len(self.tag)
+        self._places.setdefault(tag, []).append(len(self._stack))
+        self._stack.append(e)
         self.tag.append(tag)
-        self.path.append(f"{self.path[up]}/{tag}{'.' + names if names else ''}")
+        self.path.append(path if len(path) <= LONG_PATH else "#" + md5(path.encode("utf-8", "surrogatepass")).hexdigest())
         self.parent.append(up)
         self.mark.append(mark)
+        self.block.append(e if tag in BLOCKS else self.block[up])
+        self.holder.append(e if tag in CONTAINERS else self.holder[up])
         if tag == "a":
             self._links += 1
         if mark == "never":
@@ -149,40 +212,40 @@ class Page:
             self._close(tag)
 
     def _end(self, tags: set[str], until: set[str]) -> None:
-        for i in range(len(self._stack) - 1, 0, -1):
-            tag = self.tag[self._stack[i]]
-            if tag in tags:
-                self._pop(i)
-                return
-            if tag in until:
-                return
+        i = max((self._places[t][-1] for t in tags if self._places.get(t)), default=0)
+        if i and all(not self._places.get(t) or self._places[t][-1] < i for t in until):
+            self._pop(i)
 
     def _close(self, tag: str) -> None:
         if tag in BLOCKS or tag == "br":
             self._flush()
-        for i in range(len(self._stack) - 1, 0, -1):
-            if self.tag[self._stack[i]] == tag:
-                self._pop(i)
-                return
+        if self._places.get(tag):
+            self._pop(self._places[tag][-1])
 
     def _pop(self, i: int) -> None:
         gone = self._stack[i:]
         if any(self.tag[e] in BLOCKS for e in gone):
             self._flush()
-        self._links -= sum(self.tag[e] == "a" for e in gone)
-        self._hidden -= sum(self.mark[e] == "never" for e in gone)
+        for e in gone:
+            self._places[self.tag[e]].pop()
+            self._links -= self.tag[e] == "a"
+            self._hidden -= self.mark[e] == "never"
         del self._stack[i:]
 
     def settle(self) -> None:
-        """Lifts marks of elements that wrap round more than 60 % of the page's text."""
+        """Lifts marks of elements that wrap round more than 60 % of the page's text; then says which elements are clear
+        of marks, their own and those of what is round them."""
         size = [0] * len(self.tag)
         for e, text, _ in self.blocks:
-            while e >= 0:
-                size[e] += len(text)
-                e = self.parent[e]
+            size[e] += len(text)
+        for e in range(len(self.tag) - 1, 0, -1):
+            size[self.parent[e]] += size[e]
         for e, mark in enumerate(self.mark):
             if mark in WRAPPING and size[e] > 0.6 * size[0]:
                 self.mark[e] = ""
+        self.clear = [True]
+        for e in range(1, len(self.tag)):
+            self.clear.append(self.clear[self.parent[e]] and not self.mark[e])
 
     def container(self) -> tuple[str, float]:
         """The path and score of the page's container: text outside links goes to the nearest container in full and to
@@ -190,20 +253,15 @@ class Page:
         score: dict[int, float] = {}
         own: dict[int, float] = {}  # by nearest container, what it holds itself
         for e, text, linked in self.blocks:
-            up, chain = e, []
-            while up > 0 and not self.mark[up]:
-                if self.tag[up] in CONTAINERS:
-                    chain.append(up)
-                up = self.parent[up]
-            if up > 0:
-                continue
-            part = float(len(text) - linked)
-            at = chain[0] if chain else 0
-            if 2 * linked <= len(text):
-                own[at] = own.get(at, 0.0) + (PART if self.tag[e] in HEADINGS else part)
-            for c in chain or [0]:
-                score[c] = score.get(c, 0.0) + part * WEIGHT.get(self.tag[c], 1.0)
-                part /= 2
+            if self.clear[e]:
+                part, at = float(len(text) - linked), self.holder[e]
+                if 2 * linked <= len(text):
+                    own[at] = own.get(at, 0.0) + (PART if self.tag[e] in HEADINGS else part)
+                score[at] = score.get(at, 0.0) + part
+        for c in range(len(self.tag) - 1, 0, -1):
+            if c in score and (up := self.holder[self.parent[c]]) > 0:
+                score[up] = score.get(up, 0.0) + score[c] / 2
+        score = {c: x * WEIGHT.get(self.tag[c], 1.0) for c, x in score.items()}
         best = max(score, key=lambda c: (score[c], -c), default=-1)
         if best < 0 or score[best] <= 0:
             return "", 0.0
@@ -214,31 +272,27 @@ class Page:
         """Paths of the nearest containers of unmarked text outside links, and whether they stand under ``path``."""
         found = self._finder(path)
         out: dict[str, bool] = {}
-        for e, n in self._free():
-            q = self.path[self._holder(e)]
-            out[q] = out.get(q, False) or found(e) is True
+        for e, _ in self._free():
+            q = self.path[self.holder[e]]
+            out[q] = out.get(q, False) or found[e] is True
         return out
 
-    def _holder(self, e: int) -> int:
-        while e > 0 and self.tag[e] not in CONTAINERS:
-            e = self.parent[e]
-        return e
-
     def _free(self) -> list[tuple[int, int]]:
         """Elements of blocks that aren't in marked parts, and the characters of each outside links."""
-        return [(e, len(t) - linked) for e, t, linked in self.blocks if len(t) > linked and not any(self.mark[x] for x in self._above(e))]
+        return [(e, len(t) - linked) for e, t, linked in self.blocks if len(t) > linked and self.clear[e]]
 
     def choose(self, paths: list[str], outside: list[str]) -> str | None:
         """The text of this page, given its host's winning paths and the holders that the host's pages leave outside."""
         own = self.container()[0]
         mine = self._finder(own)
-        free = [(e, n, self.path[self._holder(e)] in outside) for e, n in self._free() if mine(e)]
+        outside, known = set(outside), set(self.path)
+        free = [(e, n, self.path[self.holder[e]] in outside) for e, n in self._free() if mine[e]]
         total, sure = sum(n for _, n, _ in free), sum(n for _, n, out in free if not out)
         best, covers = None, (0, 0)
         for path in paths:
-            if path in self.path:
+            if path in known:
                 found = self._finder(path)
-                got = sum(n for e, n, out in free if not out and found(e)), sum(n for e, n, _ in free if found(e))
+                got = sum(n for e, n, out in free if not out and found[e]), sum(n for e, n, _ in free if found[e])
                 if got[0] > covers[0]:
                     best, covers = path, got
         if best is not None and covers[1] >= AT_LEAST * total:
@@ -247,12 +301,16 @@ class Page:
             return self.text(own, outside)
         return self.text(own)
 
-    def _above(self, e: int) -> list[int]:
-        """The element and those round it, outermost first."""
-        chain = [e]
-        while chain[-1] > 0:
-            chain.append(self.parent[chain[-1]])
-        return chain[::-1]
+    def _around(self, nodes: set[int]) -> int:
+        """The lowest element round all of these, or the one of them that is round the others."""
+        held = [0] * len(self.tag)
+        for e in nodes:
+            held[e] += 1
+        for e in range(len(self.tag) - 1, 0, -1):
+            if held[e] == len(nodes):  # parents come first, so this is the lowest
+                return e
+            held[self.parent[e]] += held[e]
+        return 0
 
     def _whole(self, best: int, own: dict[int, float]) -> int:
         """The lowest container round all parts of the article that the best container belongs to.
@@ -260,49 +318,51 @@ class Page:
         Parts are the outermost article and main elements if the best container is in one, else all containers that hold
         unmarked text outside links; those with less than ``PART`` characters and no heading only if they stand round it.
         """
-        parts = {c: self._above(c) for c, n in own.items() if n >= PART}
-        parts[best] = self._above(best)
-        if any(self.tag[e] in ("article", "main") for e in parts[best]):
-            ends = ([i for i, e in enumerate(p) if self.tag[e] in ("article", "main")] for p in parts.values())
-            chains = [p[: i[0] + 1] for p, i in zip(parts.values(), ends) if i]
+        parts = {c for c, n in own.items() if n >= PART} | {best}
+        outer = [0] * len(self.tag)  # the outermost article or main element round each
+        for e in range(1, len(self.tag)):
+            outer[e] = outer[self.parent[e]] or (e if self.tag[e] in ("article", "main") else 0)
+        if outer[best]:
+            parts = {outer[c] for c in parts if outer[c]}
         else:
-            chains = [*parts.values(), *(p for c in own if c in parts[best] for p in [self._above(c)])]
-        shared = chains[0]
-        for p in chains[1:]:
-            n = next((i for i, (a, b) in enumerate(zip(shared, p)) if a != b), min(len(shared), len(p)))
-            shared = shared[:n]
-        return next((e for e in reversed(shared) if self.tag[e] in CONTAINERS), 0)
-
-    def _finder(self, path: str):
-        """A function that says whether an element is under one of that path: None if in a marked part of it."""
-        inside: dict[int, bool | None] = {0: path == ""}
-        titled = any(self.tag[e] == "h1" and not any(self.mark[x] for x in self._above(e)) for e, _, _ in self.blocks)
-
-        def owned(e: int) -> bool:  # a header straight in the body is the site's if the page has another title
-            return not titled or self.tag[self.parent[e]] not in ("", "html", "body")
-
-        def found(e: int) -> bool | None:
-            if e not in inside:
-                if self.path[e] == path:
-                    inside[e] = True
-                else:
-                    up = found(self.parent[e])
-                    inside[e] = None if up and self.mark[e] else up
-                    if up is None and self.tag[e] in HEADINGS and not self.mark[e]:
-                        h = next(x for x in reversed(self._above(e)) if self.mark[x])
-                        if self.mark[h] == "header" and owned(h) and found(self.parent[h]):
-                            inside[e] = True
-            return inside[e]
-
-        return found
-
-    def text(self, path: str, outside: list[str] | tuple = ()) -> str | None:
+            e = best
+            while e > 0:
+                e = self.parent[e]
+                if e in own:
+                    parts.add(e)
+        return self.holder[self._around(parts)]
+
+    def _finder(self, path: str) -> list[bool | None]:
+        """Whether each element is under one of that path: None if in a marked part of it."""
+        titled = any(self.tag[e] == "h1" and self.clear[e] for e, _, _ in self.blocks)
+        inside: list[bool | None] = [path == ""]
+        mark = [0]  # the nearest marked element at or round each
+        for e in range(1, len(self.tag)):
+            up = self.parent[e]
+            mark.append(e if self.mark[e] else mark[up])
+            now = True if self.path[e] == path else None if inside[up] and self.mark[e] else inside[up]
+            if now is None and self.tag[e] in HEADINGS and not self.mark[e]:
+                # A header straight in the body is the site's if the page has another title.
+                h = mark[e]
+                if self.mark[h] == "header" and (not titled or self.tag[self.parent[h]] not in ("", "html", "body")) and inside[self.parent[h]]:
+                    now = True
+            inside.append(now)
+        return inside
+
+    def text(self, path: str, outside: list[str] | set | tuple = ()) -> str | None:
         """Text of the blocks under elements of that path, without marked parts and what those holders hold; null if the
         page has none."""
         if path not in self.path:
             return None
-        found = self._finder(path)
-        return "\n\n".join(t for e, t, _ in self.blocks if found(e) and not (outside and self.path[self._holder(e)] in outside))
+        found, outside = self._finder(path), set(outside)
+        return "\n\n".join(t for e, t, _ in self.blocks if found[e] and self.path[self.holder[e]] not in outside)
+
+
+def decoded(raw: str) -> str:
+    """Text with its character references decoded, of any length."""
+    if "&#" in raw:
+        raw = BEYOND.sub("\ufffd", ZEROS.sub(r"&#\1", raw))
+    return unescape(raw)
 
 
 def marked(names: str) -> str:
@@ -366,7 +426,8 @@ def extract_pages(pages: DataFrame, *, url: str = "url", html: str = "html", lea
     comments go; references are decoded, white space in a block becomes one blank, blocks are joined by two line ends.
 
     The host is what stands between ``://`` and the next ``/ ? #``; null urls form one host. Null and empty html give an
-    empty text, broken html is closed as browsers would, long pages are read whole. Repeated rows are pages of their
+    empty text, broken html is closed as browsers would, long and deep pages are read whole, in time that grows with
+    their size. Repeated rows are pages of their
     own; an empty table gives an empty result; other columns stay, ones named text or n_chars are replaced.
     """
     pages = tidy(pages, [url, html], ["text", "n_chars", "_host", "_paths", "_outside"])

@@ -1,6 +1,10 @@
+import random
+import time
+
 import pytest
 
 from taxaflow.llm import html_extract, queries, url_filter
+from tests.llm import plain_html
 from tests.llm.helpers import duck_rows, spark_rows
 
 CASES = [
@@ -51,6 +55,38 @@ def test_extract(html, want):
     assert html_extract.extract(html, None) == want
 
 
+def test_equals_the_plain_extractor(spark):
+    pages = [r.html for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").collect()]
+    rng = random.Random(1)
+    bits = "<div>|</div>|<p>|</p>|<article>|</article>|<div class=nav>|<h1>|</h1>|<header>|</header>|text words |<a href='x'>|</a>|<a |\"|'|<!--|-->|<![CDATA[|]]>|<main>|</main>"
+    bits += "|<td>|<table>|</table>|<li>|<ul>|</ul>|&amp;|&#65;|<section class='more x1'>|</section>|<b>|<br>|<script>|</script>|more of the text, it is long |<form>|</form>|>|<dialog open>|<p class='a>b'>|<"
+    bits = bits.split("|")
+    odd = ["".join(rng.choice(bits) for _ in range(rng.randint(0, 40))) for _ in range(1500)]
+    for html in pages + odd:
+        assert html_extract.extract(html, None) == plain_html.extract(html), html
+        mine, said = html_extract.votes(html), plain_html.votes(html)
+        assert [(p, round(x, 6), *n) for p, x, *n in mine] == [(p, round(x, 6), *n) for p, x, *n in said], html
+        paths = [v[0] for v in said][:3] + ["/body/div", ""]
+        assert html_extract.extract(html, paths, paths[1:2]) == plain_html.extract(html, paths, paths[1:2]), html
+
+
+DEEP = "<div>" * 100_000 + "text" + "</div>" * 100_000
+LONG = [
+    ("<a " * 350_000, None), ('<a b="x>' * 100_000, None), ("<a b='x>y\" " * 60_000 + ">", None), (DEEP, "text"), ("<article><p>art</p></article>" + "<div><b>x" * 50_000, "art"),
+    ("<p>&#" + "1" * 100_000 + ";&#" + "0" * 9000 + "65;</p>", "\ufffdA"), ("<" * 300_000, "<" * 300_000), ("<!-- x -->" * 50_000 + "y", "y"), ("<x" * 300_000, None), ("<p " + "a " * 300_000 + ">x", "x"),
+    ("<p><![CDATA[hello world", "hello world"),
+]
+
+
+@pytest.mark.parametrize("i", range(len(LONG)))
+def test_long_and_odd_pages_take_a_few_seconds(i):
+    html, want = LONG[i]
+    start = time.process_time()
+    got = html_extract.extract(html, None)
+    html_extract.votes(html)
+    assert (want is None or got == want) and time.process_time() - start < 20
+
+
 def test_hosts_agree_on_paths(spark):
     usual = "<body><div class='post-{i}'><p>" + "text of the article itself " * 5 + "</p></div><div class='box'><p>{box}</p></div></body>"
     rows = [(i, "http://a.org/x", usual.format(i=i, box="small")) for i in range(9)]
