@@ -141,7 +141,8 @@ def mix_sources(
     slots = slot_table(spark, plans, block_words, blocks_per_shard, seed)
     start = F.greatest(F.col("_block") * block_words, F.col("_pos"))
     stop = F.least(F.col("_block") * block_words + F.col("_len"), F.col("_pos") + F.col("size"))
-    pieces = covered.join(slots, ["_s", "_block"]).withColumn("_words", stop - start).where("_words > 0")
+    # Spark can't see the size of the slots, which grows with the words: they are never to be broadcast.
+    pieces = covered.join(slots.hint("merge"), ["_s", "_block"]).withColumn("_words", stop - start).where("_words > 0")
     pieces = pieces.groupBy("_rid").agg(
         F.sort_array(F.collect_list(F.struct("pass", (start - F.col("_pos")).alias("start"), "shard", "slot", F.col("_words").alias("words")))).alias("pieces"),
         F.sum("_words").alias("taken"),
