@@ -2,14 +2,26 @@
 
 from __future__ import annotations
 
+import numpy as np
+import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
 def expected_errors(qual: Column, offset: int = 33) -> Column:
-    """Sum of the error chances that a Phred string stands for."""
-    chances = F.transform(F.split(qual, ""), lambda c: F.pow(F.lit(10.0), -(F.ascii(c) - offset) / 10.0))
-    return F.when(F.length(qual) == 0, F.lit(0.0)).otherwise(F.aggregate(chances, F.lit(0.0), lambda a, x: a + x))
+    """Sum of the error chances that a Phred string stands for; null for null. One pass over each string's bytes."""
+    chances = 10.0 ** (-(np.arange(128) - offset) / 10.0)
+
+    def total(q: str | None) -> float | None:
+        if q is None or q.isascii():
+            return None if q is None else float(chances[np.frombuffer(q.encode(), np.uint8)].sum())
+        return float((10.0 ** (-(np.frombuffer(q.encode("utf-32-le"), np.uint32) - float(offset)) / 10.0)).sum())
+
+    @F.pandas_udf("double")
+    def errors(quals: pd.Series) -> pd.Series:
+        return pd.Series([total(q) for q in quals], dtype="float64")
+
+    return errors(qual)
 
 
 def hamming(a: Column, b: Column) -> Column:

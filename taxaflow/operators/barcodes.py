@@ -8,20 +8,30 @@ from pyspark.sql import functions as F
 from taxaflow.functions.sequence import hamming
 
 
+#: Stands for a masked place, and for one that a shorter barcode lacks.
+MASK, GONE = "\x01", "\x02"
+
+
+def masked(rows: DataFrame, column: str, size: str, most: int) -> DataFrame:
+    """A row for each way to mask ``most`` places of the first ``size`` characters, with what is left in ``text``."""
+    rows = rows.withColumn("text", F.rpad(F.substring(column, F.lit(1), F.col(size)), F.col(size), F.lit(GONE))).withColumn("_at", F.lit(0))
+    for i in range(most, 0, -1):  # i places are still to be masked, each after the one before; barcodes without them are masked whole
+        places = F.sequence(F.least(F.col("_at") + 1, F.col(size)), F.greatest(F.col(size) - i + 1, F.least(F.col("_at") + 1, F.col(size))))
+        rows = rows.withColumn("_at", F.explode(places)).withColumn("text", F.overlay("text", F.lit(MASK), F.col("_at"), F.lit(1)))
+    return rows.drop("_at")
+
+
 def near_pairs(counts: DataFrame, sample_map: DataFrame, most: int = 2) -> DataFrame:
     """(barcode, n, sample_id, bc, d): every read barcode and map barcode ``bc`` within ``most`` mismatches.
 
-    By the pigeonhole principle such pairs agree in one of most + 1 parts of ``bc`` at the same place, so candidates
-    come from an equi join on (part, text) instead of all pairs; mismatches are then counted over the length of ``bc``.
+    Such a pair is equal once the right ``most`` places are masked, so candidates come from an equi join on masked
+    barcodes, and nearly all of them are pairs. The lengths of the map's barcodes (few) are looked up first: each read
+    barcode is compared over these.
     """
-    parts = most + 1
-    known = sample_map.select("sample_id", F.col("barcode").alias("bc")).withColumn("size", F.length("bc"))
-    edge = lambda i: F.floor(F.col("size") * i / parts).cast("int")
-    bounds = F.array(*[F.struct(F.lit(i).alias("part"), (edge(i) + 1).alias("a"), (edge(i + 1) - edge(i)).alias("w")) for i in range(parts)])
-    known = known.withColumn("b", F.explode(bounds)).select("*", "b.*").drop("b").withColumn("text", F.substring("bc", F.col("a"), F.col("w")))
-    shapes = known.select("size", "part", "a", "w").distinct()
-    seen = counts.crossJoin(F.broadcast(shapes)).withColumn("text", F.substring("barcode", F.col("a"), F.col("w")))  # one row for each barcode length and part
-    pairs = seen.join(known, ["size", "part", "a", "w", "text"]).select("barcode", "n", "sample_id", "bc").distinct()
+    known = sample_map.select("sample_id", F.col("barcode").alias("bc")).where("bc <> ''").withColumn("size", F.length("bc"))
+    sizes = sorted(r[0] for r in known.select("size").distinct().collect())
+    seen = counts.withColumn("size", F.explode(F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>")))
+    pairs = masked(seen, "barcode", "size", most).join(masked(known, "bc", "size", most), ["size", "text"]).select("barcode", "n", "sample_id", "bc").distinct()
     return pairs.withColumn("d", hamming(F.col("bc"), F.col("barcode"))).where(F.col("d") <= most)
 
 

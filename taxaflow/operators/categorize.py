@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -45,8 +47,9 @@ def designate(hits: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFr
     return out.withColumn("initial", F.coalesce("code", F.when(F.col("seen"), "U"), F.lit("N"))).drop("code", "seen")
 
 
-def scores(top: DataFrame) -> DataFrame:
-    """Per query and class X in E, K, R, U: best score bX, hits at it cX, taxids at it nX; and the first U title."""
+def scores(top: DataFrame, phix: Sequence = ()) -> DataFrame:
+    """Per query and class X in E, K, R, U: best score bX, hits at it cX, taxids at it nX; the classes as a sorted code,
+    the first U title, and whether one of the taxids ``phix`` is among the R ones at their best score."""
     over = Window.partitionBy("qseqid", "class")
     best = top.withColumn("_b", F.max("bitscore").over(over)).where(F.col("bitscore") == F.col("_b"))
     cols = []
@@ -54,7 +57,9 @@ def scores(top: DataFrame) -> DataFrame:
         own = F.col("class") == c
         cols += [F.max(F.when(own, F.col("bitscore"))).alias(f"b{c}"), F.coalesce(F.sum(F.when(own, F.col("n"))), F.lit(0)).alias(f"c{c}"), F.count_if(own).alias(f"n{c}")]
     title = F.min_by(F.when(F.col("class") == "U", F.col("title")), F.when(F.col("class") == "U", F.col("hit_ord"))).alias("u_title")
-    return best.groupBy("qseqid").agg(*cols, title)
+    code = F.array_join(F.array_sort(F.collect_set("class")), "").alias("code")
+    phage = F.coalesce(F.bool_or((F.col("class") == "R") & F.col("taxid").isin(list(phix))), F.lit(False)) if phix else F.lit(False)
+    return best.groupBy("qseqid").agg(*cols, code, title, phage.alias("phix"))
 
 
 def decision(code: Column, phix: Column | None = None) -> Column:
@@ -67,7 +72,7 @@ def decision(code: Column, phix: Column | None = None) -> Column:
         "KR": (b["K"] < b["R"]) | ((b["K"] == b["R"]) & (c["K"] <= c["R"])),
         "EU": ((b["E"] < b["U"]) & ((c["E"] <= c["U"]) | (n["E"] < n["U"]))) | ((b["E"] == b["U"]) & F.coalesce(F.col("u_title").rlike("[Cc]hloroplast"), F.lit(False))),
         "KU": ((b["K"] < b["U"]) & (n["K"] < n["U"])) | ((b["K"] == b["U"]) & (n["K"] <= n["U"])),
-        "KRU": (b["K"] < b["R"]) | ((b["K"] <= b["U"]) & phix) | ((b["K"] == b["R"]) & (c["K"] <= 2) & (c["K"] < c["R"])) | (b["K"] == b["R"]) | (phix & (c["R"] > 2)),
+        "KRU": (b["K"] < b["R"]) | ((b["K"] <= b["U"]) & phix) | (b["K"] == b["R"]) | (phix & (c["R"] > 2)),
     }
     out = F.when(code.isin(KEEP_ALWAYS), "K").when(code.isin(REJECT_ALWAYS), "R")
     for k, rule in reject.items():
@@ -75,11 +80,16 @@ def decision(code: Column, phix: Column | None = None) -> Column:
     return out
 
 
-def keep_reject(hits: DataFrame, queries: DataFrame, classes: DataFrame) -> DataFrame:
-    """(qseqid, size, initial, final) of every query, with its scores."""
-    top = scores(top_by_taxid(hit_classes(hits, classes)))
-    both = designate(hits, queries, classes).join(top, "qseqid", "left")
-    return both.withColumn("final", decision(F.col("initial")))
+def keep_reject(hits: DataFrame, queries: DataFrame, classes: DataFrame, phix: Sequence = ()) -> DataFrame:
+    """(qseqid, size, initial, final) of every query, with its scores; hits are classified and grouped once.
+
+    ``phix`` are the taxids of the spiked-in phage: with one of them among a query's best rejected ones, KRU rejects more.
+    """
+    top = scores(top_by_taxid(hit_classes(hits, classes)), phix)
+    seen = hits.select("qseqid").distinct().withColumn("seen", F.lit(True))
+    both = queries.join(top, "qseqid", "left").join(seen, "qseqid", "left")
+    both = both.withColumn("initial", F.coalesce("code", F.when(F.col("seen"), "U"), F.lit("N"))).drop("code", "seen")
+    return both.withColumn("final", decision(F.col("initial"), F.coalesce("phix", F.lit(False)))).drop("phix")
 
 
 def summarize(decided: DataFrame) -> DataFrame:

@@ -26,10 +26,18 @@ def map_sequences(found: DataFrame, units: DataFrame, identity: float = 0.97, mo
     edge = lambda i: F.floor(F.length("unit") * i / (F.col("_e") + 1)).cast("int")
     split = split.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_e")))).withColumn("_a", edge(F.col("_i")) + 1).withColumn("_w", edge(F.col("_i") + 1) - edge(F.col("_i")))
     split = split.withColumn("_part", F.substring("unit", F.col("_a"), F.col("_w")))
-    shapes = split.select("_a", "_w", "_e").distinct()
-    shapes = shapes.withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1), F.col("_a") - F.col("_e")), F.col("_a") + F.col("_e")))).select("_a", "_w", "_at").distinct()
-    windows = rest.join(shapes, F.col("_at") + F.col("_w") - 1 <= F.col("_n")).select("seq", "_a", "_w", F.substring("seq", F.col("_at"), F.col("_w")).alias("_part")).distinct()
-    pairs = windows.join(split, ["_a", "_w", "_part"]).select("seq", "tu_id", "unit", "ord").distinct()
+    split = split.withColumn("_m", F.length("unit"))
+    shapes = split.select("_m", "_a", "_w", "_e").distinct()
+    shapes = shapes.withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1), F.col("_a") - F.col("_e")), F.col("_a") + F.col("_e")))).select("_m", "_a", "_w", "_at").distinct()
+    # Lengths that a unit can have within that identity of the sequence: shapes and sequences are joined by them.
+    if most_edits is None:
+        low, high = F.ceil(F.col("_n") * identity - 1e-9), F.floor(F.col("_n") / identity + 1e-9)
+    else:
+        low, high = F.col("_n") - most_edits, F.col("_n") + most_edits
+    rest = rest.withColumn("_m", F.explode(F.sequence(low.cast("int"), F.greatest(low, high).cast("int"))))
+    windows = rest.join(shapes, "_m").where(F.col("_at") + F.col("_w") - 1 <= F.col("_n"))
+    windows = windows.select("seq", "_m", "_a", "_w", F.substring("seq", F.col("_at"), F.col("_w")).alias("_part")).distinct()
+    pairs = windows.join(split, ["_m", "_a", "_w", "_part"]).select("seq", "tu_id", "unit", "ord").distinct()
     longest = F.greatest(F.length("seq"), F.length("unit"))
     scored = pairs.withColumn("identity", 1 - F.levenshtein("seq", "unit") / longest).where(F.col("identity") >= identity - 1e-12)
     best = scored.groupBy("seq").agg(F.min_by(F.struct("tu_id", "identity"), F.struct((-F.col("identity")).alias("i"), "ord")).alias("b")).select("seq", "b.*")

@@ -2,11 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from taxaflow.operators import categorize, hits, taxonomy
 from taxaflow.plans import adapters as A
 from taxaflow.plans.adapters import sql
+from taxaflow.sources import text
 
 Q, O = {}, {}  # noqa: E741
 
@@ -180,6 +182,20 @@ def keep_reject(s, d):
     return categorize.keep_reject(A.hits(s, d), A.queries_of_hits(s, d), classes(s, d)).select("qseqid", "size", "initial", "final")
 
 
+TITLED = "CASE WHEN CAST(split_part(sseqid, '|', 2) AS BIGINT) % 3 = 0 THEN 'Chloroplast' ELSE stitle END"
+PHIX = SCORED.replace("count(*) AS n FROM (SELECT *, max", f"count(*) AS n, arg_min({TITLED}, hit_ord) AS title, min(hit_ord) AS ho FROM (SELECT *, max").replace(
+    " FROM (SELECT *, max(bitscore) OVER (PARTITION BY qseqid, class)", ", arg_min(title, ho) FILTER (class = 'U') AS u_title, coalesce(bool_or(class = 'R' AND taxid % 10 = 2), false) AS phix FROM (SELECT *, max(bitscore) OVER (PARTITION BY qseqid, class)").replace(
+    "nE < nU) THEN 'R'", "nE < nU) OR (bE = bU AND contains(lower(u_title), 'chloroplast')) THEN 'R'").replace(
+    "CASE WHEN bK <= bR THEN 'R'", "CASE WHEN bK <= bR OR (phix AND (bK <= bU OR cR > 2)) THEN 'R'").replace("GROUP BY ALL", "GROUP BY qseqid, taxid, class, bitscore")
+
+
+@query("keep_reject_phix", sql(PHIX + " SELECT qseqid, size, initial, final FROM kr", "hits", "queries_of_hits"))
+def keep_reject_phix(s, d):
+    title = F.when(F.split("sseqid", r"\|")[1].cast("bigint") % 3 == 0, "Chloroplast").otherwise(F.col("stitle"))
+    phage = [r[0] for r in A.read(s, d, "supplier").where("s_suppkey % 10 = 2").select("s_suppkey").collect()]
+    return categorize.keep_reject(A.hits(s, d).withColumn("stitle", title), A.queries_of_hits(s, d), classes(s, d), phage).select("qseqid", "size", "initial", "final")
+
+
 @query("designation_summary", sql(SCORED + " SELECT initial, final, count(*) AS units, CAST(sum(size) AS BIGINT) AS reads, round(sum(size) / count(*), 6) AS reads_per_unit FROM kr GROUP BY GROUPING SETS ((initial, final), (final), ())", "hits", "queries_of_hits"))
 def designation_summary(s, d):
     out = categorize.summarize(categorize.keep_reject(A.hits(s, d), A.queries_of_hits(s, d), classes(s, d)))
@@ -198,3 +214,16 @@ def suspicious_accessions(s, d):
 def merged_taxids(s, d):
     merged = A.read(s, d, "supplier").select((F.col("s_suppkey") + 100000).alias("old"), F.col("s_suppkey").alias("new"))
     return categorize.with_merged(A.taxid_lists(s, d)[0], merged)
+
+
+@query("hits_by_header", sql("SELECT qseqid, sseqid, bitscore, staxids, row_number() OVER (PARTITION BY qseqid ORDER BY hit_ord) AS place FROM hits", "hits"))
+def hits_by_header(s, d):
+    """Hits written as lines in an order of columns that only their header tells, and read back."""
+    h = A.hits(s, d)
+    cells = F.concat_ws("\t", F.array_join("staxids", ";"), F.col("bitscore").cast("string"), "stitle", "qseqid", "sseqid")
+    order = F.col("qseqid").cast("bigint") * 1000 + F.col("hit_ord")
+    lines = h.select(cells.alias("value"), order.alias("ord"))
+    head = s.createDataFrame([("# Fields: subject tax ids, bit score, subject title, query id, subject id", -1)], "value string, ord bigint")
+    got = text.parse_hits(head.unionByName(lines))[0]
+    place = F.row_number().over(Window.partitionBy("qseqid").orderBy("hit_ord")).cast("bigint")
+    return got.select("qseqid", "sseqid", "bitscore", "staxids", place.alias("place"))

@@ -97,9 +97,14 @@ def write_biom_json(ft: DataFrame) -> DataFrame:
 def parse_hits(lines: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Hits and queries from lines (value, ord) of the commented hit format; queries without hits are in the second.
 
-    A ``# Fields:`` line isn't needed, since the order of columns is given. Rows of fewer columns are left out.
+    The order of columns is the one given, else that of the ``# Fields:`` lines, else ``HIT_COLUMNS``; lines that say
+    different orders are refused, since rows don't tell which one is theirs. Rows of fewer columns are left out.
     """
-    columns = columns or HIT_COLUMNS
+    if columns is None:
+        said = [fields_of(r[0]) for r in lines.where(F.col("value").startswith("# Fields:")).select(F.regexp_replace("value", "\r$", "")).distinct().limit(2).collect()]
+        if len(said) > 1:
+            raise ValueError("hit lines of different columns; read the files one by one")
+        columns = said[0] if said else HIT_COLUMNS
     queries = lines.where(F.col("value").startswith("# Query:")).select(parse_query_line(F.col("value")).alias("q"), F.col("ord").alias("q_ord")).select("q.*", "q_ord")
     cells = lines.where(~F.col("value").startswith("#") & (F.trim("value") != "")).select(F.split(F.regexp_replace("value", "\r$", ""), "\t").alias("c"), F.col("ord").alias("hit_ord"))
     cells = cells.where(F.size("c") >= len(columns)).select(*[F.get("c", F.lit(i)).alias(n) for i, n in enumerate(columns)], "hit_ord")

@@ -96,6 +96,35 @@ def test_rescue_is_unique_nearest(spark):
     assert {r.barcode for r in found.where("kind = 'bc'").collect()} == set(known)
 
 
+@pytest.mark.parametrize("most", [0, 1, 2, 3])
+def test_near_barcodes_are_all_pairs_within_the_distance(spark, most):
+    rng = random.Random(most)
+    make = lambda: "".join(rng.choice("AC") for _ in range(rng.randint(1, 7)))
+    known, seen = {make() for _ in range(25)}, {make() for _ in range(60)} | {""}
+    smap = spark.createDataFrame([(k, k) for k in known] + [("none", ""), ("null", None)], "sample_id string, barcode string")
+    got = barcodes.near_pairs(spark.createDataFrame([(b, 1) for b in seen], "barcode string, n long"), smap, most)
+    distance = lambda a, b: sum(i >= len(b) or a[i] != b[i] for i in range(len(a)))
+    assert sorted((r.barcode, r.bc, r.d) for r in got.collect()) == sorted((b, k, distance(k, b)) for b in seen for k in known if distance(k, b) <= most)
+    assert barcodes.near_pairs(spark.createDataFrame([("A", 1)], "barcode string, n long"), smap.limit(0), most).count() == 0
+
+
+def test_expected_errors_of_odd_strings(spark):
+    rows = spark.createDataFrame([("",), (None,), ("!",), ("é",)], "q string").select(sequence.expected_errors(F.col("q")).alias("e")).collect()
+    assert [r.e for r in rows] == [0.0, None, 1.0, pytest.approx(10 ** (-(ord("é") - 33) / 10))]
+
+
+def test_phage_hits_reject_more(spark):
+    def final(*hits_, phix=(9,)):
+        rows = [("q", f"a{i}", float(b), [str(t)], "t", i) for i, (t, b) in enumerate(hits_)]
+        h = spark.createDataFrame(rows, "qseqid string, sseqid string, bitscore double, staxids array<string>, stitle string, hit_ord long")
+        known = spark.createDataFrame([(1, "K"), (9, "R"), (8, "R")], "taxid long, class string")
+        return categorize.keep_reject(h, spark.createDataFrame([("q", 1)], "qseqid string, size long"), known, phix).first().final
+
+    assert final((1, 50), (9, 40), (5, 60)) == "R" and final((1, 50), (9, 40), (5, 60), phix=()) == "K"  # phage, and no better than an unknown
+    assert final((1, 70), (9, 40), (9, 40), (9, 40), (5, 60)) == "R" and final((1, 70), (9, 40), (5, 60)) == "K"  # three phage hits
+    assert final((1, 50), (8, 40), (5, 60)) == "K"
+
+
 def test_merge_identical_keeps_first_seen_order(spark):
     s = spark.createDataFrame([("b", "acg", 2), ("a", "ACG", 1), ("c", "CGT", 3)], "id string, seq string, ord long")
     assert sorted((r.id, r.seq) for r in derep.merge_identical(s).collect()) == [("a,b", "ACG"), ("c", "CGT")]

@@ -58,7 +58,7 @@ def test_biom_json_round_trip(spark, tmp_path):
 
 
 def test_hits(spark, tmp_path):
-    body = "# BLASTN 2\n# Query: Otu1;size=5;\n# Fields: query id, subject id, % identity\n# 1 hits found\nOtu1\tgb|A|\t99.5\t100\t1\t1e-5\t180\t7;8\ttitle x\t100\n# BLASTN 2\n# Query: Otu2;size=3;\n# 0 hits found\nOtu1\tshort\n"
+    body = "# BLASTN 2\n# Query: Otu1;size=5;\n# Fields: query id, subject id, % identity, alignment length, mismatches, evalue, bit score, subject tax ids, subject title, % query coverage per subject\n# 1 hits found\nOtu1\tgb|A|\t99.5\t100\t1\t1e-5\t180\t7;8\ttitle x\t100\n# BLASTN 2\n# Query: Otu2;size=3;\n# 0 hits found\nOtu1\tshort\n"
     hits, queries = text.read_hits(spark, write(tmp_path / "h.txt", body))
     r = hits.collect()
     assert len(r) == 1 and r[0].staxids == ["7", "8"] and r[0].bitscore == 180.0
@@ -66,6 +66,14 @@ def test_hits(spark, tmp_path):
     assert text.fields_of("# Fields: query id, bit score") == ["qseqid", "bitscore"]
 
 
+def test_hits_by_their_header(spark, tmp_path):
+    body = "# Query: q\n# Fields: bit score, query id, extra\r\n12.5\tq\tx\n# Fields: bit score, query id, extra\n8\tq\ty\n"
+    hits, _ = text.read_hits(spark, write(tmp_path / "h.txt", body))
+    assert sorted(tuple(r)[:3] for r in hits.collect()) == [(8.0, "q", "y"), (12.5, "q", "x")] and hits.columns == ["bitscore", "qseqid", "extra", "hit_ord"]
+    with pytest.raises(ValueError):
+        text.read_hits(spark, write(tmp_path / "two.txt", body + "# Fields: query id, bit score\n"))
+
+
 def test_taxonomy_files(spark, tmp_path):
     xml = "<TaxaSet><Taxon><TaxId>5</TaxId><ScientificName>G a</ScientificName><Rank>genus</Rank><ParentTaxId>3</ParentTaxId><LineageEx><Taxon><TaxId>2</TaxId><ScientificName>Bacteria</ScientificName><Rank>domain</Rank></Taxon><Taxon><TaxId>3</TaxId><ScientificName>P</ScientificName><Rank>phylum</Rank></Taxon></LineageEx></Taxon></TaxaSet>"
     got = {r.taxid: (r.parent, r.rank) for r in text.read_taxonomy_xml(spark, write(tmp_path / "t.xml", xml)).collect()}
