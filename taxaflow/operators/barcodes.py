@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaflow.functions.sequence import hamming
@@ -21,6 +21,13 @@ def masked(rows: DataFrame, column: str, size: str, most: int) -> DataFrame:
     return rows.drop("_at")
 
 
+def mismatches(bc: Column, barcode: Column, longest: int) -> Column:
+    """``hamming`` as a plain sum over the places of barcodes up to ``longest`` characters."""
+    if longest > 64:
+        return hamming(bc, barcode)
+    return sum(((F.substring(bc, i, 1) != F.substring(barcode, i, 1)) & (F.length(bc) >= i)).cast("int") for i in range(1, longest + 1)) + F.lit(0)
+
+
 def near_pairs(counts: DataFrame, sample_map: DataFrame, most: int = 2) -> DataFrame:
     """(barcode, n, sample_id, bc, d): every read barcode and map barcode ``bc`` within ``most`` mismatches.
 
@@ -32,7 +39,7 @@ def near_pairs(counts: DataFrame, sample_map: DataFrame, most: int = 2) -> DataF
     sizes = sorted(r[0] for r in known.select("size").distinct().collect())
     seen = counts.withColumn("size", F.explode(F.array(*map(F.lit, sizes)) if sizes else F.array().cast("array<int>")))
     pairs = masked(seen, "barcode", "size", most).join(masked(known, "bc", "size", most), ["size", "text"]).select("barcode", "n", "sample_id", "bc").distinct()
-    return pairs.withColumn("d", hamming(F.col("bc"), F.col("barcode"))).where(F.col("d") <= most)
+    return pairs.withColumn("d", mismatches(F.col("bc"), F.col("barcode"), sizes[-1] if sizes else 0)).where(F.col("d") <= most)
 
 
 def collisions(counts: DataFrame, sample_map: DataFrame, most: int = 2) -> DataFrame:
