@@ -149,7 +149,7 @@ def near_copies(
     only: units first drop members without such pairs, then texts are joined to what is left. Units return counts of
     links and a spanning forest, never pairs.
 
-    Null and empty texts, and ones without words, have no shingles: they are linked to nothing, not even to each other,
+    Texts of any length are taken whole. Null and empty ones, and ones without words, have no shingles: they are linked to nothing, not even to each other,
     and are classes of their own with n_links 0. Texts of fewer than ``width`` words have one shingle, the whole. Null
     keys are kept and count as documents, but name a class only if no other key does. Repeated rows are copies. An empty
     table gives an empty result; extra columns are ignored.

@@ -134,7 +134,8 @@ def encode_texts(model: Pieces, texts: list) -> pa.Array:
 def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids", chunk_chars: int = 32_768) -> DataFrame:
     """Adds ``ids``: the SentencePiece ids of each whole text, as the model's own encoder gives them.
 
-    Texts up to ``chunk_chars`` characters are one chunk. Longer ones are cut into chunks of that many characters,
+    Texts up to ``chunk_chars`` characters are one chunk: it has one state at either end, nothing to settle, and is traced
+    at once. Longer ones are cut into chunks of that many characters,
     wherever the cuts fall. Each chunk yields the transfer matrix between the states at its ends; a text's matrices are
     combined associatively, which settles the state at each cut; then every chunk traces its own part back. Equal giant
     texts are encoded once. Only matrices (a small share of a text) meet in one task.
@@ -201,7 +202,9 @@ def lists(rows: list) -> pa.Array:
 
 
 def decode(docs: DataFrame, model: bytes, *, ids: str = "ids", text: str = "text") -> DataFrame:
-    """Adds ``text``: what the ids spell. Bytes that aren't UTF-8 become U+FFFD; null ids give null.
+    """Adds ``text``: what the ids spell. Bytes that aren't UTF-8 become U+FFFD; null ids give null, empty lists an empty
+    text, long lists one text, repeated rows the same; an empty table gives an empty result; other columns stay and one
+    named like ``text`` is replaced.
 
     Encoding and decoding give back every text that has no U+2581 of its own (it reads as a blank).
     """

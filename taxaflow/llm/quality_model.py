@@ -142,8 +142,8 @@ def fit_scorer(
     """Fits the whole model.
 
     Votes are counted by pattern over all documents (3^9 patterns at most reach the driver), EM gives each pattern its
-    posterior, and the linear scorer is trained on at most ``sample_rows`` documents chosen by hash with these
-    posteriors as soft labels. Its threshold covers all labelled documents: at most ``good_loss`` of the good ones
+    posterior, and the linear scorer is trained on distinct texts chosen by hash, about ``sample_rows`` of the documents
+    at most whatever their number, with these posteriors as soft labels. Its threshold covers all labelled documents: at most ``good_loss`` of the good ones
     score above it. Without good or bad labels the threshold is 0.5. Returns the scorer and the table (key, score) of
     all documents.
     """
@@ -167,7 +167,7 @@ def fit_scorer(
     share = min(1.0, sample_rows / int(counts["count"].sum()))
     hashed = F.xxhash64(F.lit(seed), text)
     picked = docs.where(hashed <= int(share * 2**52) * 2**12 - 2**63 - 1).select(text, hashed.alias("_h")).dropDuplicates(["_h"])
-    picked = map_columns(picked, [], [text], "code long, at binary, x binary", sample).limit(2 * sample_rows).toPandas().sort_values(["code", "at", "x"])
+    picked = map_columns(picked, ["_h"], [text], "code long, at binary, x binary", sample).toPandas().sort_values("_h")
     rows = [(np.frombuffer(a, "<u2").astype(np.int64), np.frombuffer(x, "<f4").astype(float)) for a, x in zip(picked["at"], picked["x"])]
     scorer = Scorer(fit_linear(rows, weak.posterior(picked["code"].to_numpy(np.int64))))
     scores = materialize(map_columns(docs, [key], [text], "score double", lambda texts: [scorer.score(texts)]), "quality-scores")
@@ -182,7 +182,7 @@ def fit_scorer(
 def classify(docs: DataFrame, labels: DataFrame | None, *, key: str = "doc_id", **options) -> DataFrame:
     """key, score (chance of being bad) and kept of every row of ``docs``.
 
-    Null and empty texts have no features and get the bias alone; null keys, repeated rows and ties are scored like any
+    Null and empty texts have no features and get the bias alone, long ones are read whole; null keys, repeated rows and ties are scored like any
     other; an empty table gives an empty result; extra columns are ignored.
     """
     scorer, scores = fit_scorer(docs, labels, key=key, **options)

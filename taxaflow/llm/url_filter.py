@@ -92,7 +92,7 @@ def judge_urls(
     With null ``rounds`` propagation goes on until it has converged; ``sql`` stops after a number of rounds.
 
     ``rules`` are configuration, held in the plan. Null urls and ones without ``://`` have empty host and path, fit no
-    rule and are allowed; null html has no links; repeated rows and null keys are judged like any other; an empty table
+    rule and are allowed; null html has no links, long pages are read whole; repeated rows and null keys are judged like any other; an empty table
     gives an empty result; extra columns are ignored.
     """
     pages = tidy(pages, [key, url, html])

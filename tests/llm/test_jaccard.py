@@ -1,4 +1,5 @@
 import random
+from collections import Counter
 
 import numpy as np
 import pytest
@@ -96,3 +97,17 @@ def test_components_of_long_chains(spark):
     got = jf.components(spark.createDataFrame(edges, "a binary, b binary")).collect()
     roots = {bytes(r.node): bytes(r.root) for r in got}
     assert {roots[n] for n in names[:101]} == {min(names[:101])} and {roots[n] for n in names[101:]} == {min(names[101:])}
+
+
+def test_recall_on_the_documents(spark):
+    rows = spark.read.parquet("/root/testdata/sf0.01/documents.parquet").select("doc_id", "text").collect()
+    sets, holders = [set(jf.shingles(r.text, 5).tolist()) for r in rows], {}
+    for i, s in enumerate(sets):
+        for x in s:
+            holders.setdefault(x, []).append(i)
+    both = Counter((i, j) for h in holders.values() for a, i in enumerate(h) for j in h[a + 1 :])
+    links = Counter(k for (i, j), n in both.items() if n >= 0.8 * (len(sets[i]) + len(sets[j]) - n) - 1e-9 for k in (i, j))
+    got = {r.doc_id: r.n_links for r in jf.near_copies(spark.createDataFrame(rows)).collect()}
+    found, want = sum(got.values()), sum(links.values())
+    print(f"recall over {len(rows)} documents: {found} of {want} links")
+    assert all(got[r.doc_id] <= links[i] for i, r in enumerate(rows)) and found >= 0.999 * want > 0

@@ -147,3 +147,10 @@ def test_op1_on_its_table(spark):
     for r in rows:
         taken[r.source] += r.taken
     assert len(rows) == len(texts) and all(abs(taken[r.source] - r.target) <= 0.5 for r in rows)
+
+
+def test_op2_takes_null_and_empty_texts(spark, tmp_path):
+    rows = [(1, None, "a"), (2, "", None), (None, "é" * 70_000, "b"), (None, "é" * 70_000, "b"), (3, "x", "a")]
+    spark.createDataFrame(rows, "doc_id long, text string, source string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = sorted(((r.doc_id or 0, r["size"], r.text_crc32) for r in queries.op2_shard(spark, str(tmp_path)).collect()))
+    assert got == [(0, 140_001, zlib.crc32(("é" * 70_000).encode()))] * 2 + [(1, 1, 0), (2, 1, 0), (3, 2, zlib.crc32(b"x"))]

@@ -95,3 +95,52 @@ def test_classifier_on_odd_rows(spark):
     assert len(got) == len(ODD) and all(r.score is not None for r in got)
     assert quality_model.classify(docs.where("false"), None).count() == 0
     assert quality_model.keep_documents(docs, None).columns == docs.columns
+
+
+def test_op8_verdicts_equal_a_plain_forest(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    labels = spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality")
+    rules = quality_rules.fit_rules(quality_rules.with_statistics(docs, ["doc_id"]), labels)
+
+    def path(tree, x, at=0):
+        feature, cut, left, right, length = tree
+        return length[at] if feature[at] < 0 else path(tree, x, left[at] if x[feature[at]] < cut[at] else right[at])
+
+    texts, odd = {r.doc_id: r.text for r in docs.collect()}, 0
+    for r in queries.op8_rules(spark, SF).collect()[::5]:
+        x = quality_rules.statistics(texts[r.doc_id])[5:]
+        score = 2 ** -(np.mean([path(t, x) for t in rules.forest.trees]) / rules.forest.norm)
+        odd += score > rules.threshold
+        assert abs(score - rules.threshold) < 1e-9 or r.kept == (not r.base_failed and score <= rules.threshold)
+    assert 0 < odd and len(rules.forest.trees) == 300
+
+
+def test_op7_equals_plain_counting(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    scorer, scores = quality_model.fit_scorer(docs, spark.read.parquet(f"{SF}/labels.parquet").select("doc_id", "quality"))
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    rows = queries.op7_quality(spark, SF).collect()
+    assert len(rows) == len(texts) and 0 < sum(not r.kept for r in rows) < len(rows) / 2
+
+    def at(word):
+        return int(quality_model.mix64(np.array([word], np.uint64))[0] % quality_model.DIMS)
+
+    from xxhash import xxh3_64_intdigest as h
+
+    for r in rows[::20]:
+        words, last, total = texts[r.doc_id].encode().split(), None, 0.0
+        for w in words:
+            shape = re.sub(rb"(.)\1+", rb"\1", re.sub(rb"[a-z\x80-\xff]", b"a", re.sub(rb"[A-Z]", b"A", re.sub(rb"[0-9]", b"9", w))), flags=re.S)
+            total += scorer.weights[0 if w == last else h(w) % quality_model.DIMS] + scorer.weights[at(h(shape))]
+            last = w
+        score = 1 / (1 + np.exp(np.clip(total / max(len(words), 1) + scorer.weights[-1], -500, 500)))
+        assert abs(score - r.score) < 1e-9 and (abs(score - scorer.threshold) < 1e-9 or r.kept == (score <= scorer.threshold))
+
+
+def test_posteriors_equal_bayes():
+    codes = np.arange(27)
+    model = quality_model.fit_weak_labels(codes, np.arange(1, 28), 3)
+    for code, p in zip(codes, model.posterior(codes)):
+        votes = [code // 3**k % 3 for k in range(3)]
+        bad, good = (share * np.prod([model.table[c, k, v] for k, v in enumerate(votes)]) for c, share in ((0, 1 - model.prior), (1, model.prior)))
+        assert abs(p - good / (good + bad)) < 1e-9
