@@ -90,6 +90,21 @@ def needs_deeper(hits: DataFrame, queries: DataFrame, least_share: float = 0.01,
     return large.join(not_enough_hits(hits, mode).select("qseqid"), "qseqid", "left_semi")
 
 
+def deepen(first: DataFrame, queries: DataFrame, search, least_share: float = 0.01, mode: str = "documented", rounds: int = 1) -> tuple[DataFrame, DataFrame]:
+    """Hits after searching again, and the queries that would still need it.
+
+    Queries whose hits are too alike (see ``needs_deeper``) go to ``search``, a function from queries and round to their
+    hits at a greater depth, for as many rounds as depths are left. Its hits are added to those of the rounds before.
+    """
+    every, last = first, first
+    need = needs_deeper(last, queries, least_share, mode)
+    for i in range(rounds):
+        last = search(need, i + 1)
+        every = every.unionByName(last)
+        need = needs_deeper(last, queries, least_share, mode)
+    return every, need
+
+
 def genus_filter(hits: DataFrame, genera: list[str], titles: int = 50, top: int = 10, majority: int = 6) -> DataFrame:
     """(qseqid, n_hits, named, most, passes): whether a query may belong to the genera.
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.functions.ordering import row_number
 from taxaflow.functions.sequence import count_char, expected_errors, has_run, kmers, reverse_complement
 
 
@@ -106,3 +107,13 @@ def samples_of_groups(sample_map: DataFrame, group: str) -> DataFrame:
 def to_fasta(reads: DataFrame, key: str = "read_id") -> DataFrame:
     """Records as text, one in each row."""
     return reads.select(F.concat(F.lit(">"), F.col(key), F.lit("\n"), F.col("seq")).alias("value"))
+
+
+def only_ids(seqs: DataFrame, ids: DataFrame, key: str = "id") -> DataFrame:
+    """The records whose id is listed."""
+    return seqs.join(ids.select(F.col(ids.columns[0]).alias(key)).distinct(), key, "left_semi")
+
+
+def sorted_ids(rows: DataFrame, key: str = "id") -> DataFrame:
+    """(id, place): distinct ids in order, numbered from 1."""
+    return row_number(rows.select(F.col(key).alias("id")).where("id is not null").distinct(), [F.col("id").asc()], "place")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaflow.operators.table import SAMPLE, TU, average_abundance, with_total_row
@@ -76,3 +76,44 @@ def label_ids(table: DataFrame, labels: DataFrame, column: str = TU) -> DataFram
     """Prefixes ids that are labelled (id, label) in a column: ``<label>-<id>``."""
     known = labels.select(F.col("id").alias(column), "label")
     return table.join(known, column, "left").withColumn(column, F.concat_ws("-", "label", column)).drop("label")
+
+
+def label_cells(table: DataFrame, labels: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """``label_ids`` in every string column (or those given): cells that equal a listed id get its label before them."""
+    for c in columns or [n for n, kind in table.dtypes if kind == "string"]:
+        table = label_ids(table, labels, c)
+    return table
+
+
+#: Column names and id prefixes of other programs and what tables call them here.
+HEADERS = {"#OTU": "#ASV", "#OTU ID": "#ASV ID", "Feature ID": "#OTU ID", "Taxon": "taxonomy"}
+PREFIXES = {"Zotu": "Asv"}
+
+
+def rename_headers(table: DataFrame, names: dict[str, str] | None = None) -> DataFrame:
+    return table.withColumnsRenamed(HEADERS if names is None else names)
+
+
+def rename_ids(column: Column) -> Column:
+    """Ids with the prefixes of other programs replaced."""
+    for old, new in PREFIXES.items():
+        column = F.regexp_replace(column, f"^{old}", new)
+    return column
+
+
+def general(x: Column) -> Column:
+    """A number with six significant digits, without zeros at its end, as C's ``%g`` writes it (numbers whose
+    shortest decimal form lies half way between two are rounded up)."""
+    x = x.cast("double")
+    exact = F.format_string("%.5e", x)
+    power = F.regexp_extract(exact, "e([+-][0-9]+)$", 1).cast("int")
+    bare = lambda c: F.regexp_replace(F.regexp_replace(c, r"(\.[0-9]*?)0+$", "$1"), r"\.$", "")
+    fixed = bare(exact.try_cast("decimal(38,18)").cast("string"))
+    written = F.when((power >= -4) & (power < 6), fixed).otherwise(F.concat(bare(F.regexp_extract(exact, "^([^e]*)", 1)), F.regexp_extract(exact, "(e.*)$", 1)))
+    odd = F.when(F.isnan(x), "nan").when(x == float("inf"), "inf").when(x == float("-inf"), "-inf").when(x == 0, "0")
+    return F.when(x.isNotNull(), F.coalesce(odd, written))
+
+
+def rendered(vector: Column) -> Column:
+    """An array of numbers as text, joined by commas."""
+    return F.array_join(F.transform(vector, general), ",", "nan")

@@ -96,6 +96,17 @@ def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high:
     return found.withColumn("p", norm_pvalue(t_statistic(F.col("rho"), F.col("n")))).where(F.col("p") <= most_p)
 
 
+def abundant_in_sets(ft: DataFrame, sets: DataFrame, least: float, value: str = "n") -> DataFrame:
+    """(set, tu_id, mean) of units whose mean over a set's samples, absent cells as zeros, is ``least`` or more.
+
+    ``sets`` lists samples (sample_id, set); each set is filtered by its own means.
+    """
+    sets = sets.select(SAMPLE, "set").distinct()
+    sizes = sets.groupBy("set").agg(F.count(F.lit(1)).alias("_n"))
+    sums = ft.join(sets, SAMPLE).groupBy("set", TU).agg(F.sum(value).alias("_sum"))
+    return sums.join(sizes, "set").select("set", TU, (F.col("_sum") / F.col("_n")).alias("mean")).where(F.col("mean") >= least)
+
+
 def fold_changes(means: DataFrame, treatment: str, group: str, before: str, after: str) -> DataFrame:
     """(tu_id, group, before, after, change): mean after over mean before, where a group has both."""
     one = means.where(F.col(treatment) == before).select(TU, group, F.col("mean").alias("before"))

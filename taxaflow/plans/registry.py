@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from taxaflow.plans import searches, sequencing, tables
+from taxaflow.plans import lists, searches, sequencing, tables
 
-QUERIES: dict = {**tables.Q, **searches.Q, **sequencing.Q}
-ORACLES: dict[str, str] = {**tables.O, **searches.O, **sequencing.O}
+QUERIES: dict = {**tables.Q, **searches.Q, **sequencing.Q, **lists.Q}
+ORACLES: dict[str, str] = {**tables.O, **searches.O, **sequencing.O, **lists.O}

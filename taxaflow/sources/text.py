@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.staging import materialize
 from taxaflow.operators.hits import parse_query_line
 from taxaflow.operators.table import long
 
@@ -42,8 +43,8 @@ def read_map(spark: SparkSession, path: str) -> DataFrame:
 
 
 def barcode_fasta(sample_map: DataFrame) -> DataFrame:
-    """The map's barcodes as FASTA records."""
-    return sample_map.select(F.concat(F.lit(">"), "sample_id", F.lit("\n"), "barcode").alias("value"))
+    """The map's barcodes as FASTA records; lines that don't begin with a capital letter (so comments) are left out."""
+    return sample_map.where(F.col("sample_id").rlike("^[A-Z]")).select(F.concat(F.lit(">"), "sample_id", F.lit("\n"), "barcode").alias("value"))
 
 
 def _table_lines(spark: SparkSession, path: str) -> tuple[list[str], DataFrame]:
@@ -151,6 +152,17 @@ def new_taxids(cache: DataFrame, wanted: DataFrame) -> DataFrame:
     return wanted.select("taxid").distinct().join(cache, "taxid", "left_anti")
 
 
+def through_cache(cache: DataFrame, wanted: DataFrame, resolve) -> tuple[DataFrame, DataFrame]:
+    """The lineages (taxid, lineage) of the wanted ids, and the cache with those that it lacked.
+
+    ``resolve`` gets a table of the missing ids (taxid) and gives their lineages; ids that it doesn't know stay unknown
+    and are asked for again. What it gives is written down once, so that both results hold the same.
+    """
+    found = resolve(new_taxids(cache, wanted)).select("taxid", "lineage").dropDuplicates(["taxid"])
+    both = materialize(cache.select("taxid", "lineage").unionByName(found), "taxonomy-cache")
+    return both.join(wanted.select("taxid").distinct(), "taxid", "left_semi"), both
+
+
 def read_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
     """The first tab-separated cell of each line that isn't blank."""
     return spark.read.text(path).select(F.trim(F.get(F.split("value", "\t"), F.lit(0))).alias(name)).where(F.col(name) != "")

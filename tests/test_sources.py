@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from taxaflow.operators import reads
+from taxaflow.operators import reads, report
 from taxaflow.plans import config, pipeline
 from taxaflow.sources import fastq, sinks, text
 from taxaflow.streaming import counts
@@ -132,3 +132,23 @@ def test_streaming_counts(spark, tmp_path):
 def test_group_samples(spark):
     smap = spark.createDataFrame([("s2", "g"), ("s1", "g"), ("s3", None)], "sample_id string, soil string")
     assert [tuple(r) for r in reads.samples_of_groups(smap, "soil").collect()] == [("g", "s1,s2")]
+
+
+def test_numbers_in_general_form(spark):
+    values = [0.1, 123456789.0, 1e-5, 100000.0, 999999.5, 0.000123456789, -2.5, 0.0, 1e300, None, float("nan"), float("-inf"), 12.0, 1200.0]
+    got = spark.createDataFrame([(values,)], "v array<double>").select(report.rendered(F.col("v")).alias("s")).first().s
+    assert got == ",".join("nan" if v is None else f"{v:g}" for v in values)
+
+
+def test_the_cache_takes_what_it_lacked(spark):
+    cache = spark.createDataFrame([("1", ["a"]), ("9", ["z"])], "taxid string, lineage array<string>")
+    wanted = spark.createDataFrame([("1",), ("2",), ("2",), ("3",)], "taxid string")
+    asked = []
+
+    def resolve(missing):
+        asked.extend(sorted(r.taxid for r in missing.collect()))
+        return missing.where("taxid = '2'").withColumn("lineage", F.array(F.lit("b")))
+
+    got, after = text.through_cache(cache, wanted, resolve)
+    assert asked == ["2", "3"] and sorted((r.taxid, r.lineage[0]) for r in got.collect()) == [("1", "a"), ("2", "b")]
+    assert sorted(r.taxid for r in after.collect()) == ["1", "2", "9"]
