@@ -1,7 +1,9 @@
-"""N-gram Jaccard join by MinHash bands of fixed depth with exact verification."""
+"""N-gram Jaccard join by a MinHash LSH forest with exact verification."""
 
 from __future__ import annotations
 
+import functools
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
@@ -11,10 +13,10 @@ from pyspark.sql import types as T
 from .common import map_columns, materialize, mix64, shingle_hashes, tidy, word_hashes
 
 
-def matched_prefix(similarity: float, trees: int, recall: float, longest: int) -> int:
-    """The longest prefix on which pairs of that similarity agree in one tree at least with chance ``recall``.
+def shortest_prefix(similarity: float, trees: int, recall: float, longest: int) -> int:
+    """The greatest depth up to ``longest`` at which a pair of that very similarity meets in some tree with chance ``recall``.
 
-    Matched prefixes start at ``longest`` hashes and are shortened by one until the chance is reached.
+    Prefixes never need to be shorter, whatever the data hold.
     """
     for depth in range(longest, 1, -1):
         if 1 - (1 - similarity**depth) ** trees >= recall:
@@ -28,42 +30,87 @@ def shingles(text: str | None, width: int) -> np.ndarray:
 
 
 class Forest:
-    """Signatures: ``trees`` labels of ``depth`` min-hashes each, a label given as one hash of its values."""
+    """Signatures: for each of ``trees`` trees a path of ``longest`` steps, each step two bytes of a min-hash.
+
+    Steps are stored with the high byte first, so that paths sorted as bytes are a trie. Min-hashes are of 32 bits; in
+    sets of many millions of shingles they collide more often, which only costs verification.
+    """
 
-    def __init__(self, trees: int, depth: int, seed: int):
+    def __init__(self, trees: int, longest: int, seed: int):
         rng = np.random.default_rng(seed)
-        self.trees, self.depth = trees, depth
-        self.a = rng.integers(0, 2**63, trees * depth, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
-        self.b = rng.integers(0, 2**63, trees * depth, dtype=np.uint64)
-
-    def labels(self, sets: np.ndarray) -> np.ndarray:
-        low = np.full(len(self.a), np.iinfo(np.uint64).max, np.uint64)
-        with np.errstate(over="ignore"):
-            for at in range(0, len(sets), 4096):
-                x = sets[at : at + 4096, None] * self.a + self.b
-                low = np.minimum(low, (x ^ (x >> np.uint64(32))).min(0))
-            label = np.arange(self.trees, dtype=np.uint64)
-            for k in range(self.depth):
-                label = mix64(label ^ low[k :: self.depth])
-        return label
-
-
-def first_shared(p: np.ndarray, q: np.ndarray, tree: int) -> np.ndarray:
-    """Which pairs of rows of p and q agree in ``tree`` and in no tree before it."""
-    new = p[:, None, tree] == q[None, :, tree]
+        self.trees, self.longest = trees, longest
+        self.a = rng.integers(0, 2**31, trees * longest, dtype=np.uint32) * np.uint32(2) + np.uint32(1)
+        self.b = rng.integers(0, 2**32, trees * longest, dtype=np.uint32)
+
+    def signature(self, sets: np.ndarray) -> np.ndarray:
+        low, x = np.full(len(self.a), np.iinfo(np.uint32).max, np.uint32), (sets ^ (sets >> np.uint64(32))).astype(np.uint32)
+        for at in range(0, len(x), 1024):
+            h = x[at : at + 1024, None] * self.a
+            h += self.b
+            np.minimum(low, h.min(0), out=low)
+        return (mix64(low) >> np.uint64(48)).astype(">u2").reshape(self.trees, self.longest)
+
+    def read(self, signatures: list[bytes]) -> np.ndarray:
+        return np.frombuffer(b"".join(signatures), ">u2").astype(np.uint16).reshape(-1, self.trees, self.longest)
+
+
+def nodes(paths: np.ndarray, depth: int) -> np.ndarray:
+    """For each member and tree, the node at ``depth`` that its path goes through, as a hash."""
+    label = np.zeros(paths.shape[:2], np.uint64)
+    for k in range(depth):
+        label = mix64(label ^ paths[:, :, k])
+    return label
+
+
+def first_shared(p: np.ndarray, tree: int) -> np.ndarray:
+    """Which pairs of rows of p agree in ``tree`` and in no tree before it."""
+    new = p[:, None, tree] == p[None, :, tree]
     for t in range(tree):
         if not new.any():
             break
-        new &= p[:, None, t] != q[None, :, t]
+        new &= p[:, None, t] != p[None, :, t]
     return new
 
 
-def new_pairs(labels: np.ndarray, block: np.ndarray, tree: int, cross: bool) -> np.ndarray:
-    """Pairs (upper triangle) that this unit has to verify: others were met in an earlier tree or belong to another unit."""
-    new = np.triu(first_shared(labels, labels, tree), 1)
+def new_pairs(paths: np.ndarray, block: np.ndarray, tree: int, depth: int, cross: bool) -> np.ndarray:
+    """Pairs (upper triangle) that meet in this unit first: no longer prefix and no earlier tree brings them together."""
+    new = np.triu(first_shared(nodes(paths, depth), tree), 1)
+    if depth < paths.shape[2]:
+        deeper = nodes(paths, depth + 1)
+        for t in range(paths.shape[1]):
+            if not new.any():
+                break
+            new &= deeper[:, None, t] != deeper[None, :, t]
     return new & (block[:, None] != block[None, :]) if cross else new
 
 
+#: Steps in which similarities between the threshold and 1 are counted.
+BINS = 40
+
+
+def similarity_counts(paths: np.ndarray, pairs: np.ndarray, similarity: float) -> np.ndarray:
+    """How many of the pairs seem to be links, by similarity from the threshold (bin 0) to 1.
+
+    A pair's similarity is the share of equal steps less its standard error. Pairs up to two standard errors below the
+    threshold count as being at it.
+    """
+    flat, counts = paths.reshape(len(paths), -1), np.zeros(BINS + 1, np.int64)
+    for at in range(0, len(pairs), 8192):
+        i, j = pairs[at : at + 8192].T
+        s = (flat[i] == flat[j]).mean(1)
+        s = s - np.sqrt(s * (1 - s) / flat.shape[1])
+        s = s[s >= similarity - 3 * np.sqrt(similarity * (1 - similarity) / flat.shape[1])]
+        counts += np.bincount(np.maximum((s - similarity) / (1 - similarity) * BINS, 0).astype(int), minlength=BINS + 1)
+    return counts
+
+
+def expected_recall(counts: np.ndarray, depth: int, similarity: float, trees: int) -> float:
+    """The share of the links that prefixes of at least ``depth`` hashes have met, going by those met: links of
+    similarity s meet with chance p = 1 - (1 - s^depth)^trees, so that each stands for 1 / p. 0 if none has been met."""
+    s = similarity + (1 - similarity) * np.arange(BINS + 1) / BINS
+    return float(counts.sum() / max((counts / (1 - (1 - s**depth) ** trees)).sum(), 1))
+
+
 def common_counts(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     """Sizes of the intersections of the given pairs."""
     if len(pairs) <= 4 * len(sets) + 64:
@@ -83,11 +130,11 @@ def common_counts(sets: list[np.ndarray], pairs: np.ndarray) -> np.ndarray:
     return total[pairs[:, 0], pairs[:, 1]].astype(np.int64)
 
 
-def verify(texts: list[str], labels: np.ndarray, block: np.ndarray, tree: int, cross: bool, weight: np.ndarray, width: int, similarity: float):
+def verify(texts: list[str], paths: np.ndarray, block: np.ndarray, tree: int, depth: int, cross: bool, weight: np.ndarray, width: int, similarity: float):
     """(linked, links, root): members with links here, the documents each is linked to, and the member its links lead to."""
     sets = [shingles(t, width) for t in texts]
     size = np.array([len(s) for s in sets])
-    pairs = np.argwhere(new_pairs(labels, block, tree, cross))
+    pairs = np.argwhere(new_pairs(paths, block, tree, depth, cross))
     small, large = np.minimum(size[pairs[:, 0]], size[pairs[:, 1]]), np.maximum(size[pairs[:, 0]], size[pairs[:, 1]])
     pairs = pairs[small >= similarity * large - 1e-9]
     if not len(pairs):
@@ -142,12 +189,16 @@ def near_copies(
     more; class_id is the least key among all that links connect, copy_id the least key with the same text, and n_links
     the number of other documents linked to this one (copies included).
 
-    Equal texts form one copy class, and only classes go on. Each has a label in each of ``trees`` bands of equal depth:
-    the greatest up to ``longest`` hashes at which pairs at the threshold agree on a band with chance ``recall``, computed
-    before any data is read. The members of a band with one label (a node) are compared in units of at most two blocks of about ``block`` members, so that no task
-    gathers a large node and no node is cut off. A pair is verified, exactly, in the first tree that brings it together
-    only: units first drop members without such pairs, then texts are joined to what is left. Units return counts of
-    links and a spanning forest, never pairs.
+    Equal texts form one copy class, and only classes go on. Each has a path of ``longest`` min-hashes in each of
+    ``trees`` tries, which are the sorted paths. Matched prefixes begin at ``longest`` hashes: members of one trie node of
+    that depth are candidates. Then they are shortened by one hash at a time, and the members of a node that come from
+    different children are candidates too, until the candidates' signatures say that ``recall`` of the links has been met
+    (``expected_recall``), or a depth is reached at which even pairs at the threshold meet with that chance.
+
+    The members of a node are compared in units of at most two blocks of about ``block`` members, so that no task
+    gathers a large node and no node is cut off. A pair is a candidate at its longest shared prefix and in the first tree
+    with it only, and is verified exactly: units first drop members without such pairs, then texts are joined to what is
+    left. Units return counts of links and a spanning forest, never pairs.
 
     Texts of any length are taken whole. Null and empty ones, and ones without words, have no shingles: they are linked to nothing, not even to each other,
     and are classes of their own with n_links 0. Texts of fewer than ``width`` words have one shingle, the whole. Null
@@ -155,49 +206,68 @@ def near_copies(
     table gives an empty result; extra columns are ignored.
     """
     docs = tidy(docs, [key, text]).select(key, text).withColumn("fp", F.unhex(F.md5(text)))
-    forest = Forest(trees, matched_prefix(similarity, trees, recall, longest), seed)
+    forest, least = Forest(trees, longest, seed), shortest_prefix(similarity, trees, recall, longest)
 
     def sign(texts):
-        known: dict[str, list] = {}
+        known: dict[str, bytes | None] = {}
         for t in texts:
             if t not in known:
                 s = shingles(t, width)
-                known[t] = forest.labels(s).astype(np.int64).tobytes() if len(s) else None
+                known[t] = forest.signature(s).tobytes() if len(s) else None
         return [[known[t] for t in texts]]
 
-    signed = materialize(map_columns(docs, [key, "fp"], [text], "labels binary", sign), "signatures")
-    classes = signed.where("labels is not null").groupBy("fp").agg(F.min(key).alias("copy_id"), F.count(F.lit(1)).alias("n"), F.min("labels").alias("labels"))
+    signed = materialize(map_columns(docs, [key, "fp"], [text], "signature binary", sign), "signatures")
+    classes = signed.where("signature is not null").groupBy("fp").agg(F.min(key).alias("copy_id"), F.count(F.lit(1)).alias("n"), F.min("signature").alias("signature"))
     classes = materialize(classes, "copy-classes")
 
-    def listed(labels):
-        return [[np.frombuffer(x, np.int64) for x in labels]]
-
-    members = map_columns(classes, ["fp"], ["labels"], "label array<bigint>", listed).select("fp", F.posexplode("label").alias("tree", "label"))
-    node = Window.partitionBy("label", "tree")
-    members = members.withColumn("m", F.count(F.lit(1)).over(node)).where("m > 1").join(classes.select("fp", "labels"), "fp")
-    members = members.withColumn("blocks", F.ceil(F.col("m") / block)).withColumn("at", F.pmod(F.xxhash64("fp"), F.col("blocks")))
-    members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
-    units = members.groupBy("label", "tree", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j")).agg(
-        F.collect_list(F.struct("fp", "at", "labels")).alias("members"))
-
-    def prune(tree, i, j, members):
-        kept = []
-        for t, a, b, m in zip(tree, i, j, members):
+    step, depths = 2, range(longest, least - 1, -1)
+    paths = classes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature")
+    paths = paths.select("fp", "tree", F.expr(f"substring(signature, tree * {step * longest} + 1, {step * longest})").alias("path"))
+
+    def prefix(depth):
+        return F.expr(f"substring(path, 1, {step * depth})")
+
+    tries = paths.withColumn("low", prefix(least)).withColumn(f"n{least}", F.count(F.lit(1)).over(Window.partitionBy("tree", "low"))).where(f"n{least} > 1")
+    for d in depths:
+        node = Window.partitionBy("tree", "low", prefix(d))
+        if d > least:
+            tries = tries.withColumn(f"n{d}", F.count(F.lit(1)).over(node))
+        if d < longest:  # without a second child, a node brings no new pairs together
+            tries = tries.withColumn(f"n{d}", F.when(F.min(prefix(d + 1)).over(node) < F.max(prefix(d + 1)).over(node), F.col(f"n{d}")).otherwise(0))
+    tries = materialize(tries.drop("low").join(classes.select("fp", "signature"), "fp"), "tries")
+
+    def prune(tree, depth, i, j, members):
+        kept, similar = [], []
+        for t, d, a, b, m in zip(tree, depth, i, j, members):
+            some, counts = [], None
             if len(m) > 1:
-                new = new_pairs(np.stack([np.frombuffer(x["labels"], np.int64) for x in m]), np.array([x["at"] for x in m]), t, a != b)
-                m = [m[x] for x in np.flatnonzero(new.any(0) | new.any(1))]
-                kept.append([{"fp": x["fp"], "at": x["at"]} for x in m])
-            else:
-                kept.append([])
-        return [kept]
-
-    pruned = map_columns(units, ["label", "tree", "i", "j"], ["tree", "i", "j", "members"], "kept array<struct<fp:binary,at:bigint>>", prune)
-    pruned = materialize(pruned.select("label", "tree", "i", "j", F.explode("kept").alias("k")).select("label", "tree", "i", "j", "k.*"), "units")
-
-    needed = pruned.select("fp").distinct().join(classes, "fp").select("fp", F.col("copy_id").alias("_id"), "n", "labels")
-    found = docs.join(needed, (docs["fp"] == needed["fp"]) & docs[key].eqNullSafe(needed["_id"])).select(needed["fp"], text, "n", "labels")
-    rows = pruned.join(found.dropDuplicates(["fp"]), "fp").select("label", "tree", "i", "j", "fp", "at", "n", "labels", text)
-    unit = ["label", "tree", "i", "j"]
+                signatures = forest.read([x["signature"] for x in m])
+                new = new_pairs(signatures, np.array([x["at"] for x in m]), t, d, a != b)
+                counts = similarity_counts(signatures, np.argwhere(new), similarity).tolist()
+                some = [{"fp": m[x]["fp"], "at": m[x]["at"]} for x in np.flatnonzero(new.any(0) | new.any(1))]
+            kept.append(some)
+            similar.append(counts)
+        return [kept, similar]
+
+    unit, levels, met = ["depth", "tree", "node", "i", "j"], [], np.zeros(BINS + 1)
+    for d in depths:
+        members = tries.where(f"n{d} > 1").select("fp", "signature", "tree", prefix(d).alias("node"), F.ceil(F.col(f"n{d}") / block).alias("blocks"), F.lit(d).alias("depth"))
+        members = members.withColumn("at", F.pmod(F.xxhash64("fp"), F.col("blocks")))
+        members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+        units = members.groupBy("depth", "tree", "node", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j")).agg(
+            F.collect_list(F.struct("fp", "at", "signature")).alias("members"))
+        level = map_columns(units, unit, ["tree", "depth", "i", "j", "members"], "kept array<struct<fp:binary,at:bigint>>, similar array<bigint>", prune)
+        levels.append(materialize(level.where("size(kept) > 0"), "units"))
+        for r in levels[-1].select(F.posexplode("similar").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect():  # a row for each bin
+            met[r["bin"]] += r["n"]
+        if expected_recall(met, d, similarity, trees) >= recall:
+            break
+    pruned = functools.reduce(DataFrame.unionByName, levels)
+    pruned = pruned.select(*unit, F.explode("kept").alias("k")).select(*unit, "k.*")
+
+    needed = pruned.select("fp").distinct().join(classes, "fp").select("fp", F.col("copy_id").alias("_id"), "n", "signature")
+    found = docs.join(needed, (docs["fp"] == needed["fp"]) & docs[key].eqNullSafe(needed["_id"])).select(needed["fp"], text, "n", "signature")
+    rows = pruned.join(found.dropDuplicates(["fp"]), "fp").select(*unit, "fp", "at", "n", "signature", text)
     rows = rows.repartition(*unit).sortWithinPartitions(*unit, "fp")
     schema = T.StructType([T.StructField("fp", T.BinaryType()), T.StructField("links", T.LongType()), T.StructField("root", T.BinaryType())])
 
@@ -205,9 +275,9 @@ def near_copies(
         def close(group):
             if len(group) < 2:
                 return None
-            labels = np.stack([np.frombuffer(r["labels"], np.int64) for r in group])
+            signatures, one = forest.read([r["signature"] for r in group]), group[0]
             at, n = np.array([r["at"] for r in group]), np.array([r["n"] for r in group])
-            who, links, root = verify([r[text] for r in group], labels, at, group[0]["tree"], group[0]["i"] != group[0]["j"], n, width, similarity)
+            who, links, root = verify([r[text] for r in group], signatures, at, one["tree"], one["depth"], one["i"] != one["j"], n, width, similarity)
             if not len(who):
                 return None
             return pa.RecordBatch.from_arrays(
@@ -216,7 +286,7 @@ def near_copies(
         group, last = [], None
         for b in batches:
             for r in b.to_pylist():
-                this = (r["label"], r["tree"], r["i"], r["j"])
+                this = tuple(r[c] for c in unit)
                 if this != last:
                     if (out := close(group)) is not None:
                         yield out
@@ -232,8 +302,8 @@ def near_copies(
     whole = materialize(whole.withColumn("root", F.coalesce("root", "fp")), "class-links")
     least = whole.groupBy("root").agg(F.min("copy_id").alias("class_id"))
     whole = whole.join(least, "root").select("fp", "root", "copy_id", "class_id", (F.col("n") - 1 + F.coalesce("links", F.lit(0))).alias("n_links"))
-    alone = signed.where("labels is null").select(key, "fp", F.lit(None).cast("binary").alias("root"), F.col(key).alias("copy_id"), F.col(key).alias("class_id"), F.lit(0).cast("long").alias("n_links"))
-    return signed.where("labels is not null").select(key, "fp").join(whole, "fp").select(key, "fp", "root", "copy_id", "class_id", "n_links").unionByName(alone)
+    alone = signed.where("signature is null").select(key, "fp", F.lit(None).cast("binary").alias("root"), F.col(key).alias("copy_id"), F.col(key).alias("class_id"), F.lit(0).cast("long").alias("n_links"))
+    return signed.where("signature is not null").select(key, "fp").join(whole, "fp").select(key, "fp", "root", "copy_id", "class_id", "n_links").unionByName(alone)
 
 
 def keep_documents(docs: DataFrame, *, key: str = "doc_id", text: str = "text", **options) -> DataFrame:

@@ -69,16 +69,62 @@ def test_nothing(spark):
     assert jf.keep_documents(documents(spark, [None, "", " "])).count() == 3
 
 
-def test_prefixes_are_shortened_until_the_recall():
-    d = jf.matched_prefix(0.8, 20, 0.9999, 8)
+def test_no_prefix_is_shorter_than_the_threshold_needs():
+    d = jf.shortest_prefix(0.8, 20, 0.9999, 8)
     assert 1 - (1 - 0.8**d) ** 20 >= 0.9999 > 1 - (1 - 0.8 ** (d + 1)) ** 20
 
 
-def test_labels_agree_as_often_as_sets(spark):
+def paths_of_pairs(similarity, n, trees=20, longest=8):
+    rng = np.random.default_rng(8)
+    a = rng.integers(0, 2**16, (n, trees, longest)).astype(np.uint16)
+    return np.concatenate([a, np.where(rng.random(a.shape) < similarity, a, a + np.uint16(1))]), np.arange(n)[:, None] + [0, n]
+
+
+def test_recall_is_estimated_from_what_was_met():
+    for s in (0.8, 0.85, 0.95):
+        paths, pairs = paths_of_pairs(s, 4000)
+        for d in (8, 6, 4):
+            here = jf.nodes(paths, d)
+            met = (here[pairs[:, 0]] == here[pairs[:, 1]]).any(1)
+            guess = jf.expected_recall(jf.similarity_counts(paths, pairs[met], 0.8), d, 0.8, 20)
+            assert abs(met.mean() - (1 - (1 - s**d) ** 20)) < 0.01 and met.mean() - 0.03 < guess < met.mean() + 0.005
+    assert jf.expected_recall(np.zeros(jf.BINS + 1), 8, 0.8, 20) == 0
+
+
+def test_pairs_are_new_at_their_longest_prefix_only():
+    paths, _ = paths_of_pairs(0.8, 60)
+    n, seen = len(paths), Counter()
+    for d in range(8, 3, -1):
+        for t in range(20):
+            here = jf.nodes(paths, d)[:, t]
+            for i, j in np.argwhere(jf.new_pairs(paths, np.zeros(n), t, d, False)):
+                assert here[i] == here[j]
+                seen[i, j] += 1
+    low = jf.nodes(paths, 4)
+    want = {(i, j) for i in range(n) for j in range(i + 1, n) if (low[i] == low[j]).any()}
+    assert set(seen) == want and set(seen.values()) == {1}
+
+
+def test_shortening_goes_on_while_links_are_missed(spark, monkeypatch):
+    """Texts with one word changed need short prefixes only where they are short."""
+    rng, went = random.Random(3), []
+    monkeypatch.setattr(jf, "materialize", lambda df, name, known=jf.materialize: went.append(name) or known(df, name))
+    for words, changed in ((2000, 1), (60, 1)):
+        texts = []
+        for _ in range(60):
+            t = [f"v{rng.randrange(5000)}" for _ in range(words)]
+            texts += [" ".join(t), " ".join(t[: words // 2] + ["other"] * changed + t[words // 2 + changed :])]
+        went.clear()
+        assert [r.n_links for r in jf.near_copies(documents(spark, texts)).collect()] == [1] * 120
+        assert went.count("units") == 1 if words == 2000 else went.count("units") > 1
+
+
+def test_steps_agree_as_often_as_sets():
     forest = jf.Forest(400, 1, 3)
     a, b = np.arange(1, 901, dtype=np.uint64), np.arange(101, 1001, dtype=np.uint64)
     a, b = jf.mix64(a), jf.mix64(b)
-    assert abs((forest.labels(a) == forest.labels(b)).mean() - 0.8) < 0.07
+    assert abs((forest.signature(a) == forest.signature(b)).mean() - 0.8) < 0.07
+    assert (forest.read([forest.signature(a).tobytes()])[0] == forest.signature(a)).all()
 
 
 def test_intersections_either_way():
