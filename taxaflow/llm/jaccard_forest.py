@@ -181,7 +181,7 @@ def components(edges: DataFrame) -> DataFrame:
 
 def near_copies(
     docs: DataFrame, *, key: str = "doc_id", text: str = "text", width: int = 5, similarity: float = 0.8, recall: float = 0.9999,
-    trees: int = 20, longest: int = 8, block: int = 256, seed: int = 10,
+    trees: int = 20, longest: int = 8, block: int = 512, block_bytes: int = 16 << 20, seed: int = 10,
 ) -> DataFrame:
     """One row for each document: key, copy_id, class_id and n_links (and digests of its text, fp, and of its class, root).
 
@@ -195,8 +195,8 @@ def near_copies(
     different children are candidates too, until the candidates' signatures say that ``recall`` of the links has been met
     (``expected_recall``), or a depth is reached at which even pairs at the threshold meet with that chance.
 
-    The members of a node are compared in units of at most two blocks of about ``block`` members, so that no task
-    gathers a large node and no node is cut off. A pair is a candidate at its longest shared prefix and in the first tree
+    The members of a node are compared in units of at most two blocks of about ``block`` members and
+    ``block_bytes`` bytes of text, so that no task gathers a large node and no node is cut off. A pair is a candidate at its longest shared prefix and in the first tree
     with it only, and is verified exactly: units first drop members without such pairs, then texts are joined to what is
     left. Units return counts of links and a spanning forest, never pairs.
 
@@ -205,7 +205,7 @@ def near_copies(
     keys are kept and count as documents, but name a class only if no other key does. Repeated rows are copies. An empty
     table gives an empty result; extra columns are ignored.
     """
-    docs = tidy(docs, [key, text]).select(key, text).withColumn("fp", F.unhex(F.md5(text)))
+    docs = tidy(docs, [key, text]).select(key, text).withColumn("fp", F.unhex(F.md5(text))).withColumn("bytes", F.octet_length(text).cast("long"))
     forest, least = Forest(trees, longest, seed), shortest_prefix(similarity, trees, recall, longest)
 
     def sign(texts):
@@ -216,25 +216,26 @@ def near_copies(
                 known[t] = forest.signature(s).tobytes() if len(s) else None
         return [[known[t] for t in texts]]
 
-    signed = materialize(map_columns(docs, [key, "fp"], [text], "signature binary", sign), "signatures")
-    classes = signed.where("signature is not null").groupBy("fp").agg(F.min(key).alias("copy_id"), F.count(F.lit(1)).alias("n"), F.min("signature").alias("signature"))
+    signed = materialize(map_columns(docs, [key, "fp", "bytes"], [text], "signature binary", sign), "signatures")
+    classes = signed.where("signature is not null").groupBy("fp").agg(F.min(key).alias("copy_id"), F.count(F.lit(1)).alias("n"), F.min("signature").alias("signature"), F.min("bytes").alias("bytes"))
     classes = materialize(classes, "copy-classes")
 
     step, depths = 2, range(longest, least - 1, -1)
-    paths = classes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature")
-    paths = paths.select("fp", "tree", F.expr(f"substring(signature, tree * {step * longest} + 1, {step * longest})").alias("path"))
+    paths = classes.select("fp", F.explode(F.sequence(F.lit(0), F.lit(trees - 1))).alias("tree"), "signature", "bytes")
+    paths = paths.select("fp", "tree", "bytes", F.expr(f"substring(signature, tree * {step * longest} + 1, {step * longest})").alias("path"))
 
     def prefix(depth):
         return F.expr(f"substring(path, 1, {step * depth})")
 
-    tries = paths.withColumn("low", prefix(least)).withColumn(f"n{least}", F.count(F.lit(1)).over(Window.partitionBy("tree", "low"))).where(f"n{least} > 1")
+    tries = paths.withColumn("low", prefix(least)).withColumn("m", F.count(F.lit(1)).over(Window.partitionBy("tree", "low"))).where("m > 1")
     for d in depths:
         node = Window.partitionBy("tree", "low", prefix(d))
-        if d > least:
-            tries = tries.withColumn(f"n{d}", F.count(F.lit(1)).over(node))
-        if d < longest:  # without a second child, a node brings no new pairs together
-            tries = tries.withColumn(f"n{d}", F.when(F.min(prefix(d + 1)).over(node) < F.max(prefix(d + 1)).over(node), F.col(f"n{d}")).otherwise(0))
-    tries = materialize(tries.drop("low").join(classes.select("fp", "signature"), "fp"), "tries")
+        n = F.count(F.lit(1)).over(node)
+        blocks = F.greatest(F.ceil(n / block), F.ceil(F.sum("bytes").over(node) / block_bytes))
+        # without a second child, a node brings no new pairs together
+        fresh = n > 1 if d == longest else F.min(prefix(d + 1)).over(node) < F.max(prefix(d + 1)).over(node)
+        tries = tries.withColumn(f"blocks{d}", F.when(fresh, blocks))
+    tries = materialize(tries.drop("low", "m", "bytes").join(classes.select("fp", "signature"), "fp"), "tries")
 
     def prune(tree, depth, i, j, members):
         kept, similar = [], []
@@ -251,7 +252,7 @@ def near_copies(
 
     unit, levels, met = ["depth", "tree", "node", "i", "j"], [], np.zeros(BINS + 1)
     for d in depths:
-        members = tries.where(f"n{d} > 1").select("fp", "signature", "tree", prefix(d).alias("node"), F.ceil(F.col(f"n{d}") / block).alias("blocks"), F.lit(d).alias("depth"))
+        members = tries.where(f"blocks{d} > 0").select("fp", "signature", "tree", prefix(d).alias("node"), F.col(f"blocks{d}").alias("blocks"), F.lit(d).alias("depth"))
         members = members.withColumn("at", F.pmod(F.xxhash64("fp"), F.col("blocks")))
         members = members.withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
         units = members.groupBy("depth", "tree", "node", F.least("at", "other").alias("i"), F.greatest("at", "other").alias("j")).agg(
