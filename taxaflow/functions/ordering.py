@@ -31,10 +31,11 @@ def adjust_bh(df: DataFrame, p: str = "p", name: str = "p_adj") -> DataFrame:
     """Adds Benjamini-Hochberg adjusted p-values; null and NaN p-values stay null and don't count.
 
     The adjusted value is the least p * m / rank at this rank or above: partitions of the sorted table take their own
-    running minimum and that of the partitions after them.
+    running minimum and that of the partitions after them. Rows of one p-value, which may be many, are spread over
+    partitions by their hash; all of them get the value of the last rank among them.
     """
     usable = F.col(p).isNotNull() & ~F.isnan(F.col(p).cast("double"))
-    ranked = _number(_sorted(df.where(usable), [F.col(p).asc()]), "_rank")
+    ranked = _number(_sorted(df.where(usable), [F.col(p).asc(), F.xxhash64(*[F.col(f"`{c}`") for c in df.columns])]), "_rank")
     total = ranked.agg(F.count(F.lit(1)).alias("_m"))
     raw = ranked.crossJoin(F.broadcast(total)).withColumn("_raw", F.col(p) * F.col("_m") / F.col("_rank"))
     after = Window.orderBy(F.desc("_part")).rowsBetween(Window.unboundedPreceding, -1)  # a row for each partition

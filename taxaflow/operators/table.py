@@ -84,8 +84,14 @@ def dense(ft: DataFrame, units: DataFrame | None = None, samples: DataFrame | No
 
 
 def with_pseudocount(ft: DataFrame, pseudocount: float = 1.0, value: str = "n", name: str = "rel") -> DataFrame:
-    """Shares after adding a constant to every cell of the dense grid."""
-    return normalize(dense(ft, value=value).withColumn("_v", F.col(value) + F.lit(pseudocount)), "_v", name).drop("_v")
+    """Shares after adding a constant to every cell of the dense grid.
+
+    A sample's total follows from its own cells and the number of units, so the grid is only made, never summed.
+    """
+    units = ft.agg((F.countDistinct(TU) * F.lit(pseudocount)).alias("_added"))
+    totals = totals_by_sample(ft, value).crossJoin(F.broadcast(units)).select(SAMPLE, (F.col("total") + F.col("_added")).alias("_total"))
+    share = F.when(F.col("_total") != 0, (F.col(value) + F.lit(pseudocount)) / F.col("_total")).otherwise(0.0)
+    return dense(ft, value=value).join(totals, SAMPLE).withColumn(name, share).drop("_total")
 
 
 def average_abundance(rel: DataFrame, value: str = "rel", name: str = "avg_abun") -> DataFrame:

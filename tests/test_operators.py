@@ -295,3 +295,17 @@ def test_tips():
     assert tree.find_tip(["Abc1", "x"], "abc") == "Abc1"
     with pytest.raises(ValueError):
         tree.find_tip(["ab", "abc"], "A")
+
+
+def test_ties_and_groups_are_numbered_in_parts(spark):
+    ties = spark.createDataFrame([(f"u{i}", 1.0 if i % 3 else 0.01 + i / 10_000) for i in range(300)], "id string, p double").repartition(7)
+    got = {r.id: r.p_adj for r in ordering.adjust_bh(ties).collect()}
+    least = [0.01 + i / 10_000 for i in range(0, 300, 3)]
+    for k, p in enumerate(least):
+        assert abs(got[f"u{3 * k}"] - min(1.0, *(q * 300 / (j + 1) for j, q in enumerate(least) if j >= k))) < 1e-12
+    assert all(got[f"u{i}"] == 1.0 for i in range(300) if i % 3)
+    found = spark.createDataFrame([(g, f"s{i:03}", i % 4) for g in ("a", None, "b") for i in range(40)], "g string, seq string, size int").repartition(5)
+    for g in ("a", None, "b"):
+        rows = [r for r in derep.label_in_groups(found, "g").collect() if r.g == g]
+        assert [r.seq for r in sorted(rows, key=lambda r: r.ord)] == [r.seq for r in sorted(rows, key=lambda r: (-r.size, r.seq))]
+        assert sorted(r.ord for r in rows) == list(range(1, 41)) and all(r.id == f"Uniq{r.ord}" for r in rows)
