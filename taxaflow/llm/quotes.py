@@ -82,15 +82,18 @@ def reply_order(messages: DataFrame, *, conv: str = "conv_id", turn: str = "turn
     links = votes.groupBy("_rid").agg(F.max(F.when(F.col("votes") > 0, F.struct("votes", "source"))).alias("top"), F.sum("n").alias("n_linked"))
     facts = depth.join(links, "_rid", "left").select("_rid", "quote_depth", "n_quoted", F.col("top.source").alias("_source"), "n_linked")
 
-    placed = rows.withColumn("_bucket", F.floor(F.col("_turn") / turns_per_bucket))
+    whole = F.col("_conv").isNotNull() & F.col("_turn").isNotNull()
+    placed = rows.where(whole).withColumn("_bucket", F.floor(F.col("_turn") / turns_per_bucket))
     inside = Window.partitionBy("_conv", "_bucket").orderBy("_turn", F.md5("_text"))
     sizes = placed.groupBy("_conv", "_bucket").agg(F.count(F.lit(1)).alias("_n"), F.max("_turn").alias("_last"))
     before = Window.partitionBy("_conv").orderBy("_bucket")
-    sizes = sizes.where("_conv is not null and _bucket is not null").select(
+    sizes = sizes.select(
         "_conv", "_bucket", F.coalesce(F.sum("_n").over(before.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)).alias("_off"), F.lag("_last").over(before).alias("_last"))
     previous = Window.partitionBy("_conv", "_bucket").orderBy("_turn").rangeBetween(Window.unboundedPreceding, -1)
     placed = placed.withColumn("_n", F.row_number().over(inside) - 1).withColumn("_before", F.max("_turn").over(previous))
     placed = placed.join(sizes, ["_conv", "_bucket"], "left").join(facts, "_rid", "left")
+    loose = rows.where(~whole)  # these have no place, so that they needn't meet in a window or a join
+    placed = placed.unionByName(loose, allowMissingColumns=True)
     out = (
         placed.withColumn("position", (F.col("_off") + F.col("_n")).cast("long"))
         .withColumn("linked", F.col("_source").isNotNull())

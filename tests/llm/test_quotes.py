@@ -38,3 +38,10 @@ def test_nothing_and_clashing_names(spark):
     df = spark.createDataFrame(TALK[:2], SCHEMA)
     assert quotes.reply_order(df.where("false")).count() == 0
     assert quotes.reply_order(df.withColumnRenamed("role", "Position")).columns[:3] == ["conv_id", "turn", "text"]
+
+
+def test_rows_without_place_meet_in_no_window_or_join(spark):
+    df = spark.createDataFrame([(None, None, "user", "> x\ny")] * 500 + [(None, i, "user", None) for i in range(500)] + [(7, None, "user", f"> {i}") for i in range(500)] + TALK, SCHEMA)
+    got = [r for r in quotes.reply_order(df).collect() if r.conv_id is None or r.turn is None]
+    assert len(got) == 1502 and all(r.position is None and r.reply_to is None and not r.linked and r.n_quoted == r.n_linked == r.quote_depth == 0 for r in got)
+    assert sum(r.text == "y" for r in got) == 500
