@@ -62,26 +62,44 @@ def nodes(paths: np.ndarray, depth: int) -> np.ndarray:
     return label
 
 
-def first_shared(p: np.ndarray, tree: int) -> np.ndarray:
-    """Which pairs of rows of p agree in ``tree`` and in no tree before it."""
-    new = p[:, None, tree] == p[None, :, tree]
-    for t in range(tree):
+def coded(labels: np.ndarray) -> np.ndarray:
+    """Labels, a row for each tree; of many members, as places among the tree's distinct ones, in narrow integers, which
+    compare faster."""
+    if len(labels) < 128:
+        return labels.T
+    small = np.uint16 if len(labels) < 1 << 16 else np.uint32
+    return np.stack([np.unique(c, return_inverse=True)[1].astype(small) for c in labels.T])
+
+
+def sides(block: np.ndarray, cross: bool) -> tuple[np.ndarray, np.ndarray]:
+    """The members whose pairs a unit looks at: those of one block with those of the other, or all with all."""
+    every = np.arange(len(block))
+    return (every[block == block.min()], every[block != block.min()]) if cross else (every, every)
+
+
+def new_pairs(paths: np.ndarray, block: np.ndarray, tree: int, depth: int, cross: bool) -> np.ndarray:
+    """Which pairs (of the two ``sides``; upper triangle if they are the same) meet in this unit first: no longer prefix
+    and no earlier tree brings them together."""
+    left, right = sides(block, cross)
+    here = coded(nodes(paths, depth))
+    new = here[tree][left, None] == here[tree][None, right]
+    if not cross:
+        new = np.triu(new, 1)
+    apart = list(here[:tree])
+    if depth < paths.shape[2]:
+        apart += list(coded(nodes(paths, depth + 1)))
+    for p in apart:
         if not new.any():
             break
-        new &= p[:, None, t] != p[None, :, t]
+        new &= p[left, None] != p[None, right]
     return new
 
 
-def new_pairs(paths: np.ndarray, block: np.ndarray, tree: int, depth: int, cross: bool) -> np.ndarray:
-    """Pairs (upper triangle) that meet in this unit first: no longer prefix and no earlier tree brings them together."""
-    new = np.triu(first_shared(nodes(paths, depth), tree), 1)
-    if depth < paths.shape[2]:
-        deeper = nodes(paths, depth + 1)
-        for t in range(paths.shape[1]):
-            if not new.any():
-                break
-            new &= deeper[:, None, t] != deeper[None, :, t]
-    return new & (block[:, None] != block[None, :]) if cross else new
+def met(paths: np.ndarray, block: np.ndarray, tree: int, depth: int, cross: bool) -> np.ndarray:
+    """The pairs of ``new_pairs`` as places of members, a row for each."""
+    left, right = sides(block, cross)
+    i, j = np.nonzero(new_pairs(paths, block, tree, depth, cross))
+    return np.stack([left[i], right[j]], 1)
 
 
 #: Steps in which similarities between the threshold and 1 are counted.
@@ -134,7 +152,7 @@ def verify(texts: list[str], paths: np.ndarray, block: np.ndarray, tree: int, de
     """(linked, links, root): members with links here, the documents each is linked to, and the member its links lead to."""
     sets = [shingles(t, width) for t in texts]
     size = np.array([len(s) for s in sets])
-    pairs = np.argwhere(new_pairs(paths, block, tree, depth, cross))
+    pairs = met(paths, block, tree, depth, cross)
     small, large = np.minimum(size[pairs[:, 0]], size[pairs[:, 1]]), np.maximum(size[pairs[:, 0]], size[pairs[:, 1]])
     pairs = pairs[small >= similarity * large - 1e-9]
     if not len(pairs):
@@ -243,14 +261,14 @@ def near_copies(
             some, counts = [], None
             if len(m) > 1:
                 signatures = forest.read([x["signature"] for x in m])
-                new = new_pairs(signatures, np.array([x["at"] for x in m]), t, d, a != b)
-                counts = similarity_counts(signatures, np.argwhere(new), similarity).tolist()
-                some = [{"fp": m[x]["fp"], "at": m[x]["at"]} for x in np.flatnonzero(new.any(0) | new.any(1))]
+                pairs = met(signatures, np.array([x["at"] for x in m]), t, d, a != b)
+                counts = similarity_counts(signatures, pairs, similarity).tolist()
+                some = [{"fp": m[x]["fp"], "at": m[x]["at"]} for x in np.unique(pairs)]
             kept.append(some)
             similar.append(counts)
         return [kept, similar]
 
-    unit, levels, met = ["depth", "tree", "node", "i", "j"], [], np.zeros(BINS + 1)
+    unit, levels, counted = ["depth", "tree", "node", "i", "j"], [], np.zeros(BINS + 1)
     for d in depths:
         members = tries.where(f"blocks{d} > 0").select("fp", "signature", "tree", prefix(d).alias("node"), F.col(f"blocks{d}").alias("blocks"), F.lit(d).alias("depth"))
         members = members.withColumn("at", F.pmod(F.xxhash64("fp"), F.col("blocks")))
@@ -260,8 +278,8 @@ def near_copies(
         level = map_columns(units, unit, ["tree", "depth", "i", "j", "members"], "kept array<struct<fp:binary,at:bigint>>, similar array<bigint>", prune)
         levels.append(materialize(level.where("size(kept) > 0"), "units"))
         for r in levels[-1].select(F.posexplode("similar").alias("bin", "n")).groupBy("bin").agg(F.sum("n").alias("n")).collect():  # a row for each bin
-            met[r["bin"]] += r["n"]
-        if expected_recall(met, d, similarity, trees) >= recall:
+            counted[r["bin"]] += r["n"]
+        if expected_recall(counted, d, similarity, trees) >= recall:
             break
     pruned = functools.reduce(DataFrame.unionByName, levels)
     pruned = pruned.select(*unit, F.explode("kept").alias("k")).select(*unit, "k.*")
