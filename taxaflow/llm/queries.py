@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import uuid
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, topk, url_filter
+from taxaflow.functions.staging import run_dir
+
+from . import html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, token_store, topk, url_filter
 from .common import table
 
 
@@ -79,6 +82,19 @@ def op10_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_forest.near_copies(docs).select("doc_id", "copy_id", "class_id", "n_links")
 
 
+#: The public tokenizer of the token store; the operator takes any file of the tokenizers library.
+TOKENIZER = "byte_bpe_50k.json"
+
+
+def op11_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    docs, path = table(spark, sf_dir, "documents").select("doc_id", "text"), f"{run_dir(spark)}/token-store-{uuid.uuid4().hex}"
+    token_store.write_store(docs, path, public_tokenizers.path(TOKENIZER))
+    ids = token_store.fetch(spark, path, docs.select("doc_id"), unkeyed=True, binary=True)
+    return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
@@ -90,6 +106,7 @@ QUERIES = {
     "op8_rules": op8_rules,
     "op9_quotes": op9_quotes,
     "op10_jaccard": op10_jaccard,
+    "op11_ids": op11_ids,
 }
 
 ORACLES: dict[str, str] = {
