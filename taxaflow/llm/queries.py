@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.staging import run_dir
 
-from . import html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, token_store, topk, url_filter
+from . import code_lloyd, html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, token_store, topk, url_filter
 from .common import table
 
 
@@ -95,6 +95,12 @@ def op11_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ids.select("doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32"))
 
 
+def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = code_lloyd.compress(table(spark, sf_dir, "embeddings"), keep=("label",))
+    coded = code_lloyd.with_group_errors(coded).withColumn("codebooks_sha256", F.lit(books.sha256()))
+    return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
@@ -107,10 +113,12 @@ QUERIES = {
     "op9_quotes": op9_quotes,
     "op10_jaccard": op10_jaccard,
     "op11_ids": op11_ids,
+    "op12_codes": op12_codes,
 }
 
 ORACLES: dict[str, str] = {
     "op4_urls": url_filter.sql(RULES),
     "op6_topk": topk.sql(),
     "op9_quotes": quotes.sql(),
+    "op12_codes": code_lloyd.sql(),
 }
