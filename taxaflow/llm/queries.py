@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.staging import run_dir
 
-from . import code_lloyd, html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, token_store, topk, url_filter
+from . import code_lloyd, divergence, html_extract, jaccard_forest, mixing, piece_scan, quality_model, quality_rules, quotes, sharding, token_store, topk, url_filter
 from .common import table
 
 
@@ -101,6 +101,10 @@ def op12_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
 
 
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.audit(table(spark, sf_dir, "documents"))
+
+
 QUERIES = {
     "op1_mix": op1_mix,
     "op2_shard": op2_shard,
@@ -114,6 +118,7 @@ QUERIES = {
     "op10_jaccard": op10_jaccard,
     "op11_ids": op11_ids,
     "op12_codes": op12_codes,
+    "op13_divergence": op13_divergence,
 }
 
 ORACLES: dict[str, str] = {
@@ -121,4 +126,5 @@ ORACLES: dict[str, str] = {
     "op6_topk": topk.sql(),
     "op9_quotes": quotes.sql(),
     "op12_codes": code_lloyd.sql(),
+    "op13_divergence": divergence.sql(),
 }
