@@ -53,7 +53,7 @@ class UnitEncoder:
     encodes each only once. Other tokenizers get whole texts.
     """
 
-    def __init__(self, path: str, most: int = 500_000, longest: int = 64):
+    def __init__(self, path: str, most: int = 800_000, longest: int = 64):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer
 
@@ -309,7 +309,8 @@ def fetch(spark: SparkSession, path: str, keys: DataFrame, *, key: str = "doc_id
             yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*held), arrow)], schema=arrow)
 
     placed = spans.join(shards.select("shard", "file", "first_doc", "first_id"), "shard")
-    return placed.repartition("shard").sortWithinPartitions("shard", "slot").mapInArrow(read, schema)
+    # By number, so that partitions of few rows, which stand for many ids, aren't put together.
+    return placed.repartition(max(1, shards.count()), "shard").sortWithinPartitions("shard", "slot").mapInArrow(read, schema)
 
 
 class TokenStore:
