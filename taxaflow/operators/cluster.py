@@ -2,38 +2,17 @@
 
 from __future__ import annotations
 
-import math
-
-import pandas as pd
-from pyspark.sql import DataFrame
+import pyarrow as pa
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions.ordering import row_number
 from taxaflow.functions.staging import materialize
-from taxaflow.operators.derep import label
-
-
-def edit_distance(a: str, b: str, most: int) -> int | None:
-    """Levenshtein distance, or None above ``most`` (a band of the table is filled)."""
-    if abs(len(a) - len(b)) > most:
-        return None
-    if a == b:
-        return 0
-    far = most + 1
-    row = [j if j <= most else far for j in range(len(b) + 1)]
-    for i, x in enumerate(a, 1):
-        low, high = max(1, i - most), min(len(b), i + most)
-        last, row[low - 1] = row[low - 1], (i if low == 1 and i <= most else far)
-        least = row[low - 1]
-        for j in range(low, high + 1):
-            here = last if x == b[j - 1] else 1 + min(last, row[j], row[j - 1])
-            last, row[j] = row[j], here
-            least = min(least, here)
-        if high < len(b):
-            row[high + 1] = far
-        if least > most:
-            return None
-    return row[len(b)] if row[len(b)] <= most else None
+from taxaflow.operators.derep import label_in_groups
+from taxaflow.operators.near import near_pairs, part_keys, shapes_of, window_keys
+
+#: A batch is the first 4^-i of the undecided sequences, i the least that holds its candidate pairs in bounds.
+STEPS = 12
 
 
 class ByIdentity:
@@ -42,10 +21,12 @@ class ByIdentity:
     def __init__(self, identity: float):
         self.identity = identity
 
-    def joins(self, seq: str, size: int, centroid: str, centroid_size: int) -> bool:
-        longest = max(len(seq), len(centroid))
-        most = math.floor((1 - self.identity) * longest + 1e-9)
-        return edit_distance(seq, centroid, most) is not None
+    def most(self, least_size: int) -> Column:
+        """Edits that a centroid (seq, size) can have from any sequence that joins it."""
+        return F.floor(F.length("seq") / F.lit(self.identity) * (1 - self.identity) + 1e-9).cast("int")
+
+    def allowed(self) -> Column:
+        return F.floor((1 - self.identity) * F.greatest("length_v", "length_u") + 1e-9).cast("int")
 
 
 class BySkew:
@@ -54,52 +35,115 @@ class BySkew:
     def __init__(self, alpha: float = 2.0):
         self.alpha = alpha
 
-    def joins(self, seq: str, size: int, centroid: str, centroid_size: int) -> bool:
-        most = math.floor((math.log2(centroid_size / size) - 1) / self.alpha + 1e-9) if centroid_size >= 2 * size else -1
-        return most >= 0 and edit_distance(seq, centroid, most) is not None
+    def _edits(self, size: Column, smaller: Column) -> Column:
+        return F.when(size >= 2 * smaller, F.floor((F.log2(size / smaller) - 1) / self.alpha + 1e-9).cast("int")).otherwise(-1)
 
+    def most(self, least_size: int) -> Column:
+        return self._edits(F.col("size"), F.lit(least_size))
 
-def assign_first(rule, members: list[tuple], centroids: list[tuple]) -> list[int | None]:
-    """For (seq, size) members, the ord of the first centroid (ord, seq, size) that each joins."""
-    return [next((o for o, c, n in centroids if rule.joins(seq, size, c, n)), None) for seq, size in members]
+    def allowed(self) -> Column:
+        return self._edits(F.col("u_size"), F.col("v_size"))
 
 
-def greedy(found: DataFrame, rule, block: int = 512, prefix: str = "Otu") -> DataFrame:
-    """(seq, size, ord, centroid, centroid_ord, tu_id): every unique with the centroid it joins, or is.
+def first_independent(vertices: DataFrame, edges: DataFrame, tail: int = 200_000) -> DataFrame:
+    """(ord) of those that a serial pass makes centroids: vertices without an earlier neighbour that is one.
 
-    Sequences go in order of size (then text). The next ``block`` undecided ones are decided one by one on the driver;
-    the new centroids among them, at most a block, are then held against all that is undecided, in parallel. Rounds end
-    when nothing is undecided: one for each ``block`` centroids or less.
+    ``edges`` lists (v, u), u the earlier one. A round makes all vertices centroids that have no earlier undecided neighbour,
+    and decides the neighbours after them; the edges of what is decided go. Rounds are logarithmic in number for orders without
+    long chains. Once no more than ``tail`` edges are left, one task walks them in order, which ends chains.
     """
-    left = materialize(label(found.select("seq", "size"), "u").select("seq", "size", "ord"), "undecided")
+    sources = edges.select(F.col("v").alias("ord")).distinct()
+    found = [fresh := vertices.select("ord").join(sources, "ord", "left_anti")]
+    left = edges
+    while (n := left.count()) > tail:
+        fresh = materialize(fresh, "centroids")
+        members = materialize(left.join(fresh, left["u"] == fresh["ord"], "left_semi").select(F.col("v").alias("ord")).distinct(), "members")
+        waiting = left.select(F.col("v").alias("ord")).distinct().join(members, "ord", "left_anti")
+        for c in ("v", "u"):
+            left = left.join(members.select(F.col("ord").alias(c)), c, "left_anti")
+        left = materialize(left.select("v", "u"), "edges")
+        found.append(fresh := waiting.join(left.select(F.col("v").alias("ord")).distinct(), "ord", "left_anti"))
+
+    def walk(t: pa.Table) -> pa.Table:
+        before: dict = {}
+        for v, u in zip(t["v"].to_pylist(), t["u"].to_pylist()):
+            before.setdefault(v, []).append(u)
+        joined: set = set()
+        for v in sorted(before):
+            if any(u not in joined for u in before[v]):
+                joined.add(v)
+        return pa.table({"ord": pa.array([v for v in before if v not in joined], pa.int64())})
+
+    if n:
+        found.append(left.withColumn("_all", F.lit(0)).groupBy("_all").applyInArrow(walk, "ord long"))
+    out = found[0]
+    for f in found[1:]:
+        out = out.unionByName(f)
+    return out
+
+
+def _batch_end(left: DataFrame, e: Column, low: int, high: int, by: list[str], pairs: int) -> int:
+    """The last ord of the longest prefix (of a power of 1/4) whose candidate pairs are at most ``pairs``.
+
+    Candidates are counted by key, without making them: sequences that share a part may be many.
+    """
+    step = F.least(F.lit(STEPS), F.floor(F.log(4.0, (high - low + 1) / (F.col("_o") - low + 1.0)) + 1e-9)).cast("int")
+    units, seqs = left.select(F.col("ord").alias("u"), "seq", e.alias("e"), *by), left.select(F.col("ord").alias("v"), "seq", *by)
+    parts = part_keys(units, by).select("key", F.col("u").alias("_o"), F.lit(1).alias("_p"), F.lit(0).alias("_w"))
+    windows = window_keys(seqs, shapes_of(units), by).select("key", F.col("v").alias("_o"), F.lit(0).alias("_p"), F.lit(1).alias("_w"))
+    both = parts.unionByName(windows).withColumn("_step", step)
+    upto = [F.sum(F.when(F.col("_step") >= i, F.col(c)).otherwise(0)).alias(f"{c}{i}") for i in range(STEPS + 1) for c in ("_p", "_w")]
+    sums = both.groupBy("key").agg(*upto).agg(*[F.sum(F.col(f"_p{i}").cast("double") * F.col(f"_w{i}")).alias(f"n{i}") for i in range(STEPS + 1)]).first()
+    i = next((i for i in range(STEPS + 1) if (sums[f"n{i}"] or 0) <= pairs), STEPS)
+    return low - 1 + max(1, int((high - low + 1) / 4**i))
+
+
+def greedy(found: DataFrame, rule, prefix: str = "Otu", by: list[str] | tuple = (), pairs_per_sequence: int = 64, least_pairs: int = 1 << 24, tail: int = 200_000) -> DataFrame:
+    """(by..., seq, size, ord, centroid, centroid_ord, tu_id): every unique with the centroid it joins, or is.
+
+    Sequences go in order of size (then text), in each group of ``by`` on their own; all groups are dealt with at once.
+    A prefix of the undecided ones, as long as their candidate pairs stay in proportion to them (``pairs_per_sequence``, ``least_pairs`` in all), is
+    decided by the graph of its neighbours; its centroids then take what joins them of the rest, and the next prefix follows. So
+    large groups of near copies leave by their first member and are never compared pair by pair.
+    """
+    by = list(by)
+    order = [F.desc("size"), F.asc("seq"), *[F.asc(c) for c in by]]
+    every = left = materialize(row_number(found.select(*by, "seq", "size"), order, "ord"), "uniques")
     parts = []
-    schema = "seq string, size long, ord long, centroid_ord long"
     while True:
-        head = left.orderBy("ord").limit(block).collect()
-        if not head:
+        n, low, high, least = left.agg(F.count(F.lit(1)), F.min("ord"), F.max("ord"), F.min("size")).first()
+        if not n:
+            break
+        e = rule.most(least)
+        end = _batch_end(left, e, low, high, by, max(least_pairs, pairs_per_sequence * n))
+        head = left.where(F.col("ord") <= end)
+        near = lambda seqs, units, **o: near_pairs(seqs.withColumnRenamed("ord", "v"), units.withColumn("e", e).withColumnRenamed("ord", "u"), by, rule.allowed(), **o)  # noqa: B023, E731
+        edges = materialize(near(head, head, earlier=True), "edges")
+        centres = materialize(first_independent(head, edges.select("v", "u"), tail), "centroids")
+        own = edges.join(centres.select(F.col("ord").alias("u")), "u", "left_semi").join(centres.select(F.col("ord").alias("v")), "v", "left_anti")
+        parts += [centres.select("ord", F.col("ord").alias("centroid_ord")), own.groupBy(F.col("v").alias("ord")).agg(F.min("u").alias("centroid_ord"))]
+        if end >= high:
             break
-        centroids: list[tuple] = []
-        for r in head:
-            if assign_first(rule, [(r["seq"], r["size"])], centroids)[0] is None:
-                centroids.append((r["ord"], r["seq"], r["size"]))
-
-        def assign(batches, centroids=tuple(centroids)):
-            own = {o for o, _, _ in centroids}
-            for b in batches:
-                to = [o if o in own else assign_first(rule, [(s, n)], centroids)[0] for s, n, o in zip(b["seq"], b["size"], b["ord"])]
-                yield pd.DataFrame({"seq": b["seq"], "size": b["size"], "ord": b["ord"], "centroid_ord": pd.array(to, dtype="Int64")})
-
-        decided = materialize(left.mapInPandas(assign, schema), "decided")
-        parts.append(decided.where("centroid_ord is not null"))
-        left = decided.where("centroid_ord is null").select("seq", "size", "ord")
+        rest = left.where(F.col("ord") > end)
+        taken = near(rest, head.join(centres, "ord", "left_semi"))
+        parts.append(taken := materialize(taken.groupBy(F.col("v").alias("ord")).agg(F.min("u").alias("centroid_ord")), "taken"))
+        left = materialize(rest.join(taken, "ord", "left_anti"), "undecided")
     if not parts:
-        return found.select("seq", "size").where("false").selectExpr("seq", "size", "0L as ord", "seq as centroid", "0L as centroid_ord", "'' as tu_id")
-    every = parts[0]
+        return every.withColumns({"centroid": F.col("seq"), "centroid_ord": F.col("ord"), "tu_id": F.lit("")}).select(*by, "seq", "size", "ord", "centroid", "centroid_ord", "tu_id")
+    joins = parts[0]
     for p in parts[1:]:
-        every = every.unionByName(p)
-    centres = every.where("ord = centroid_ord").select("centroid_ord", F.col("seq").alias("centroid"))
-    named = row_number(centres, [F.col("centroid_ord").asc()], "_n").withColumn("tu_id", F.concat(F.lit(prefix), F.col("_n").cast("string"))).drop("_n")
-    return every.join(named, "centroid_ord").select("seq", "size", "ord", "centroid", "centroid_ord", "tu_id")
+        joins = joins.unionByName(p)
+    centres = joins.where("ord = centroid_ord").select("ord").join(every, "ord")
+    if by:  # numbers within each group
+        key = F.struct(*by)
+        every = label_in_groups(every.withColumn("_key", key).withColumnRenamed("ord", "_ord"), "_key").select(*by, "seq", "size", "_ord", F.col("ord").cast("long").alias("ord"))
+        named = label_in_groups(centres.withColumn("_key", key).withColumnRenamed("ord", "_ord"), "_key", prefix).select(F.col("_ord").alias("_c"), F.col("seq").alias("centroid"), F.col("id").alias("tu_id"))
+        named = named.join(every.select(F.col("_ord").alias("_c"), F.col("ord").alias("centroid_ord")), "_c")
+    else:
+        every = every.withColumn("_ord", F.col("ord"))
+        named = row_number(centres, [F.col("ord").asc()], "_n").select(F.col("ord").alias("_c"), F.col("seq").alias("centroid"), F.concat(F.lit(prefix), F.col("_n").cast("string")).alias("tu_id"), F.col("ord").alias("centroid_ord"))
+    joins = joins.select(F.col("ord").alias("_ord"), F.col("centroid_ord").alias("_c"))
+    return every.join(joins, "_ord").join(named, "_c").select(*by, "seq", "size", "ord", "centroid", "centroid_ord", "tu_id")
 
 
 def cluster(found: DataFrame, identity: float = 0.97, least: int = 1, **options) -> DataFrame:
@@ -110,7 +154,7 @@ def denoise(found: DataFrame, alpha: float = 2.0, least: int = 8, prefix: str =
     return greedy(found.where(F.col("size") >= least), BySkew(alpha), prefix=prefix, **options)
 
 
-def centroids(clustered: DataFrame) -> DataFrame:
-    """(id, seq, size, ord): the units' sequences with the reads of all members."""
-    g = clustered.groupBy("tu_id", "centroid", "centroid_ord").agg(F.sum("size").alias("size"))
-    return g.select(F.col("tu_id").alias("id"), F.col("centroid").alias("seq"), "size", F.col("centroid_ord").alias("ord"))
+def centroids(clustered: DataFrame, by: list[str] | tuple = ()) -> DataFrame:
+    """(by..., id, seq, size, ord): the units' sequences with the reads of all members."""
+    g = clustered.groupBy(*by, "tu_id", "centroid", "centroid_ord").agg(F.sum("size").alias("size"))
+    return g.select(*by, F.col("tu_id").alias("id"), F.col("centroid").alias("seq"), "size", F.col("centroid_ord").alias("ord"))

@@ -5,43 +5,28 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from taxaflow.operators.cluster import ByIdentity
 from taxaflow.operators.derep import label_in_groups, merge_identical, uniques
+from taxaflow.operators.near import near_pairs
 from taxaflow.operators.table import count_table
 
 
-def map_sequences(found: DataFrame, units: DataFrame, identity: float = 0.97, most_edits: int | None = None) -> DataFrame:
+def map_sequences(found: DataFrame, units: DataFrame, identity: float = 0.97) -> DataFrame:
     """(seq, tu_id, identity): for each distinct sequence its best unit (id, seq, ord) of at least that identity.
 
-    Equal sequences are joined first. For the rest, units of length n within e = (1 - identity) * longest edits agree
-    with the sequence in one of e + 1 parts, shifted by e at most; these parts are joined, and edits counted for the
-    candidates only. Ties go to the earlier unit.
+    Equal sequences are joined first; for the rest edits are counted where a part of the unit is shared (see ``near``). Ties go to the
+    earlier unit.
     """
     found = found.select("seq").distinct()
-    units = units.select(F.col("id").alias("tu_id"), F.col("seq").alias("unit"), "ord")
-    exact = found.join(units, found["seq"] == units["unit"]).groupBy("seq").agg(F.min_by("tu_id", "ord").alias("tu_id")).withColumn("identity", F.lit(1.0))
-    rest = found.join(exact.select("seq"), "seq", "left_anti").withColumn("_n", F.length("seq"))
-    # A unit within identity t of a sequence of n is at most n / t long, which bounds the edits by the unit's length.
-    edits = F.floor(F.length("unit") / F.lit(identity) * (1 - identity) + 1e-9).cast("int")
-    split = units.withColumn("_e", F.least(edits, F.length("unit") - 1) if most_edits is None else F.lit(most_edits)).where("_e >= 0")
-    edge = lambda i: F.floor(F.length("unit") * i / (F.col("_e") + 1)).cast("int")
-    split = split.withColumn("_i", F.explode(F.sequence(F.lit(0), F.col("_e")))).withColumn("_a", edge(F.col("_i")) + 1).withColumn("_w", edge(F.col("_i") + 1) - edge(F.col("_i")))
-    split = split.withColumn("_part", F.substring("unit", F.col("_a"), F.col("_w")))
-    split = split.withColumn("_m", F.length("unit"))
-    shapes = split.select("_m", "_a", "_w", "_e").distinct()
-    shapes = shapes.withColumn("_at", F.explode(F.sequence(F.greatest(F.lit(1), F.col("_a") - F.col("_e")), F.col("_a") + F.col("_e")))).select("_m", "_a", "_w", "_at").distinct()
-    # Lengths that a unit can have within that identity of the sequence: shapes and sequences are joined by them.
-    if most_edits is None:
-        low, high = F.ceil(F.col("_n") * identity - 1e-9), F.floor(F.col("_n") / identity + 1e-9)
-    else:
-        low, high = F.col("_n") - most_edits, F.col("_n") + most_edits
-    rest = rest.withColumn("_m", F.explode(F.sequence(low.cast("int"), F.greatest(low, high).cast("int"))))
-    windows = rest.join(shapes, "_m").where(F.col("_at") + F.col("_w") - 1 <= F.col("_n"))
-    windows = windows.select("seq", "_m", "_a", "_w", F.substring("seq", F.col("_at"), F.col("_w")).alias("_part")).distinct()
-    pairs = windows.join(split, ["_m", "_a", "_w", "_part"]).select("seq", "tu_id", "unit", "ord").distinct()
-    longest = F.greatest(F.length("seq"), F.length("unit"))
-    scored = pairs.withColumn("identity", 1 - F.levenshtein("seq", "unit") / longest).where(F.col("identity") >= identity - 1e-12)
-    best = scored.groupBy("seq").agg(F.min_by(F.struct("tu_id", "identity"), F.struct((-F.col("identity")).alias("i"), "ord")).alias("b")).select("seq", "b.*")
-    return exact.unionByName(best)
+    units = units.select(F.col("id").alias("tu_id"), "seq", "ord")
+    exact = found.join(units, "seq").groupBy("seq").agg(F.min_by("tu_id", "ord").alias("tu_id")).withColumn("identity", F.lit(1.0))
+    rest = found.join(exact.select("seq"), "seq", "left_anti")
+    rule = ByIdentity(identity)
+    own = units.groupBy("seq").agg(F.min(F.struct("ord", "tu_id")).alias("_u"))
+    pairs = near_pairs(rest.select(F.col("seq").alias("v"), "seq"), own.select(F.struct("_u", "seq").alias("u"), "seq", rule.most(1).alias("e")), allowed=rule.allowed())
+    scored = pairs.withColumn("identity", 1 - F.col("edits") / F.greatest(F.length("v"), F.length("u.seq")))
+    best = scored.groupBy(F.col("v").alias("seq")).agg(F.min_by(F.struct(F.col("u._u.tu_id").alias("tu_id"), "identity"), F.struct((-F.col("identity")).alias("i"), F.col("u._u.ord").alias("o"))).alias("b"))
+    return exact.unionByName(best.select("seq", "b.*"))
 
 
 def map_reads(reads: DataFrame, units: DataFrame, identity: float = 0.97) -> DataFrame:
@@ -64,15 +49,15 @@ def table_from(report: DataFrame) -> DataFrame:
 
 
 def seeds_by_group(reads: DataFrame, sample_map: DataFrame, column: str, make, prefix: str = "Otu") -> DataFrame:
-    """Seeds of each group of samples (``make`` turns a group's uniques into centroids), ids with column and group, equal ones merged."""
-    groups = [r[0] for r in sample_map.select(column).where(F.col(column).isNotNull()).distinct().orderBy(column).collect()]
-    parts = None
-    for i, g in enumerate(groups):
-        own = reads.join(sample_map.where(F.col(column) == g).select("sample_id"), "sample_id", "left_semi")
-        seeds = make(uniques(own)).withColumn("id", F.concat_ws("_", "id", F.lit(column), F.lit(str(g)))).withColumn("ord", F.struct(F.lit(i).alias("g"), F.col("ord").alias("o")))
-        seeds = seeds.select("id", "seq", "ord")
-        parts = seeds if parts is None else parts.unionByName(seeds)
-    return merge_identical(parts)
+    """Seeds of each group of samples, ids with column and group, equal ones merged; groups go in order of their names.
+
+    ``make`` turns the uniques of all groups (group, seq, size) into centroids (group, id, seq, ord), group by group but
+    in one plan (see ``by`` in ``cluster``).
+    """
+    own = reads.join(sample_map.where(F.col(column).isNotNull()).select("sample_id", F.col(column).alias("group")), "sample_id")
+    seeds = make(uniques(own, 1, "group"))
+    seeds = seeds.select(F.concat_ws("_", "id", F.lit(column), F.col("group").cast("string")).alias("id"), "seq", F.struct(F.col("group").alias("g"), F.col("ord").alias("o")).alias("ord"))
+    return merge_identical(seeds)
 
 
 def uniques_by_group(reads: DataFrame, sample_map: DataFrame, column: str) -> DataFrame:

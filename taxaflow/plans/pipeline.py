@@ -32,9 +32,9 @@ class Units:
     mapped: DataFrame | None = None
 
 
-def make_units(uniques: DataFrame, p: Params) -> DataFrame:
-    found = cluster.cluster(uniques, p.identity, p.smallest) if p.algorithm == "UPARSE" else cluster.denoise(uniques, p.alpha, p.smallest)
-    return cluster.centroids(found)
+def make_units(uniques: DataFrame, p: Params, by: tuple[str, ...] = ()) -> DataFrame:
+    found = cluster.cluster(uniques, p.identity, p.smallest, by=by) if p.algorithm == "UPARSE" else cluster.denoise(uniques, p.alpha, p.smallest, by=by)
+    return cluster.centroids(found, by)
 
 
 def unit_table(pool: DataFrame, p: Params, *, spike: DataFrame | None = None, sample_map: DataFrame | None = None, known: DataFrame | None = None) -> Units:
@@ -50,7 +50,7 @@ def unit_table(pool: DataFrame, p: Params, *, spike: DataFrame | None = None, sa
     if p.strategy == 2:
         seeds = None
         for column in p.group_columns:
-            one = mapping.seeds_by_group(fine, sample_map, column, lambda u: make_units(u, p))
+            one = mapping.seeds_by_group(fine, sample_map, column, lambda u: make_units(u, p, ("group",)))
             seeds = one if seeds is None else seeds.unionByName(one)
         seqs = derep.merge_identical(seeds)
     else:

@@ -160,40 +160,91 @@ def per_group_uniques(s, d):
     return derep.label_in_groups(derep.uniques(A.reads(s, d), 1, "grp"), "grp").select("grp", F.md5("seq").alias("digest"), "size", "ord")
 
 
-def names(s, d):
-    """Part names as reads, by brand as sample."""
-    return A.read(s, d, "part").select(F.col("p_partkey").cast("string").alias("read_id"), F.col("p_name").alias("seq"), F.col("p_brand").alias("sample_id"))
+#: Reads are cut to this length before they are dereplicated, and shorter ones dropped, as with a truncation length.
+CUT, IDENTITY = 100, 0.97
 
 
-def known_names(s, d):
-    return cluster.centroids(cluster.cluster(derep.uniques(names(s, d).where("read_id % 3 = 0")), 0.85)).withColumn("id", F.concat(F.lit("K"), "id"))
+def cut_reads(s, d):
+    """Reads of the cut length; samples are sources of one language."""
+    return reads.truncate(A.reads(s, d), CUT).withColumn("sample_id", F.concat_ws(".", "grp", "sample_id"))
 
 
-@query("greedy_cluster")
+def known_units(s, d):
+    """The benchmark's items, cut like reads, as reference sequences; of equal ones the first."""
+    seq = F.substring(F.regexp_replace("text", r"[^\x00-\x7F]", "?"), 1, CUT)
+    items = A.read(s, d, "benchmark").select(F.concat(F.lit("K"), F.col("item_id").cast("string")).alias("id"), seq.alias("seq"), F.col("item_id").cast("bigint").alias("ord"))
+    return items.where(F.length("seq") == CUT)
+
+
+CUT_READS = f"r AS (SELECT read_id, concat_ws('.', grp, sample_id) AS sample_id, grp, seq[1:{CUT}] AS seq FROM reads WHERE length(seq) >= {CUT})"
+KNOWN_UNITS = f"""kn AS (SELECT 'K' || item_id AS id, regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g')[1:{CUT}] AS seq, CAST(item_id AS BIGINT) AS ord FROM benchmark),
+ku AS (SELECT * FROM kn WHERE length(seq) = {CUT})"""
+NEAR_ENOUGH = f"levenshtein(a.seq, b.seq) <= {CUT - round(CUT * IDENTITY)}"
+
+
+def greedy_sql(source: str, joins: str = NEAR_ENOUGH, prefix: str = "Otu", by: str = "1") -> str:
+    """A serial pass as SQL: uniques u of the rows (seq, group) of ``source``, the earlier neighbours of each, and a recursion that looks at
+    one unique of each group after the other; then the units ``cl`` (grp, seq, size, ord, centroid, centroid_ord, tu_id)."""
+    return f"""u AS MATERIALIZED (SELECT *, row_number() OVER (PARTITION BY grp ORDER BY size DESC, seq) AS ord FROM (SELECT {by} AS grp, seq, count(*) AS size FROM {source} GROUP BY 1, 2)),
+nb AS MATERIALIZED (SELECT a.grp, a.ord, list(b.ord) FILTER (b.ord IS NOT NULL) AS near FROM u a LEFT JOIN u b ON a.grp = b.grp AND b.ord < a.ord AND {joins} GROUP BY a.grp, a.ord),
+pass AS (
+  SELECT grp, CAST(0 AS BIGINT) AS i, CAST([] AS BIGINT[]) AS c FROM (SELECT DISTINCT grp FROM u)
+  UNION ALL SELECT p.grp, i + 1, CASE WHEN list_has_any(c, coalesce(near, [])) THEN c ELSE list_append(c, nb.ord) END FROM pass p JOIN nb ON nb.grp = p.grp AND nb.ord = i + 1),
+ce AS (SELECT grp, unnest(arg_max(c, i)) AS ord FROM pass GROUP BY grp),
+un AS MATERIALIZED (SELECT grp, ord, seq, '{prefix}' || row_number() OVER (PARTITION BY grp ORDER BY ord) AS tu_id FROM ce JOIN u USING (grp, ord)),
+own AS (SELECT grp, ord, coalesce(min(x) FILTER (x IN (SELECT c.ord FROM ce c WHERE c.grp = n.grp)), ord) AS centroid_ord FROM (SELECT grp, ord, unnest(list_append(coalesce(near, []), ord)) AS x FROM nb) n GROUP BY grp, ord),
+cl AS (SELECT u.grp, u.seq, u.size, u.ord, un.seq AS centroid, centroid_ord, tu_id FROM own JOIN u USING (grp, ord) JOIN un ON un.grp = own.grp AND un.ord = own.centroid_ord)"""
+
+
+def best_sql(seqs: str, units: str) -> str:
+    """The nearest unit (seq, tu_id, identity) of each distinct sequence, ties to the earlier."""
+    return f"SELECT a.seq, arg_min(b.id, (levenshtein(a.seq, b.seq), b.ord)) AS tu_id, 1 - min(levenshtein(a.seq, b.seq)) / {CUT}.0 AS identity FROM (SELECT DISTINCT seq FROM {seqs}) a JOIN {units} b ON {NEAR_ENOUGH} GROUP BY a.seq"
+
+
+def recursive(body: str, *names: str) -> str:
+    return sql(body, *names).replace("WITH ", "WITH RECURSIVE ", 1)
+
+
+CLUSTERED = "SELECT seq, size, ord, centroid, centroid_ord, tu_id FROM cl"
+
+
+@query("greedy_cluster", recursive(f"{CUT_READS},\n{greedy_sql('r')}\n{CLUSTERED}", "reads"))
 def greedy_cluster(s, d):
-    return cluster.cluster(derep.uniques(names(s, d)), 0.8)
+    return cluster.cluster(derep.uniques(cut_reads(s, d)), IDENTITY)
 
 
-@query("denoise")
+BY_SKEW = "b.size >= 2 * a.size AND levenshtein(a.seq, b.seq) <= floor((log2(b.size / a.size) - 1) / 0.5 + 1e-9)"
+
+
+@query("denoise", recursive(f"{CUT_READS},\n{greedy_sql('r', BY_SKEW, 'Asv')}\n{CLUSTERED}", "reads"))
 def denoise(s, d):
-    return cluster.denoise(derep.uniques(names(s, d)), alpha=0.05, least=1)
+    return cluster.denoise(derep.uniques(cut_reads(s, d)), alpha=0.5, least=1)
+
+
+UNITS = "us AS (SELECT tu_id AS id, seq, ord FROM un)"
 
 
-@query("map_reads_to_units")
+@query("map_reads_to_units", recursive(f"{CUT_READS},\n{greedy_sql('r')},\n{UNITS},\nbest AS ({best_sql('r', 'us')}) SELECT read_id, sample_id, tu_id, round(identity, 9) AS identity FROM r JOIN best USING (seq)", "reads"))
 def map_reads_to_units(s, d):
-    return mapping.map_reads(names(s, d), known_names(s, d), 0.85)
+    units = cluster.centroids(cluster.cluster(derep.uniques(cut_reads(s, d)), IDENTITY))
+    return mapping.map_reads(cut_reads(s, d), units, IDENTITY).withColumn("identity", F.round("identity", 9))
 
 
-@query("known_then_new_units")
+@query("known_then_new_units", recursive(f"""{CUT_READS},\n{KNOWN_UNITS},\nb1 AS ({best_sql('r', 'ku')}),\nrest AS (SELECT * FROM r WHERE seq NOT IN (SELECT seq FROM b1)),
+{greedy_sql('rest')},\nus AS (SELECT 'UB_' || tu_id AS id, seq, ord FROM un),\nb2 AS ({best_sql('rest', 'us')}),
+m AS (SELECT tu_id, sample_id FROM r JOIN b1 USING (seq) UNION ALL SELECT tu_id, sample_id FROM rest JOIN b2 USING (seq))
+SELECT tu_id, sample_id, count(*) AS n FROM m GROUP BY ALL""", "reads"))
 def known_then_new_units(s, d):
-    r = names(s, d)
-    return mapping.known_then_new(r, r, known_names(s, d), lambda u: cluster.centroids(cluster.cluster(u, 0.85)), 0.85)[0]
+    r = cut_reads(s, d)
+    return mapping.known_then_new(r, r, known_units(s, d), lambda u: cluster.centroids(cluster.cluster(u, IDENTITY)), IDENTITY)[0]
 
 
-@query("seeds_by_group")
+@query("seeds_by_group", recursive(f"""{CUT_READS},\n{greedy_sql('r', by='grp')}
+SELECT string_agg(tu_id || '_grp_' || grp, ',' ORDER BY grp, ord) AS id, upper(seq) AS seq FROM un GROUP BY upper(seq)""", "reads"))
 def seeds_by_group(s, d):
-    groups = A.read(s, d, "part").select(F.col("p_brand").alias("sample_id"), F.right("p_brand", F.lit(1)).alias("grp")).distinct()
-    return mapping.seeds_by_group(names(s, d), groups, "grp", lambda u: cluster.centroids(cluster.cluster(u, 0.85))).select("id", "seq")
+    groups = cut_reads(s, d).select("sample_id", "grp").distinct()
+    by = ["group"]
+    return mapping.seeds_by_group(cut_reads(s, d), groups, "grp", lambda u: cluster.centroids(cluster.cluster(u, IDENTITY, by=by), by)).select("id", "seq")
 
 
 KNOWN = "k AS (SELECT DISTINCT seq FROM reads WHERE ord % 2 = 0)"

@@ -139,35 +139,75 @@ def plain_distance(a, b):
     return row[-1]
 
 
-def test_edit_distance_in_a_band():
-    rng = random.Random(5)
-    for _ in range(500):
-        a, b = ("".join(rng.choice("AC") for _ in range(rng.randint(0, 9))) for _ in range(2))
-        for most in range(0, 6):
-            d = plain_distance(a, b)
-            assert cluster.edit_distance(a, b, most) == (d if d <= most else None)
-
-
-@pytest.mark.parametrize("block", [3, 50])
-def test_greedy_equals_the_serial_pass(spark, block):
-    rng = random.Random(7)
-    base = ["".join(rng.choice("ACGT") for _ in range(12)) for _ in range(6)]
-    seqs = {}
-    for _ in range(60):
+def by_identity(share):
+    return lambda s, n, c, m: plain_distance(s, c) <= math.floor((1 - share) * max(len(s), len(c)) + 1e-9)
+
+
+def by_skew(alpha):
+    return lambda s, n, c, m: m >= 2 * n and plain_distance(s, c) <= math.floor((math.log2(m / n) - 1) / alpha + 1e-9)
+
+
+def serial_pass(sizes, joins):
+    centres, out = [], {}
+    for s, n in sorted(sizes.items(), key=lambda x: (-x[1], x[0])):
+        to = next((c for c, m in centres if joins(s, n, c, m)), None)
+        if to is None:
+            centres.append((s, n))
+        out[s] = to or s
+    return out
+
+
+def noisy(rng, n_base, n, length, edits):
+    base = ["".join(rng.choice("ACGT") for _ in range(length)) for _ in range(n_base)]
+    sizes = {}
+    for _ in range(n):
         s = list(rng.choice(base))
-        for _ in range(rng.randint(0, 3)):
-            s[rng.randrange(12)] = rng.choice("ACGT")
-        seqs["".join(s)] = rng.randint(1, 40)
-    found = spark.createDataFrame(list(seqs.items()), "seq string, size long")
-    for rule in (cluster.ByIdentity(0.8), cluster.BySkew(1.0)):
-        got = {r.seq: r.centroid for r in cluster.greedy(found, rule, block=block).collect()}
-        centres, want = [], {}
-        for s, n in sorted(seqs.items(), key=lambda x: (-x[1], x[0])):
-            to = next((c for c, m in centres if rule.joins(s, n, c, m)), None)
-            if to is None:
-                centres.append((s, n))
-            want[s] = to or s
-        assert got == want
+        for _ in range(rng.randint(0, edits)):
+            i = rng.randrange(len(s))
+            s[i : i + 1] = rng.choice([["A"], ["C"], ["G"], ["T"], [], ["A", "G"]])
+        sizes["".join(s)] = rng.choice([1, 1, 1, 2, 5, rng.randint(1, 60)])
+    return sizes
+
+
+@pytest.mark.parametrize("options", [{}, {"tail": 0}, {"least_pairs": 30, "pairs_per_sequence": 1}])
+@pytest.mark.parametrize("rule,joins", [(cluster.ByIdentity(0.8), by_identity(0.8)), (cluster.BySkew(1.0), by_skew(1.0)), (cluster.ByIdentity(1.0), by_identity(1.0))])
+def test_greedy_equals_the_serial_pass(spark, rule, joins, options):
+    sizes = noisy(random.Random(7), 6, 60, 14, 4)
+    found = spark.createDataFrame(list(sizes.items()), "seq string, size long")
+    got = cluster.greedy(found, rule, **options).collect()
+    assert {r.seq: r.centroid for r in got} == serial_pass(sizes, joins)
+    assert [r.seq for r in sorted(got, key=lambda r: r.ord)] == sorted(sizes, key=lambda s: (-sizes[s], s))
+    centres = [r.centroid for r in sorted(got, key=lambda r: r.ord) if r.ord == r.centroid_ord]
+    assert {r.tu_id: r.centroid for r in got} == {f"Otu{i}": c for i, c in enumerate(centres, 1)}
+
+
+def test_greedy_of_lax_thresholds_odd_and_no_sequences(spark):
+    sizes = {"A": 64, "CC": 1, "GGGG": 2, "": 3, "TTTTTTTTT": 1, "AAAA": 30}
+    found = spark.createDataFrame(list(sizes.items()), "seq string, size long")
+    assert {r.seq: r.centroid for r in cluster.denoise(found, alpha=0.5, least=1).collect()} == serial_pass(sizes, by_skew(0.5))
+    assert {r.seq: r.centroid for r in cluster.cluster(found, 0.6).collect()} == serial_pass(sizes, by_identity(0.6))
+    assert cluster.cluster(found.where("false")).count() == 0
+
+
+def test_groups_are_clustered_on_their_own_in_one_plan(spark):
+    rng = random.Random(3)
+    groups = {g: noisy(rng, 3, 25, 12, 3) for g in ("x", "y", "z")}
+    found = spark.createDataFrame([(g, s, n) for g, sizes in groups.items() for s, n in sizes.items()], "group string, seq string, size long")
+    got = cluster.cluster(found, 0.8, by=["group"]).collect()
+    assert {(r.group, r.seq): r.centroid for r in got} == {(g, s): c for g, sizes in groups.items() for s, c in serial_pass(sizes, by_identity(0.8)).items()}
+    assert {(r.group, r.seq): r.ord for r in got} == {(g, s): i for g, sizes in groups.items() for i, s in enumerate(sorted(sizes, key=lambda s: (-sizes[s], s)), 1)}
+    seen = cluster.centroids(cluster.cluster(found, 0.8, by=["group"]), ["group"]).orderBy("group", "ord").collect()
+    assert [r.id for r in seen if r.group == "y"] == [f"Otu{i}" for i in range(1, 1 + sum(r.group == "y" for r in seen))]
+
+
+def test_chains_and_large_groups(spark):
+    """A chain of near neighbours, each near the next only, and many copies of one text."""
+    chain = ["A" * i + "C" * (40 - i) for i in range(41)]
+    copies = ["G" * 20 + "".join(x) + "T" * 17 for x in itertools.product("ACGT", repeat=3)]
+    sizes = dict.fromkeys(chain + copies, 1)
+    found = spark.createDataFrame(list(sizes.items()), "seq string, size long")
+    for options in ({"tail": 0}, {"least_pairs": 500, "pairs_per_sequence": 1}):
+        assert {r.seq: r.centroid for r in cluster.cluster(found, 0.97, **options).collect()} == serial_pass(sizes, by_identity(0.97))
 
 
 def test_mapping_finds_the_best_unit(spark):
