@@ -8,18 +8,24 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+_CHANCES = {33: 10.0 ** (-(np.arange(128) - 33) / 10.0)}
+
+
+def error_chances(qual: str, offset: int = 33) -> np.ndarray:
+    """The error chance that each character of a Phred string stands for."""
+    if qual.isascii():
+        if offset not in _CHANCES:
+            _CHANCES[offset] = 10.0 ** (-(np.arange(128) - offset) / 10.0)
+        return _CHANCES[offset][np.frombuffer(qual.encode(), np.uint8)]
+    return 10.0 ** (-(np.frombuffer(qual.encode("utf-32-le"), np.uint32) - float(offset)) / 10.0)
+
+
 def expected_errors(qual: Column, offset: int = 33) -> Column:
     """Sum of the error chances that a Phred string stands for; null for null. One pass over each string's bytes."""
-    chances = 10.0 ** (-(np.arange(128) - offset) / 10.0)
-
-    def total(q: str | None) -> float | None:
-        if q is None or q.isascii():
-            return None if q is None else float(chances[np.frombuffer(q.encode(), np.uint8)].sum())
-        return float((10.0 ** (-(np.frombuffer(q.encode("utf-32-le"), np.uint32) - float(offset)) / 10.0)).sum())
 
     @F.pandas_udf("double")
     def errors(quals: pd.Series) -> pd.Series:
-        return pd.Series([total(q) for q in quals], dtype="float64")
+        return pd.Series([None if q is None else float(error_chances(q, offset).sum()) for q in quals], dtype="float64")
 
     return errors(qual)
 

@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections import Counter
+
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaflow.functions.ordering import row_number
-from taxaflow.functions.sequence import count_char, expected_errors, has_run, kmers, reverse_complement
+from taxaflow.functions.sequence import count_char, error_chances, expected_errors, has_run, kmers, reverse_complement
 
 
 def truncate(reads: DataFrame, length: int) -> DataFrame:
@@ -69,19 +73,44 @@ def barcode_counts(reads: DataFrame, first: int | None = None) -> DataFrame:
 def error_statistics(reads: DataFrame, lengths: list[int], limits: tuple[float, ...] = (0.5, 1.0, 2.0)) -> DataFrame:
     """(length, n_reads, ee_<limit>...): reads that reach each length, and those within each error limit when cut to it.
 
-    One pass: each read's running errors are looked up at every length.
+    One pass: each read's running errors are looked up at every length, and tasks hand on their counts alone.
     """
-    chance = F.transform(F.split("qual", ""), lambda c: F.pow(F.lit(10.0), -(F.ascii(c) - 33) / 10.0))
-    at = reads.select("qual", F.explode(F.array(*[F.lit(x) for x in lengths])).alias("length")).where(F.length("qual") >= F.col("length"))
-    at = at.withColumn("ee", F.aggregate(F.slice(chance, F.lit(1), F.col("length")), F.lit(0.0), lambda a, x: a + x))
-    kept = [F.count_if(F.col("ee") <= x).alias(f"ee_{str(x).replace('.', '_')}") for x in limits]
-    return at.groupBy("length").agg(F.count(F.lit(1)).alias("n_reads"), *kept)
+    at = np.array(sorted(set(lengths)), np.int64)
+    names = ["n_reads", *(f"ee_{str(x).replace('.', '_')}" for x in limits)]
+    bounds = np.array([np.inf, *limits])
+
+    def run(batches):
+        total = np.zeros((len(at), len(bounds)), np.int64)
+        for b in batches:
+            for q in b.column(0).to_pylist():
+                if q is not None:
+                    reached = at[: np.searchsorted(at, len(q), "right")]
+                    ee = np.concatenate([[0.0], np.cumsum(error_chances(q))])[reached]
+                    total[: len(reached)] += ee[:, None] <= bounds
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, total.T.copy())], ["length", *names])
+
+    schema = "length int, " + ", ".join(f"{n} long" for n in names)
+    sums = reads.select("qual").mapInArrow(run, schema).groupBy("length").agg(*[F.sum(n).alias(n) for n in names])
+    return sums.where("n_reads > 0")
 
 
 def base_frequencies(reads: DataFrame) -> DataFrame:
-    """(base, n, share) over all reads; each read's bases are counted before they are summed."""
-    per = reads.select(F.explode(F.split("seq", "")).alias("base")).groupBy("base").agg(F.count(F.lit(1)).alias("n"))
-    return per.crossJoin(F.broadcast(per.agg(F.sum("n").alias("_all")))).select("base", "n", (F.col("n") / F.col("_all")).alias("share"))
+    """(base, n, share) over all reads; tasks count their reads' bases before they are summed."""
+
+    def run(batches):
+        plain, other = np.zeros(128, np.int64), Counter()
+        for b in batches:
+            for q in b.column(0).to_pylist():
+                if q and q.isascii():
+                    plain += np.bincount(np.frombuffer(q.encode(), np.uint8), minlength=128)
+                elif q:
+                    other.update(q)
+        other.update({chr(i): int(n) for i, n in enumerate(plain) if n})
+        yield pa.RecordBatch.from_arrays([pa.array(list(other), pa.string()), pa.array(list(other.values()), pa.int64())], ["base", "n"])
+
+    per = reads.select("seq").mapInArrow(run, "base string, n long").groupBy("base").agg(F.sum("n").alias("n"))
+    every = Window.partitionBy(F.lit(1))  # a row for each letter
+    return per.select("base", "n", (F.col("n") / F.sum("n").over(every)).alias("share"))
 
 
 def length_statistics(reads: DataFrame) -> DataFrame:

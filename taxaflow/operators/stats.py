@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.ordering import adjust_bh, row_number
 from taxaflow.functions.probability import norm_pvalue, t_pvalue
-from taxaflow.operators.table import SAMPLE, TU, dense
+from taxaflow.operators.table import SAMPLE, TU
 
 
 def average_rank(value: str, *by: str) -> Column:
@@ -34,30 +34,55 @@ def spearman(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
     return ranked.groupBy(key).agg(F.count(F.lit(1)).alias("n"), pearson("_a", "_b").alias("rho"))
 
 
-def varying_units(grid: DataFrame, value: str) -> DataFrame:
-    """Units that aren't the same in all samples."""
-    return grid.groupBy(TU).agg(F.min(value).alias("_low"), F.max(value).alias("_high")).where("_low <> _high").select(TU)
+def centred_ranks(rows: DataFrame, value: str, name: str) -> DataFrame:
+    """Adds the rank of ``value`` over all rows, ties sharing the mean of their places, less the mean rank."""
+    numbered = row_number(rows, [F.col(value).asc()], "_i")
+    at = numbered.groupBy(F.col(value).alias("_v")).agg(F.avg("_i").alias("_rank"))
+    middle = (numbered.count() + 1) / 2
+    return numbered.join(at, F.col(value) == F.col("_v")).withColumn(name, F.col("_rank") - middle).drop("_i", "_v", "_rank")
 
 
 def correlate_with_column(ft: DataFrame, meta: DataFrame, column: str, value: str = "n") -> DataFrame:
     """Spearman correlation of every varying unit with a numeric metadata column, t-test p and BH adjustment.
 
-    Samples need a value in the column and a place in the table; absent cells count as zeros. Units without a
-    correlation are left out.
+    Samples need a value in the column and a place in the table; absent cells count as zeros but are never made: their
+    common rank follows from how many cells of the unit are below zero and how many there are, and sums over them from
+    sums over the cells that exist. Units without a correlation are left out.
     """
     known = meta.where(F.col(column).isNotNull()).select(SAMPLE, F.col(column).cast("double").alias("_m")).join(ft.select(SAMPLE).distinct(), SAMPLE, "left_semi")
-    grid = dense(ft.join(known.select(SAMPLE), SAMPLE, "left_semi"), samples=known, value=value)
-    grid = grid.join(varying_units(grid, value), TU, "left_semi").join(known, SAMPLE)
-    rho = spearman(grid, TU, value, "_m").where(F.col("rho").isNotNull())
-    out = rho.withColumn("t", t_statistic(F.col("rho"), F.col("n"))).withColumn("p", t_pvalue("t", F.col("n") - 2))
-    averages = grid.groupBy(TU).agg(F.avg(value).alias("average"))
-    return adjust_bh(out, "p", "p_adj").join(averages, TU)
-
-
-def group_means(grid: DataFrame, meta: DataFrame, treatment: str | None, group: str, value: str) -> DataFrame:
-    """Mean of each unit in each group (of each treatment); samples without group are left out."""
-    by = [TU, *([treatment] if treatment else []), group]
-    return grid.join(meta.where(F.col(group).isNotNull()), SAMPLE).groupBy(*by).agg(F.avg(value).alias("mean"))
+    places = centred_ranks(known, "_m", "_y").select(SAMPLE, "_y")
+    n, syy = places.agg(F.count(F.lit(1)), F.sum(F.col("_y") * F.col("_y"))).first()
+    cells = ft.where(F.col(value) != 0).join(places, SAMPLE).select(TU, F.col(value).alias("_v"), "_y")
+    cells = cells.withColumn("_k", F.count(F.lit(1)).over(Window.partitionBy(TU))).withColumn("_r", average_rank("_v", TU))
+    middle, zeros = (n + 1) / 2, n - F.col("_k")
+    cells = cells.withColumn("_x", F.col("_r") + F.when(F.col("_v") > 0, zeros).otherwise(0) - middle)
+    x, y = F.col("_x"), F.col("_y")
+    sums = cells.groupBy(TU).agg(F.first("_k").alias("_k"), F.count_if(F.col("_v") < 0).alias("_low"), F.sum(x * y).alias("_xy"), F.sum(x * x).alias("_xx"), F.sum(y).alias("_sy"), F.sum("_v").alias("_sum"))
+    zero = F.col("_low") + (zeros + 1) / 2 - middle
+    sums = sums.withColumn("_xy", F.col("_xy") - zero * F.col("_sy")).withColumn("_xx", F.col("_xx") + zeros * zero * zero)
+    rho = F.try_divide(F.col("_xy"), F.sqrt(F.col("_xx") * F.lit(syy or 0.0)))
+    out = sums.select(TU, F.lit(n).cast("long").alias("n"), F.greatest(F.lit(-1.0), F.least(F.lit(1.0), rho)).alias("rho"), (F.col("_sum") / n).alias("average"), rho.isNotNull().alias("_any")).where("_any").drop("_any")
+    out = out.withColumn("t", t_statistic(F.col("rho"), F.col("n"))).withColumn("p", t_pvalue("t", F.col("n") - 2))
+    return adjust_bh(out, "p", "p_adj").select(TU, "n", "rho", "t", "p", "p_adj", "average")
+
+
+def group_means(ft: DataFrame, meta: DataFrame, treatment: str | None, group: str, value: str = "n", pseudocount: float = 1.0) -> DataFrame:
+    """(tu_id, treatment, group, mean): each unit's mean share in each group (of each treatment) after a constant is added
+    to every cell, absent ones too; samples without group are left out.
+
+    What the constant alone gives is the same for all units of a group, so a mean is that plus the shares of the cells that exist.
+    """
+    by = [*([treatment] if treatment else []), group]
+    units = ft.select(TU).distinct()
+    totals = ft.groupBy(SAMPLE).agg(F.sum(value).alias("_total")).withColumn("_total", F.col("_total") + units.count() * pseudocount)
+    samples = totals.join(meta.where(F.col(group).isNotNull()), SAMPLE)
+    part = lambda x: F.when(F.col("_total") != 0, x / F.col("_total")).otherwise(0.0)
+    bases = samples.groupBy(*by).agg(F.count(F.lit(1)).alias("_n"), F.sum(part(F.lit(pseudocount))).alias("_base"))
+    own = ft.join(samples, SAMPLE).groupBy(TU, *by).agg(F.sum(part(F.col(value))).alias("_own"))
+    every = units.crossJoin(bases)  # the result's rows: each unit in each group
+    same = [F.col(f"o.{c}").eqNullSafe(F.col(f"e.{c}")) for c in [TU, *by]]
+    both = every.alias("e").join(own.alias("o"), same, "left")
+    return both.select(*[f"e.{c}" for c in [TU, *by]], ((F.col("_base") + F.coalesce("_own", F.lit(0.0))) / F.col("_n")).alias("mean"))
 
 
 def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high: float = 0.0, low: float = 0.0, most_p: float = 1.0, block: int = 512, least: int = 3) -> DataFrame:

@@ -164,7 +164,7 @@ m AS (SELECT tu_id, grp, CASE WHEN value > 5000 THEN 'after' ELSE 'before' END A
 
 def phase_means(s, d):
     meta = A.sample_map(s, d).withColumn("phase", F.when(F.col("value") > 5000, "after").otherwise("before"))
-    return stats.group_means(table.with_pseudocount(A.feature_long(s, d)), meta, "phase", "grp", "rel")
+    return stats.group_means(A.feature_long(s, d), meta, "phase", "grp")
 
 
 @query("fold_change", sql(MEANS + " SELECT a.tu_id, a.grp, round(b.mean, 12) AS before, round(a.mean, 12) AS after, round(a.mean / b.mean, 6) AS change FROM m a JOIN m b ON a.tu_id = b.tu_id AND a.grp = b.grp AND a.phase = 'after' AND b.phase = 'before'", "feature_long", "sample_map"))
