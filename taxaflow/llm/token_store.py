@@ -17,7 +17,6 @@ import io
 import json
 import os
 import re
-import string
 import struct
 import uuid
 from array import array
@@ -42,7 +41,12 @@ FINGERPRINT = np.uint64(32)
 SECOND = 11
 #: White space other than a space, before one.
 SPACE_RUN = re.compile("[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
-LETTERS, MARKS = frozenset(string.ascii_letters), ".,;:!?)"
+MARKS = ".,;:!?)"
+#: Letters below this are letters to every version of Unicode.
+OLD_LETTERS = "\u0250"
+#: The characters that stand for bytes in byte-level models: printable ones of Latin-1 for themselves, others from U+0100 on in order.
+_PLAIN = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+BYTE_CHARS = {b: chr(0x100 + i) for i, b in enumerate(b for b in range(256) if b not in _PLAIN)}
 
 
 class UnitEncoder:
@@ -62,22 +66,26 @@ class UnitEncoder:
             spec = json.load(f)
         pre, model = spec.get("pre_tokenizer") or {}, spec["model"]
         bytewise = pre.get("type") == "ByteLevel" and pre.get("use_regex", True) and not pre.get("add_prefix_space")
-        # Added tokens that reach over spaces, or take in those beside them, would span cuts.
-        added = any(" " in t["content"] or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec.get("added_tokens", []))
+        # Added tokens that reach over spaces, or take in those beside them, would span cuts; ones of letters could stand in words.
+        added = any(" " in t["content"] or t["content"].isalpha() or t.get("lstrip") or t.get("rstrip") or t.get("single_word") or t.get("normalized") for t in spec.get("added_tokens", []))
         self.by_units = bytewise and not spec.get("normalizer") and not spec.get("truncation") and not added and model.get("type") == "BPE" and not model.get("dropout")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
-        self.dtype = np.dtype(f"<u{self.width}")
+        self.dtype, self.kind = np.dtype(f"<u{self.width}"), "H" if self.width == 2 else "I"
         self.most, self.longest, self.known = most, longest, {}
 
     def _raw(self, texts: list[str]) -> list[bytes]:
-        kind = "H" if self.width == 2 else "I"
-        return [array(kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
     def _learn(self, new: list[str]) -> None:
-        """Marks after an ASCII letter begin a piece of their own, so words are learnt without them."""
-        parts = [(u[:n], u[n:]) if u[n - 1 : n] in LETTERS and n else (u, "") for u, n in ((u, len(u.rstrip(MARKS))) for u in new)]
+        """Marks after a letter begin a piece of their own, so words are learnt without them."""
+        parts = [(u[:n], u[n:]) if n < len(u) and u[n - 1 : n].isalpha() and u[n - 1] < OLD_LETTERS else (u, "") for u, n in ((u, len(u.rstrip(MARKS))) for u in new)]
         todo = [u for u in set().union(*parts) if u and u not in self.known]
-        self.known.update(zip(todo, self._raw(todo)))
+        # Letters, and a space before them or none, are one piece: the library's model takes it without further ado.
+        kind, tokenize = self.kind, self.tokenizer.model.tokenize
+        words = [u for u in todo if u[u[0] == " " :].isalpha() and max(u) < OLD_LETTERS]
+        self.known.update((u, array(kind, [t.id for t in tokenize(bytewise(u))]).tobytes()) for u in words)
+        rest = [u for u in todo if u not in self.known]
+        self.known.update(zip(rest, self._raw(rest)))
         self.known[""] = b""
         self.known.update((u, self.known[a] + self.known[b]) for u, (a, b) in zip(new, parts) if b)
 
@@ -96,6 +104,13 @@ class UnitEncoder:
         return out
 
 
+def bytewise(unit: str) -> str:
+    """Letters, with a space before them or none, as byte-level models write them."""
+    if unit.isascii():
+        return BYTE_CHARS[32] + unit[1:] if unit[0] == " " else unit
+    return unit.encode().decode("latin-1").translate(BYTE_CHARS)
+
+
 def units(text: str) -> list[str]:
     """The text cut before each space that follows a character other than white space."""
     first, *rest = text.split(" ")

@@ -1,3 +1,4 @@
+import random
 import struct
 import zlib
 
@@ -62,6 +63,13 @@ def test_units_join_to_the_library_ids():
     assert max(map(len, enc.known)) <= enc.longest
 
 
+def test_words_and_marks_are_learnt_apart():
+    rng = random.Random(2)
+    texts = ["".join(rng.choice("abcXYZéüßñøŁſ×÷ªº.,;!?)('s ") for _ in range(rng.randint(0, 60))) for _ in range(5000)]
+    enc = token_store.UnitEncoder(BPE)
+    assert enc.encode(texts) == [np.array(e.ids, enc.dtype).tobytes() for e in enc.tokenizer.encode_batch(texts, add_special_tokens=False)]
+
+
 def test_other_tokenizers_get_whole_texts():
     path = public_tokenizers.path("word_bpe_49k.json")
     enc, encode = token_store.UnitEncoder(path), library(path)
