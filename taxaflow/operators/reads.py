@@ -6,11 +6,13 @@ from collections import Counter
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from taxaflow.functions.ordering import row_number
-from taxaflow.functions.sequence import count_char, error_chances, expected_errors, has_run, kmers, reverse_complement
+from taxaflow.functions.sequence import count_char, error_chances, expected_errors, has_run, reverse_complement
+from taxaflow.operators.search import minimisers, seed_words, text_words
 
 
 def truncate(reads: DataFrame, length: int) -> DataFrame:
@@ -38,16 +40,79 @@ def drop_runs(reads: DataFrame, length: int = 20) -> DataFrame:
     return reads.where(~has_run(F.col("seq"), length))
 
 
-def drop_matching(reads: DataFrame, reference: DataFrame, k: int = 24, least: int = 4) -> DataFrame:
-    """Drops reads that share ``least`` words of length k with a reference sequence (seq) or its reverse complement.
+def bloom_filter(seqs: DataFrame, k: int, most_bytes: int = 64 << 20) -> np.ndarray | None:
+    """Bits of the words of length k of all sequences (seq), 16 for each word and two set; None if they would take more than ``most_bytes``."""
+    words = seqs.where(F.length("seq") >= k).agg(F.sum(F.length("seq") - k + 1)).first()[0] or 0
+    size = 64 * max(1, -(-16 * words // 64))
+    if size // 8 > most_bytes:
+        return None
+    hashed = seed_words(seqs.withColumn("_id", F.lit(0)), ["_id"], k, 1)
+    bit = F.explode(F.array(F.pmod("word", F.lit(size)), F.pmod(F.xxhash64("word"), F.lit(size))))
+    slots = hashed.select(bit.alias("_bit")).groupBy(F.expr("_bit div 64").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("bits")).collect()
+    held = np.zeros(size // 64, np.int64)
+    for r in slots:
+        held[r["slot"]] = r["bits"]
+    return held
 
-    An approximation of alignment, for removing spike-ins. Reference words are joined as a table.
+
+def _may_match(reads: DataFrame, held: np.ndarray, k: int, least: int) -> DataFrame:
+    """Reads of which at least ``least`` words pass the filter."""
+    size = 64 * len(held)
+
+    def run(batches):
+        for b in batches:
+            keep = []
+            for s in b.column(b.schema.get_field_index("seq")).to_pylist():
+                h, _ = minimisers(s.encode("ascii", "replace") if s else b"", k, 1)
+                h = np.unique(h)
+                first = h % size
+                h = h[held[first >> 6] >> (first & 63) & 1 == 1]
+                second = np.fromiter((xxhash.xxh64_intdigest(int(x).to_bytes(8, "little", signed=True), 42) for x in h), np.uint64, len(h)).view(np.int64) % size
+                keep.append(int((held[second >> 6] >> (second & 63) & 1).sum()) >= least)
+            yield b.filter(pa.array(keep, pa.bool_()))
+
+    return reads.mapInArrow(run, reads.schema)
+
+
+def matching_reads(reads: DataFrame, reference: DataFrame, k: int = 24, least: int = 4, identity: float | None = None, overlap: int | None = None) -> DataFrame:
+    """(read_id) of the reads that share ``least`` different words of length k with reference sequences (seq) or their reverse complements.
+
+    With ``identity`` the read must also lie along one of them on a diagonal of such a word, without gaps, over
+    ``overlap`` places (by default k) or more, with that share of equal letters. Reads pass a Bloom filter of the reference's words
+    first, if that fits in memory; words are then joined for those that pass.
     """
-    both = reference.select("seq").unionByName(reference.select(reverse_complement(F.col("seq")).alias("seq")))
-    words = both.select(F.explode(kmers(F.col("seq"), k)).alias("word")).distinct()
-    mine = reads.select("read_id", F.explode(kmers(F.col("seq"), k)).alias("word"))
-    found = mine.join(words, "word", "left_semi").groupBy("read_id").agg(F.count(F.lit(1)).alias("n")).where(F.col("n") >= least)
-    return reads.join(found.select("read_id"), "read_id", "left_anti")
+    both = reference.select("seq").unionByName(reference.select(reverse_complement(F.col("seq")).alias("seq"))).where("seq is not null").distinct()
+    held = bloom_filter(both, k)
+    some = reads.select("read_id", "seq") if held is None else _may_match(reads.select("read_id", "seq"), held, k, least)
+    words = text_words(both.withColumn("_id", F.lit(0)), ["_id"], k).select("word").distinct()
+    found = text_words(some, ["read_id"], k).join(words, "word", "left_semi").groupBy("read_id").agg(F.count_distinct("word").alias("n")).where(F.col("n") >= least).select("read_id")
+    if identity is None:
+        return found
+    own = text_words(some.join(found, "read_id", "left_semi"), ["read_id"], k, places=True)
+    theirs = text_words(both.withColumn("_ref", F.col("seq")), ["_ref"], k, places=True).withColumnRenamed("place", "_at")
+    met = own.join(theirs, "word").withColumnRenamed("place", "_r")
+    met = met.select("read_id", "_ref", (F.col("_at") - F.col("_r")).alias("_shift")).distinct().join(some, "read_id")
+    # The read's place r lies on the reference's r + shift; both are cut to where they overlap.
+    start, n = F.greatest(-F.col("_shift"), F.lit(0)), F.length("seq")
+    span = F.least(n, F.length("_ref") - F.col("_shift")) - start
+    met = met.select("read_id", F.substring("seq", start + 1, span).alias("_a"), F.substring("_ref", start + F.col("_shift") + 1, span).alias("_b"))
+    met = met.where(F.length("_a") >= (overlap or k))
+
+    def along(batches):
+        for b in batches:
+            a, c = (np.frombuffer("".join(x).encode("utf-32-le"), np.uint32) for x in (b.column(1).to_pylist(), b.column(2).to_pylist()))
+            size = np.array([len(x) for x in b.column(1).to_pylist()], np.int64)
+            upto = np.concatenate([[0], np.cumsum(a == c)])
+            ends = size.cumsum()
+            share = (upto[ends] - upto[ends - size]) / size
+            yield pa.RecordBatch.from_arrays([b.column(0).filter(pa.array(share >= identity - 1e-12))], ["read_id"])
+
+    return met.mapInArrow(along, some.select("read_id").schema).distinct()
+
+
+def drop_matching(reads: DataFrame, reference: DataFrame, k: int = 24, least: int = 4, identity: float | None = None, overlap: int | None = None) -> DataFrame:
+    """Drops the reads that match a reference (see ``matching_reads``), as spike-ins are removed."""
+    return reads.join(matching_reads(reads, reference, k, least, identity, overlap), "read_id", "left_anti")
 
 
 def demultiplex(reads: DataFrame, sample_map: DataFrame) -> DataFrame:

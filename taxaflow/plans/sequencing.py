@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from taxaflow.functions.sequence import expected_errors
-from taxaflow.operators import barcodes, cluster, derep, mapping, reads, tree
+from taxaflow.operators import barcodes, classify, cluster, derep, mapping, reads, search, tree
 from taxaflow.plans import adapters as A
 from taxaflow.plans.adapters import sql
 
@@ -87,10 +87,36 @@ def longest_of_first(s, d):
     return reads.longest_of_first(A.reads(s, d))
 
 
-@query("reference_words_removed")
+def spikes(s, d):
+    """The benchmark's items as reference sequences to remove."""
+    return A.read(s, d, "benchmark").select(F.regexp_replace("text", r"[^\x00-\x7F]", "?").alias("seq"))
+
+
+#: Words of both strands of the references, and of reads; 4 different ones in common make a match.
+SHARED_WORDS = """f AS (SELECT regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') AS seq FROM benchmark),
+b AS (SELECT seq FROM f UNION ALL SELECT reverse(translate(seq, 'ACGTacgt', 'TGCAtgca')) FROM f),
+rw AS (SELECT DISTINCT substr(seq, CAST(i AS BIGINT), 24) AS word FROM b, unnest(range(1, length(seq) - 22)) AS t(i)),
+qw AS (SELECT DISTINCT read_id, substr(seq, CAST(i AS BIGINT), 24) AS word FROM reads, unnest(range(1, length(seq) - 22)) AS t(i)),
+m AS (SELECT read_id FROM qw JOIN rw USING (word) GROUP BY read_id HAVING count(*) >= 4)"""
+
+
+@query("reference_words_removed", sql(SHARED_WORDS + " SELECT read_id FROM reads WHERE read_id NOT IN (SELECT read_id FROM m)", "reads"))
 def reference_words_removed(s, d):
-    spike = A.read(s, d, "benchmark").select(F.regexp_replace("text", r"[^\x00-\x7F]", "?").alias("seq"))
-    return reads.drop_matching(A.reads(s, d), spike).select("read_id")
+    return reads.drop_matching(A.reads(s, d), spikes(s, d)).select("read_id")
+
+
+@query("reference_reads_verified")
+def reference_reads_verified(s, d):
+    """Of the reads that share words with a reference, those that lie along it, wherever both are, with 97 % equal letters."""
+    return reads.matching_reads(A.reads(s, d), spikes(s, d), identity=0.97)
+
+
+@query("local_search")
+def local_search(s, d):
+    """Benchmark items among all documents, in the columns of hit files."""
+    queries = A.read(s, d, "benchmark").select(F.col("item_id").cast("string").alias("qseqid"), F.col("text").alias("seq"))
+    subjects = A.reads(s, d).select(F.col("read_id").alias("sseqid"), "seq", F.array("sample_id").alias("staxids"), F.col("grp").alias("stitle"))
+    return search.local_search(queries, subjects, search.CLOSE, both_strands=False, evalue=0.001)
 
 
 @query("demux_join", sql("SELECT read_id, barcode, sample_id FROM barcoded JOIN sample_map USING (barcode)", "barcoded", "sample_map"))
@@ -258,6 +284,38 @@ def split_known_unbinned(s, d):
     return report.select("read_id", F.lit(True).alias("known")).unionByName(mapping.unbinned(r, report).select("read_id", F.lit(False).alias("known")))
 
 
+def labelled_texts(s, d):
+    """Documents as reference sequences, their language and source as lineage."""
+    return A.reads(s, d).select("seq", F.array(F.concat(F.lit("d__"), "grp"), F.concat(F.lit("p__"), "sample_id")).alias("lineage"))
+
+
+def items(s, d):
+    return A.read(s, d, "benchmark").select(F.col("item_id").cast("string").alias("qseqid"), F.regexp_replace("text", r"[^\x00-\x7F]", "?").alias("seq"))
+
+
+def words_sql(table: str, key: str) -> str:
+    return f"SELECT DISTINCT {key}, substr(seq, CAST(i AS BIGINT), 8) AS word FROM {table}, unnest(range(1, length(seq) - 6)) AS t(i)"
+
+
+@query("classify_words", sql(f"""
+ref AS (SELECT ord AS id, seq, 'd__' || grp || ';p__' || sample_id AS taxon FROM reads WHERE length(seq) >= 8),
+it AS (SELECT CAST(item_id AS VARCHAR) AS qseqid, regexp_replace(text, '[^\\x00-\\x7F]', '?', 'g') AS seq FROM benchmark),
+rw AS ({words_sql('ref', 'id, taxon')}), qw AS ({words_sql('it', 'qseqid')}),
+pr AS (SELECT word, (count(*) + 0.5) / ((SELECT count(*) FROM ref) + 1) AS p FROM rw GROUP BY word),
+tw AS (SELECT taxon, word, ln((count(*) + any_value(p)) / any_value(p)) AS gain FROM rw JOIN pr USING (word) GROUP BY taxon, word),
+tx AS (SELECT taxon, ln(count(*) + 1) AS cost FROM ref GROUP BY taxon), qn AS (SELECT qseqid, count(*) AS n FROM qw GROUP BY qseqid),
+sc AS (SELECT qseqid, taxon, sum(gain) - any_value(n) * any_value(cost) AS score FROM qw JOIN tw USING (word) JOIN tx USING (taxon) JOIN qn USING (qseqid) GROUP BY qseqid, taxon)
+SELECT qseqid, arg_max(taxon, (score, taxon)) AS taxonomy, round(max(score), 4) AS score FROM sc GROUP BY qseqid""", "reads"))
+def classify_words(s, d):
+    found = classify.classify(items(s, d), classify.train(labelled_texts(s, d)), confidence=None)
+    return found.select("qseqid", "taxonomy", F.round("score", 4).alias("score"))
+
+
+@query("classify_confidence")
+def classify_confidence(s, d):
+    return classify.classify(items(s, d), classify.train(labelled_texts(s, d)), confidence=0.7)
+
+
 @query("nj_classify")
 def nj_classify(s, d):
     seqs = A.read(s, d, "part").groupBy(F.col("p_name").alias("seq")).agg(F.min("p_partkey").alias("ord"))

@@ -45,7 +45,7 @@ def test_oracle(spark, duck, name):
     assert normal(df.columns, df.collect()) == normal(columns, r.fetchall())
 
 
-@pytest.mark.parametrize("name", ["greedy_cluster", "denoise", "map_reads_to_units", "nj_classify"])
+@pytest.mark.parametrize("name", ["nj_classify", "local_search", "reference_reads_verified", "classify_confidence"])
 def test_rows(spark, name):
     assert registry.QUERIES[name](spark, SF).count() > 0
 
