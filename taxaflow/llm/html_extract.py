@@ -23,7 +23,7 @@ ATTRIBUTE = re.compile(r"([a-zA-Z-]+)(?:\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s\"
 RAW = {"script", "style", "noscript", "template", "textarea", "title", "iframe", "xmp", "noembed", "noframes"}
 VOID = {"area", "base", "br", "col", "embed", "hr", "img", "input", "link", "meta", "param", "source", "track", "wbr"}
 #: Form controls, and what browsers don't show: their text is never part of an article. A dialog is shown if it is open.
-NEVER = {"head", "select", "option", "datalist", "canvas", "audio", "video", "annotation", "annotation-xml", "desc", "metadata"}
+NEVER = {"head", "select", "option", "datalist", "label", "canvas", "audio", "video", "annotation", "annotation-xml", "desc", "metadata"}
 BOILERPLATE = {"nav", "header", "footer", "aside", "form", "menu"}
 BLOCKS = {
     "address", "article", "aside", "blockquote", "body", "caption", "center", "dd", "details", "dialog", "div", "dl", "dt", "fieldset", "figcaption", "figure", "footer",
@@ -37,18 +37,29 @@ WEIGHT = {"article": 1.5, "main": 1.3, "body": 0.8}
 PART = 10
 #: The host's other pages can speak against text of a page only if this share of it is under a winning path.
 AT_LEAST = 0.1
-#: Block containers, which words in class, id or role can mark; text, headings, cells and inline elements they can't.
+#: Block containers, which words in class, id or role can mark; text, headings, tables, cells and inline elements they can't.
 MARKABLE = {
     "address", "aside", "blockquote", "center", "details", "dialog", "div", "dl", "fieldset", "figure", "footer", "form", "header", "hgroup", "li", "menu", "nav", "ol",
-    "section", "table", "ul",
+    "section", "ul",
 }
 #: Words in class, id or role that mark what isn't the article.
 MARKED = {
     "ad", "ads", "adv", "advert", "advertisement", "adverts", "advertising", "alert", "announcement", "aside", "banner", "breadcrumb", "breadcrumbs", "comment", "comments",
-    "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "discussion", "disqus", "footer", "form", "gdpr", "header", "login", "masthead", "menu", "modal", "nav",
+    "complementary", "consent", "contentinfo", "cookie", "cookies", "copyright", "disqus", "footer", "form", "gdpr", "header", "login", "masthead", "menu", "modal", "nav",
     "navbar", "navigation", "newsletter", "notice", "notification", "overlay", "pager", "pagination", "popup", "promo", "promoted", "promotion", "recommended",
     "related", "replies", "respond", "search", "share", "sharing", "sidebar", "signup", "social", "sponsor", "sponsored", "subscribe", "toolbar", "widget",
 }
+#: Words that say where or what kind of part an element is. A name marks if all of its words are among these and marked ones: so
+#: ``related-posts`` and ``footer-links`` do, but ``related-work`` and ``copyright-law``, which are about something, don't.
+PLAIN = {
+    "area", "article", "articles", "author", "bar", "block", "blog", "body", "bottom", "box", "button", "buttons", "col", "column", "component", "container", "content", "count",
+    "desktop", "entry", "feed", "first", "fixed", "follow", "global", "google", "group", "heading", "holder", "icon", "icons", "inner", "input", "item", "items", "last", "layout", "leaderboard", "left",
+    "link", "links", "list", "local", "main", "media", "message", "mini", "mobile", "module", "more", "news", "of", "on", "outer", "page", "pages", "panel", "policy", "post", "posts", "primary", "reader", "readers",
+    "region", "reply", "right", "row", "secondary", "section", "site", "skyscraper", "slot", "small", "sponsors", "sticky", "stories", "story", "sub", "text", "the", "thread", "title", "to", "toggle", "top", "unit", "us",
+    "user", "view", "wrap", "wrapper", "you", "zone",
+}
+#: Names that mark inline elements.
+INLINE_ADS = {"ad", "ads", "advert", "advertisement", "sponsored"}
 #: Of these, ones that a page may wrap round its whole content.
 WRAPPING = {"form", "header", "modal", "overlay", "search", "widget", "login", "banner"}
 #: Elements whose start ends an open element of the first set, unless one of the second set is nearer.
@@ -193,6 +204,8 @@ class Page:
                 mark = "never"
             if not mark and tag in MARKABLE:
                 mark = marked(f"{names} {found.get('id', '')} {found.get('role', '')}")
+            if not mark and tag in ("span", "ins", "a") and not INLINE_ADS.isdisjoint(names.lower().split()):
+                mark = "never"
         up = self._stack[-1]
         names = ".".join(sorted({re.sub(r"\d+", "#", x.lower()) for x in names.split()}))
         path, e = f"{self.path[up]}/{tag}{'.' + names if names else ''}", len(self.tag)
@@ -366,10 +379,12 @@ def decoded(raw: str) -> str:
 
 
 def marked(names: str) -> str:
-    words = re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", names).lower())
-    for i, w in enumerate(words):
-        if w in MARKED and not (i and words[i - 1] in ("with", "has", "no", "without")):
-            return w
+    """The first marked word of a name that says nothing but that, or an empty string."""
+    for name in names.split():
+        words = [w for w in re.split(r"[^a-z]+", re.sub(r"([a-z])([A-Z])", r"\1 \2", name).lower()) if w]
+        found = [w for i, w in enumerate(words) if w in MARKED and not (i and words[i - 1] in ("with", "has", "no", "without"))]
+        if found and all(w in MARKED or w in PLAIN or len(w) == 1 for w in words):
+            return found[0]
     return ""
 
 
@@ -403,18 +418,21 @@ def extract(html: str | None, paths: list[str] | None, outside: list[str] | None
 def host_paths(pages: DataFrame, *, host: str, html: str, least: float = 0.1) -> DataFrame:
     """(host, paths, outside): each host's winning container paths, best first, and paths whose text isn't the article's.
 
-    Every page votes once, for the generalised path (tags and classes, numbers as #) of its container. Paths with
-    at least ``least`` of the votes of the host's first one win (ties: the higher score, then the path). Outside are the
-    nearest containers of text that stand in the voted container on some, but less than half, of the pages with them.
+    Every page votes once, for the generalised path (tags and classes, numbers as #) of its container. Paths with the
+    votes of at least ``least`` of the host's pages, and of two, win, so they are few for each host (ties: the higher score, then the path);
+    pages of a host without any keep their own container. Outside are the nearest containers of text that stand on so many
+    pages, and in the voted container on some but less than half of them.
     """
     cast = "votes array<struct<path:string,score:double,vote:int,held:int,inside:int>>"
     said = map_columns(pages, [host], [html], cast, lambda h: [[[dict(zip(("path", "score", "vote", "held", "inside"), v)) for v in votes(x)] for x in h]])
     said = said.select(host, F.inline("votes"))
     sums = [F.sum("vote").alias("n"), F.sum(F.round("score", 3)).alias("score"), F.sum("held").alias("held"), F.sum("inside").alias("inside")]
-    said = said.groupBy(host, "path").agg(*sums).withColumn("most", F.max("n").over(Window.partitionBy(host)))
-    won = F.when((F.col("n") > 0) & (F.col("n") >= least * F.col("most")), F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path"))
-    out = F.when((F.col("inside") > 0) & (F.col("held") > 2 * F.col("inside")), F.col("path"))
-    hosts = said.groupBy(host).agg(F.sort_array(F.collect_list(won)).alias("r"), F.sort_array(F.collect_list(out)).alias("outside"))
+    said = materialize(said.groupBy(host, "path").agg(*sums), "host-votes")
+    counts = said.groupBy(host).agg((F.sum("n") * least).alias("few"))
+    often = said.where("n >= 2 or held > 2 * inside and inside > 0").join(counts, host)
+    won = F.when((F.col("n") >= 2) & (F.col("n") >= F.col("few")), F.struct((-F.col("n")).alias("n"), (-F.col("score")).alias("score"), "path"))
+    out = F.when((F.col("inside") > 0) & (F.col("held") > 2 * F.col("inside")) & (F.col("held") >= F.col("few")), F.col("path"))
+    hosts = often.groupBy(host).agg(F.sort_array(F.collect_list(won)).alias("r"), F.sort_array(F.collect_list(out)).alias("outside"))
     return hosts.select(host, F.transform("r", lambda x: x.path).alias("paths"), "outside")
 
 

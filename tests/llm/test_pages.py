@@ -166,3 +166,33 @@ def test_propagation_is_personalised_pagerank(spark):
             total += 0.15 * x
             x = 0.85 * x @ w
         assert all(abs(got.get(n, (0, 0))[k] - total[i]) < 1e-12 for i, n in enumerate(names))
+
+
+#: Pages and the text that a reader would call the article, written by hand.
+BY_HAND = [
+    ("<article><h1>T</h1><p>first words of it</p><section id='discussion'><h2>Discussion</h2><p>what it means</p></section></article>", "T\n\nfirst words of it\n\nDiscussion\n\nwhat it means"),
+    ("<main><p>a study of some length</p><section class='related-work'><p>what others did before</p></section></main>", "a study of some length\n\nwhat others did before"),
+    ("<article><p>on the law of authors</p><div class='copyright-law'><p>how long it lasts</p></div></article>", "on the law of authors\n\nhow long it lasts"),
+    ("<article><p>what we found</p><table class='search-results'><tr><td>one</td><td>two</td></tr></table></article>", "what we found\n\none\n\ntwo"),
+    ("<article><p>a line <span class='ad'>Buy now</span> of text</p></article>", "a line of text"),
+    ("<article><p>some text to read</p><label>Your mail</label></article>", "some text to read"),
+    ("<body><div class='site-header'>Site</div><div class='post-content'><p>the text of the post</p></div><div class='related-posts'><p>another post of ours</p></div><div id='footer-links'>Imprint</div></body>", "the text of the post"),
+    ("<body><div class='comment-list'><p>I do not agree at all with this</p></div><article><p>the text</p></article><ul class='nav-menu main'><li>Home</li></ul></body>", "the text"),
+    ("<article><p>the story</p><div class='advertisement-box'>Buy</div><div class='newsletter signup'>Mail us</div><section class='readerComments'>No</section></article>", "the story"),
+]
+
+
+@pytest.mark.parametrize("html,want", BY_HAND)
+def test_articles_written_by_hand(html, want):
+    assert html_extract.extract(html, None) == want
+
+
+def test_a_host_sends_few_paths_to_its_pages(spark):
+    """Pages with classes of their own have no winners; of common templates at most ten can win, however many pages there are."""
+    own = [("http://a.org/", f"<div class='c{'abcdefghij'[i % 10] * (i // 10 + 1)}'><p>text of page {i} as long as it needs</p></div>") for i in range(200)]
+    few = [("http://b.org/", f"<div class='t{'abcd'[i % 4]}'><p>text of page {i} as long as it needs</p></div>") for i in range(80)]
+    pages = spark.createDataFrame(own + few, "url string, html string")
+    hosts = {r.host: r.paths for r in html_extract.host_paths(pages.selectExpr("substr(url, 8, 5) as host", "html"), host="host", html="html").collect()}
+    assert not hosts.get("a.org") and sorted(hosts["b.org"]) == [f"/div.t{c}" for c in "abcd"]
+    got = [r.text for r in html_extract.extract_pages(pages).collect()]
+    assert len(got) == 280 and all(t.startswith("text of page") for t in got)
