@@ -1,57 +1,160 @@
-"""FASTQ as a Spark data source: files are read in byte ranges that start at records."""
+"""FASTQ as a Spark data source: files of any store are read in ranges that start at records, blocked gzip as well."""
 
 from __future__ import annotations
 
-import glob
-import gzip
+import fnmatch
 import os
+import struct
+import zlib
 from collections.abc import Iterator
-from typing import BinaryIO
 
-from pyspark.sql import DataFrame, SparkSession
+import pyarrow.fs as pafs
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 SCHEMA = "read_id string, header string, seq string, qual string, barcode string, ord long"
 
-
-class Range(InputPartition):
-    def __init__(self, path: str, start: int, stop: int | None):
-        super().__init__((path, start, stop))
-        self.path, self.start, self.stop = path, start, stop
+#: How a block of blocked gzip begins (magic, deflate, extra field), and its subfield with the block's length.
+GZIP, SUBFIELD = b"\x1f\x8b\x08\x04", b"BC\x02\x00"
+#: The longest block, and what is read at a time.
+BLOCK, CHUNK = 1 << 16, 1 << 20
 
 
-def first_record(f: BinaryIO, start: int) -> int:
-    """The place of the first record at or after ``start``: a line with @ whose next but one begins with +.
-
-    A quality line may begin with @ too; then its next but one is a sequence, which can't begin with +.
+class Range(InputPartition):
+    def __init__(self, path: str, start: int, stop: int, kind: str):
+        super().__init__((path, start, stop, kind))
+        self.path, self.start, self.stop, self.kind = path, start, stop, kind
+
+
+def open_store(path: str) -> tuple[pafs.FileSystem, str]:
+    """The file system of a path or URI, and the path in it."""
+    return pafs.FileSystem.from_uri(path) if "://" in path or path.startswith("file:") else (pafs.LocalFileSystem(), os.path.abspath(path))
+
+
+def list_files(path: str) -> list[tuple[str, int]]:
+    """(path or URI, size) of a file, of the files of a folder but hidden ones, or of those that a pattern in the last part names."""
+    fs, inside = open_store(path)
+    folder, name = inside.rsplit("/", 1)
+    prefix = path[: len(path) - len(inside)] if path.endswith(inside) else ""
+    if any(c in name for c in "*?["):
+        found = [f for f in fs.get_file_info(pafs.FileSelector(folder, allow_not_found=True)) if f.is_file and fnmatch.fnmatchcase(f.base_name, name)]
+    else:
+        one = fs.get_file_info(inside)
+        if one.type == pafs.FileType.Directory:
+            found = [f for f in fs.get_file_info(pafs.FileSelector(inside)) if f.is_file and f.base_name[0] not in "._"]
+        elif one.is_file:
+            found = [one]
+        else:
+            raise FileNotFoundError(path)
+    return sorted((prefix + f.path, f.size) for f in found)
+
+
+def block_size(head: bytes) -> int:
+    """The length of the block of blocked gzip that begins here; 0 if none does."""
+    if len(head) < 18 or not head.startswith(GZIP):
+        return 0
+    extra, at = head[12 : 12 + struct.unpack_from("<H", head, 10)[0]], 0
+    while at + 4 <= len(extra):
+        if extra[at : at + 4] == SUBFIELD and at + 6 <= len(extra):
+            return struct.unpack_from("<H", extra, at + 4)[0] + 1
+        at += 4 + struct.unpack_from("<H", extra, at + 2)[0]
+    return 0
+
+
+def first_block(f, start: int, size: int) -> int:
+    """The place of the first block at or after ``start``: what looks like one and is followed by another, or by the end."""
+    if not start:
+        return 0
+    held = f.read_at(min(2 * BLOCK + 64, size - start), start)
+    at = held.find(GZIP)
+    while at >= 0:
+        n = block_size(held[at : at + 512])
+        if n and (start + at + n == size or block_size(f.read_at(min(512, size - start - at - n), start + at + n))):
+            return start + at
+        at = held.find(GZIP, at + 1)
+    return size
+
+
+def plain_chunks(f, start: int, stop: int, size: int) -> Iterator[tuple[bytes, int, bool]]:
+    """(data, place, own) from ``start`` to the file's end; what begins before ``stop`` is the range's own."""
+    while start < size:
+        n = min(CHUNK, (stop if start < stop else size) - start)
+        yield f.read_at(n, start), start, start < stop
+        start += n
+
+
+def block_chunks(f, start: int, stop: int, size: int) -> Iterator[tuple[bytes, int, bool]]:
+    """The same of blocked gzip: a block at a time, its place a virtual one (place of the block * 2^16)."""
+    at = first_block(f, start, size)
+    while at < size:
+        raw = f.read_at(BLOCK, at)
+        n = block_size(raw)
+        if not n:
+            raise ValueError(f"no block of gzip at {at}")
+        # The header's extra field comes before the data; the checksum and length after it.
+        data = zlib.decompress(raw[:n], 31)
+        if data:
+            yield data, at << 16, at < stop
+        at += n
+
+
+def gzip_chunks(f, start: int, stop: int, size: int) -> Iterator[tuple[bytes, int, bool]]:
+    """The same of any gzip file, which is one range; places are those in the unpacked data."""
+    unpack, at, place = zlib.decompressobj(31), 0, 0
+    while at < size:
+        raw = f.read_at(min(CHUNK, size - at), at)
+        at += len(raw)
+        while raw:
+            data = unpack.decompress(raw)
+            if data:
+                yield data, place, True
+                place += len(data)
+            raw, unpack = (unpack.unused_data.lstrip(b"\0"), zlib.decompressobj(31)) if unpack.eof else (b"", unpack)
+
+
+KINDS = {"plain": plain_chunks, "blocks": block_chunks, "gzip": gzip_chunks}
+
+
+def lines_of(chunks) -> Iterator[tuple[bytes, int, bool]]:
+    """(line, place, own): own if it begins in the range's own data or right after it."""
+    rest, where, mine, inside = b"", 0, True, True
+    for data, place, own in chunks:
+        at, after, inside = 0, inside and not own, own
+        while at < len(data):
+            if not rest:
+                where, mine = place + at, own or (after and at == 0)
+            end = data.find(b"\n", at)
+            if end < 0:
+                rest += data[at:]
+                break
+            yield rest + data[at:end], where, mine
+            rest, at = b"", end + 1
+    if rest:
+        yield rest, where, mine
+
+
+def records(chunks, first: bool) -> Iterator[tuple[str, str, str, int]]:
+    """(header, seq, qual, place) of the records of a range.
+
+    A range other than the file's first leaves out the line that it begins in or with, and starts at the first record after it: a line with @
+    whose next but one begins with + (a quality line may begin with @ too; then its next but one is a sequence). The
+    range before has the records that begin in its own data or right after it, and reads on to their ends.
     """
-    f.seek(start)
-    if start:
-        f.seek(start - 1)
-        f.readline()
-    while True:
-        at = f.tell()
-        line = f.readline()
-        if not line:
-            return at
-        if line.startswith(b"@"):
-            back = f.tell()
-            f.readline()
-            if f.readline().startswith(b"+"):
-                return at
-            f.seek(back)
-
-
-def records(f: BinaryIO, start: int, stop: int | None) -> Iterator[tuple[str, str, str, int]]:
-    """(header, seq, qual, place) of the records that begin before ``stop``."""
-    f.seek(first_record(f, start))
-    while stop is None or f.tell() < stop:
-        at = f.tell()
-        lines = [f.readline().rstrip(b"\r\n").decode("utf-8", "replace") for _ in range(4)]
-        if not lines[0]:
+    lines = lines_of(chunks)
+    if not first:
+        next(lines, None)
+    held: list[tuple[bytes, int, bool]] = []
+    for line in lines:
+        held.append(line)
+        if not held[0][2]:
             return
-        yield lines[0][1:], lines[1], lines[3], at
+        if len(held) == 3 and not (held[0][0].startswith(b"@") and held[2][0].startswith(b"+")):
+            held.pop(0)
+        elif len(held) == 4:
+            header, seq, _, qual = (x.rstrip(b"\r").decode("utf-8", "replace") for x, _, _ in held)
+            yield header[1:], seq, qual, held[0][1]
+            held = []
 
 
 class FastqReader(DataSourceReader):
@@ -59,24 +162,31 @@ class FastqReader(DataSourceReader):
         self.path, self.size = options["path"], int(options.get("splitBytes", 64 << 20))
 
     def partitions(self) -> list[Range]:
-        paths = sorted(glob.glob(self.path)) if any(c in self.path for c in "*?[") else [self.path]
-        paths = [os.path.join(p, x) for p in paths for x in sorted(os.listdir(p)) if x[0] not in "._"] if len(paths) == 1 and os.path.isdir(paths[0]) else paths
         out = []
-        for p in paths:
-            total = os.path.getsize(p)
-            out += [Range(p, 0, None)] if p.endswith(".gz") else [Range(p, a, min(a + self.size, total)) for a in range(0, total, self.size)]
-        return out or [Range("", 0, 0)]
+        for path, size in list_files(self.path):
+            fs, inside = open_store(path)
+            with fs.open_input_file(inside) as f:
+                head = f.read_at(min(512, size), 0)
+            kind = "plain" if head[:2] != GZIP[:2] else "blocks" if block_size(head) else "gzip"
+            step = size if kind == "gzip" else self.size
+            out += [Range(path, a, min(a + step, size), kind) for a in range(0, size, max(1, step))]
+        return out or [Range("", 0, 0, "plain")]
 
     def read(self, part: Range) -> Iterator[tuple]:
         if not part.path:
             return
-        with (gzip.open if part.path.endswith(".gz") else open)(part.path, "rb") as f:
-            for header, seq, qual, at in records(f, part.start, part.stop):
+        fs, inside = open_store(part.path)
+        with fs.open_input_file(inside) as f:
+            for header, seq, qual, at in records(KINDS[part.kind](f, part.start, part.stop, f.size()), part.start == 0):
                 yield header.split(" ")[0], header, seq, qual, header.rsplit(":", 1)[-1], at
 
 
 class FastqSource(DataSource):
-    """Options: path (file, folder or glob; also gzip), splitBytes. ord is the record's place in its file."""
+    """Options: path (file, folder, or pattern for its last part, as local path or URI; also gzip), splitBytes.
+
+    Plain files and blocked gzip (as sequencers' tools write it) are split; other gzip is one task for each file. ord grows
+    with the record's place in its file.
+    """
 
     @classmethod
     def name(cls) -> str:
@@ -90,17 +200,26 @@ class FastqSource(DataSource):
 
 
 def read_fastq(spark: SparkSession, path: str, split_bytes: int = 64 << 20) -> DataFrame:
-    """Reads from a path that executors can open. The barcode is what follows the header's last colon."""
+    """Reads from any file system that Arrow opens by URI, or a local path. The barcode is what follows the header's last colon."""
     spark.dataSource.register(FastqSource)
     return spark.read.format("fastq").option("splitBytes", split_bytes).load(path)
 
 
 def read_fastq_text(spark: SparkSession, path: str) -> DataFrame:
-    """The same from any store that Spark reads, by lines numbered within each file (whole files, so for small ones)."""
-    lines = spark.read.text(path, wholetext=True).select(F.posexplode(F.split(F.regexp_replace("value", "\r?\n$", ""), "\r?\n")).alias("i", "line"), F.input_file_name().alias("file"))
-    g = lines.groupBy("file", F.expr("i div 4").alias("ord")).agg(F.map_from_entries(F.collect_list(F.struct((F.col("i") % 4).alias("k"), "line"))).alias("m"))
-    header = F.substring(F.col("m")[0], 2, 1_000_000)
-    return g.where(F.length(F.col("m")[0]) > 0).select(F.split(header, " ")[0].alias("read_id"), header.alias("header"), F.col("m")[1].alias("seq"), F.col("m")[3].alias("qual"), F.element_at(F.split(header, ":"), -1).alias("barcode"), F.col("ord").cast("long"))
+    """The same from any store that Spark reads, by lines numbered within each file; ord is the record's number in it.
+
+    Spark splits plain files; the lines of each split are counted first, so that every split knows its first line's number.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
+    splits = splits.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
+    i = F.col("off") + F.col("id") - F.col("first")
+    numbered = lines.join(splits, ["file", "block"]).select("file", F.call_function("div", i, F.lit(4).cast("long")).alias("ord"), (i % 4).alias("k"), "value")
+    line = lambda k: F.max(F.when(F.col("k") == k, F.col("value"))).alias(f"l{k}")
+    g = numbered.groupBy("file", "ord").agg(line(0), line(1), line(3)).where("length(l0) > 0")
+    header = F.expr("substring(l0, 2)")
+    return g.select(F.split(header, " ")[0].alias("read_id"), header.alias("header"), F.col("l1").alias("seq"), F.col("l3").alias("qual"), F.element_at(F.split(header, ":"), -1).alias("barcode"), "ord")
 
 
 def sniff(reads: DataFrame, barcode_length: int) -> str:

@@ -1,6 +1,9 @@
 """Files of each format, and the pipeline from reads to published tables."""
 
+import gzip
 import random
+import struct
+import zlib
 
 import pytest
 from pyspark.sql import functions as F
@@ -32,6 +35,78 @@ def test_fastq_in_ranges(spark, tmp_path, split):
     assert sorted(map(tuple, again.select("read_id", "seq", "qual", "barcode").collect())) == sorted(want)
 
 
+def blocked(raw, rng, last=True):
+    """Blocked gzip: members of at most 2^16 bytes with their length in an extra field, and an empty one at the end."""
+    out, at = b"", 0
+    while at < len(raw):
+        n = rng.randint(1, 300)
+        out += one_block(raw[at : at + n])
+        at += n
+    return out + (one_block(b"") if last else b"")
+
+
+def one_block(data):
+    c = zlib.compressobj(6, zlib.DEFLATED, -15)
+    body = c.compress(data) + c.flush()
+    head = b"\x1f\x8b\x08\x04\0\0\0\0\0\xff" + struct.pack("<H", 6) + b"BC\x02\0" + struct.pack("<H", 18 + len(body) + 8 - 1)
+    return head + body + struct.pack("<II", zlib.crc32(data), len(data))
+
+
+def fastq_body(rng, n):
+    body, want = "", []
+    for i in range(n):
+        k = rng.randint(1, 30)
+        seq, qual = "".join(rng.choice("ACGT") for _ in range(k)), "".join(rng.choice("@+I5A") for _ in range(k))
+        body += f"@r{i} 1:N:0:ACGT{i}\n{seq}\n+\n{qual}\n"
+        want.append((f"r{i}", seq, qual, f"ACGT{i}"))
+    return body, want
+
+
+@pytest.mark.parametrize("kind", ["plain", "blocks", "gzip", "members", "crlf"])
+@pytest.mark.parametrize("split", [1 << 20, 400, 61, 7])
+def test_ranges_have_every_record_once(tmp_path, kind, split):
+    rng = random.Random(split)
+    body, want = fastq_body(rng, 150)
+    raw = body.replace("\n", "\r\n").encode() if kind == "crlf" else body.encode()
+    raw = {"blocks": lambda: blocked(raw, rng), "gzip": lambda: gzip.compress(raw), "members": lambda: gzip.compress(raw[:999]) + gzip.compress(raw[999:])}.get(kind, lambda: raw)()
+    (tmp_path / "x.fq").write_bytes(raw)
+    reader = fastq.FastqReader({"path": f"file://{tmp_path}/x.fq", "splitBytes": split})
+    parts = reader.partitions()
+    got = [r for p in parts for r in reader.read(p)]
+    assert [(r[0], r[2], r[3], r[4]) for r in got] == want and [r[5] for r in got] == sorted({r[5] for r in got})
+    assert (len(parts) > 1) == (kind not in ("gzip", "members") and split < len(raw))
+
+
+def test_blocked_gzip_by_several_tasks(spark, tmp_path):
+    rng = random.Random(5)
+    body, want = fastq_body(rng, 400)
+    (tmp_path / "d").mkdir()
+    (tmp_path / "d" / "a.fq.gz").write_bytes(blocked(body.encode(), rng, last=False))
+    (tmp_path / "d" / ".hidden").write_bytes(b"x")
+    for path in (str(tmp_path / "d"), f"file://{tmp_path}/d/*.gz", str(tmp_path / "d" / "a.fq.gz")):
+        got = fastq.read_fastq(spark, path, 3000)
+        assert sorted(map(tuple, got.select("read_id", "seq", "qual", "barcode").collect())) == sorted(want)
+    assert got.rdd.getNumPartitions() > 3
+    with pytest.raises(Exception):
+        fastq.read_fastq(spark, str(tmp_path / "none.fq")).count()
+
+
+def test_text_lines_of_several_splits(spark, tmp_path):
+    rng = random.Random(6)
+    body, want = fastq_body(rng, 300)
+    long = f"@long {'h' * 1_200_000}:BC\nACGT\n+\nIIII\n"
+    (tmp_path / "a.fq").write_text(body + long)
+    (tmp_path / "b.fq.gz").write_bytes(gzip.compress(body.replace("@r", "@g").encode()))
+    old = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    try:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", "3000")
+        got = fastq.read_fastq_text(spark, str(tmp_path)).select("read_id", "seq", "qual", "barcode", F.length("header").alias("n")).collect()
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", old)
+    assert sorted(tuple(r)[:4] for r in got) == sorted([*want, *(("g" + w[0][1:], *w[1:]) for w in want), ("long", "ACGT", "IIII", "BC")])
+    assert max(r.n for r in got) == len("long :BC") + 1_200_000
+
+
 def test_fasta(spark, tmp_path):
     got = text.read_fasta(spark, write(tmp_path / "x.fa", ">a one two\nACG\nT\n>b;size=4;\nGG\n"))
     assert [(r.id, r.desc, r.seq) for r in got.orderBy("ord").collect()] == [("a", "one two", "ACGT"), ("b;size=4;", "", "GG")]
