@@ -16,7 +16,6 @@ from __future__ import annotations
 import io
 import json
 import os
-import re
 import struct
 import uuid
 from array import array
@@ -24,6 +23,7 @@ from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.dataset as ds
 import pyarrow.fs as pafs
 import xxhash
@@ -35,12 +35,13 @@ from pyspark.sql.pandas.types import to_arrow_schema
 
 from .common import materialize, sliced, small_batches, tidy
 from .perfect_hash import PerfectHash
+from .tables import gathered
 
 FINGERPRINT = np.uint64(32)
 #: Fixed number that tells the second hash of a key from the first.
 SECOND = 11
 #: White space other than a space, before one.
-SPACE_RUN = re.compile("[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] ")
+SPACE_RUN = "[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] "
 MARKS = ".,;:!?)"
 #: Letters below this are letters to every version of Unicode.
 OLD_LETTERS = "\u0250"
@@ -54,7 +55,7 @@ class UnitEncoder:
 
     Byte-level tokenizers of the usual pattern never join a character that isn't white space with a space after it, so texts are cut
     there; the ids of cut-off units are kept for the life of a worker (up to ``most`` of them, then anew), and the library
-    encodes each only once. Other tokenizers get whole texts.
+    encodes each only once. Words are told apart in Arrow columns, so that Python sees each once in a batch. Other tokenizers get whole texts.
     """
 
     def __init__(self, path: str, most: int = 800_000, longest: int = 64):
@@ -71,7 +72,7 @@ class UnitEncoder:
         self.by_units = bytewise and not spec.get("normalizer") and not spec.get("truncation") and not added and model.get("type") == "BPE" and not model.get("dropout")
         self.width = 2 if self.tokenizer.get_vocab_size() <= 1 << 16 else 4
         self.dtype, self.kind = np.dtype(f"<u{self.width}"), "H" if self.width == 2 else "I"
-        self.most, self.longest, self.known = most, longest, {}
+        self.most, self.longest, self.known, self._long = most, longest, {}, []
 
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
@@ -88,20 +89,42 @@ class UnitEncoder:
         self.known.update(zip(rest, self._raw(rest)))
         self.known[""] = b""
         self.known.update((u, self.known[a] + self.known[b]) for u, (a, b) in zip(new, parts) if b)
+        self._long += [u for u in (*new, *todo) if len(u) > self.longest]
 
-    def encode(self, texts: list[str]) -> list[bytes]:
+    def _known(self, keys: list[str]) -> list[bytes]:
+        self._learn([u for u in set(keys) if u not in self.known])
+        return list(map(self.known.__getitem__, keys))
+
+    def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids of all texts laid end to end, each with ``end_id`` after it; how many each text has)."""
+        end = np.array([end_id], self.dtype).tobytes()
         if not self.by_units:
-            return self._raw(texts)
+            raw = self._raw(texts.to_pylist())
+            return np.frombuffer(b"".join(r + end for r in raw), self.dtype), np.fromiter(map(len, raw), np.int64, len(raw)) // self.width + 1
         if len(self.known) > self.most:
             self.known.clear()
-        cut = [units(t) for t in texts]
-        new = [u for u in set().union(*cut) if u not in self.known]
-        self._learn(new)
-        out = [b"".join(map(self.known.__getitem__, us)) for us in cut]
-        for u in new:
-            if len(u) > self.longest:
-                del self.known[u]
-        return out
+        odd = pc.or_(pc.or_(pc.match_substring(texts, "  "), pc.starts_with(texts, " ")), pc.match_substring_regex(texts, SPACE_RUN))
+        words = pc.split_pattern(pc.if_else(odd, "", texts), " ")
+        flat, starts = words.flatten().dictionary_encode(), words.offsets.to_numpy()
+        code, first, last = flat.indices.to_numpy(), starts[:-1], starts[1:]
+        # Entries: words after a space, the texts' first words, whole texts of other white space, and the end.
+        held = self._known([" " + w for w in flat.dictionary.to_pylist()])
+        openings = self._known(flat.dictionary.take(pa.array(code[first])).to_pylist())
+        whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
+        for i, t in zip(whole, texts.take(pa.array(whole)).to_pylist()):
+            openings[i] = b"".join(self._known(units(t)))
+        entries = [*held, *openings, end]
+        code = code.copy()
+        code[first] = len(held) + np.arange(len(texts))
+        code = np.insert(code, last, len(entries) - 1)
+        count = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
+        ids = gathered(np.frombuffer(b"".join(entries), self.dtype), count, code)
+        upto = np.concatenate([[0], np.cumsum(count[code])])
+        bounds = np.concatenate([[0], last + np.arange(1, len(texts) + 1)])
+        for u in self._long:
+            self.known.pop(u, None)
+        self._long.clear()
+        return ids, np.diff(upto[bounds])
 
 
 def bytewise(unit: str) -> str:
@@ -114,8 +137,6 @@ def bytewise(unit: str) -> str:
 def units(text: str) -> list[str]:
     """The text cut before each space that follows a character other than white space."""
     first, *rest = text.split(" ")
-    if "  " not in text and text[:1] != " " and not SPACE_RUN.search(text):
-        return [first, *[" " + w for w in rest]] if text else []
     out = [first] if first else []
     for w in rest:
         if out and not out[-1][-1:].isspace():
@@ -179,14 +200,12 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_i
                 fs, folder = _open(path)
                 fs.create_dir(folder)
                 out = fs.open_output_stream(f"{folder}/{name}")
-                end = np.array([end_id], enc.dtype).tobytes()
-            raw = enc.encode(b.column(b.schema.get_field_index("text")).to_pylist())
-            n = np.fromiter(map(len, raw), np.int64, len(raw)) // enc.width + 1
-            out.write(end.join(raw) + end)
+            ids, n = enc.encode(b.column(b.schema.get_field_index("text")), end_id)
+            out.write(ids.tobytes())
             ends.append(ends[-1][-1] + n.cumsum())
-            slots = np.arange(at, at + len(raw))
-            at += len(raw)
-            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(raw), shard, np.int32)), pa.array([name] * len(raw)), pa.array(slots), b.column(b.schema.get_field_index("key")), pa.array(n)], schema=arrow)
+            slots = np.arange(at, at + len(n))
+            at += len(n)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(n), shard, np.int32)), pa.array([name] * len(n)), pa.array(slots), b.column(b.schema.get_field_index("key")), pa.array(n)], schema=arrow)
         if out is not None:
             out.write(np.concatenate(ends)[1:].astype("<u8").tobytes() + struct.pack("<QQ", at, enc.width))
             out.close()
