@@ -42,7 +42,9 @@ FINGERPRINT = np.uint64(32)
 SECOND = 11
 #: White space other than a space, before one.
 SPACE_RUN = "[\t-\r\x1c-\x1f\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000] "
+#: Marks that words often end with; words of letters of the first blocks of Unicode, and what marks they have at their end.
 MARKS = ".,;:!?)"
+LETTERS_ONLY, MARKS_AT_END = "^[A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f]+$", r"(?s)^.*?([.,;:!?)]*)$"
 #: Letters below this are letters to every version of Unicode.
 OLD_LETTERS = "\u0250"
 #: The characters that stand for bytes in byte-level models: printable ones of Latin-1 for themselves, others from U+0100 on in order.
@@ -77,22 +79,16 @@ class UnitEncoder:
     def _raw(self, texts: list[str]) -> list[bytes]:
         return [array(self.kind, e.ids).tobytes() for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
 
-    def _learn(self, new: list[str]) -> None:
-        """Marks after a letter begin a piece of their own, so words are learnt without them."""
-        parts = [(u[:n], u[n:]) if n < len(u) and u[n - 1 : n].isalpha() and u[n - 1] < OLD_LETTERS else (u, "") for u, n in ((u, len(u.rstrip(MARKS))) for u in new)]
-        todo = [u for u in set().union(*parts) if u and u not in self.known]
-        # Letters, and a space before them or none, are one piece: the library's model takes it without further ado.
+    def _known(self, keys: list[str]) -> list[bytes]:
+        """Ids of units; new ones are learnt. Letters, and a space before them or none, are one piece, which the library's
+        model takes without further ado."""
+        new = [u for u in dict.fromkeys(keys) if u not in self.known]
         kind, tokenize = self.kind, self.tokenizer.model.tokenize
-        words = [u for u in todo if u[u[0] == " " :].isalpha() and max(u) < OLD_LETTERS]
+        words = [u for u in new if u[u[:1] == " " :].isalpha() and max(u) < OLD_LETTERS]
         self.known.update((u, array(kind, [t.id for t in tokenize(bytewise(u))]).tobytes()) for u in words)
-        rest = [u for u in todo if u not in self.known]
+        rest = [u for u in new if u not in self.known] if len(words) < len(new) else []
         self.known.update(zip(rest, self._raw(rest)))
-        self.known[""] = b""
-        self.known.update((u, self.known[a] + self.known[b]) for u, (a, b) in zip(new, parts) if b)
-        self._long += [u for u in (*new, *todo) if len(u) > self.longest]
-
-    def _known(self, keys: list[str]) -> list[bytes]:
-        self._learn([u for u in set(keys) if u not in self.known])
+        self._long += [u for u in new if len(u) > self.longest]
         return list(map(self.known.__getitem__, keys))
 
     def encode(self, texts: pa.Array, end_id: int) -> tuple[np.ndarray, np.ndarray]:
@@ -107,20 +103,32 @@ class UnitEncoder:
         words = pc.split_pattern(pc.if_else(odd, "", texts), " ")
         flat, starts = words.flatten().dictionary_encode(), words.offsets.to_numpy()
         code, first, last = flat.indices.to_numpy(), starts[:-1], starts[1:]
-        # Entries: words after a space, the texts' first words, whole texts of other white space, and the end.
-        held = self._known([" " + w for w in flat.dictionary.to_pylist()])
-        openings = self._known(flat.dictionary.take(pa.array(code[first])).to_pylist())
+        # Marks after letters begin a piece of their own, so words are learnt without them.
+        word = flat.dictionary
+        bare = pc.utf8_rtrim(word, MARKS)
+        lettered = pc.match_substring_regex(bare, LETTERS_ONLY)
+        bare = pc.if_else(lettered, bare, word)
+        marked = np.flatnonzero(pc.not_equal(pc.binary_length(bare), pc.binary_length(word)).to_numpy(zero_copy_only=False))
+        marks = pc.replace_substring_regex(word.take(pa.array(marked)), MARKS_AT_END, r"\1").dictionary_encode()
+        bare = bare.dictionary_encode()
+        held = self._known([" " + w for w in bare.dictionary.to_pylist()])
+        after = [b"", *self._known(marks.dictionary.to_pylist())]
+        tail = np.zeros(len(word), np.int64)
+        tail[marked] = marks.indices.to_numpy() + 1
+        openings = self._known(word.take(pa.array(code[first])).to_pylist())
         whole = np.flatnonzero(odd.to_numpy(zero_copy_only=False))
         for i, t in zip(whole, texts.take(pa.array(whole)).to_pylist()):
             openings[i] = b"".join(self._known(units(t)))
-        entries = [*held, *openings, end]
-        code = code.copy()
-        code[first] = len(held) + np.arange(len(texts))
-        code = np.insert(code, last, len(entries) - 1)
+        # Entries: words after a space, no and other marks, the texts' first words or whole texts of other white space, and the end.
+        entries = [*held, *after, *openings, end]
+        two = np.empty(2 * len(code), np.int64)
+        two[0::2], two[1::2] = bare.indices.to_numpy()[code], len(held) + tail[code]
+        two[2 * first], two[2 * first + 1] = len(held) + len(after) + np.arange(len(texts)), len(held)
+        two = np.insert(two, 2 * last, len(entries) - 1)
         count = np.fromiter(map(len, entries), np.int64, len(entries)) // self.width
-        ids = gathered(np.frombuffer(b"".join(entries), self.dtype), count, code)
-        upto = np.concatenate([[0], np.cumsum(count[code])])
-        bounds = np.concatenate([[0], last + np.arange(1, len(texts) + 1)])
+        ids = gathered(np.frombuffer(b"".join(entries), self.dtype), count, two)
+        upto = np.concatenate([[0], np.cumsum(count[two])])
+        bounds = np.concatenate([[0], 2 * last + np.arange(1, len(texts) + 1)])
         for u in self._long:
             self.known.pop(u, None)
         self._long.clear()
@@ -194,7 +202,7 @@ def write_store(docs: DataFrame, path: str, tokenizer: str, *, key: str = "doc_i
         shard, enc, at, ends = TaskContext.get().partitionId(), None, 0, [np.zeros(1, np.int64)]
         name = f"ids-{shard:06}-{uuid.uuid4().hex}.bin"
         out = None
-        for b in sliced(batches, ["text"]):
+        for b in sliced(batches, ["text"], 1024, 4 << 20):
             if out is None:
                 enc = encoder(tokenizer)
                 fs, folder = _open(path)
