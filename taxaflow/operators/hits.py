@@ -9,6 +9,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.staging import materialize
+
 
 def drop_taxids(hits: DataFrame, taxids: DataFrame) -> DataFrame:
     """Drops hits of which any taxid is listed (taxid)."""
@@ -94,14 +96,15 @@ def deepen(first: DataFrame, queries: DataFrame, search, least_share: float = 0.
     """Hits after searching again, and the queries that would still need it.
 
     Queries whose hits are too alike (see ``needs_deeper``) go to ``search``, a function from queries and round to their
-    hits at a greater depth, for as many rounds as depths are left. Its hits are added to those of the rounds before.
+    hits at a greater depth, for as many rounds as depths are left. Its hits are added to those of the rounds before. What is
+    found is written down in each round, so that no search is done twice.
     """
     every, last = first, first
-    need = needs_deeper(last, queries, least_share, mode)
+    need = materialize(needs_deeper(last, queries, least_share, mode), "deeper")
     for i in range(rounds):
-        last = search(need, i + 1)
+        last = materialize(search(need, i + 1), "deeper-hits")
         every = every.unionByName(last)
-        need = needs_deeper(last, queries, least_share, mode)
+        need = materialize(needs_deeper(last, queries, least_share, mode), "deeper")
     return every, need
 
 

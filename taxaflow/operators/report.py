@@ -73,8 +73,8 @@ def order_composition(rows: DataFrame) -> DataFrame:
 
 
 def label_ids(table: DataFrame, labels: DataFrame, column: str = TU) -> DataFrame:
-    """Prefixes ids that are labelled (id, label) in a column: ``<label>-<id>``."""
-    known = labels.select(F.col("id").alias(column), "label")
+    """Prefixes ids that are labelled (id, label) in a column: ``<label>-<id>``. Of an id's labels the least one is taken."""
+    known = labels.groupBy(F.col("id").alias(column)).agg(F.min("label").alias("label"))
     return table.join(known, column, "left").withColumn(column, F.concat_ws("-", "label", column)).drop("label")
 
 

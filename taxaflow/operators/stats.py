@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from taxaflow.functions.ordering import adjust_bh, row_number
 from taxaflow.functions.probability import norm_pvalue, t_pvalue
+from taxaflow.functions.staging import materialize
 from taxaflow.operators.table import SAMPLE, TU
 
 
@@ -85,36 +86,74 @@ def group_means(ft: DataFrame, meta: DataFrame, treatment: str | None, group: st
     return both.select(*[f"e.{c}" for c in [TU, *by]], ((F.col("_base") + F.coalesce("_own", F.lit(0.0))) / F.col("_n")).alias("mean"))
 
 
-def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high: float = 0.0, low: float = 0.0, most_p: float = 1.0, block: int = 512, least: int = 3) -> DataFrame:
+def _unit_vectors(x: np.ndarray) -> np.ndarray:
+    x = x - x.mean(1, keepdims=True)
+    norm = np.sqrt((x * x).sum(1, keepdims=True))
+    return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+
+
+def _matrix(vectors: pd.Series) -> np.ndarray:
+    return np.array(vectors.tolist(), float).reshape(len(vectors), -1)
+
+
+def block_pairs(packed: DataFrame, high: float, low: float, block: int, pivots: int) -> tuple[DataFrame, DataFrame]:
+    """Units with their block, and the pairs of blocks (_x, _y) that can hold a correlation of ``high`` or more, or ``low`` or less.
+
+    A correlation is the cosine of an angle, and the angles of two units to a third, a pivot, differ by no more than the angle
+    between them. Units are dealt to blocks in order of their angles to the first pivot; a pair of blocks goes where the ranges of
+    angles to any pivot are further apart than the threshold allows, both for the units and for one of them turned round.
+    """
+    some = [r["v"] for r in packed.orderBy("_i").limit(pivots).collect()]  # a few vectors
+    turn = _unit_vectors(np.array(some, float)) if some else np.zeros((0, 0))
+
+    @F.pandas_udf("array<double>")
+    def angles(v: pd.Series) -> pd.Series:
+        x = _unit_vectors(_matrix(v))
+        found = np.arccos(np.clip(x @ turn.T, -1, 1))
+        return pd.Series(list(np.where((x != 0).any(1)[:, None] & (turn != 0).any(1)[None, :], found, -1.0)))
+
+    placed = row_number(packed.withColumn("_angles", angles("v")), [F.expr("_angles[0]").asc(), F.col("_i").asc()], "_n")
+    placed = materialize(placed.withColumn("_block", F.expr(f"cast((_n - 1) div {block} as int)")), "ranked-units")
+    # A unit without direction (constant), here -1, may be at any angle.
+    least = [F.min(F.greatest(F.col("_angles")[p], F.lit(0.0))).alias(f"_l{p}") for p in range(len(some))]
+    most = [F.max(F.when(F.col("_angles")[p] < 0, F.lit(float(np.pi))).otherwise(F.col("_angles")[p])).alias(f"_h{p}") for p in range(len(some))]
+    ranges = placed.groupBy("_block").agg(*least, *most)
+    one, two = (ranges.select(*[F.col(c).alias(f"{c}{side}") for c in ranges.columns]) for side in "xy")
+    both = one.join(two, F.col("_blockx") <= F.col("_blocky"))  # a row for each pair of blocks, units apart by the square of ``block``
+    apart = lambda l1, h1, l2, h2: F.greatest(l1 - h2, l2 - h1)
+    same, turned = F.lit(True), F.lit(True)
+    for p in range(len(some)):
+        l1, h1, l2, h2 = (F.col(f"{c}{p}{side}") for side in "xy" for c in ("_l", "_h"))
+        same = same & (apart(l1, h1, l2, h2) <= float(np.arccos(np.clip(high, -1, 1))) + 1e-6)
+        turned = turned & (apart(l1, h1, float(np.pi) - h2, float(np.pi) - l2) <= float(np.arccos(np.clip(-low, -1, 1))) + 1e-6)
+    return placed, both.where(same | turned).select(F.col("_blockx").alias("_x"), F.col("_blocky").alias("_y"))
+
+
+def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high: float = 0.0, low: float = 0.0, most_p: float = 1.0, block: int = 512, least: int = 3, pivots: int = 4) -> DataFrame:
     """(a, b, n, rho, p) for pairs of units a before b: Spearman with normal p, within thresholds.
 
     ``vectors`` is long and complete: (key, at, value) for each unit and place. Units are packed into blocks of ranked
-    vectors; each pair of blocks is one matrix product, and thresholds apply inside, so no pair is emitted in vain.
-    Constant units correlate 0 with everything.
+    vectors; each pair of blocks that can hold what is wanted (see ``block_pairs``) is one matrix product, and thresholds
+    apply inside, so no pair is emitted in vain. Constant units correlate 0 with everything.
     """
-    units = row_number(vectors.select(key).distinct(), [F.col(key).asc()], "_i").withColumn("_block", F.expr(f"cast((_i - 1) div {block} as int)"))
-    blocks = units.agg(F.max("_block")).first()[0]
-    if blocks is None:
-        return vectors.select(F.col(key).alias("a"), F.col(key).alias("b"), F.lit(0).cast("long").alias("n"), F.lit(0.0).alias("rho"), F.lit(0.0).alias("p")).where("false")
+    units = row_number(vectors.select(key).distinct(), [F.col(key).asc()], "_i")
     ranked = vectors.select(key, at, average_rank(value, key).alias("_r"))
     packed = ranked.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(at, "_r"))), lambda x: x["_r"]).alias("v")).join(units, key)
-    pairs = packed.withColumn("_other", F.explode(F.sequence(F.lit(0), F.lit(int(blocks)))))
-    pairs = pairs.withColumn("_x", F.least("_block", "_other")).withColumn("_y", F.greatest("_block", "_other"))
-
-    def unit_vectors(x: np.ndarray) -> np.ndarray:
-        x = x - x.mean(1, keepdims=True)
-        norm = np.sqrt((x * x).sum(1, keepdims=True))
-        return np.divide(x, norm, out=np.zeros_like(x), where=norm > 0)
+    placed, wanted = block_pairs(materialize(packed, "packed-units"), high, low, block, pivots)
+    sides = wanted.select("_x", "_y", F.explode(F.array_distinct(F.array("_x", "_y"))).alias("_block"))
+    pairs = placed.join(sides, "_block")
 
     def correlate(pdf: pd.DataFrame) -> pd.DataFrame:
         x, y = int(pdf["_x"].iloc[0]), int(pdf["_y"].iloc[0])
         left, right = pdf[pdf["_block"] == x].sort_values("_i"), pdf[pdf["_block"] == y].sort_values("_i")
-        a, b = (unit_vectors(np.array(p["v"].tolist(), float).reshape(len(p), -1)) for p in (left, right))
+        a, b = (_unit_vectors(_matrix(p["v"])) for p in (left, right))
         r = np.clip(a @ b.T, -1, 1) if len(a) and len(b) else np.zeros((len(a), len(b)))
-        keep = ((r >= high) | (r <= low)) & (left["_i"].to_numpy()[:, None] < right["_i"].to_numpy()[None, :])
-        i, j = np.nonzero(keep)
+        before, after = left["_i"].to_numpy()[:, None], right["_i"].to_numpy()[None, :]
+        i, j = np.nonzero(((r >= high) | (r <= low)) & ((before < after) | ((before > after) & (x != y))))
+        one, two = left[key].to_numpy()[i], right[key].to_numpy()[j]
+        swap = left["_i"].to_numpy()[i] > right["_i"].to_numpy()[j]
         n = a.shape[1] if len(a) else 0
-        return pd.DataFrame({"a": left[key].to_numpy()[i], "b": right[key].to_numpy()[j], "n": n, "rho": r[i, j]})
+        return pd.DataFrame({"a": np.where(swap, two, one), "b": np.where(swap, one, two), "n": n, "rho": r[i, j]})
 
     kind = dict(vectors.dtypes)[key]
     found = pairs.groupBy("_x", "_y").applyInPandas(correlate, f"a {kind}, b {kind}, n long, rho double").where(F.col("n") >= least)

@@ -9,10 +9,12 @@ import zlib
 from collections.abc import Iterator
 
 import pyarrow.fs as pafs
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
+from taxaflow.sources.text import numbered_lines
+
 SCHEMA = "read_id string, header string, seq string, qual string, barcode string, ord long"
 
 #: How a block of blocked gzip begins (magic, deflate, extra field), and its subfield with the block's length.
@@ -207,15 +209,9 @@ def read_fastq(spark: SparkSession, path: str, split_bytes: int = 64 << 20) -> D
 
 def read_fastq_text(spark: SparkSession, path: str) -> DataFrame:
     """The same from any store that Spark reads, by lines numbered within each file; ord is the record's number in it.
-
-    Spark splits plain files; the lines of each split are counted first, so that every split knows its first line's number.
     """
-    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
-    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
-    before = Window.partitionBy("file").orderBy("block").rowsBetween(Window.unboundedPreceding, -1)  # a row for each split
-    splits = splits.withColumn("off", F.coalesce(F.sum("n").over(before), F.lit(0))).drop("n")
-    i = F.col("off") + F.col("id") - F.col("first")
-    numbered = lines.join(splits, ["file", "block"]).select("file", F.call_function("div", i, F.lit(4).cast("long")).alias("ord"), (i % 4).alias("k"), "value")
+    i = F.col("line")
+    numbered = numbered_lines(spark, path, each_file=True).select("file", F.call_function("div", i, F.lit(4).cast("long")).alias("ord"), (i % 4).alias("k"), "value")
     line = lambda k: F.max(F.when(F.col("k") == k, F.col("value"))).alias(f"l{k}")
     g = numbered.groupBy("file", "ord").agg(line(0), line(1), line(3)).where("length(l0) > 0")
     header = F.expr("substring(l0, 2)")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -31,6 +31,23 @@ def fastq_lines(reads: DataFrame) -> DataFrame:
     return reads.select(F.concat(F.lit("@"), "header", F.lit("\n"), "seq", F.lit("\n+\n"), "qual").alias("value"))
 
 
+def join_parts(spark: SparkSession, folder: str, path: str) -> None:
+    """One new file of a folder's parts in order of their names, by the stores' own streams, a small buffer at a time."""
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    source, target = hadoop.fs.Path(folder), hadoop.fs.Path(path)
+    fs = source.getFileSystem(conf)
+    out = target.getFileSystem(conf).create(target, False)
+    try:
+        for p in sorted((f.getPath() for f in fs.listStatus(source) if f.getPath().getName().startswith("part-")), key=lambda p: p.getName()):
+            part = fs.open(p)
+            try:
+                hadoop.io.IOUtils.copyBytes(part, out, 1 << 16, False)
+            finally:
+                part.close()
+    finally:
+        out.close()
+
+
 def write_by_domain(table: DataFrame, path: str) -> None:
     """One folder for each domain."""
     table.write.mode("overwrite").partitionBy("domain").parquet(path)

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.ordering import row_number
 from taxaflow.functions.staging import materialize
 from taxaflow.operators.hits import parse_query_line
 from taxaflow.operators.table import long
@@ -66,8 +67,7 @@ def read_feature_table(spark: SparkSession, path: str, zeros: bool = False) -> D
     names, table = _table_lines(spark, path)
     samples = [n for n in names[1:] if n not in EXTRA]
     table = table.select(F.col(f"`{names[0]}`").alias("tu_id"), *[F.col(f"`{s}`").cast("double").alias(s) for s in samples])
-    out = long(table, samples, zeros=zeros)
-    return out.withColumn("n", F.when(F.col("n") == F.floor("n"), F.col("n")).otherwise(F.col("n")))
+    return long(table, samples, zeros=zeros)
 
 
 def read_unit_metadata(spark: SparkSession, path: str) -> DataFrame:
@@ -86,7 +86,7 @@ def read_biom_json(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame
 
 
 def write_biom_json(ft: DataFrame) -> DataFrame:
-    """A table as one JSON document (a boundary format: the document is one row)."""
+    """A small table as one JSON document in one row; ``write_biom`` writes any table."""
     units = ft.select("tu_id").distinct().agg(F.array_sort(F.collect_set("tu_id")).alias("u"))
     samples = ft.select("sample_id").distinct().agg(F.array_sort(F.collect_set("sample_id")).alias("s"))
     cells = ft.crossJoin(units).crossJoin(samples).select("u", "s", F.array((F.array_position("u", F.col("tu_id")) - 1).cast("double"), (F.array_position("s", F.col("sample_id")) - 1).cast("double"), F.col("n").cast("double")).alias("x"))
@@ -95,6 +95,69 @@ def write_biom_json(ft: DataFrame) -> DataFrame:
     return g.select(F.to_json(F.struct(F.lit("Biological Observation Matrix 1.0.0").alias("format"), F.lit("sparse").alias("matrix_type"), rows.alias("rows"), F.transform("s", lambda x: F.struct(x.alias("id"))).alias("columns"), F.array(F.size("u"), F.size("s")).alias("shape"), "data")).alias("value"))
 
 
+#: How a document begins, what stands between its parts, and its end.
+BIOM_HEAD = '{"id":null,"format":"Biological Observation Matrix 1.0.0","type":"OTU table","matrix_type":"sparse","matrix_element_type":"float","shape":[%d,%d],"rows":['
+BIOM_COLUMNS, BIOM_DATA, BIOM_END = '],"columns":[', '],"data":[', "]}"
+
+
+def write_biom(ft: DataFrame, path: str, metadata: DataFrame | None = None, process: str = "taxonomy") -> None:
+    """A table (tu_id, sample_id, n) as one sparse BIOM document in JSON, written by many tasks: a row, column or cell on each line.
+
+    The new folder ``path`` holds parts that follow one another by name; ``sinks.join_parts`` makes one file of them.
+    Units and samples are numbered in order of their ids, cells go by these numbers. ``metadata`` (tu_id, taxonomy) adds the
+    units' taxonomy: split at semicolons (``taxonomy``, ``sc_separated``) or as it is (``naive``).
+    """
+    if process not in ("taxonomy", "sc_separated", "naive"):
+        raise ValueError("process is one of taxonomy, sc_separated and naive")
+    spark = ft.sparkSession
+    units, samples = (row_number(ft.select(c).distinct(), [F.col(c).asc()], i) for c, i in (("tu_id", "_i"), ("sample_id", "_j")))
+    n_units, n_samples = units.count(), samples.count()
+    if metadata is None:
+        about = units.withColumn("metadata", F.lit("null"))
+    else:
+        taxonomy = F.col("taxonomy") if process == "naive" else F.transform(F.split("taxonomy", ";"), lambda x: F.trim(x))
+        known = metadata.groupBy("tu_id").agg(F.first("taxonomy").alias("taxonomy"))
+        about = units.join(known, "tu_id", "left").withColumn("metadata", F.when(F.col("taxonomy").isNotNull(), F.to_json(F.struct(taxonomy.alias("taxonomy")))).otherwise(F.lit("null")))
+    quoted = lambda c: F.get_json_object(F.to_json(F.struct(F.array(c).alias("x"))), "$.x")  # noqa: E731  ["..."]
+    name = lambda c: F.expr(f"substring({c}, 2, length({c}) - 2)")
+    comma = lambda first: F.when(first, F.lit("")).otherwise(F.lit(","))
+    item = lambda df, c, i, part, meta: df.withColumn("_q", quoted(F.col(c))).select(F.lit(part).alias("part"), F.col(i).alias("i"), F.lit(0).cast("long").alias("j"), F.concat(comma(F.col(i) == 1), F.lit('{"id":'), name("_q"), F.lit(',"metadata":'), meta, F.lit("}")).alias("value"))
+    cells = ft.join(units, "tu_id").join(samples, "sample_id").select("_i", "_j", F.col("n").cast("double").alias("n"))
+    least = cells.agg(F.min(F.struct("_i", "_j"))).first()[0] or (0, 0)
+    number = F.when(F.col("n") == F.floor("n"), F.floor("n").cast("string")).otherwise(F.col("n").cast("string"))
+    text = F.concat(comma((F.col("_i") == least[0]) & (F.col("_j") == least[1])), F.lit("["), (F.col("_i") - 1).cast("string"), F.lit(","), (F.col("_j") - 1).cast("string"), F.lit(","), number, F.lit("]"))
+    lines = cells.select(F.lit(5).alias("part"), F.col("_i").alias("i"), F.col("_j").alias("j"), text.alias("value"))
+    lines = lines.unionByName(item(about, "tu_id", "_i", 1, F.col("metadata"))).unionByName(item(samples, "sample_id", "_j", 3, F.lit("null")))
+    marks = [(0, 0, 0, BIOM_HEAD % (n_units, n_samples)), (2, 0, 0, BIOM_COLUMNS), (4, 0, 0, BIOM_DATA), (6, 0, 0, BIOM_END)]
+    lines = lines.unionByName(spark.createDataFrame(marks, "part int, i long, j long, value string"))
+    lines.orderBy("part", "i", "j").select("value").write.text(path)
+
+
+def numbered_lines(spark: SparkSession, path: str, each_file: bool = False) -> DataFrame:
+    """(file, line, value): lines numbered from 0 over all files in order of their names, or within ``each_file``.
+
+    Spark splits plain files; the lines of each split are counted first, so that every split knows its first line's number.
+    """
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("file"), F.col("_metadata.file_block_start").alias("block"), F.monotonically_increasing_id().alias("id"))
+    splits = lines.groupBy("file", "block").agg(F.count(F.lit(1)).alias("n"), F.min("id").alias("first"))
+    over = Window.partitionBy("file").orderBy("block") if each_file else Window.orderBy("file", "block")  # a row for each split
+    splits = splits.withColumn("off", F.coalesce(F.sum("n").over(over.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("n")
+    return lines.join(splits, ["file", "block"]).select("file", (F.col("off") + F.col("id") - F.col("first")).alias("line"), "value")
+
+
+def read_biom(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
+    """Counts (tu_id, sample_id, n) and metadata (tu_id, metadata as JSON) of what ``write_biom`` has written, by lines."""
+    lines = numbered_lines(spark, path)
+    places = {r["value"]: r["line"] for r in lines.where(F.col("value").isin(BIOM_COLUMNS, BIOM_DATA, BIOM_END)).collect()}
+    between = lambda a, b: lines.where((F.col("line") > a) & (F.col("line") < b)).withColumn("value", F.regexp_replace("value", "^,", ""))
+    columns, data = places[BIOM_COLUMNS], places[BIOM_DATA]
+    units = between(0, columns).select((F.col("line") - 1).alias("_i"), F.get_json_object("value", "$.id").alias("tu_id"), F.get_json_object("value", "$.metadata").alias("metadata"))
+    samples = between(columns, data).select((F.col("line") - columns - 1).alias("_j"), F.get_json_object("value", "$.id").alias("sample_id"))
+    cell = F.from_json("value", "array<double>")
+    cells = between(data, places[BIOM_END]).select(cell.alias("x")).select(F.col("x")[0].cast("long").alias("_i"), F.col("x")[1].cast("long").alias("_j"), F.col("x")[2].alias("n"))
+    return cells.join(units, "_i").join(samples, "_j").select("tu_id", "sample_id", "n"), units.select("tu_id", "metadata")
+
+
 def parse_hits(lines: DataFrame, columns: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Hits and queries from lines (value, ord) of the commented hit format; queries without hits are in the second.
 
@@ -163,6 +226,33 @@ def through_cache(cache: DataFrame, wanted: DataFrame, resolve) -> tuple[DataFra
     return both.join(wanted.select("taxid").distinct(), "taxid", "left_semi"), both
 
 
+def _versions(spark: SparkSession, path: str) -> list[str]:
+    """Whole versions of a stored table, oldest first."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    fs = at.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = [f.getPath() for f in fs.listStatus(at)] if fs.exists(at) else []
+    return sorted(p.getName() for p in found if p.getName().startswith("v-") and fs.exists(spark._jvm.org.apache.hadoop.fs.Path(p, "_SUCCESS")))
+
+
+def store_cache(cache: DataFrame, path: str, keep: int = 2) -> None:
+    """Stores a taxonomy cache (taxid, lineage) as the next version in ``path``, beside its readers.
+
+    A version counts once its writer has finished, so readers see the one before until then, and a writer that fails leaves
+    nothing that is read. The ``keep`` newest versions stay, for readers that have begun with the one before. One writer at a time.
+    """
+    spark, known = cache.sparkSession, _versions(cache.sparkSession, path)
+    cache.select("taxid", "lineage").write.mode("overwrite").parquet(f"{path}/v-{(int(known[-1][2:]) + 1 if known else 1):010}")
+    for old in _versions(spark, path)[:-keep]:
+        at = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{old}")
+        at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def load_cache(spark: SparkSession, path: str) -> DataFrame:
+    """The newest whole version of a stored cache; an empty one if there is none."""
+    known = _versions(spark, path)
+    return spark.read.parquet(f"{path}/{known[-1]}") if known else spark.createDataFrame([], "taxid string, lineage array<string>")
+
+
 def read_list(spark: SparkSession, path: str, name: str = "id") -> DataFrame:
     """The first tab-separated cell of each line that isn't blank."""
     return spark.read.text(path).select(F.trim(F.get(F.split("value", "\t"), F.lit(0))).alias(name)).where(F.col(name) != "")

@@ -304,6 +304,52 @@ def test_pairs_match_plain_correlation(spark):
         assert abs(got[a, b] - want) < 1e-9
 
 
+def test_blocks_of_far_units_are_not_compared(spark):
+    """Units of a few directions: only blocks of near (or opposite) ones meet, and no pair within the thresholds is lost."""
+    rng = random.Random(12)
+    base = [[rng.random() for _ in range(40)] for _ in range(6)]
+    data = {}
+    for i in range(96):
+        b = base[i % 6]
+        sign = -1 if i >= 90 else 1
+        data[f"u{i:02}"] = [sign * (x + 0.02 * rng.random()) for x in b]
+    data["flat"] = [1.0] * 40
+    rows = [(u, f"s{j:02}", v) for u, vs in data.items() for j, v in enumerate(vs)]
+    df = spark.createDataFrame(rows, "u string, s string, v double")
+    every = {(r.a, r.b): r.rho for r in stats.correlate_units(df, "u", "s", "v").collect()}
+    assert len(every) == 97 * 96 // 2 and all(a < b for a, b in every)
+    got = {(r.a, r.b): r.rho for r in stats.correlate_units(df, "u", "s", "v", high=0.9, low=-0.9, block=4).collect()}
+    assert got.keys() == {k for k, r in every.items() if abs(r) >= 0.9} and all(abs(got[k] - every[k]) < 1e-12 for k in got) and min(got.values()) < 0
+    packed = df.groupBy("u").agg(F.transform(F.sort_array(F.collect_list(F.struct("s", "v"))), lambda x: x["v"]).alias("v")).withColumn("_i", F.expr("cast(hash(u) as long)"))
+    placed, pairs = stats.block_pairs(packed, 0.9, -0.9, 4, 4)
+    n = placed.agg(F.max("_block")).first()[0] + 1
+    assert pairs.count() < 0.7 * n * (n + 1) / 2
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_correlation_with_a_column_makes_no_zero_cells(spark, seed):
+    rng = random.Random(seed)
+    samples = [f"s{i}" for i in range(9)]
+    meta = [(s, rng.choice([1.0, 2.0, 2.0, 5.5, None])) for s in samples] + [("elsewhere", 3.0)]
+    cells = [(f"u{u}", s, rng.choice([-2, -1, 0, 1, 1, 3])) for u in range(12) for s in samples if rng.random() < 0.6] + [("same", s, 4) for s in samples] + [("zero", samples[0], 0)]
+    got = {r.tu_id: r for r in stats.correlate_with_column(spark.createDataFrame(cells, "tu_id string, sample_id string, n long"), spark.createDataFrame(meta, "sample_id string, m double"), "m").collect()}
+    known = {s: m for s, m in meta if m is not None and s in samples}
+
+    def ranks(x):
+        return [sum(y < v for y in x) + (sum(y == v for y in x) + 1) / 2 for v in x]
+
+    want = {}
+    for u in {c[0] for c in cells}:
+        own = {c[1]: c[2] for c in cells if c[0] == u}
+        x, y = ([own.get(s, 0) for s in known], list(known.values()))
+        if len(set(x)) > 1 and len(set(y)) > 1:
+            a, b = ranks(x), ranks(y)
+            ma, mb = sum(a) / len(a), sum(b) / len(b)
+            want[u] = (sum((p - ma) * (q - mb) for p, q in zip(a, b)) / math.sqrt(sum((p - ma) ** 2 for p in a) * sum((q - mb) ** 2 for q in b)), sum(x) / len(x))
+    assert got.keys() == want.keys()
+    assert all(abs(got[u].rho - rho) < 1e-12 and abs(got[u].average - mean) < 1e-12 and got[u].n == len(known) for u, (rho, mean) in want.items())
+
+
 def test_composition_sums_to_100(spark):
     rel = spark.createDataFrame([("a", "s1", 0.7), ("b", "s1", 0.2), ("c", "s1", 0.1), ("a", "s2", 0.5), ("c", "s2", 0.5)], "taxon string, sample_id string, rel double")
     meta = spark.createDataFrame([("s1", "x"), ("s2", "y"), ("s3", "x")], "sample_id string, t string")

@@ -1,6 +1,7 @@
 """Files of each format, and the pipeline from reads to published tables."""
 
 import gzip
+import json
 import random
 import struct
 import zlib
@@ -132,6 +133,53 @@ def test_biom_json_round_trip(spark, tmp_path):
     assert sorted(map(tuple, text.read_biom_json(spark, p)[0].collect())) == [("a", "s", 2.0), ("b", "t", 5.0)]
 
 
+@pytest.mark.parametrize("process", ["taxonomy", "naive", "sc_separated"])
+def test_biom_written_by_many_tasks(spark, tmp_path, process):
+    rows = [(f'u"{i % 700}\\', f"s{i % 11}é", float(i % 5) + (0.25 if i % 3 else 0)) for i in range(700 * 11)]
+    ft = spark.createDataFrame(rows, "tu_id string, sample_id string, n double").dropDuplicates(["tu_id", "sample_id"]).repartition(5)
+    meta = spark.createDataFrame([('u"1\\', "d__A; k__B"), ('u"1\\', "d__A; k__B"), ('u"2\\', None)], "tu_id string, taxonomy string")
+    try:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+        text.write_biom(ft, str(tmp_path / "b"), meta, process)
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(list((tmp_path / "b").glob("part-*"))) > 1
+    sinks.join_parts(spark, str(tmp_path / "b"), str(tmp_path / "b.biom"))
+    doc = json.loads((tmp_path / "b.biom").read_text())
+    assert doc["shape"] == [700, 11] and len(doc["data"]) == ft.count() and [r["id"] for r in doc["rows"]] == sorted(r["id"] for r in doc["rows"])
+    about = {r["id"]: r["metadata"] for r in doc["rows"]}
+    assert about['u"1\\'] == {"taxonomy": "d__A; k__B" if process == "naive" else ["d__A", "k__B"]} and about['u"3\\'] is None
+    want = sorted(map(tuple, ft.collect()))
+    for path in ("b", "b.biom"):
+        got, units = text.read_biom(spark, str(tmp_path / path))
+        assert sorted(map(tuple, got.collect())) == want and units.count() == 700
+    assert sorted((doc["rows"][int(i)]["id"], doc["columns"][int(j)]["id"], v) for i, j, v in doc["data"]) == want
+    with pytest.raises(ValueError):
+        text.write_biom(ft, str(tmp_path / "c"), meta, "other")
+
+
+def test_empty_biom(spark, tmp_path):
+    text.write_biom(spark.createDataFrame([], "tu_id string, sample_id string, n double"), str(tmp_path / "e"))
+    assert text.read_biom(spark, str(tmp_path / "e"))[0].count() == 0
+
+
+def test_cache_versions(spark, tmp_path):
+    path = str(tmp_path / "cache")
+    assert text.load_cache(spark, path).count() == 0
+    first = spark.createDataFrame([("1", ["d__A"])], "taxid string, lineage array<string>")
+    wanted = spark.createDataFrame([("1",), ("2",)], "taxid string")
+    text.store_cache(first, path)
+    reader = text.load_cache(spark, path)
+    for i in range(3):
+        known, cache = text.through_cache(text.load_cache(spark, path), wanted, lambda ids: ids.withColumn("lineage", F.array(F.concat(F.lit("d__"), "taxid"))))
+        text.store_cache(cache, path)
+        if i == 0:
+            assert reader.count() == 1  # what was being read is still there
+    (tmp_path / "cache" / "v-0000000099").mkdir()  # a writer that died
+    assert sorted(r.taxid for r in text.load_cache(spark, path).collect()) == ["1", "2"]
+    assert len(list((tmp_path / "cache").glob("v-*/_SUCCESS"))) == 2
+
+
 def test_hits(spark, tmp_path):
     body = "# BLASTN 2\n# Query: Otu1;size=5;\n# Fields: query id, subject id, % identity, alignment length, mismatches, evalue, bit score, subject tax ids, subject title, % query coverage per subject\n# 1 hits found\nOtu1\tgb|A|\t99.5\t100\t1\t1e-5\t180\t7;8\ttitle x\t100\n# BLASTN 2\n# Query: Otu2;size=3;\n# 0 hits found\nOtu1\tshort\n"
     hits, queries = text.read_hits(spark, write(tmp_path / "h.txt", body))
