@@ -86,6 +86,10 @@ def group_means(ft: DataFrame, meta: DataFrame, treatment: str | None, group: st
     return both.select(*[f"e.{c}" for c in [TU, *by]], ((F.col("_base") + F.coalesce("_own", F.lit(0.0))) / F.col("_n")).alias("mean"))
 
 
+#: Pairs of blocks that a task gets, about.
+PAIRS_OF_TASK = 32
+
+
 def _unit_vectors(x: np.ndarray) -> np.ndarray:
     x = x - x.mean(1, keepdims=True)
     norm = np.sqrt((x * x).sum(1, keepdims=True))
@@ -140,6 +144,8 @@ def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high:
     ranked = vectors.select(key, at, average_rank(value, key).alias("_r"))
     packed = ranked.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(at, "_r"))), lambda x: x["_r"]).alias("v")).join(units, key)
     placed, wanted = block_pairs(materialize(packed, "packed-units"), high, low, block, pivots)
+    wanted = materialize(wanted, "block-pairs")
+    tasks = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-wanted.count() // PAIRS_OF_TASK))
     sides = wanted.select("_x", "_y", F.explode(F.array_distinct(F.array("_x", "_y"))).alias("_block"))
     pairs = placed.join(sides, "_block")
 
@@ -156,6 +162,7 @@ def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high:
         return pd.DataFrame({"a": np.where(swap, two, one), "b": np.where(swap, one, two), "n": n, "rho": r[i, j]})
 
     kind = dict(vectors.dtypes)[key]
+    pairs = pairs.repartition(tasks, "_x", "_y")  # pairs of blocks grow with the square of the units, those of a task don't
     found = pairs.groupBy("_x", "_y").applyInPandas(correlate, f"a {kind}, b {kind}, n long, rho double").where(F.col("n") >= least)
     return found.withColumn("p", norm_pvalue(t_statistic(F.col("rho"), F.col("n")))).where(F.col("p") <= most_p)
 
