@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions.sequence import hamming
+from taxaflow.functions.staging import materialize
 
 
 #: Stands for a masked place, and for one that a shorter barcode lacks.
@@ -46,10 +47,14 @@ def collisions(counts: DataFrame, sample_map: DataFrame, most: int = 2) -> DataF
     """(barcode, n, d, ties, samples, kind): each read barcode at its least distance from the map.
 
     kind is bc for exact ones, m<d> if one map barcode is nearest, *<d> if several are. A longer barcode that begins with
-    a map barcode is at distance 0.
+    a map barcode is at distance 0. Distances are tried from 0 on, each for the barcodes that have none nearer, so pairs further apart
+    than the nearest aren't made.
     """
-    pairs = near_pairs(counts, sample_map, most)
-    nearest = pairs.withColumn("_low", F.min("d").over(Window.partitionBy("barcode"))).where(F.col("d") == F.col("_low"))
+    left = materialize(counts, "barcode-counts")
+    nearest = near = materialize(near_pairs(left, sample_map, 0), "nearest")
+    for d in range(1, most + 1):
+        left = materialize(left.join(near.select("barcode").distinct(), "barcode", "left_anti"), "farther")
+        nearest = nearest.unionByName(near := materialize(near_pairs(left, sample_map, d), "nearest"))
     g = nearest.groupBy("barcode", "n", "d").agg(F.count(F.lit(1)).alias("ties"), F.array_sort(F.collect_list(F.struct("sample_id", "bc"))).alias("samples"))
     kind = F.when(F.col("d") == 0, "bc").when(F.col("ties") == 1, F.concat(F.lit("m"), F.col("d"))).otherwise(F.concat(F.lit("*"), F.col("d")))
     return g.withColumn("kind", kind)

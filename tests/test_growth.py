@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from taxaflow.operators import stats, table
+from taxaflow.operators import barcodes, stats, table
 
 
 def plan_of(df):
@@ -37,3 +37,18 @@ def test_pairs_of_blocks_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypa
     df = spark.createDataFrame(rows, "u string, s long, v long")
     out = stats.correlate_units(df, "u", "s", "v", block=4)
     assert out.rdd.getNumPartitions() >= 120 // 4  # 15 blocks
+
+
+def test_barcodes_with_a_near_one_are_not_compared_further(spark, monkeypatch):
+    near, seen = barcodes.near_pairs, {}
+
+    def noted(counts, sample_map, most=2):
+        seen[most] = sorted(r.barcode for r in counts.collect())
+        return near(counts, sample_map, most)
+
+    monkeypatch.setattr(barcodes, "near_pairs", noted)
+    smap = spark.createDataFrame([("s1", "ACGTAC"), ("s2", "ACGTTT"), ("s3", "GGGGGG")], "sample_id string, barcode string")
+    read = ["ACGTAC", "ACGTACG", "ACGTAT", "GGGGGC", "GGGGCC", "TTTTTT", "ACG"]
+    got = {r.barcode: (r.d, r.ties, r.kind) for r in barcodes.collisions(spark.createDataFrame([(b, 1) for b in read], "barcode string, n long"), smap, 2).collect()}
+    assert got == {"ACGTAC": (0, 1, "bc"), "ACGTACG": (0, 1, "bc"), "ACGTAT": (1, 2, "*1"), "GGGGGC": (1, 1, "m1"), "GGGGCC": (2, 1, "m2")}
+    assert seen[2] == sorted(["GGGGCC", "TTTTTT", "ACG"])
