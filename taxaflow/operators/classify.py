@@ -2,17 +2,23 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from dataclasses import dataclass
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from taxaflow.functions.staging import materialize
-from taxaflow.operators.search import text_words
+from taxaflow.operators.search import minimisers, seed_words, text_words
 
 #: Trials that one 64-bit hash decides, three bits each: a word is in a trial's sample with a chance of 1 / 8.
 PER_HASH = 21
 
+#: Different words that a task counts before it hands them on.
+HELD_WORDS = 500_000
+
 
 @dataclass(frozen=True)
 class Model:
@@ -23,15 +29,64 @@ class Model:
     k: int
 
 
-def train(references: DataFrame, k: int = 8) -> Model:
+def word_bits(seqs: DataFrame, k: int, most_bytes: int = 64 << 20) -> np.ndarray | None:
+    """One bit for each word of length k of the sequences (seq), 64 places for each; None if they would take more than ``most_bytes``."""
+    words = seqs.where(F.length("seq") >= k).agg(F.sum(F.length("seq") - k + 1)).first()[0] or 0
+    if 8 * words > most_bytes:
+        return None
+    held = np.zeros(max(1, words), np.int64)
+    bit = F.pmod("word", F.lit(64 * len(held))).alias("_bit")
+    slots = seed_words(seqs.withColumn("_id", F.lit(0)), ["_id"], k, 1).select(bit).groupBy(F.expr("_bit div 64").alias("slot")).agg(F.bit_or(F.expr("shiftleft(1L, cast(_bit % 64 as int))")).alias("bits"))
+    for r in slots.collect():
+        held[r["slot"]] = r["bits"]
+    return held
+
+
+def counted_words(refs: DataFrame, k: int, held: np.ndarray | None) -> DataFrame:
+    """(taxon, word, m): in how many references (taxon, seq) of a taxon each word is, in parts that tasks have counted.
+
+    With ``held`` (see ``word_bits``) only words that pass it are cut out.
+    """
+
+    def run(batches):
+        counts, n = {}, 0
+
+        def handed_on():
+            for taxon, c in counts.items():
+                words = list(c)
+                for a in range(0, len(words), 20_000):
+                    some = words[a : a + 20_000]
+                    yield pa.RecordBatch.from_arrays([pa.array([taxon] * len(some), pa.string()), pa.array(some, pa.string()), pa.array([c[w] for w in some], pa.int64())], ["taxon", "word", "m"])
+
+        for b in batches:
+            for taxon, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist()):
+                at = range(len(s) - k + 1)
+                if held is not None:
+                    h = minimisers(s.encode("ascii", "replace"), k, 1)[0] % (64 * len(held))
+                    at = np.nonzero(held[h >> 6] >> (h & 63) & 1)[0].tolist()
+                c = counts.setdefault(taxon, Counter())
+                n -= len(c)
+                c.update(dict.fromkeys([s[i : i + k] for i in at], 1))
+                n += len(c)
+                if n >= HELD_WORDS:
+                    yield from handed_on()
+                    counts, n = {}, 0
+        yield from handed_on()
+
+    return refs.select("taxon", "seq").mapInArrow(run, "taxon string, word string, m long")
+
+
+def train(references: DataFrame, k: int = 8, queries: DataFrame | None = None) -> Model:
     """A model of references (seq, lineage array). Those without a word of length k or without lineage take no part.
 
     With n(w) of N references having word w, its prior is (n(w) + 0.5) / (N + 1); a taxon of M references, m(w) of which have it,
     gives it the chance (m(w) + prior) / (M + 1). Only words with m(w) > 0 are kept: what one of them gains over a
-    taxon without it is ln((m(w) + prior) / prior), and each word of a query costs ln(M + 1) besides.
+    taxon without it is ln((m(w) + prior) / prior), and each word of a query costs ln(M + 1) besides. With ``queries`` (seq) the words
+    that none of them has are left out (but for a few), which changes nothing for these queries.
     """
     refs = references.where((F.length("seq") >= k) & F.col("lineage").isNotNull()).select(F.array_join("lineage", ";").alias("taxon"), "lineage", "seq")
-    words = text_words(refs, ["taxon"], k).groupBy("taxon", "word").agg(F.count(F.lit(1)).alias("m"))
+    held = None if queries is None else word_bits(queries, k)
+    words = counted_words(refs, k, held).groupBy("taxon", "word").agg(F.sum("m").alias("m"))
     words = materialize(words, "taxon-words")
     total = refs.agg(F.count(F.lit(1)).alias("_all"))
     prior = words.groupBy("word").agg(F.sum("m").alias("_n")).crossJoin(F.broadcast(total)).select("word", ((F.col("_n") + 0.5) / (F.col("_all") + 1)).alias("prior"))

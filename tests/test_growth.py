@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from taxaflow.operators import barcodes, stats, table
+from taxaflow.operators import barcodes, classify, stats, table
 
 
 def plan_of(df):
@@ -52,3 +52,18 @@ def test_barcodes_with_a_near_one_are_not_compared_further(spark, monkeypatch):
     got = {r.barcode: (r.d, r.ties, r.kind) for r in barcodes.collisions(spark.createDataFrame([(b, 1) for b in read], "barcode string, n long"), smap, 2).collect()}
     assert got == {"ACGTAC": (0, 1, "bc"), "ACGTACG": (0, 1, "bc"), "ACGTAT": (1, 2, "*1"), "GGGGGC": (1, 1, "m1"), "GGGGCC": (2, 1, "m2")}
     assert seen[2] == sorted(["GGGGCC", "TTTTTT", "ACG"])
+
+
+def test_classifier_cuts_out_only_words_that_queries_have(spark):
+    refs = spark.createDataFrame([("abcdefghij" * 3, ["d__a"]), ("abcdefgh" + "é" * 9, ["d__a"]), ("zzabcdefghzz", ["d__b"]), ("".join(chr(33 + i % 90) for i in range(900)), ["d__c"])], "seq string, lineage array<string>")
+    queries = spark.createDataFrame([("q", "xxabcdefghij"), ("r", "éééééééééb")], "qseqid string, seq string")
+    whole, cut = classify.train(refs), classify.train(refs, queries=queries)
+    answers = [sorted((r.qseqid, r.taxonomy, r.confidence, round(r.score, 9)) for r in classify.classify(queries, m).collect()) for m in (whole, cut)]
+    assert answers[0] == answers[1] and len(answers[0]) == 2
+    assert cut.gains.count() < whole.gains.count() / 10
+
+
+def test_tasks_count_words_before_they_are_shuffled(spark):
+    refs = spark.createDataFrame([("a", "abcdefghij")] * 50, "taxon string, seq string").coalesce(1)
+    got = sorted(tuple(r) for r in classify.counted_words(refs, 8, None).collect())
+    assert got == [("a", "abcdefgh", 50), ("a", "bcdefghi", 50), ("a", "cdefghij", 50)]
