@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from taxaflow.operators import barcodes, classify, stats, table
+from taxaflow.operators import barcodes, classify, reads, stats, table
 
 
 def plan_of(df):
@@ -67,3 +67,12 @@ def test_tasks_count_words_before_they_are_shuffled(spark):
     refs = spark.createDataFrame([("a", "abcdefghij")] * 50, "taxon string, seq string").coalesce(1)
     got = sorted(tuple(r) for r in classify.counted_words(refs, 8, None).collect())
     assert got == [("a", "abcdefgh", 50), ("a", "bcdefghi", 50), ("a", "cdefghij", 50)]
+
+
+def test_reads_that_may_match_bring_only_words_that_pass(spark):
+    ref = spark.createDataFrame([("ACGTTGCATGCCATAGGACTTACGAT",)], "seq string")
+    df = spark.createDataFrame([("x", "é" * 40 + "TTTT" + "ACGTTGCATGCCATAGGACTTACGAT"), ("y", "G" * 60), ("z", None)], "read_id string, seq string")
+    met = reads._may_match(df, reads.bloom_filter(ref, 20), 20, 4).collect()
+    assert [r.read_id for r in met] == ["x"] and set(range(44, 51)) <= set(met[0]._places) and len(met[0]._places) < 20
+    assert all(w == met[0].seq[p : p + 20] for w, p in zip(met[0]._words, met[0]._places))
+    assert [r.read_id for r in reads.matching_reads(df, ref, 20, identity=0.97).collect()] == ["x"]
