@@ -35,6 +35,34 @@ def spearman(pairs: DataFrame, key: str, a: str, b: str) -> DataFrame:
     return ranked.groupBy(key).agg(F.count(F.lit(1)).alias("n"), pearson("_a", "_b").alias("rho"))
 
 
+def with_rho(vectors: DataFrame, a: str, b: str) -> DataFrame:
+    """Adds n and rho: the Spearman correlation of two arrays of a row, null over constant ones. Nothing is shuffled or sorted for it."""
+
+    @F.pandas_udf("double")
+    def rho(left: pd.Series, right: pd.Series) -> pd.Series:
+        size = np.array([len(v) for v in left], np.int64)
+        key = np.repeat(np.arange(len(size)), size)
+        x, y = (_centred(np.concatenate([np.zeros(0), *side]), key, size) for side in (left, right))
+        total = lambda v: np.bincount(key, v, len(size))
+        down = np.sqrt(total(x * x) * total(y * y))
+        return pd.Series(np.divide(total(x * y), down, out=np.full(len(size), np.nan), where=down > 0)).astype(object).where(down > 0, None)
+
+    return vectors.withColumn("n", F.size(a).cast("long")).withColumn("rho", rho(a, b))
+
+
+def _centred(v: np.ndarray, key: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """Ranks within runs of one key, ties sharing the mean of their places, less their mean."""
+    order = np.lexsort((v, key))
+    new = np.ones(len(v), bool)
+    k, w = key[order], v[order]
+    new[1:] = (k[1:] != k[:-1]) | ((w[1:] != w[:-1]) & ~(np.isnan(w[1:]) & np.isnan(w[:-1])))
+    starts = np.flatnonzero(new)
+    ends = np.append(starts[1:], len(v))
+    out = np.empty(len(v))
+    out[order] = np.repeat((starts + ends + 1) / 2, ends - starts)
+    return out - np.repeat(size.cumsum() - size + (size + 1) / 2, size)
+
+
 def centred_ranks(rows: DataFrame, value: str, name: str) -> DataFrame:
     """Adds the rank of ``value`` over all rows, ties sharing the mean of their places, less the mean rank."""
     numbered = row_number(rows, [F.col(value).asc()], "_i")
@@ -187,14 +215,15 @@ def fold_changes(means: DataFrame, treatment: str, group: str, before: str, afte
 
 def correlate_with_change(means: DataFrame, treatment: str, group: str, set_a: str, before: str, after: str) -> DataFrame:
     """Per unit, Spearman over groups of its abundance under ``set_a`` with its fold change; units without one are kept."""
-    change = fold_changes(means, treatment, group, before, after)
-    abundance = means.where(F.col(treatment) == set_a).select(TU, group, F.col("mean").alias("abundance"))
-    both = abundance.join(change, [TU, group]).where(F.col("change").isNotNull())
-    rho = spearman(both, TU, "abundance", "change")
+    of = lambda x: F.when(F.col(treatment) == x, F.col("mean"))
+    some = means.where(F.col(treatment).isin(set_a, before, after) & F.col(TU).isNotNull() & F.col(group).isNotNull())
+    each = some.groupBy(TU, group).agg(F.max(of(set_a)).alias("abundance"), F.max(of(before)).alias("_before"), F.max(of(after)).alias("_after"))
+    both = each.select(TU, group, "abundance", F.try_divide("_after", "_before").alias("change")).where("abundance is not null and change is not null")
     vectors = both.groupBy(TU).agg(F.sort_array(F.collect_list(F.struct(group, "abundance", "change"))).alias("v"))
     vectors = vectors.select(TU, *[F.col(f"v.{c}").alias(n) for c, n in ((group, "groups"), ("abundance", "abundances"), ("change", "changes"))])
-    out = rho.withColumn("p", t_pvalue(t_statistic(F.col("rho"), F.col("n")), F.col("n") - 2))
-    return adjust_bh(out, "p", "p_adj").join(vectors, TU)
+    out = with_rho(vectors, "abundances", "changes")
+    out = materialize(out.withColumn("p", t_pvalue(t_statistic(F.col("rho"), F.col("n")), F.col("n") - 2)), "change-correlations")  # read three times by the adjustment
+    return adjust_bh(out, "p", "p_adj").select(TU, "n", "rho", "p", "p_adj", "groups", "abundances", "changes")
 
 
 def correlate_with_external(prior: DataFrame, external: DataFrame, groups: str = "groups", values: str = "changes") -> DataFrame:
@@ -203,7 +232,10 @@ def correlate_with_external(prior: DataFrame, external: DataFrame, groups: str =
     Units whose vectors differ in length are skipped; groups without external value are left out; fewer than two
     groups give no correlation.
     """
+    listed = external.where(F.col("value").isNotNull() & ~F.isnan(F.col("value").cast("double"))).select("name", F.col("value").cast("double").alias("_value"))
     same = prior.where(F.size(groups) == F.size(values)).select(TU, F.explode(F.arrays_zip(F.col(groups).alias("g"), F.col(values).alias("v"))).alias("x"))
-    both = same.select(TU, F.col("x.g").alias("name"), F.col("x.v").alias("v")).join(external, "name").where(F.col("v").isNotNull() & ~F.isnan("v") & F.col("value").isNotNull() & ~F.isnan("value"))
-    rho = spearman(both, TU, "v", "value").withColumn("rho", F.when(F.col("n") >= 2, F.col("rho")))
-    return adjust_bh(rho.withColumn("p", t_pvalue(t_statistic(F.col("rho"), F.col("n")), F.col("n") - 2)), "p", "p_adj")
+    both = same.select(TU, F.col("x.g").alias("name"), F.col("x.v").alias("v")).where(F.col("v").isNotNull() & ~F.isnan("v")).join(listed, "name")
+    vectors = both.groupBy(TU).agg(F.collect_list(F.struct("v", "_value")).alias("x")).select(TU, F.col("x.v").alias("_a"), F.col("x._value").alias("_b"))
+    rho = with_rho(vectors, "_a", "_b").select(TU, "n", F.when(F.col("n") >= 2, F.col("rho")).alias("rho"))
+    rho = materialize(rho.withColumn("p", t_pvalue(t_statistic(F.col("rho"), F.col("n")), F.col("n") - 2)), "external-correlations")
+    return adjust_bh(rho, "p", "p_adj")

@@ -76,3 +76,29 @@ def test_reads_that_may_match_bring_only_words_that_pass(spark):
     assert [r.read_id for r in met] == ["x"] and set(range(44, 51)) <= set(met[0]._places) and len(met[0]._places) < 20
     assert all(w == met[0].seq[p : p + 20] for w, p in zip(met[0]._words, met[0]._places))
     assert [r.read_id for r in reads.matching_reads(df, ref, 20, identity=0.97).collect()] == ["x"]
+
+
+def test_rank_correlation_of_arrays_equals_that_of_rows(spark):
+    nan = float("nan")
+    sides = [([3.0, 1.0, 2.0, 2.0], [1.0, 5.0, 2.0, 9.0]), ([1.0, 1.0], [2.0, 3.0]), ([], []), ([4.0], [4.0]), ([nan, 1.0, nan, 0.5], [3.0, 1.0, 2.0, 2.0]), ([1.0, 2.0, 3.0], [2.0, 4.0, 9.0])]
+    arrays = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(sides)], "u long, a array<double>, b array<double>")
+    rows = spark.createDataFrame([(i, x, y) for i, (a, b) in enumerate(sides) for x, y in zip(a, b)], "u long, a double, b double")
+    want = {r.u: (r.n, r.rho and round(r.rho, 9)) for r in stats.spearman(rows, "u", "a", "b").collect()}
+    got = {r.u: (r.n, r.rho and round(r.rho, 9)) for r in stats.with_rho(arrays, "a", "b").collect()}
+    assert got == want | {2: (0, None)}
+
+
+def test_means_are_computed_once_for_their_changes(spark):
+    seen = spark.sparkContext.accumulator(0)
+
+    def noted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    rows = [(f"u{i}", p, g, float((i * 7 + 3 * j) % 11 + k)) for i in range(20) for j, g in enumerate("abc") for k, p in enumerate(("before", "after"))]
+    means = spark.createDataFrame(rows, "tu_id string, phase string, grp string, mean double")
+    got = stats.correlate_with_change(means.mapInArrow(noted, means.schema), "phase", "grp", "before", "before", "after")
+    assert got.count() == 20 and seen.value == len(rows)
+    external = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "name string, value double")
+    assert stats.correlate_with_external(got, external).count() == 20 and seen.value == len(rows)
