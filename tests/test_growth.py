@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 import pytest
 
 from taxaflow.operators import barcodes, classify, reads, stats, table
+from taxaflow.plans import adapters
 
 
 def plan_of(df):
@@ -102,3 +103,20 @@ def test_means_are_computed_once_for_their_changes(spark):
     assert got.count() == 20 and seen.value == len(rows)
     external = spark.createDataFrame([("a", 1.0), ("b", 3.0), ("c", 2.0)], "name string, value double")
     assert stats.correlate_with_external(got, external).count() == 20 and seen.value == len(rows)
+
+
+def test_tasks_keep_their_size_when_a_table_grows(spark, tmp_path, monkeypatch):
+    keys = ["spark.sql.files.maxPartitionBytes", "spark.sql.adaptive.advisoryPartitionSizeInBytes", "spark.sql.adaptive.coalescePartitions.initialPartitionNum"]
+    before = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.unset(keys[2])
+        spark.conf.set(keys[0], "64m"), spark.conf.set(keys[1], "8m")
+        spark.range(100_000).write.parquet(f"{tmp_path}/t.parquet")
+        adapters.read(spark, str(tmp_path), "t")
+        assert [spark.conf.get(k, None) for k in keys] == ["16777216b", "8m", None]
+        monkeypatch.setattr(adapters, "TASK_BYTES", 1 << 16)
+        assert adapters.read(spark, str(tmp_path), "t").count() == 100_000
+        assert spark.conf.get(keys[0]) == "65536b" and int(spark.conf.get(keys[2])) > 4
+    finally:
+        for k, v in before.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
