@@ -79,8 +79,10 @@ def not_enough_hits(hits: DataFrame, mode: str = "documented") -> DataFrame:
 
     ``mode='reference'`` looks only at queries named Otu.
     """
-    first = hits.groupBy("qseqid", "sseqid").agg(F.min_by(F.struct("pident", "mismatch"), "hit_ord").alias("h"))
-    out = first.groupBy("qseqid").agg(F.countDistinct("h.pident").alias("identities"), F.countDistinct("h.mismatch").alias("mismatches"))
+    own = hits.select("qseqid", "sseqid", "pident", "mismatch", "hit_ord").repartition("qseqid")  # both groupings are done where a query's hits are
+    first = own.groupBy("qseqid", "sseqid").agg(F.min_by(F.struct("pident", "mismatch"), "hit_ord").alias("h"))
+    different = lambda c: F.size(F.collect_set(F.col(c) + 0)).cast("long")  # noqa: E731  a zero with a sign is the other one
+    out = first.groupBy("qseqid").agg(different("h.pident").alias("identities"), different("h.mismatch").alias("mismatches"))
     out = out.where((F.col("identities") == 1) | (F.col("mismatches") == 1))
     return out.where(F.col("qseqid").startswith("Otu")) if mode == "reference" else out
 

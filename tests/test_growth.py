@@ -5,7 +5,7 @@ from contextlib import redirect_stdout
 
 import pytest
 
-from taxaflow.operators import barcodes, classify, reads, stats, table
+from taxaflow.operators import barcodes, classify, hits, reads, stats, table
 from taxaflow.plans import adapters
 
 
@@ -120,3 +120,10 @@ def test_tasks_keep_their_size_when_a_table_grows(spark, tmp_path, monkeypatch):
     finally:
         for k, v in before.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_hits_of_a_query_are_shuffled_once_for_their_depth(spark):
+    rows = [("a", "s1", 0.0, 1, 1), ("a", "s2", -0.0, 2, 2), ("b", "s1", 9.0, 1, 1), ("b", "s1", 8.0, 2, 2), ("c", "s1", 9.0, 1, 1), ("c", "s2", 8.0, 2, 2), ("d", "s1", None, 3, 1), ("d", "s2", 5.0, 4, 2), ("e", "s1", None, None, 1)]
+    out = hits.not_enough_hits(spark.createDataFrame(rows, "qseqid string, sseqid string, pident double, mismatch int, hit_ord long"))
+    assert plan_of(out).count("Exchange") == 1
+    assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 2), ("b", 1, 1), ("d", 1, 2)]
