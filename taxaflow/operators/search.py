@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from taxaflow.functions.batches import sliced, small_batches
 from taxaflow.functions.sequence import reverse_complement
 from taxaflow.functions.staging import materialize
 
@@ -67,15 +68,17 @@ def minimisers(raw: bytes, k: int, window: int) -> tuple[np.ndarray, np.ndarray]
 
 def seed_words(seqs: DataFrame, key: list[str], k: int, window: int) -> DataFrame:
     """(key..., word, place): the minimisers of each sequence (seq)."""
+    small_batches(seqs.sparkSession)
     fields = ", ".join(f"{c} {dict(seqs.dtypes)[c]}" for c in key)
+    return seqs.select(*key, "seq").mapInArrow(lambda batches: _seeds(batches, key, k, window), f"{fields}, word long, place int")
 
-    def run(batches):
-        for b in batches:
-            found = [minimisers(s.encode("ascii", "replace") if s else b"", k, window) for s in b.column(b.num_columns - 1).to_pylist()]
-            own = pa.array(np.repeat(np.arange(b.num_rows), [len(h) for h, _ in found]))
-            yield pa.RecordBatch.from_arrays([*(b.column(i).take(own) for i in range(len(key))), pa.array(np.concatenate([np.zeros(0, np.int64), *(h for h, _ in found)])), pa.array(np.concatenate([np.zeros(0, np.int32), *(p.astype(np.int32) for _, p in found)]))], [*key, "word", "place"])
 
-    return seqs.select(*key, "seq").mapInArrow(run, f"{fields}, word long, place int")
+def _seeds(batches, key: list[str], k: int, window: int):
+    """The words' batches, each of a few sequences: a task holds the words of these alone."""
+    for b in sliced(batches, ["seq"]):
+        found = [minimisers(s.encode("ascii", "replace") if s else b"", k, window) for s in b.column(b.num_columns - 1).to_pylist()]
+        own = pa.array(np.repeat(np.arange(b.num_rows), [len(h) for h, _ in found]))
+        yield pa.RecordBatch.from_arrays([*(b.column(i).take(own) for i in range(len(key))), pa.array(np.concatenate([np.zeros(0, np.int64), *(h for h, _ in found)])), pa.array(np.concatenate([np.zeros(0, np.int32), *(p.astype(np.int32) for _, p in found)]))], [*key, "word", "place"])
 
 
 def text_words(seqs: DataFrame, key: list[str], k: int, places: bool = False) -> DataFrame:
@@ -83,12 +86,13 @@ def text_words(seqs: DataFrame, key: list[str], k: int, places: bool = False) ->
 
     One walk over each sequence, 20,000 words to a batch at most.
     """
+    small_batches(seqs.sparkSession)
     fields = ", ".join(f"{c} {dict(seqs.dtypes)[c]}" for c in key)
 
     names = [*key, "word", *(["place"] if places else [])]
 
     def run(batches):
-        for b in batches:
+        for b in sliced(batches, ["seq"]):
             for r, s in enumerate(b.column(b.num_columns - 1).to_pylist()):
                 found = [s[i : i + k] for i in range(len(s) - k + 1)] if s else []
                 found = found if places else list(dict.fromkeys(found))
@@ -192,15 +196,13 @@ def local_search(
     held = ["score", "matches", "mismatches", "gaps", "start", "end"]
 
     def align(batches):
-        for whole in batches:
-            for a in range(0, whole.num_rows, 128):
-                b = whole.slice(a, 128)
-                qs, ss = ([x.encode("ascii", "replace") for x in b.column(i).to_pylist()] for i in (3, 4))
-                longest = max(map(len, qs))
-                x = np.frombuffer(b"".join(t.ljust(longest, b"\0") for t in qs), np.uint8).reshape(len(qs), -1)
-                y = np.frombuffer(b"".join(t.ljust(longest + wide - 1, b"\x01") for t in ss), np.uint8).reshape(len(ss), -1)
-                r = banded(x, y, scoring)
-                yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(r[c]) for c in held)], [*kinds, *held])
+        for b in sliced(batches, ["_query", "_stretch"], 128):
+            qs, ss = ([x.encode("ascii", "replace") for x in b.column(i).to_pylist()] for i in (3, 4))
+            longest = max(map(len, qs))
+            x = np.frombuffer(b"".join(t.ljust(longest, b"\0") for t in qs), np.uint8).reshape(len(qs), -1)
+            y = np.frombuffer(b"".join(t.ljust(longest + wide - 1, b"\x01") for t in ss), np.uint8).reshape(len(ss), -1)
+            r = banded(x, y, scoring)
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), b.column(2), *(pa.array(r[c]) for c in held)], [*kinds, *held])
 
     found = pairs.mapInArrow(align, ", ".join(f"{c} {t}" for c, t in kinds.items()) + "".join(f", {c} long" for c in held))
     best = F.max_by(F.struct(*held, "strand"), F.struct("score", "strand", "matches", (-F.col("start")).alias("s"))).alias("h")

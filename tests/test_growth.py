@@ -3,9 +3,10 @@
 import io
 from contextlib import redirect_stdout
 
+import pyarrow as pa
 import pytest
 
-from taxaflow.operators import barcodes, classify, hits, reads, stats, table
+from taxaflow.operators import barcodes, classify, hits, reads, search, stats, table
 from taxaflow.plans import adapters
 
 
@@ -127,3 +128,16 @@ def test_hits_of_a_query_are_shuffled_once_for_their_depth(spark):
     out = hits.not_enough_hits(spark.createDataFrame(rows, "qseqid string, sseqid string, pident double, mismatch int, hit_ord long"))
     assert plan_of(out).count("Exchange") == 1
     assert sorted(tuple(r) for r in out.collect()) == [("a", 1, 2), ("b", 1, 1), ("d", 1, 2)]
+
+
+def test_tasks_hold_the_words_of_a_few_sequences(spark):
+    rows = [(f"s{i}", None if i % 50 == 7 else "".join(chr(33 + (i * 31 + j * j) % 90) for j in range(i % 97 * 40))) for i in range(3000)]
+    whole = pa.RecordBatch.from_pylist([{"id": a, "seq": t} for a, t in rows])
+    got = list(search._seeds([whole, whole.slice(0, 0)], ["id"], 8, 5))
+    assert len(got) >= 12 and max(len(b.column(0).unique()) for b in got) <= 256
+    want = [(a, w, p) for a, t in rows for w, p in zip(*(x.tolist() for x in search.minimisers((t or "").encode(), 8, 5)))]
+    assert [tuple(r.values()) for b in got for r in b.to_pylist()] == want
+    df = spark.createDataFrame(rows, "id string, seq string")
+    found = search.seed_words(df, ["id"], 8, 5)
+    assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1024
+    assert found.count() == len(want)
