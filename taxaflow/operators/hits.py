@@ -99,14 +99,15 @@ def deepen(first: DataFrame, queries: DataFrame, search, least_share: float = 0.
 
     Queries whose hits are too alike (see ``needs_deeper``) go to ``search``, a function from queries and round to their
     hits at a greater depth, for as many rounds as depths are left. Its hits are added to those of the rounds before. What is
-    found is written down in each round, so that no search is done twice.
+    found is written down in each round, so that no search is done twice; the queries left after the last one are only computed
+    if they are asked for.
     """
     every, last = first, first
-    need = materialize(needs_deeper(last, queries, least_share, mode), "deeper")
+    need = needs_deeper(last, queries, least_share, mode)
     for i in range(rounds):
-        last = materialize(search(need, i + 1), "deeper-hits")
+        last = materialize(search(materialize(need, "deeper"), i + 1), "deeper-hits")
         every = every.unionByName(last)
-        need = materialize(needs_deeper(last, queries, least_share, mode), "deeper")
+        need = needs_deeper(last, queries, least_share, mode)
     return every, need
 
 

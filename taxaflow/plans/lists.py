@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from taxaflow.functions.staging import materialize
 from taxaflow.operators import hits, mapping, reads, report, stats
 from taxaflow.plans import adapters as A
 from taxaflow.plans.adapters import sql
@@ -86,7 +87,8 @@ ne AS (SELECT qseqid FROM fs GROUP BY 1 HAVING count(DISTINCT pident) = 1 OR cou
 need AS (SELECT qseqid FROM queries_of_hits WHERE size >= 0.01 * (SELECT max(size) FROM queries_of_hits) AND qseqid IN (SELECT qseqid FROM ne))
 SELECT qseqid, hit_ord, count(*) AS times FROM (SELECT qseqid, hit_ord FROM first UNION ALL SELECT qseqid, hit_ord FROM hits WHERE qseqid IN (SELECT qseqid FROM need)) GROUP BY 1, 2""", "hits", "queries_of_hits"))
 def deepened_hits(s, d):
-    h = A.hits(s, d)
+    # Ordered once and written down: the first search, the depth check and the deeper search all take them from there.
+    h = materialize(A.hits(s, d).select("qseqid", "sseqid", "pident", "mismatch", "hit_ord"), "hits")
     every, _ = hits.deepen(h.where("hit_ord <= 2"), A.queries_of_hits(s, d), lambda need, _: h.join(need.select("qseqid"), "qseqid", "left_semi"))
     return every.groupBy("qseqid", "hit_ord").agg(F.count(F.lit(1)).alias("times"))
 

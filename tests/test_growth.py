@@ -6,8 +6,9 @@ from contextlib import redirect_stdout
 import pyarrow as pa
 import pytest
 
+from taxaflow.functions import staging
 from taxaflow.operators import barcodes, classify, hits, reads, search, stats, table
-from taxaflow.plans import adapters
+from taxaflow.plans import adapters, lists
 
 
 def plan_of(df):
@@ -141,3 +142,24 @@ def test_tasks_hold_the_words_of_a_few_sequences(spark):
     found = search.seed_words(df, ["id"], 8, 5)
     assert int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch")) <= 1024
     assert found.count() == len(want)
+
+
+def test_deepening_checks_hits_once_and_not_after_the_last_round(spark, monkeypatch):
+    lineitem = [(o, p, p % 7, n, 10.0 * n, 1.0 * o, 0.1 * (n % 2), 0.0) for o in range(40) for n, p in enumerate(range(o % 5 + 1), 1)]
+    part = [(p, f"name {p}", "b", "t") for p in range(9)]
+    tables = {
+        "lineitem": spark.createDataFrame(lineitem, "l_orderkey long, l_partkey long, l_suppkey long, l_linenumber int, l_quantity double, l_extendedprice double, l_discount double, l_tax double"),
+        "part": spark.createDataFrame(part, "p_partkey long, p_name string, p_brand string, p_type string"),
+        "orders": spark.createDataFrame([(o, 100.0 + o) for o in range(40)], "o_orderkey long, o_totalprice double"),
+    }
+    read, written = [], []
+    monkeypatch.setattr(adapters, "read", lambda s, d, name: read.append(name) or tables[name])
+    for m in (lists, hits):
+        monkeypatch.setattr(m, "materialize", lambda df, name, keep=staging.materialize: written.append((name, df.columns)) or keep(df, name))
+    out = lists.deepened_hits(spark, "")
+    assert [n for n, _ in written] == ["hits", "deeper", "deeper-hits"] and read.count("lineitem") == 1
+    assert written[2][1] == ["qseqid", "sseqid", "pident", "mismatch", "hit_ord"] and "l_orderkey" not in plan_of(out)
+    many = {o: min(o % 5 + 1, 2) for o in range(40)}
+    alike = {o for o in many if many[o] == 1}  # those of two hits differ in identity and mismatches
+    want = {(str(o), i): (i <= 2) + (o in alike) for o in range(40) for i in range(1, o % 5 + 2)}
+    assert {(r.qseqid, r.hit_ord): r.times for r in out.collect()} == {k: n for k, n in want.items() if n}
