@@ -78,7 +78,7 @@ tops AS (SELECT treatment, taxon FROM (SELECT *, row_number() OVER (PARTITION BY
 r AS (SELECT m.treatment, CASE WHEN t.taxon IS NULL THEN 'other' ELSE m.taxon END AS taxon, sum(mean) AS mean FROM means m LEFT JOIN tops t ON t.treatment = m.treatment AND t.taxon = m.taxon GROUP BY 1, 2)
 SELECT treatment, taxon, round(mean * 100 / sum(mean) OVER (PARTITION BY treatment), 6) AS percent FROM r""", "feature_long", "tu_taxonomy", "sample_map"))
 def topn_other_composition(s, d):
-    taxa = table.collapse(table.normalize(A.feature_long(s, d)).drop("n"), A.tu_taxonomy(s, d), 2, "rel")
+    taxa = table.with_taxon(table.normalize(A.feature_long(s, d)), A.tu_taxonomy(s, d), 2, "rel")
     return rounded(report.composition(taxa, A.sample_map(s, d), "grp", n=5, mode="per_treatment"), "percent", digits=6)
 
 
@@ -87,7 +87,7 @@ a AS (SELECT taxon, sum(mean) / (SELECT count(*) FROM sizes) AS mean FROM means
 r AS (SELECT CASE WHEN taxon IN (SELECT taxon FROM tops) THEN taxon ELSE 'other' END AS taxon, sum(mean) AS mean FROM a GROUP BY 1)
 SELECT 'average' AS treatment, taxon, round(mean * 100 / sum(mean) OVER (), 6) AS percent FROM r""", "feature_long", "tu_taxonomy", "sample_map"))
 def average_composition(s, d):
-    taxa = table.collapse(table.normalize(A.feature_long(s, d)).drop("n"), A.tu_taxonomy(s, d), 2, "rel")
+    taxa = table.with_taxon(table.normalize(A.feature_long(s, d)), A.tu_taxonomy(s, d), 2, "rel")
     return rounded(report.composition(taxa, A.sample_map(s, d), "grp", keep="value", n=5), "percent", digits=6)
 
 

@@ -7,7 +7,7 @@ import pyarrow as pa
 import pytest
 
 from taxaflow.functions import staging
-from taxaflow.operators import barcodes, classify, hits, reads, search, stats, table
+from taxaflow.operators import barcodes, classify, hits, reads, report, search, stats, table
 from taxaflow.plans import adapters, lists
 
 
@@ -163,3 +163,19 @@ def test_deepening_checks_hits_once_and_not_after_the_last_round(spark, monkeypa
     alike = {o for o in many if many[o] == 1}  # those of two hits differ in identity and mismatches
     want = {(str(o), i): (i <= 2) + (o in alike) for o in range(40) for i in range(1, o % 5 + 2)}
     assert {(r.qseqid, r.hit_ord): r.times for r in out.collect()} == {k: n for k, n in want.items() if n}
+
+
+@pytest.mark.parametrize("mode", ["average", "per_treatment"])
+def test_compositions_need_no_sums_by_sample_nor_broadcast_lineages(spark, mode):
+    cells = [(f"u{u}", f"s{s}", float((u * 5 + s * 3) % 7)) for u in range(30) for s in range(8) if (u + s) % 3] + [("none", "s1", 2.0), (None, "s2", 3.0)]
+    rel = spark.createDataFrame(cells, "tu_id string, sample_id string, rel double")
+    lineages = spark.createDataFrame([(f"u{u}", None if u == 3 else [f"d{u % 2}", f"k{u % 6}", f"p{u}"]) for u in range(30)], "tu_id string, lineage array<string>")
+    meta = spark.createDataFrame([(f"s{s}", f"t{s % 3}" if s else None) for s in range(9)], "sample_id string, t string")
+    named = table.with_taxon(rel, lineages, 2, "rel")
+    summed = table.collapse(rel, lineages, 2, "rel")
+    assert "BroadcastHashJoin" not in plan_of(named) and {r.taxon for r in named.collect()} == {f"d{k % 2};k{k}" for k in range(6)} | {"k__Unassigned"}
+    outs = [report.composition(x, meta, "t", n=2, mode=mode) for x in (named, summed)]
+    assert not [line for line in plan_of(outs[0]).splitlines() if "HashAggregate(keys=[taxon" in line and "sample_id" in line]
+    got, want = ({(r.treatment, r.taxon): r.percent for r in x.collect()} for x in outs)
+    assert got.keys() == want.keys() and len(got) > 2
+    assert all(got[k] == pytest.approx(want[k]) for k in got)
