@@ -76,23 +76,37 @@ class Chunk:
                 out[i] = head[0] + tails[cut]
         return out
 
-    def pieces(self, state: tuple[str, int], leave: tuple[str, int]) -> list[int]:
-        """Ids of the pieces that start in the chunk on the best path from one state to the other."""
+    def around(self, state: tuple[str, int], leave: tuple[str, int]) -> tuple[list[int], str, list[int]]:
+        """The pieces that start in the chunk on the best path from one state to the other: the first and last ones' ids, and
+        between them a text that no piece crosses at either end."""
         model, (before, k), (piece, after) = self.model, state, leave
         start, end = self.a + k, self.b + after - len(piece)
         if end < start:  # the piece that goes out came in
-            return []
-        out: list[int] = []
+            return [], "", []
+        head, middle = [], ""
         cut = self.cut_in(state)
         if cut is not None and cut <= end:
             best = model.forward(self.text, start, cut, before)
-            out += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
+            head += chain.from_iterable(map(model.ids, model.back(best, cut - start)))
             last = self.last_cut(end)
-            out += model.encoded([self.text[cut:last]])[0].tolist()
-            start, before = last, ""
+            middle, start, before = self.text[cut:last], last, ""
         best = model.forward(self.text, start, end, before)
-        out += chain.from_iterable(map(model.ids, model.back(best, end - start)))
-        return [*out, *model.ids(piece)] if piece else out
+        tail = list(chain.from_iterable(map(model.ids, model.back(best, end - start))))
+        return head, middle, [*tail, *model.ids(piece)] if piece else tail
+
+    def pieces(self, state: tuple[str, int], leave: tuple[str, int]) -> list[int]:
+        """Ids of the pieces that start in the chunk on the best path from one state to the other."""
+        return chunk_ids(self.model, [self.around(state, leave)])[0].as_py()
+
+
+def chunk_ids(model: Pieces, around: list[tuple[list[int], str, list[int]]]) -> pa.Array:
+    """Ids of chunks, whose middles are encoded all at once."""
+    ids, sizes = model.encoded([middle for _, middle, _ in around])
+    upto, parts = np.append(0, sizes.cumsum()), []
+    for i, (head, _, tail) in enumerate(around):
+        parts += [np.array(head, np.int32), ids[upto[i] : upto[i + 1]], np.array(tail, np.int32)]
+    ends = np.cumsum([0, *(len(head) + n + len(tail) for (head, _, tail), n in zip(around, sizes.tolist()))])
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(np.concatenate([np.zeros(0, np.int32), *parts])))
 
 
 def times(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -179,11 +193,8 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids
 
     def trace(left, body, right, start, stop):
         m = load(model)
-        out = []
-        for *x, s, e in zip(left, body, right, start, stop):
-            chunk = Chunk(m, *x)
-            out.append(chunk.pieces(chunk.into[s], chunk.out[e]))
-        return [lists(out)]
+        chunks = [Chunk(m, *x) for x in zip(left, body, right)]
+        return [chunk_ids(m, [c.around(c.into[s], c.out[e]) for c, s, e in zip(chunks, start, stop)])]
 
     matrices = map_columns(spread, ["_fp", "c"], parts, "m binary", measure).groupBy("_fp").agg(F.collect_list(F.struct("c", "m")).alias("ms"))
     states = map_columns(matrices, ["_fp"], ["ms"], "s array<struct<c:int,from:int,to:int>>", settle).select("_fp", F.explode("s").alias("s")).select("_fp", "s.*")
@@ -193,14 +204,6 @@ def encode(docs: DataFrame, model: bytes, *, text: str = "text", ids: str = "ids
     return small.unionByName(giant.join(whole, "_fp").select(*[F.col(f"`{c}`") for c in columns], ids))
 
 
-def lists(rows: list) -> pa.Array:
-    """Lists of integers, some of them null, as one Arrow array."""
-    sizes = np.fromiter((len(r) if r is not None else 0 for r in rows), np.int64, len(rows))
-    values = np.concatenate([np.zeros(0, np.int32), *(np.array(r, np.int32) for r in rows if r is not None)])
-    null = pa.array([r is None for r in rows], pa.bool_())
-    return pa.ListArray.from_arrays(pa.array(np.append(0, sizes.cumsum()).astype(np.int32)), pa.array(values), mask=null)
-
-
 def decode(docs: DataFrame, model: bytes, *, ids: str = "ids", text: str = "text") -> DataFrame:
     """Adds ``text``: what the ids spell. Bytes that aren't UTF-8 become U+FFFD; null ids give null, empty lists an empty
     text, long lists one text, repeated rows the same; an empty table gives an empty result; other columns stay and one

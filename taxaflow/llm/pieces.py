@@ -9,6 +9,8 @@ from functools import cached_property, lru_cache
 from itertools import count
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 from .tables import IntTable, gathered
 
@@ -45,6 +47,55 @@ def fields(raw: bytes):
             at += size
 
 
+#: Blanks with what follows them, or what stands before any.
+_UNIT = re.compile(f"{SPACE}*[^{SPACE}]+|{SPACE}+")
+
+
+def sums(values: np.ndarray, many: np.ndarray) -> np.ndarray:
+    """Sums of the first ``many[0]`` values, of the next ``many[1]`` ones, and so on."""
+    ends = np.cumsum(many)
+    upto = np.append(0, np.cumsum(values))
+    return upto[ends] - upto[ends - many]
+
+
+class Units(dict):
+    """Places of units, whose ids are kept for the life of a worker: those of unit i are ``count[i]`` of ``ids``, after those of
+    the units before it. ``new`` ones have a place and no ids yet."""
+
+    def __init__(self, most: int = 200_000, longest: int = 64):
+        super().__init__()
+        self.most, self.longest, self.chars, self.new = most, longest, 0, []
+        self.ids, self.count, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def __missing__(self, unit: str) -> int:
+        self[unit] = place = len(self)
+        self.new.append(unit)
+        return place
+
+    def places(self, units: list[str]) -> np.ndarray:
+        return np.fromiter(map(self.__getitem__, units), np.int64, len(units))
+
+    def learn(self, ids: np.ndarray, count: np.ndarray) -> None:
+        """The ids of the new units, and how many each has."""
+        self.chars += sum(map(len, self.new))
+        self.ids, self.count = np.concatenate([self.ids, ids]), np.concatenate([self.count, count])
+        self.used = np.append(self.used, np.zeros(len(self.new), np.int64))
+        self.new = []
+
+    def thin(self) -> None:
+        """Where there are more than ``most``, or more characters than half of them may have, the half used most stays, without long ones."""
+        if len(self) <= self.most and self.chars <= self.most * self.longest // 2:
+            return
+        names = list(self)
+        size = np.fromiter(map(len, names), np.int64, len(names))
+        first = np.argsort(-self.used, kind="stable")[: self.most // 2]
+        kept = np.sort(first[size[first] <= self.longest])
+        self.clear()
+        self.update((names[i], k) for k, i in enumerate(kept.tolist()))
+        self.ids, self.count, self.used = gathered(self.ids, self.count, kept), self.count[kept], self.used[kept] // 2
+        self.chars = int(size[kept].sum())
+
+
 class Pieces:
     """A model's pieces and the rule by which two neighbours may stand side by side.
 
@@ -79,6 +130,7 @@ class Pieces:
         self.longest = max(map(len, self.id), default=1)
         self.low = min((self.scores[i] for i in self.id.values()), default=0.0) - 10.0  # a character without piece
         self._links: dict[tuple[str, str], bool] = {}
+        self.units = Units()
 
     @cached_property
     def tails(self) -> dict[str, bool]:
@@ -352,18 +404,57 @@ class Pieces:
         every = [paths[i] if i in paths else next(rest) for i in range(len(segments))]
         return np.concatenate(every).astype(np.int32), np.array([len(x) for x in every])
 
-    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+    def segmented(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of texts that no piece crosses at either end, one text after the other, and how many each has."""
         at: dict[str, int] = defaultdict(count().__next__)
-        order, many = [], []
+        cuts, many = [], []
         for t in texts:
             cut = self.segment.findall(t)
             many.append(len(cut))
-            order.append(np.fromiter(map(at.__getitem__, cut), np.int64, len(cut)))
+            cuts += cut
+        where = np.fromiter(map(at.__getitem__, cuts), np.int64, len(cuts))
         ids, length = self.traced(list(at))
-        where = np.concatenate([np.zeros(0, np.int64), *order])
-        sizes = np.add.reduceat(np.append(length[where], 0), np.minimum(np.cumsum(many) - many, len(where))) if len(many) else np.zeros(0, np.int64)
-        return gathered(ids, length, where), np.where(np.array(many, np.int64) > 0, sizes, 0)
+        return gathered(ids, length, where), sums(length[where], np.array(many, np.int64))
+
+    @cached_property
+    def by_units(self) -> bool:
+        """Whether no piece reaches from another character to a blank, so that texts may be cut before blanks."""
+        return not any(SPACE in p.lstrip(SPACE) for p in self.id)
+
+    def learnt(self, units: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``segmented``, of distinct units; short ones needn't be cut further."""
+        size = np.fromiter(map(len, units), np.int64, len(units))
+        long = np.flatnonzero(size > 64)
+        if not len(long):
+            return self.traced(units)
+        short = np.flatnonzero(size <= 64)
+        parts = self.traced([units[i] for i in short]), self.segmented([units[i] for i in long])
+        ids, length = (np.concatenate(x) for x in zip(*parts))
+        back = np.argsort(np.concatenate([short, long]))
+        return gathered(ids, length, back), length[back]
+
+    def encoded(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """As ``segmented``. Texts are cut into units, blanks with what follows them, in Arrow columns, so that Python sees each once
+        in a batch, and only units not met before are traced."""
+        if not self.by_units:
+            return self.segmented(texts)
+        whole, known = pa.array(texts, pa.string()), self.units
+        odd = pc.match_substring(whole, 2 * SPACE)  # several blanks make one unit
+        words = pc.split_pattern(pc.if_else(odd, "", whole), SPACE)
+        flat, start = words.flatten().dictionary_encode(), words.offsets.to_numpy()
+        spaced = pc.binary_join_element_wise(SPACE, flat.dictionary, "")
+        after_blank = known.places(spaced.to_numpy(zero_copy_only=False).tolist())[flat.indices.to_numpy()]
+        # What a text begins with has no blank before it; texts of several blanks are dealt with as such beginnings.
+        begins = [_UNIT.findall(t) if o else [w] for t, o, w in zip(texts, odd.to_pylist(), flat.dictionary.take(flat.indices.take(pa.array(start[:-1]))).to_pylist())]
+        first = np.array([len(x) for x in begins], np.int64)
+        rest = np.diff(start) - 1
+        where = np.insert(np.delete(after_blank, start[:-1]), np.repeat(np.cumsum(rest) - rest, first), known.places([u for x in begins for u in x]))
+        if known.new:
+            known.learn(*self.learnt(known.new))
+        known.used += np.bincount(where, minlength=len(known))
+        out = gathered(known.ids, known.count, where), sums(known.count[where], first + rest)
+        known.thin()
+        return out
 
     def cost(self, segment: str) -> float:
         return self.forward(segment, 0, len(segment), "")[-1][0] if self.kind == UNIGRAM else 0.0

@@ -53,7 +53,7 @@ def op5_pieces(spark: SparkSession, sf_dir: str) -> DataFrame:
     model = piece_model()
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     both = piece_scan.decode(piece_scan.encode(docs, model), model, text="decoded")
-    same = F.col("decoded").eqNullSafe(F.translate("text", "\u2581", " "))
+    same = F.col("decoded").eqNullSafe(F.replace("text", F.lit("\u2581"), F.lit(" ")))
     return both.select("doc_id", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_tokens"), "ids", same.alias("round_trip"))
 
 

@@ -128,3 +128,36 @@ def test_encode_and_decode(spark):
 def test_unsupported_models_are_refused():
     with pytest.raises(ValueError):
         pieces.Pieces(proto(1, proto(1, b"<unk>") + proto(3, 2)) + proto(3, proto(2, b"map")))
+
+
+def test_units_met_before_are_not_traced_again(monkeypatch):
+    model, seen = pieces.Pieces(RAW), []
+    walk = model.traced
+    monkeypatch.setattr(model, "traced", lambda units: seen.append(list(units)) or walk(units))
+    first, again = ["the cat  sat\non", "", "▁the cat", "x" * 70 + " the"], ["cat the", " sat the cat", "the  the", "x" * 70]
+    for some in (first, again):
+        assert piece_scan.encode_texts(model, some).to_pylist() == LIBRARY.encode(some)
+    units = [u for part in seen for u in part]
+    assert len(set(units)) == len(units) and "▁cat" in units and len(seen) > 1
+
+
+def test_units_kept_stay_within_bounds():
+    model, every = pieces.Pieces(RAW), texts(300, 30)
+    model.units = pieces.Units(most=60, longest=8)
+    for i in range(0, len(every), 20):
+        some = every[i : i + 20]
+        assert piece_scan.encode_texts(model, [*some, "the the the"]).to_pylist() == LIBRARY.encode([*some, "the the the"])
+        assert len(model.units) <= 60 and model.units.chars == sum(map(len, model.units)) <= 240 and len(model.units.count) == len(model.units)
+    assert "▁the" in model.units and model.units.count.sum() == len(model.units.ids)
+
+
+def test_chunks_traced_together_share_their_units(monkeypatch):
+    model, calls = pieces.Pieces(RAW), []
+    text = model.escaped("".join(texts(80, 60)))
+    ends = [*range(0, len(text), 97), len(text)]
+    chunks = [piece_scan.Chunk(model, text[max(0, a - model.longest) : a], text[a:b], text[b : b + model.longest]) for a, b in zip(ends, ends[1:])]
+    way = piece_scan.route([c.matrix() for c in chunks])
+    encoded = model.encoded
+    monkeypatch.setattr(model, "encoded", lambda x: calls.append(len(x)) or encoded(x))
+    got = piece_scan.chunk_ids(model, [c.around(c.into[s], c.out[e]) for c, s, e in zip(chunks, [0, *way], way)])
+    assert sum(got.to_pylist(), []) == LIBRARY.encode("".join(texts(80, 60))) and calls == [len(chunks)] and piece_scan.chunk_ids(model, []).to_pylist() == []
