@@ -40,17 +40,18 @@ def detailed_long(rel: DataFrame, raw: DataFrame, facts: DataFrame) -> DataFrame
     return totals.unionByName(cells).join(facts, TU, "left")
 
 
-def composition(rel: DataFrame, meta: DataFrame, treatment: str, keep: str | None = None, n: int = 3, mode: str = "average", value: str = "rel") -> DataFrame:
+def composition(rel: DataFrame, meta: DataFrame, treatment: str, keep: str | None = None, n: int = 3, mode: str = "average", value: str = "rel", samples: DataFrame | None = None) -> DataFrame:
     """(treatment, taxon, percent): the top taxa of each treatment, the rest as other, scaled to 100.
 
     Means are over a treatment's samples, absent cells as zeros; samples without treatment (or without a value in
     ``keep``) are left out. ``average`` adds one row set, the equal-weight mean of the treatments, over all treatments'
     top taxa; ``per_treatment`` has a row set for each treatment over its own. Ties go to the lesser taxon. ``rel`` has
     columns taxon, sample_id and ``value``; it may have several rows for a taxon and sample, which needn't be summed before.
+    ``samples`` may have the table's samples (sample_id), so that they needn't be found by making all cells of ``rel`` once more.
     """
     known = meta.where(F.col(treatment).isNotNull() & (F.col(keep).isNotNull() if keep else F.lit(True))).select(SAMPLE, F.col(treatment).alias("treatment"))
     both = rel.select("taxon", SAMPLE, F.col(value).alias("v")).join(known, SAMPLE)
-    sizes = rel.select(SAMPLE).distinct().join(known, SAMPLE).groupBy("treatment").agg(F.count(F.lit(1)).alias("_n"))
+    sizes = (rel if samples is None else samples).select(SAMPLE).distinct().join(known, SAMPLE).groupBy("treatment").agg(F.count(F.lit(1)).alias("_n"))
     means = both.groupBy("treatment", "taxon").agg(F.sum("v").alias("s")).join(sizes, "treatment").select("treatment", "taxon", (F.col("s") / F.col("_n")).alias("mean"))
     ranked = means.withColumn("_i", F.row_number().over(Window.partitionBy("treatment").orderBy(F.desc(F.round("mean", 12)), "taxon")))
     tops = ranked.where(F.col("_i") <= n)

@@ -79,7 +79,7 @@ r AS (SELECT m.treatment, CASE WHEN t.taxon IS NULL THEN 'other' ELSE m.taxon EN
 SELECT treatment, taxon, round(mean * 100 / sum(mean) OVER (PARTITION BY treatment), 6) AS percent FROM r""", "feature_long", "tu_taxonomy", "sample_map"))
 def topn_other_composition(s, d):
     taxa = table.with_taxon(table.normalize(A.feature_long(s, d)), A.tu_taxonomy(s, d), 2, "rel")
-    return rounded(report.composition(taxa, A.sample_map(s, d), "grp", n=5, mode="per_treatment"), "percent", digits=6)
+    return rounded(report.composition(taxa, A.sample_map(s, d), "grp", n=5, mode="per_treatment", samples=A.feature_samples(s, d)), "percent", digits=6)
 
 
 @query("average_composition", sql(COMPOSED + """
@@ -88,7 +88,7 @@ r AS (SELECT CASE WHEN taxon IN (SELECT taxon FROM tops) THEN taxon ELSE 'other'
 SELECT 'average' AS treatment, taxon, round(mean * 100 / sum(mean) OVER (), 6) AS percent FROM r""", "feature_long", "tu_taxonomy", "sample_map"))
 def average_composition(s, d):
     taxa = table.with_taxon(table.normalize(A.feature_long(s, d)), A.tu_taxonomy(s, d), 2, "rel")
-    return rounded(report.composition(taxa, A.sample_map(s, d), "grp", keep="value", n=5), "percent", digits=6)
+    return rounded(report.composition(taxa, A.sample_map(s, d), "grp", keep="value", n=5, samples=A.feature_samples(s, d)), "percent", digits=6)
 
 
 @query("table_merge_zero_fill", sql("SELECT tu_id, sample_id, n FROM feature_long UNION ALL SELECT tu_id, sample_id, n FROM feature_small", "feature_long", "feature_small"))

@@ -1,6 +1,7 @@
 """Operators whose results are grids or pairs: what they hold and shuffle on the way."""
 
 import io
+import re
 from contextlib import redirect_stdout
 
 import pyarrow as pa
@@ -8,7 +9,7 @@ import pytest
 
 from taxaflow.functions import staging
 from taxaflow.operators import barcodes, classify, hits, reads, report, search, stats, table
-from taxaflow.plans import adapters, lists
+from taxaflow.plans import adapters, lists, tables
 
 
 def plan_of(df):
@@ -179,3 +180,22 @@ def test_compositions_need_no_sums_by_sample_nor_broadcast_lineages(spark, mode)
     got, want = ({(r.treatment, r.taxon): r.percent for r in x.collect()} for x in outs)
     assert got.keys() == want.keys() and len(got) > 2
     assert all(got[k] == pytest.approx(want[k]) for k in got)
+
+
+@pytest.mark.parametrize("name", ["topn_other_composition", "average_composition"])
+def test_compositions_count_samples_without_making_cells(spark, name):
+    plan = plan_of(tables.Q[name](spark, "/root/testdata/sf0.001"))
+    assert "HashAggregate(keys=[l_partkey" in plan
+    assert not re.search(r"keys=\[l_partkey[^]]*\], functions=\[\]", plan)  # cells grouped for the names of their samples only
+
+
+def test_compositions_count_the_samples_given(spark):
+    rel = spark.createDataFrame([("x", "s1", 0.5), ("y", "s1", 0.5), ("x", "s3", 1.0)], "taxon string, sample_id string, rel double")
+    meta = spark.createDataFrame([("s1", "a"), ("s2", "a"), ("s3", "b"), ("s4", None)], "sample_id string, t string")
+    found = rel.select("sample_id")
+    for mode in ("average", "per_treatment"):
+        outs = [{tuple(r) for r in report.composition(rel, meta, "t", n=1, mode=mode, samples=x).collect()} for x in (None, found, found.union(found))]
+        assert outs[0] == outs[1] == outs[2]
+    twice = spark.createDataFrame([("s1",), ("s2",), ("s3",), ("s4",), (None,)], "sample_id string")
+    got = {r.taxon: r.percent for r in report.composition(rel, meta, "t", n=2, samples=twice).collect()}
+    assert got == pytest.approx({"x": 100 * 0.625 / 0.75, "y": 100 * 0.125 / 0.75})
