@@ -62,7 +62,7 @@ class Units(dict):
     """Places of units, whose ids are kept for the life of a worker: those of unit i are ``count[i]`` of ``ids``, after those of
     the units before it. ``new`` ones have a place and no ids yet."""
 
-    def __init__(self, most: int = 200_000, longest: int = 64):
+    def __init__(self, most: int = 100_000, longest: int = 64):
         super().__init__()
         self.most, self.longest, self.chars, self.new = most, longest, 0, []
         self.ids, self.count, self.used = np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int64)
