@@ -6,6 +6,7 @@ from contextlib import redirect_stdout
 
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 from taxaflow.functions import staging
 from taxaflow.operators import barcodes, classify, hits, reads, report, search, stats, table
@@ -35,6 +36,17 @@ def test_grid_is_made_from_blocks(spark):
     assert "explode" in plan_of(out)  # cells are made by a row for each unit and block
 
 
+def test_cells_that_a_grid_lacks_are_dealt_by_their_number_and_rounded_by_sample(spark, monkeypatch):
+    monkeypatch.setattr(table, "CELLS_OF_TASK", 50)
+    cells = [(f"u{i:02d}", f"s{i % 7 * j % 23:02d}", i + j) for i in range(60) for j in range(1 + i % 3)] + [("none", None, 2), ("empty", "s01", None)]
+    ft = spark.createDataFrame(cells, "tu_id string, sample_id string, n long").groupBy("tu_id", "sample_id").agg(F.sum("n").alias("n"))
+    out, whole = table.with_pseudocount(ft, block=4, digits=3), table.with_pseudocount(ft)
+    samples = {c[1] for c in cells if c[1]}
+    assert out.rdd.getNumPartitions() >= 62 * len(samples) // 50
+    got, want = ({(r.tu_id, r.sample_id): (r.n, round(r.rel, 3)) for r in x.collect()} for x in (out, whole))
+    assert got == want and len(got) == 62 * len(samples) == out.count()
+
+
 def test_pairs_of_blocks_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypatch):
     monkeypatch.setattr(stats, "PAIRS_OF_TASK", 4)
     rows = [(f"u{i:02d}", s, (i * 7 + s * s * (i % 5 + 1)) % 11) for i in range(60) for s in range(6)]
