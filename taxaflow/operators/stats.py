@@ -161,19 +161,24 @@ def block_pairs(packed: DataFrame, high: float, low: float, block: int, pivots:
     return placed, both.where(same | turned).select(F.col("_blockx").alias("_x"), F.col("_blocky").alias("_y"))
 
 
-def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high: float = 0.0, low: float = 0.0, most_p: float = 1.0, block: int = 512, least: int = 3, pivots: int = 4) -> DataFrame:
-    """(a, b, n, rho, p) for pairs of units a before b: Spearman with normal p, within thresholds.
+def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high: float = 0.0, low: float = 0.0, most_p: float = 1.0, block: int = 512, least: int = 3, pivots: int = 4, digits: int | None = None) -> DataFrame:
+    """(a, b, n, rho, p) for pairs of units a before b: Spearman with normal p, within thresholds; rho is rounded to ``digits`` afterwards.
 
-    ``vectors`` is long and complete: (key, at, value) for each unit and place. Units are packed into blocks of ranked
-    vectors; each pair of blocks that can hold what is wanted (see ``block_pairs``) is one matrix product, and thresholds
-    apply inside, so no pair is emitted in vain. Constant units correlate 0 with everything.
+    ``vectors`` is long and complete: (key, at, value) for each unit and place. Units of equal ranks are a class, and classes are
+    correlated once: they are packed into blocks of ranked vectors; each pair of blocks that can hold what is wanted (see ``block_pairs``) is one
+    matrix product, and thresholds apply inside, so no pair is emitted in vain. A pair of classes then gives the pairs of its units, from
+    parts of half a block of units each, by as many tasks as there are pairs. Constant units correlate 0 with everything.
     """
-    units = row_number(vectors.select(key).distinct(), [F.col(key).asc()], "_i")
-    ranked = vectors.select(key, at, average_rank(value, key).alias("_r"))
-    packed = ranked.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(at, "_r"))), lambda x: x["_r"]).alias("v")).join(units, key)
-    placed, wanted = block_pairs(materialize(packed, "packed-units"), high, low, block, pivots)
+    ranked = vectors.where(F.col(key).isNotNull()).select(key, at, average_rank(value, key).alias("_r"))
+    packed = ranked.groupBy(key).agg(F.transform(F.sort_array(F.collect_list(F.struct(at, "_r"))), lambda x: x["_r"]).alias("v"))
+    units = row_number(materialize(packed, "packed-units"), [F.col("v").asc(), F.col(key).asc()], "_n")  # a class has numbers without gaps
+    part = max(1, block // 2)
+    classes = materialize(units.groupBy("v").agg(F.min("_n").alias("_i"), F.count(F.lit(1)).alias("_size")), "classes")
+    parts = units.groupBy("v", F.expr(f"(_n - 1) div {part}").alias("_p")).agg(F.collect_list(key).alias("_names"))
+    parts = materialize(parts.join(classes, "v").select("_i", "_p", "_names"), "parts-of-classes")
+    placed, wanted = block_pairs(classes, high, low, block, pivots)
     wanted = materialize(wanted, "block-pairs")
-    tasks = max(int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions")), -(-wanted.count() // PAIRS_OF_TASK))
+    few = int(vectors.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     sides = wanted.select("_x", "_y", F.explode(F.array_distinct(F.array("_x", "_y"))).alias("_block"))
     pairs = placed.join(sides, "_block")
 
@@ -182,17 +187,28 @@ def correlate_units(vectors: DataFrame, key: str, at: str, value: str, *, high:
         left, right = pdf[pdf["_block"] == x].sort_values("_i"), pdf[pdf["_block"] == y].sort_values("_i")
         a, b = (_unit_vectors(_matrix(p["v"])) for p in (left, right))
         r = np.clip(a @ b.T, -1, 1) if len(a) and len(b) else np.zeros((len(a), len(b)))
-        before, after = left["_i"].to_numpy()[:, None], right["_i"].to_numpy()[None, :]
-        i, j = np.nonzero(((r >= high) | (r <= low)) & ((before < after) | ((before > after) & (x != y))))
-        one, two = left[key].to_numpy()[i], right[key].to_numpy()[j]
-        swap = left["_i"].to_numpy()[i] > right["_i"].to_numpy()[j]
+        one, two, of_one, of_two = (p[c].to_numpy() for c in ("_i", "_size") for p in (left, right))
+        before, after = one[:, None], two[None, :]
+        i, j = np.nonzero(((r >= high) | (r <= low)) & ((before < after) | ((before > after) & (x != y)) | ((before == after) & (of_one[:, None] > 1))))
         n = a.shape[1] if len(a) else 0
-        return pd.DataFrame({"a": np.where(swap, two, one), "b": np.where(swap, one, two), "n": n, "rho": r[i, j]})
-
-    kind = dict(vectors.dtypes)[key]
-    pairs = pairs.repartition(tasks, "_x", "_y")  # pairs of blocks grow with the square of the units, those of a task don't
-    found = pairs.groupBy("_x", "_y").applyInPandas(correlate, f"a {kind}, b {kind}, n long, rho double").where(F.col("n") >= least)
-    return found.withColumn("p", norm_pvalue(t_statistic(F.col("rho"), F.col("n")))).where(F.col("p") <= most_p)
+        return pd.DataFrame({"_a": one[i], "_b": two[j], "_of_a": of_one[i], "_of_b": of_two[j], "n": n, "rho": r[i, j]})
+
+    pairs = pairs.repartition(max(few, -(-wanted.count() // PAIRS_OF_TASK)), "_x", "_y")  # pairs of blocks grow with the square of the classes, those of a task don't
+    found = pairs.groupBy("_x", "_y").applyInPandas(correlate, "_a long, _b long, _of_a long, _of_b long, n long, rho double").where(F.col("n") >= least)
+    found = found.withColumn("p", norm_pvalue(t_statistic(F.col("rho"), F.col("n")))).where(F.col("p") <= most_p)
+    found = materialize(found if digits is None else found.withColumn("rho", F.round("rho", digits)), "class-pairs")
+    rows = found.agg(F.sum(F.col("_of_a").cast("double") * F.col("_of_b"))).first()[0] or 0
+    tasks = max(few, int(-(-rows // (PAIRS_OF_TASK * part * part))))
+    spots = lambda c: (F.expr(f"(_{c} - 1) div {part}"), F.expr(f"(_{c} + _of_{c} - 2) div {part}"))
+    both = found.withColumn("_pa", F.explode(F.sequence(*spots("a"))))
+    both = both.withColumn("_pb", F.explode(F.sequence(F.when(F.col("_a") == F.col("_b"), F.col("_pa")).otherwise(spots("b")[0]), spots("b")[1])))
+    both = both.select("_a", "_pa", "_b", "_pb", "n", "rho", "p").repartition(tasks, "_a", "_pa", "_b", "_pb")
+    for c in "ab":  # the units' names, few beside their pairs
+        both = both.join(F.broadcast(parts.select(F.col("_i").alias(f"_{c}"), F.col("_p").alias(f"_p{c}"), F.col("_names").alias(f"_names_{c}"))), [f"_{c}", f"_p{c}"])
+    same = (F.col("_a") == F.col("_b")) & (F.col("_pa") == F.col("_pb"))
+    both = both.select("n", "rho", "p", "_names_b", same.alias("_same"), F.explode("_names_a").alias("_one"))
+    both = both.select("n", "rho", "p", "_same", "_one", F.explode("_names_b").alias("_two")).where("not _same or _one < _two")
+    return both.select(F.least("_one", "_two").alias("a"), F.greatest("_one", "_two").alias("b"), "n", "rho", "p")
 
 
 def abundant_in_sets(ft: DataFrame, sets: DataFrame, least: float, value: str = "n") -> DataFrame:

@@ -210,7 +210,7 @@ c AS (SELECT a.tu_id AS a, b.tu_id AS b, count(*) AS n, CASE WHEN stddev_pop(a.x
 SELECT a, b, n, round(rho, 9) AS rho FROM c WHERE rho >= 0.85 OR rho <= -0.85""", "feature_small"))
 def spearman_pairs_thresholded(s, d):
     grid = table.dense(A.feature_small(s, d))
-    return rounded(stats.correlate_units(grid, "tu_id", "sample_id", "n", high=0.85, low=-0.85).select("a", "b", "n", "rho"), "rho")
+    return stats.correlate_units(grid, "tu_id", "sample_id", "n", high=0.85, low=-0.85, digits=9).select("a", "b", "n", "rho")
 
 
 @query("bh_fdr", """

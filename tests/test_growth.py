@@ -55,6 +55,29 @@ def test_pairs_of_blocks_are_dealt_to_as_many_tasks_as_they_need(spark, monkeypa
     assert out.rdd.getNumPartitions() >= 120 // 4  # 15 blocks
 
 
+def test_units_of_equal_ranks_are_correlated_once(spark, monkeypatch):
+    seen, keep = [], stats.block_pairs
+    monkeypatch.setattr(stats, "block_pairs", lambda packed, *a: seen.append(packed.count()) or keep(packed, *a))
+    base = [[3, 1, 2, 0, 0], [5, 1, 4, 0, 0], [0, 1, 0, 2, 3], [7, 7, 7, 7, 7], [1, 2, 3, 4, 5]]  # the first two have equal ranks
+    data = {f"u{i}": [x * (1 + i // 5) for x in base[i % 5 if i < 40 else 0]] for i in range(60)} | {None: [1, 2, 3, 4, 5]}
+    df = spark.createDataFrame([(u, s, v) for u, x in data.items() for s, v in enumerate(x)], "u string, s int, v long")
+    of = lambda x: [sum(y < v for y in x) + (sum(y == v for y in x) + 1) / 2 - (len(x) + 1) / 2 for v in x]
+    for high, low in ((0.0, 0.0), (0.85, -0.85)):
+        want = {}
+        for a in data:
+            for b in data:
+                if a is not None and b is not None and a < b:
+                    x, y = of(data[a]), of(data[b])
+                    down = (sum(v * v for v in x) * sum(v * v for v in y)) ** 0.5
+                    rho = sum(p * q for p, q in zip(x, y)) / down if down else 0.0
+                    if rho >= high or rho <= low:
+                        want[a, b] = round(rho, 6)
+        rows = stats.correlate_units(df, "u", "s", "v", high=high, low=low, block=6, digits=6).collect()
+        got = {(r.a, r.b): r.rho for r in rows}
+        assert len(rows) == len(got) and got.keys() == want.keys() and all(abs(got[k] - want[k]) < 1e-6 for k in want)
+    assert seen == [4, 4]
+
+
 def test_barcodes_with_a_near_one_are_not_compared_further(spark, monkeypatch):
     near, seen = barcodes.near_pairs, {}
 
