@@ -1,16 +1,18 @@
 """Operators whose results are grids or pairs: what they hold and shuffle on the way."""
 
 import io
+import random
 import re
 from contextlib import redirect_stdout
 
+import duckdb
 import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
 from taxaflow.functions import staging
-from taxaflow.operators import barcodes, classify, hits, reads, report, search, stats, table
-from taxaflow.plans import adapters, lists, tables
+from taxaflow.operators import barcodes, classify, cluster, derep, hits, near, reads, report, search, stats, table
+from taxaflow.plans import adapters, lists, sequencing, tables
 
 
 def plan_of(df):
@@ -78,6 +80,31 @@ def test_units_of_equal_ranks_are_correlated_once(spark, monkeypatch):
     assert seen == [4, 4]
 
 
+def test_reads_are_mapped_by_the_keys_of_their_clusters(spark, monkeypatch):
+    rng, seqs = random.Random(4), []
+    for k in range(5):
+        base = [rng.choice("ACGT") for _ in range(100)]
+        for i in range(24):
+            s = base[:]
+            for at in rng.sample(range(100), i % 6):
+                s[at] = rng.choice("ACGT")
+            seqs.append("".join(s))
+    rows = [(f"r{i}", f"s{i % 3}", seqs[i % len(seqs)]) for i in range(150)]
+    df = spark.createDataFrame(rows, "read_id string, sample_id string, seq string")
+    calls, keep = [], near.shared_keys
+    for m in (near, cluster):
+        monkeypatch.setattr(m, "shared_keys", lambda *a: calls.append(1) or keep(*a))
+    monkeypatch.setattr(sequencing, "cut_reads", lambda s, d: df)
+    got = {tuple(r) for r in sequencing.map_reads_to_units(spark, "").collect()}
+    assert len(calls) == 1 and len(got) == 150
+    units = {r.tu_id: (r.centroid_ord, r.centroid) for r in cluster.cluster(derep.uniques(df), 0.97).collect()}
+    assert 5 < len(units) < len(set(seqs))
+    duck = duckdb.connect()
+    for read, sample, seq in rows:
+        d, _, unit = min((duck.execute("select levenshtein(?, ?)", [seq, c]).fetchone()[0], o, u) for u, (o, c) in units.items())
+        assert (read, sample, unit, round(1 - d / 100, 9)) in got
+
+
 def test_barcodes_with_a_near_one_are_not_compared_further(spark, monkeypatch):
     near, seen = barcodes.near_pairs, {}
 
